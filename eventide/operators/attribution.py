@@ -19,6 +19,8 @@ unknown referer, or on a repeated URL (a cycle).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,33 +61,48 @@ def goals_of(visits: DataFrame) -> DataFrame:
                     F.greatest(F.col("ts"), F.col("m.wm_ts")).alias("fire_level")))
 
 
-def attribute(visits: DataFrame, impressions: DataFrame, max_depth: int = 10000) -> DataFrame:
-    """``user, goal_url, goal_ts, imp_id, source_url, target_url, imp_ts, trail`` (trail = visit urls, oldest first)."""
+def referer_walk(visits: DataFrame, impressions: DataFrame, max_depth: int = 10000) -> DataFrame:
+    """Every step of every goal's walk: ``user, goal_url, goal_ts, fire_level, cur_url, cur_ref, trail, depth``.
+
+    Depth 0 is the goal itself; a step is extended only while its
+    ``(cur_ref, cur_url)`` is not a visible impression.
+    """
     spark = visits.sparkSession
-    latest_visits(visits).createOrReplaceTempView("_et_visit_versions")
-    dedup_impressions(impressions).createOrReplaceTempView("_et_impressions")
-    goals_of(visits).createOrReplaceTempView("_et_goals")
+    tag = uuid.uuid4().hex[:12]
+    vv, ii, gg = f"_et_vv_{tag}", f"_et_ii_{tag}", f"_et_gg_{tag}"
+    latest_visits(visits).createOrReplaceTempView(vv)
+    dedup_impressions(impressions).createOrReplaceTempView(ii)
+    goals_of(visits).createOrReplaceTempView(gg)
     return spark.sql(f"""
-    WITH RECURSIVE walk(user, goal_url, goal_ts, fire_level, cur_url, cur_ref, trail, depth) MAX RECURSION LEVEL {max_depth} AS (
+    WITH RECURSIVE walk(user, goal_url, goal_ts, fire_level, cur_url, cur_ref, trail, depth)
+      MAX RECURSION LEVEL {max_depth} AS (
       SELECT user, goal_url, goal_ts, fire_level, goal_url, goal_referer, CAST(array() AS ARRAY<STRING>), 0
-      FROM _et_goals
+      FROM {gg}
       UNION ALL
       SELECT w.user, w.goal_url, w.goal_ts, w.fire_level, v.url, v.referer, concat(array(v.url), w.trail), w.depth + 1
       FROM walk w
-      JOIN _et_visit_versions v
+      JOIN {vv} v
         ON v.user = w.user AND v.url = w.cur_ref
        AND v.valid_from <= w.fire_level AND (v.valid_to IS NULL OR v.valid_to > w.fire_level)
-      LEFT ANTI JOIN _et_impressions i
+      LEFT ANTI JOIN {ii} i
         ON i.user = w.user AND i.source_url = w.cur_ref AND i.target_url = w.cur_url AND i.valid_from <= w.fire_level
       WHERE NOT array_contains(w.trail, v.url) AND v.url <> w.goal_url
     )
-    SELECT w.user, w.goal_url, w.goal_ts, i.id AS imp_id, i.source_url, i.target_url, i.ts AS imp_ts, w.trail
-    FROM walk w
-    JOIN _et_impressions i
-      ON i.user = w.user AND i.source_url = w.cur_ref AND i.target_url = w.cur_url AND i.valid_from <= w.fire_level
+    SELECT * FROM walk
     """)
 
 
+def attribute(visits: DataFrame, impressions: DataFrame, max_depth: int = 10000) -> DataFrame:
+    """``user, goal_url, goal_ts, imp_id, source_url, target_url, imp_ts, trail`` (trail = visit urls, oldest first)."""
+    walk = referer_walk(visits, impressions, max_depth)
+    imps = dedup_impressions(impressions)
+    cond = ((walk["user"] == imps["user"]) & (walk["cur_ref"] == imps["source_url"])
+            & (walk["cur_url"] == imps["target_url"]) & (imps["valid_from"] <= walk["fire_level"]))
+    return walk.join(imps, cond).select(
+        walk["user"], "goal_url", "goal_ts", imps["id"].alias("imp_id"), "source_url", "target_url",
+        imps["ts"].alias("imp_ts"), "trail")
+
+
 def attribution_records(attributed: DataFrame, visits: DataFrame) -> DataFrame:
     """Nested form ``user, impression STRUCT, trail ARRAY<STRUCT>, goal STRUCT`` for formatting."""
     vv = visits.select("user", "url", "ts", "referer", "is_goal")

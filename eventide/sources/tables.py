@@ -30,9 +30,9 @@ def scores_from_events(events: DataFrame, key: str = "event_type") -> DataFrame:
     )
 
 
-def arrival_ts_of(events: DataFrame) -> F.Column:
-    lag_s = F.pmod(F.col("event_id") * ARRIVAL_LAG_MULTIPLIER, F.lit(ARRIVAL_LAG_MODULUS_S))
-    return F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + lag_s * 1_000_000).cast("timestamp_ntz")
+def arrival_ts_of(ts: str = "ts", event_id: str = "event_id") -> F.Column:
+    lag_s = F.pmod(F.col(event_id) * ARRIVAL_LAG_MULTIPLIER, F.lit(ARRIVAL_LAG_MODULUS_S))
+    return F.timestamp_micros(F.unix_micros(F.col(ts).cast("timestamp")) + lag_s * 1_000_000).cast("timestamp_ntz")
 
 
 def arrival_log_from_events(events: DataFrame, key: str = "event_type",
@@ -43,7 +43,7 @@ def arrival_log_from_events(events: DataFrame, key: str = "event_type",
     a global position.  ``wm_ts`` is the watermark in force when the row arrived.
     """
     s = scores_from_events(events, key)
-    return s.select("key", "score", "event_ts", arrival_ts_of(events).alias("arrival_ts"),
+    return s.select("key", "score", "event_ts", arrival_ts_of("event_ts").alias("arrival_ts"),
                     F.col("event_id").alias("seq")).withColumn("wm_ts", watermark.wm_at(F.col("arrival_ts")))
 
 
