@@ -184,3 +184,17 @@ def number_panes(panes: DataFrame, spec: PaneSpec) -> DataFrame:
         value.cast("bigint").alias("value"),
         "fire_ts",
     )
+
+
+def single_panes(df: DataFrame, start: str = "w_start", end: str = "w_end") -> DataFrame:
+    """Batch results as the one pane each window gets: ON_TIME, index 0, first and last.
+
+    For the global window pass a frame without window columns; NULL bounds are added.
+    """
+    out = df
+    if start not in df.columns:
+        out = out.withColumn(start, F.lit(None).cast("timestamp_ntz"))
+    if end not in df.columns:
+        out = out.withColumn(end, F.lit(None).cast("timestamp_ntz"))
+    return out.select("*", F.lit(0).cast("long").alias("pane_index"), F.lit(0).cast("long").alias("on_time_index"),
+                      F.lit("ON_TIME").alias("timing"), F.lit(True).alias("is_first"), F.lit(True).alias("is_last"))
