@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.timefmt import dur_us, to_us
 from eventide.plans.scan import with_next
+from eventide.session import checkpoint_dir
 
 _B = "1 day"
 
@@ -68,11 +69,14 @@ def referer_walk(visits: DataFrame, impressions: DataFrame, max_depth: int = 100
     ``(cur_ref, cur_url)`` is not a visible impression.
     """
     spark = visits.sparkSession
+    checkpoint_dir(spark)
     tag = uuid.uuid4().hex[:12]
     vv, ii, gg = f"_et_vv_{tag}", f"_et_ii_{tag}", f"_et_gg_{tag}"
-    latest_visits(visits).createOrReplaceTempView(vv)
-    dedup_impressions(impressions).createOrReplaceTempView(ii)
-    goals_of(visits).createOrReplaceTempView(gg)
+    # Each recursion level re-reads these; checkpoint them (reliable, in the
+    # shared checkpoint folder) so a level is one join, not a re-derivation.
+    latest_visits(visits).checkpoint(eager=True).createOrReplaceTempView(vv)
+    dedup_impressions(impressions).checkpoint(eager=True).createOrReplaceTempView(ii)
+    goals_of(visits).checkpoint(eager=True).createOrReplaceTempView(gg)
     return spark.sql(f"""
     WITH RECURSIVE walk(user, goal_url, goal_ts, fire_level, cur_url, cur_ref, trail, depth)
       MAX RECURSION LEVEL {max_depth} AS (

@@ -30,14 +30,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventide.functions.timefmt import ceil_to, dur_us, from_us, plus, to_us
 from eventide.plans.scan import running_sums
 from eventide.plans.spec import PaneSpec, Trigger
 
 _WKEY = ["key", "w_start"]
-_PANE_COLS = ["key", "w_start", "w_end", "phase", "fire_ts", "sub", "delta", "closing"]
 _MAX_SUB = 2**62
+_PANE_TS = "struct<ts:timestamp_ntz,sub:bigint>"
 
 
 def assign_windows(log: DataFrame, spec: PaneSpec) -> DataFrame:
@@ -47,7 +48,7 @@ def assign_windows(log: DataFrame, spec: PaneSpec) -> DataFrame:
 
 
 def split_rows(log: DataFrame, spec: PaneSpec, watermark) -> tuple[DataFrame, DataFrame]:
-    """(kept rows with on/gc fire steps attached, dropped rows)."""
+    """(kept rows with the on-time and closing steps ``on_ts, on_seq, gc_ts, gc_seq``, dropped rows)."""
     rows = assign_windows(log, spec).withColumn("gc_level", plus("w_end", dur_us(spec.lateness) / 1e6))
     kept = rows.where(F.col("wm_ts") < F.col("gc_level"))
     dropped = rows.where(F.col("wm_ts") >= F.col("gc_level")).drop("gc_level")
@@ -55,118 +56,149 @@ def split_rows(log: DataFrame, spec: PaneSpec, watermark) -> tuple[DataFrame, Da
     return kept, dropped
 
 
-def _pane(df: DataFrame, phase: int, fire_ts, sub, delta, closing: bool = False) -> DataFrame:
-    return df.select("key", "w_start", "w_end", F.lit(phase).alias("phase"), fire_ts.alias("fire_ts"),
-                     sub.cast("long").alias("sub"), delta.cast("bigint").alias("delta"),
-                     F.lit(closing).alias("closing"))
-
-
-def _greedy_delay_panes(rows: DataFrame, delay: str) -> DataFrame:
-    """Unaligned delay: pane k opens at its first element ``s_k`` and covers arrivals in ``[s_k, s_k + delay)``."""
-    d = dur_us(delay)
-
-    def cover(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["a", "seq"], kind="stable")
-        a = pdf["a"].to_numpy(dtype=np.int64)
-        sc = np.concatenate([[0], np.cumsum(pdf["score"].to_numpy(dtype=np.int64))])
-        starts, deltas, i = [], [], 0
-        while i < len(a):
-            j = int(np.searchsorted(a, a[i] + d, side="left"))
-            starts.append(a[i])
-            deltas.append(sc[j] - sc[i])
-            i = j
-        n = len(starts)
-        return pd.DataFrame({"key": [pdf["key"].iloc[0]] * n, "ws": [pdf["ws"].iloc[0]] * n,
-                             "we": [pdf["we"].iloc[0]] * n, "start_us": starts, "delta": deltas})
-
-    slim = rows.select("key", to_us("w_start").alias("ws"), to_us("w_end").alias("we"),
-                       to_us("arrival_ts").alias("a"), "seq", "score")
-    out = slim.groupBy("key", "ws").applyInPandas(
-        cover, "key string, ws long, we long, start_us long, delta long")
-    return out.select("key", from_us(F.col("ws")).alias("w_start"), from_us(F.col("we")).alias("w_end"),
-                      from_us(F.col("start_us") + F.lit(d)).alias("fire_ts"), "delta")
-
-
-def _fire(rows: DataFrame, trig: Trigger | None, limit_ts: str, phase: int,
-          spec: PaneSpec) -> tuple[DataFrame | None, DataFrame]:
-    """Panes fired by ``trig`` before the limit step, and the per-window sum still pending at it."""
-    fired, rest = _fire_rest(rows, trig, limit_ts, phase, spec)
-    pend_cols = ["key", "w_start", "w_end"]
-    wins = rows.groupBy(*pend_cols).agg(F.count("*").alias("_n"))
-    if rest is None:
-        return fired, wins.select(*pend_cols, F.lit(0).cast("bigint").alias("pending"),
-                                  F.lit(0).cast("long").alias("n_pending"))
-    sums = rest.groupBy(*pend_cols).agg(F.sum("delta").alias("pending"), F.sum("_c").alias("n_pending"))
-    pending = wins.join(sums, pend_cols, "left").select(
-        *pend_cols, F.coalesce("pending", F.lit(0)).cast("bigint").alias("pending"),
-        F.coalesce("n_pending", F.lit(0)).cast("long").alias("n_pending"))
-    return fired, pending
-
-
-def _fire_rest(rows: DataFrame, trig: Trigger | None, limit_ts: str, phase: int,
-               spec: PaneSpec) -> tuple[DataFrame | None, DataFrame | None]:
-    """Fired panes, and the not-yet-fired pieces ``key, w_start, w_end, delta, _c`` (None if nothing pends)."""
-    pend_cols = ["key", "w_start", "w_end"]
+def _with_delay_starts(rows: DataFrame, delays: dict[bool, int]) -> DataFrame:
+    """Add ``_start``: first arrival of the row's unaligned-delay pane (NULL where no delay applies).
+
+    Pane k opens at its first element ``s_k`` and holds arrivals in
+    ``[s_k, s_k + delay)``; early and late rows are covered separately.  The
+    cover is sequential within a key and window, so rows are hash-partitioned by
+    (key, window), sorted by arrival inside each partition, and scanned batch by
+    batch with ``mapInPandas``; a group that straddles two Arrow batches carries
+    its open pane over.  Work per pane is one binary search, not one step per row.
+    """
+    d_of = {True: delays.get(True, 0), False: delays.get(False, 0)}
+    schema = T.StructType([*rows.schema.fields, T.StructField("_start", T.TimestampNTZType())])
+
+    def scan(batches):
+        carry = None  # (key, w_start, early, open pane start in us)
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            a = pdf["arrival_ts"].to_numpy(dtype="datetime64[us]").astype(np.int64)
+            key, ws, early = pdf["key"].to_numpy(), pdf["w_start"].to_numpy(), pdf["_early"].to_numpy()
+            brk = np.ones(n, dtype=bool)
+            brk[1:] = (key[1:] != key[:-1]) | (ws[1:] != ws[:-1]) | (early[1:] != early[:-1])
+            bounds = np.append(np.flatnonzero(brk), n)
+            out = np.full(n, np.iinfo(np.int64).min, dtype=np.int64)
+            for gi in range(len(bounds) - 1):
+                lo, hi = int(bounds[gi]), int(bounds[gi + 1])
+                d = d_of[bool(early[lo])]
+                if not d:
+                    continue
+                i = lo
+                if gi == 0 and carry is not None and carry[:3] == (key[lo], ws[lo], bool(early[lo])):
+                    s0 = carry[3]
+                    j = lo + int(np.searchsorted(a[lo:hi], s0 + d, side="left"))
+                    out[lo:j] = s0
+                    i = j
+                while i < hi:
+                    j = lo + int(np.searchsorted(a[lo:hi], a[i] + d, side="left"))
+                    out[i:j] = a[i]
+                    i = j
+            last = n - 1
+            carry = (key[last], ws[last], bool(early[last]), int(out[last]))
+            starts = pd.Series(out.astype("datetime64[us]"))
+            starts[out == np.iinfo(np.int64).min] = pd.NaT
+            pdf["_start"] = starts.to_numpy()
+            yield pdf
+
+    ordered = rows.repartition(*_WKEY).sortWithinPartitions(*_WKEY, "_early", "arrival_ts", "seq")
+    return ordered.mapInPandas(scan, schema)
+
+
+def _assign(early: F.Column, trig: Trigger | None, limit: str) -> tuple[F.Column, F.Column, F.Column]:
+    """(fired?, pane time, pane sub-key) of a row under ``trig`` before the step ``limit``."""
     if trig is None or trig.kind == "watermark":
-        return None, rows.select(*pend_cols, F.col("score").alias("delta"), F.lit(1).cast("long").alias("_c"))
+        return F.lit(False), F.lit(None).cast("timestamp_ntz"), F.lit(0).cast("long")
     if trig.kind == "count" and trig.n == 1:
-        return _pane(rows, phase, F.col("arrival_ts"), F.col("seq"), F.col("score")), None
+        return F.lit(True), F.col("arrival_ts"), F.col("seq")
     if trig.kind == "count":
-        b = F.floor(to_us("arrival_ts") / F.lit(dur_us(spec.bucket)))
-        numbered = running_sums(rows.withColumn("_b", b), _WKEY, ["arrival_ts", "seq"], "_b", {"_rn": F.lit(1)})
-        grouped = (numbered.groupBy(*pend_cols, F.floor((F.col("_rn") - 1) / trig.n).alias("_p"))
-                   .agg(F.sum("score").alias("delta"), F.count("*").alias("_c"),
-                        F.max(F.struct("arrival_ts", "seq")).alias("_last")))
-        full = grouped.where(F.col("_c") == trig.n)
-        fired = _pane(full, phase, F.col("_last.arrival_ts"), F.col("_last.seq"), F.col("delta"))
-        return fired, grouped.where(F.col("_c") < trig.n)
+        return F.lit(True), F.lit(None).cast("timestamp_ntz"), F.floor((F.col("_rn") - 1) / trig.n)
     if trig.kind == "aligned":
-        dl = ceil_to("arrival_ts", trig.period, trig.offset)
-        grouped = (rows.withColumn("_d", dl).withColumn("_x", (F.col("_d") == F.col("arrival_ts")).cast("int"))
-                   .groupBy(*pend_cols, "_d", "_x", limit_ts)
-                   .agg(F.sum("score").alias("delta"), F.count("*").alias("_c")))
-        fires = (F.col("_d") < F.col(limit_ts)) | ((F.col("_d") == F.col(limit_ts)) & (F.col("_x") == 0))
-        fired = _pane(grouped.where(fires), phase, F.col("_d"), F.col("_x"), F.col("delta"))
-        return fired, grouped.where(~fires)
+        d = ceil_to("arrival_ts", trig.period, trig.offset)
+        exact = d == F.col("arrival_ts")
+        fires = (d < F.col(limit)) | ((d == F.col(limit)) & ~exact)
+        return fires, d, exact.cast("long")
     if trig.kind == "unaligned":
-        panes = _greedy_delay_panes(rows, trig.delay)
-        limits = rows.select(*_WKEY, limit_ts).dropDuplicates(_WKEY)
-        panes = panes.join(limits, _WKEY)
-        fires = F.col("fire_ts") <= F.col(limit_ts)
-        fired = _pane(panes.where(fires), phase, F.col("fire_ts"), F.lit(0), F.col("delta"))
-        return fired, panes.where(~fires).withColumn("_c", F.lit(1).cast("long"))
+        fire = plus("_start", dur_us(trig.delay) / 1e6)
+        return fire <= F.col(limit), fire, F.lit(0).cast("long")
     raise ValueError(f"unknown trigger {trig}")
 
 
 def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool = False):
-    """All panes of a bounded arrival log under ``spec``; see the module doc for the rules."""
-    kept, dropped = split_rows(log, spec, watermark)
-    steps = kept.select(*_WKEY, "on_ts", "on_seq", "gc_ts", "gc_seq").dropDuplicates(_WKEY)
-    early = kept.where(F.col("wm_ts") < F.col("w_end"))
-    late = kept.where(F.col("wm_ts") >= F.col("w_end"))
+    """All panes of a bounded arrival log under ``spec``; see the module doc for the rules.
 
+    Plan: one projection gives every kept row its pane key (phase, pane time,
+    sub-key); rows that fire nothing land in the ON_TIME pane (early rows) or
+    the closing pane (late rows).  One aggregation builds the panes (partial
+    aggregation first, so a hot key costs one row per map task and pane), and
+    one bucketed running sum numbers and accumulates them.
+    """
+    kept, dropped = split_rows(log, spec, watermark)
     early_trig = spec.early if spec.trigger.kind == "watermark" else spec.trigger
-    early_fired, early_pending = _fire(early, early_trig, "on_ts", 0, spec)
-    late_fired, late_pending = _fire(late, spec.late_trigger(), "gc_ts", 2, spec)
-
-    on_time = early_pending.join(steps, _WKEY)
+    late_trig = spec.late_trigger()
+    kept = kept.withColumn("_early", F.col("wm_ts") < F.col("w_end"))
+
+    delays = {flag: dur_us(t.delay) for flag, t in ((True, early_trig), (False, late_trig))
+              if t is not None and t.kind == "unaligned"}
+    if delays:
+        kept = _with_delay_starts(kept, delays)
+    else:
+        kept = kept.withColumn("_start", F.lit(None).cast("timestamp_ntz"))
+    counted = [t for t in (early_trig, late_trig) if t is not None and t.kind == "count" and t.n > 1]
+    if counted:
+        b = F.floor(to_us("arrival_ts") / F.lit(dur_us(spec.bucket)))
+        kept = running_sums(kept.withColumn("_b", b), ["key", "w_start", "_early"], ["arrival_ts", "seq"], "_b",
+                            {"_rn": F.lit(1).cast("long")}).drop("_b")
+    else:
+        kept = kept.withColumn("_rn", F.lit(0).cast("long"))
+
+    ef, ets, esub = _assign(F.col("_early"), early_trig, "on_ts")
+    lf, lts, lsub = _assign(F.col("_early"), late_trig, "gc_ts")
+    early = F.col("_early")
+    fired = F.when(early, ef).otherwise(lf)
+    # phase: 0 EARLY fired, 1 ON_TIME, 2 LATE fired, 3 closing
+    phase = F.when(early, F.when(fired, 0).otherwise(1)).otherwise(F.when(fired, 2).otherwise(3))
+    pane_ts = (F.when(phase == 0, ets).when(phase == 1, F.col("on_ts"))
+               .when(phase == 2, lts).otherwise(F.col("gc_ts")))
+    pane_sub = F.when(phase == 0, esub).when(phase == 2, lsub).when(phase == 3, F.lit(_MAX_SUB)).otherwise(F.lit(0))
+    own = F.struct(phase.alias("phase"), pane_ts.alias("ts"), pane_sub.cast("long").alias("sub"),
+                   F.col("score").alias("score"), F.lit(1).cast("long").alias("n"))
+    # A fired early row also votes for its window's ON_TIME pane (score 0), so the
+    # ON_TIME pane exists even when every early row already fired.
+    marker = F.struct(F.lit(1).alias("phase"), F.col("on_ts").alias("ts"), F.lit(0).cast("long").alias("sub"),
+                      F.lit(0).cast("bigint").alias("score"), F.lit(0).cast("long").alias("n"))
+    entries = F.when(early & fired, F.array(own, marker)).otherwise(F.array(own))
+    flat = kept.select(*_WKEY, "w_end", "arrival_ts", "seq", F.explode(entries).alias("e"))
+    panes = (flat.groupBy(*_WKEY, "w_end", F.col("e.phase").alias("phase"), F.col("e.ts").alias("pane_ts"),
+                          F.col("e.sub").alias("pane_sub"))
+             .agg(F.sum("e.score").alias("delta"), F.sum("e.n").alias("n"),
+                  F.max(F.when(F.col("e.n") > 0, F.struct("arrival_ts", "seq"))).alias("_last")))
+    if counted:
+        panes = _settle_counts(panes, early_trig, late_trig)
     if spec.resolved_on_time() == "if_non_empty":
-        on_time = on_time.where(F.col("n_pending") > 0)
-    on_time_panes = _pane(on_time, 1, F.col("on_ts"), F.lit(0), F.coalesce(F.col("pending"), F.lit(0)))
-    closing = late_pending.where(F.col("n_pending") > 0).join(steps, _WKEY)
-    closing_panes = _pane(closing, 2, F.col("gc_ts"), F.lit(_MAX_SUB), F.col("pending"), closing=True)
-
-    panes = on_time_panes.unionByName(closing_panes)
-    for extra in (early_fired, late_fired):
-        if extra is not None:
-            panes = panes.unionByName(extra)
-    panes = panes.join(steps, _WKEY)
+        panes = panes.where((F.col("phase") != 1) | (F.col("n") > 0))
+    panes = watermark.attach(panes, {"on": F.col("w_end"),
+                                     "gc": plus("w_end", dur_us(spec.lateness) / 1e6)}, log)
+    ph = F.col("phase")
+    panes = panes.select(
+        *_WKEY, "w_end", F.least(ph, F.lit(2)).alias("phase"),
+        F.when(ph == 1, F.col("on_ts")).when(ph == 3, F.col("gc_ts"))
+        .otherwise(F.coalesce("pane_ts", F.col("_last.arrival_ts"))).alias("fire_ts"),
+        F.when(F.col("pane_ts").isNull() & ((ph == 0) | (ph == 2)), F.col("_last.seq"))
+        .otherwise(F.col("pane_sub")).alias("sub"),
+        "delta", (ph == 3).alias("closing"), "on_ts", "on_seq", "gc_ts", "gc_seq")
     result = number_panes(panes, spec)
     return (result, dropped) if with_dropped else result
 
 
 def number_panes(panes: DataFrame, spec: PaneSpec) -> DataFrame:
-    """Index, on-time index, first/last flags and the accumulated or discarded value."""
+    """Index, on-time index, first/last flags and the accumulated or discarded value.
+
+    Panes of a window are ordered by (phase, fire time, sub-key); the running
+    counts and sums are bucketed by fire time, which is monotone in that order.
+    """
     b = F.floor(to_us("fire_ts") / F.lit(dur_us(spec.bucket)))
     numbered = running_sums(
         panes.withColumn("_b", b), _WKEY, ["phase", "fire_ts", "sub"], "_b",
@@ -186,6 +218,21 @@ def number_panes(panes: DataFrame, spec: PaneSpec) -> DataFrame:
     )
 
 
+def _settle_counts(panes: DataFrame, early_trig, late_trig) -> DataFrame:
+    """Count-n panes that never filled up fire with the ON_TIME (early) or closing (late) pane."""
+    def n_of(t):
+        return t.n if t is not None and t.kind == "count" else 0
+    need = F.when(F.col("phase") == 0, F.lit(n_of(early_trig))).when(F.col("phase") == 2, F.lit(n_of(late_trig)))
+    short = F.coalesce(need > 1, F.lit(False)) & (F.col("n") < need)
+    moved = panes.withColumn("phase", F.when(short, F.col("phase") + 1).otherwise(F.col("phase")))
+    odd = (F.col("phase") == 1) | (F.col("phase") == 3)
+    moved = (moved.withColumn("pane_sub", F.when(F.col("phase") == 1, F.lit(0)).when(F.col("phase") == 3, F.lit(_MAX_SUB))
+                              .otherwise(F.col("pane_sub")))
+             .withColumn("pane_ts", F.when(odd, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("pane_ts"))))
+    return (moved.groupBy(*_WKEY, "w_end", "phase", "pane_ts", "pane_sub")
+            .agg(F.sum("delta").alias("delta"), F.sum("n").alias("n"), F.max("_last").alias("_last")))
+
+
 def single_panes(df: DataFrame, start: str = "w_start", end: str = "w_end") -> DataFrame:
     """Batch results as the one pane each window gets: ON_TIME, index 0, first and last.
 
