@@ -230,6 +230,14 @@ def q_referer_chain(spark, sf):
     return referer_walk(v, i).select("user", "goal_url", "goal_ts", "depth", "cur_url", "cur_ref")
 
 
+SESSION_PANES = dict(gap=SESSION_GAP, early_delay="10 minutes", lateness="3 hours")
+
+
+def q_session_panes(spark, sf):
+    from eventide.operators.session_panes import session_panes
+    return session_panes(event_log(spark, sf), watermark=EVENT_WATERMARK, **SESSION_PANES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
         "fixed_window_sum": q_fixed_window_sum,
@@ -251,6 +259,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "referer_chain": q_referer_chain,
         "attribution": q_attribution,
         "format_attribution": q_format_attribution,
+        "session_panes": q_session_panes,
     }
     for name in PANE_SPECS:
         q[name] = _pane_query(name)

@@ -34,7 +34,7 @@ def get_session(master: str | None = None, app: str = "eventide", **conf: str) -
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
@@ -53,3 +53,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``eventide`` importable in Python workers (once per SparkContext).
+
+    The package is zipped into the shared checkpoint folder and registered with
+    ``addPyFile``, which distributes it to every executor.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_eventide_shipped", False):
+        return
+    import shutil
+    import uuid
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"eventide-py-{uuid.uuid4().hex[:8]}")
+    archive = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg_dir), base_dir="eventide")
+    sc.addPyFile(archive)
+    sc._eventide_shipped = True
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Checkpoint folder + package shipping; call once before running eventide plans."""
+    checkpoint_dir(spark)
+    ship_package(spark)
+    return spark
