@@ -48,12 +48,19 @@ class Session:
 
 @dataclass
 class SessionPaneMachine:
-    """All times are microseconds.  ``emit(session, timing, value, fire_ts, is_last)`` receives panes."""
+    """Early (unaligned delay) / on-time / late (every element) panes for one key.
+
+    Windows are sessions of ``gap`` or, with ``fixed_size``, tumbling windows
+    (whose proto-windows only ever coincide, so nothing merges).  All times are
+    microseconds; emitted panes collect in ``out``.  The state is plain data so
+    the streaming processor can persist it between micro-batches.
+    """
 
     gap: int
     early_delay: int | None
     lateness: int
     accumulating: bool = True
+    fixed_size: int | None = None
     sessions: list[Session] = field(default_factory=list)
     wm: int = -INF
     out: list = field(default_factory=list)
@@ -90,9 +97,13 @@ class SessionPaneMachine:
 
     def add(self, t: int, score: int, now: int) -> bool:
         """One element with event time ``t``; False if it was dropped as too late."""
-        if self.wm < INF and t + self.gap + self.lateness <= self.wm:
+        if self.fixed_size:
+            lo = t - (t % self.fixed_size)
+            hi = lo + self.fixed_size
+        else:
+            lo, hi = t, t + self.gap
+        if self.wm < INF and hi + self.lateness <= self.wm:
             return False
-        lo, hi = t, t + self.gap
         parts = [s for s in self.sessions if s.start < hi and lo < s.end]
         if len(parts) == 1 and parts[0].start <= lo and hi <= parts[0].end:
             s = parts[0]
@@ -117,8 +128,8 @@ class SessionPaneMachine:
         return True
 
 
-def session_panes(log: DataFrame, gap: str, early_delay: str | None, lateness: str, watermark,
-                  mode: str = "accumulating", max_marks: int = 1_000_000) -> DataFrame:
+def session_panes(log: DataFrame, gap: str | None, early_delay: str | None, lateness: str, watermark,
+                  mode: str = "accumulating", max_marks: int = 1_000_000, size: str | None = None) -> DataFrame:
     """Panes of merging session windows for an arrival log ``key, score, event_ts, arrival_ts, seq, wm_ts``.
 
     ``watermark`` is a ``StepWatermark`` (marks table, collected once after a
@@ -128,7 +139,8 @@ def session_panes(log: DataFrame, gap: str, early_delay: str | None, lateness: s
     """
     from eventide.plans.spec import StepWatermark, TickWatermark
 
-    g, L = dur_us(gap), dur_us(lateness)
+    g, L = (dur_us(gap) if gap else 0), dur_us(lateness)
+    fixed = dur_us(size) if size else None
     d = dur_us(early_delay) if early_delay else None
     acc = mode == "accumulating"
     marks: list[tuple[int, int, int]] = []
@@ -163,6 +175,11 @@ def session_panes(log: DataFrame, gap: str, early_delay: str | None, lateness: s
                     m.advance_clock(proc)
                     m.advance_watermark(INF if wm >= _FAR else wm, proc)
             else:
+                t = last_tick
+                while t is not None and t + tick < eoi:
+                    t += tick
+                    m.advance_clock(t)
+                    m.advance_watermark(t - lag, t)
                 m.advance_clock(eoi)
                 m.advance_watermark(INF, eoi)
             yield from _frame(key, m.out)
@@ -172,7 +189,7 @@ def session_panes(log: DataFrame, gap: str, early_delay: str | None, lateness: s
             for k, t, sc, a, seq, e in zip(pdf["key"], pdf["t"], pdf["score"], pdf["a"], pdf["seq"], pdf["eoi"]):
                 if k != key:
                     yield from flush(m, key, eoi, mi, last_tick)
-                    m, key, mi, eoi = SessionPaneMachine(g, d, L, acc), k, 0, (None if pd.isna(e) else int(e))
+                    m, key, mi, eoi = SessionPaneMachine(g, d, L, acc, fixed), k, 0, (None if pd.isna(e) else int(e))
                     last_tick = None
                 if marks:
                     while mi < len(marks) and marks[mi][0] < seq:
@@ -220,3 +237,18 @@ def _frame(key, out):
         "value": np.array(arr[7], dtype="int64"),
         "fire_ts": pd.to_datetime(np.array(arr[8], dtype="int64"), unit="us"),
     })
+
+
+def machine_to_json(m: SessionPaneMachine) -> str:
+    import json
+    return json.dumps({"wm": m.wm, "sessions": [s.__dict__ for s in m.sessions]})
+
+
+def machine_from_json(text: str | None, **params) -> SessionPaneMachine:
+    import json
+    m = SessionPaneMachine(**params)
+    if text:
+        d = json.loads(text)
+        m.wm = d["wm"]
+        m.sessions = [Session(**x) for x in d["sessions"]]
+    return m

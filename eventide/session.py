@@ -71,6 +71,11 @@ def ship_package(spark: SparkSession) -> None:
     base = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"eventide-py-{uuid.uuid4().hex[:8]}")
     archive = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg_dir), base_dir="eventide")
     sc.addPyFile(archive)
+    # Stateful streaming workers read PYTHONPATH from the function environment,
+    # which UDFs capture from ``sc.environment`` when they are created.
+    paths = [archive, os.path.dirname(pkg_dir)]
+    old = sc.environment.get("PYTHONPATH")
+    sc.environment["PYTHONPATH"] = os.pathsep.join(paths + ([old] if old else []))
     sc._eventide_shipped = True
 
 

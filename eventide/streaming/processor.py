@@ -1,0 +1,61 @@
+"""Early/on-time/late panes as a Structured Streaming stateful operator.
+
+``transformWithStateInPandas`` keyed by ``key``; the per-key state is the pane
+machine of ``eventide.operators.session_panes`` (open windows, their pending sums,
+deadlines and pane counters, and the watermark), kept in a ``ValueState``.
+Processing time and the source-asserted watermark arrive in-band (replay rows),
+so results are reproducible and equal to the bounded form.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from eventide.functions.timefmt import dur_us, to_us
+from eventide.operators.session_panes import (INF, PANE_SCHEMA, _FAR, _frame, machine_from_json,
+                                              machine_to_json)
+
+
+class PaneProcessor(StatefulProcessor):
+    def __init__(self, params: dict):
+        self.params = params
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("machine", T.StructType([T.StructField("json", T.StringType(), True)]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        text = self.state.get()[0] if self.state.exists() else None
+        m = machine_from_json(text, **self.params)
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
+        for r in pdf.itertuples(index=False):
+            now = int(r.a)
+            m.advance_clock(now)
+            if r.kind == "wm":
+                m.advance_watermark(INF if int(r.w) >= _FAR else int(r.w), now)
+            else:
+                m.add(int(r.t), int(r.score), now)
+        self.state.update((machine_to_json(m),))
+        yield from _frame(key[0], m.out)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_panes(replay: DataFrame, *, size: str | None = None, gap: str | None = None,
+                 early_delay: str | None = None, lateness: str = "0 seconds",
+                 mode: str = "accumulating") -> DataFrame:
+    """Panes of fixed (``size``) or session (``gap``) windows from a replay stream."""
+    params = dict(gap=dur_us(gap) if gap else 0, early_delay=dur_us(early_delay) if early_delay else None,
+                  lateness=dur_us(lateness), accumulating=mode == "accumulating",
+                  fixed_size=dur_us(size) if size else None)
+    # Times travel as microseconds: the end-of-input watermark is beyond pandas' timestamp range.
+    slim = replay.select("key", "seq", "kind", to_us("arrival_ts").alias("a"), to_us("wm_ts").alias("w"),
+                         to_us("event_ts").alias("t"), "score")
+    return slim.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=PaneProcessor(params), outputStructType=PANE_SCHEMA, outputMode="Append",
+        timeMode="None")
