@@ -74,8 +74,11 @@ def referer_walk(visits: DataFrame, impressions: DataFrame, max_depth: int = 100
     vv, ii, gg = f"_et_vv_{tag}", f"_et_ii_{tag}", f"_et_gg_{tag}"
     # Each recursion level re-reads these; checkpoint them (reliable, in the
     # shared checkpoint folder) so a level is one join, not a re-derivation.
-    latest_visits(visits).checkpoint(eager=True).createOrReplaceTempView(vv)
-    dedup_impressions(impressions).checkpoint(eager=True).createOrReplaceTempView(ii)
+    # Partitioned by the walk's join keys before checkpointing, so each level
+    # shuffles only the frontier; the big sides keep their partitioning.
+    latest_visits(visits).repartition("user", "url").checkpoint(eager=True).createOrReplaceTempView(vv)
+    (dedup_impressions(impressions).repartition("user", "source_url", "target_url")
+     .checkpoint(eager=True).createOrReplaceTempView(ii))
     goals_of(visits).checkpoint(eager=True).createOrReplaceTempView(gg)
     return spark.sql(f"""
     WITH RECURSIVE walk(user, goal_url, goal_ts, fire_level, cur_url, cur_ref, trail, depth)

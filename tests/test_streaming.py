@@ -89,3 +89,22 @@ def test_ledger_equals_state_machine_on_events(spark):
     a = sorted(tuple(r) for r in batch.collect())
     b = sorted(tuple(r) for r in machine.collect())
     assert a == b
+
+
+def test_stream_attribution_golden(spark, tmp_path):
+    from eventide.functions.timefmt import format_time
+    from eventide.streaming.attribution import attribution_replay_rows, stream_attribution
+    log, marks = fixtures.attribution_log(spark)
+    src = tmp_path / "attr"
+    rows = attribution_replay_rows(log, marks)
+    bounds = [None, 6, 12, None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        part = rows if lo is None else rows.where(F.col("seq") >= lo)
+        part = part if hi is None else part.where(F.col("seq") < hi)
+        part.coalesce(1).write.mode("append").parquet(str(src))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(src))
+    out = _run(spark, tmp_path, stream_attribution(stream))
+    path = F.array_join(F.concat(F.array("source_url"), "trail", F.array("goal_url")), " → ")
+    text = F.format_string("[global window]: imp=%s %s %s %-7s", F.col("imp_id").cast("string"), path,
+                           format_time("goal_ts"), F.lit("UNKNOWN"))
+    assert Counter(r[0] for r in out.select(text).collect()) == Counter(GOLDEN["attribution"])
