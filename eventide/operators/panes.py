@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from eventide.functions.timefmt import ceil_to, dur_us, from_us, plus, to_us
 from eventide.plans.scan import running_sums
 from eventide.plans.spec import PaneSpec, Trigger
+from eventide.session import checkpoint_dir
 
 _WKEY = ["key", "w_start"]
 _MAX_SUB = 2**62
@@ -49,10 +50,12 @@ def assign_windows(log: DataFrame, spec: PaneSpec) -> DataFrame:
 
 def split_rows(log: DataFrame, spec: PaneSpec, watermark) -> tuple[DataFrame, DataFrame]:
     """(kept rows with the on-time and closing steps ``on_ts, on_seq, gc_ts, gc_seq``, dropped rows)."""
-    rows = assign_windows(log, spec).withColumn("gc_level", plus("w_end", dur_us(spec.lateness) / 1e6))
-    kept = rows.where(F.col("wm_ts") < F.col("gc_level"))
-    dropped = rows.where(F.col("wm_ts") >= F.col("gc_level")).drop("gc_level")
-    kept = watermark.attach(kept, {"on": F.col("w_end"), "gc": F.col("gc_level")}, log).drop("gc_level")
+    L = dur_us(spec.lateness)
+    rows = assign_windows(log, spec).withColumn("_end_us", to_us("w_end"))
+    late_enough = to_us("wm_ts") >= F.col("_end_us") + F.lit(L)
+    kept = rows.where(~late_enough)
+    dropped = rows.where(late_enough).drop("_end_us")
+    kept = watermark.attach(kept, {"on": F.col("_end_us"), "gc": F.col("_end_us") + F.lit(L)}, log).drop("_end_us")
     return kept, dropped
 
 
@@ -107,8 +110,11 @@ def _with_delay_starts(rows: DataFrame, delays: dict[bool, int]) -> DataFrame:
     return ordered.mapInPandas(scan, schema)
 
 
-def _assign(early: F.Column, trig: Trigger | None, limit: str) -> tuple[F.Column, F.Column, F.Column]:
-    """(fired?, pane time, pane sub-key) of a row under ``trig`` before the step ``limit``."""
+def _assign(trig: Trigger | None, limit: str, tag: str) -> tuple[F.Column, F.Column, F.Column]:
+    """(fired?, pane time, pane sub-key) of a row under ``trig`` before the step ``limit``.
+
+    Aligned deadlines are read from the staged column ``_d<tag>`` (see ``_stage``).
+    """
     if trig is None or trig.kind == "watermark":
         return F.lit(False), F.lit(None).cast("timestamp_ntz"), F.lit(0).cast("long")
     if trig.kind == "count" and trig.n == 1:
@@ -116,17 +122,27 @@ def _assign(early: F.Column, trig: Trigger | None, limit: str) -> tuple[F.Column
     if trig.kind == "count":
         return F.lit(True), F.lit(None).cast("timestamp_ntz"), F.floor((F.col("_rn") - 1) / trig.n)
     if trig.kind == "aligned":
-        d = ceil_to("arrival_ts", trig.period, trig.offset)
+        d = F.col(f"_d{tag}")
         exact = d == F.col("arrival_ts")
         fires = (d < F.col(limit)) | ((d == F.col(limit)) & ~exact)
         return fires, d, exact.cast("long")
     if trig.kind == "unaligned":
-        fire = plus("_start", dur_us(trig.delay) / 1e6)
+        fire = F.col(f"_u{tag}")
         return fire <= F.col(limit), fire, F.lit(0).cast("long")
     raise ValueError(f"unknown trigger {trig}")
 
 
-def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool = False):
+def _stage(rows: DataFrame, trig: Trigger | None, tag: str) -> DataFrame:
+    """Materialize a trigger's per-row deadline once, so later expressions reference a column."""
+    if trig is not None and trig.kind == "aligned":
+        return rows.withColumn(f"_d{tag}", ceil_to("arrival_ts", trig.period, trig.offset))
+    if trig is not None and trig.kind == "unaligned":
+        return rows.withColumn(f"_u{tag}", from_us(to_us("_start") + F.lit(dur_us(trig.delay))))
+    return rows
+
+
+def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool = False,
+                materialize: bool = True):
     """All panes of a bounded arrival log under ``spec``; see the module doc for the rules.
 
     Plan: one projection gives every kept row its pane key (phase, pane time,
@@ -154,22 +170,26 @@ def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool =
     else:
         kept = kept.withColumn("_rn", F.lit(0).cast("long"))
 
-    ef, ets, esub = _assign(F.col("_early"), early_trig, "on_ts")
-    lf, lts, lsub = _assign(F.col("_early"), late_trig, "gc_ts")
+    kept = _stage(_stage(kept, early_trig, "e"), late_trig, "l")
+    ef, ets, esub = _assign(early_trig, "on_ts", "e")
+    lf, lts, lsub = _assign(late_trig, "gc_ts", "l")
     early = F.col("_early")
-    fired = F.when(early, ef).otherwise(lf)
+    kept = kept.withColumn("_fired", F.when(early, ef).otherwise(lf))
     # phase: 0 EARLY fired, 1 ON_TIME, 2 LATE fired, 3 closing
-    phase = F.when(early, F.when(fired, 0).otherwise(1)).otherwise(F.when(fired, 2).otherwise(3))
-    pane_ts = (F.when(phase == 0, ets).when(phase == 1, F.col("on_ts"))
-               .when(phase == 2, lts).otherwise(F.col("gc_ts")))
-    pane_sub = F.when(phase == 0, esub).when(phase == 2, lsub).when(phase == 3, F.lit(_MAX_SUB)).otherwise(F.lit(0))
-    own = F.struct(phase.alias("phase"), pane_ts.alias("ts"), pane_sub.cast("long").alias("sub"),
+    kept = kept.withColumn("_phase", F.when(early, F.when(F.col("_fired"), 0).otherwise(1))
+                           .otherwise(F.when(F.col("_fired"), 2).otherwise(3)))
+    phase = F.col("_phase")
+    kept = kept.withColumn("_pts", F.when(phase == 0, ets).when(phase == 1, F.col("on_ts"))
+                           .when(phase == 2, lts).otherwise(F.col("gc_ts")))
+    kept = kept.withColumn("_psub", F.when(phase == 0, esub).when(phase == 2, lsub)
+                           .when(phase == 3, F.lit(_MAX_SUB)).otherwise(F.lit(0)).cast("long"))
+    own = F.struct(phase.alias("phase"), F.col("_pts").alias("ts"), F.col("_psub").alias("sub"),
                    F.col("score").alias("score"), F.lit(1).cast("long").alias("n"))
     # A fired early row also votes for its window's ON_TIME pane (score 0), so the
     # ON_TIME pane exists even when every early row already fired.
     marker = F.struct(F.lit(1).alias("phase"), F.col("on_ts").alias("ts"), F.lit(0).cast("long").alias("sub"),
                       F.lit(0).cast("bigint").alias("score"), F.lit(0).cast("long").alias("n"))
-    entries = F.when(early & fired, F.array(own, marker)).otherwise(F.array(own))
+    entries = F.when(early & F.col("_fired"), F.array(own, marker)).otherwise(F.array(own))
     flat = kept.select(*_WKEY, "w_end", "arrival_ts", "seq", F.explode(entries).alias("e"))
     panes = (flat.groupBy(*_WKEY, "w_end", F.col("e.phase").alias("phase"), F.col("e.ts").alias("pane_ts"),
                           F.col("e.sub").alias("pane_sub"))
@@ -179,8 +199,8 @@ def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool =
         panes = _settle_counts(panes, early_trig, late_trig)
     if spec.resolved_on_time() == "if_non_empty":
         panes = panes.where((F.col("phase") != 1) | (F.col("n") > 0))
-    panes = watermark.attach(panes, {"on": F.col("w_end"),
-                                     "gc": plus("w_end", dur_us(spec.lateness) / 1e6)}, log)
+    end_us = to_us("w_end")
+    panes = watermark.attach(panes, {"on": end_us, "gc": end_us + F.lit(dur_us(spec.lateness))}, log)
     ph = F.col("phase")
     panes = panes.select(
         *_WKEY, "w_end", F.least(ph, F.lit(2)).alias("phase"),
@@ -189,6 +209,11 @@ def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool =
         F.when(F.col("pane_ts").isNull() & ((ph == 0) | (ph == 2)), F.col("_last.seq"))
         .otherwise(F.col("pane_sub")).alias("sub"),
         "delta", (ph == 3).alias("closing"), "on_ts", "on_seq", "gc_ts", "gc_seq")
+    if materialize:
+        # Numbering reads the panes twice (rows and bucket totals); a reliable
+        # checkpoint in the shared folder keeps the work above from running twice.
+        checkpoint_dir(panes.sparkSession)
+        panes = panes.checkpoint(eager=True)
     result = number_panes(panes, spec)
     return (result, dropped) if with_dropped else result
 

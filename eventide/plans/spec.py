@@ -92,21 +92,33 @@ class TickWatermark:
     lag: str = "1 hour"
 
     def wm_at(self, arrival: Column) -> Column:
-        return plus(floor_to(arrival, self.tick), -dur_us(self.lag) / 1e6)
+        t, lag = dur_us(self.tick), dur_us(self.lag)
+        a = to_us(arrival)
+        return from_us(a - F.pmod(a, F.lit(t)) - F.lit(lag))
+
+    def end_of_input_us(self, log: DataFrame, arrival: str = "arrival_ts") -> Column:
+        """First tick after the last arrival (a scalar subquery, evaluated once)."""
+        t = dur_us(self.tick)
+        last = log.select(F.max(to_us(arrival))).scalar()
+        return last - F.pmod(last, F.lit(t)) + F.lit(t)
 
     def end_of_input(self, log: DataFrame, arrival: str = "arrival_ts") -> Column:
-        last = log.select(F.max(arrival)).scalar()
-        return plus(floor_to(last, self.tick), dur_us(self.tick) / 1e6)
+        return from_us(self.end_of_input_us(log, arrival))
 
-    def fire_ts(self, level: Column, eoi: Column) -> Column:
-        """Processing time of the first step at which the watermark reaches ``level``."""
-        return F.least(ceil_to(plus(level, dur_us(self.lag) / 1e6), self.tick), eoi)
+    def fire_us(self, level_us: Column, eoi_us: Column) -> Column:
+        """Processing time (us) of the first step at which the watermark reaches ``level_us``."""
+        t = dur_us(self.tick)
+        x = level_us + F.lit(dur_us(self.lag))
+        r = F.pmod(x, F.lit(t))
+        return F.least(F.when(r == 0, x).otherwise(x - r + F.lit(t)), eoi_us)
 
     def attach(self, rows: DataFrame, levels: dict[str, Column], log: DataFrame) -> DataFrame:
-        eoi = self.end_of_input(log)
+        """Add ``<name>_ts``/``<name>_seq`` for each level given in microseconds."""
+        eoi = self.end_of_input_us(log)
         out = rows
         for name, lv in levels.items():
-            out = out.withColumn(f"{name}_ts", self.fire_ts(lv, eoi)).withColumn(f"{name}_seq", F.lit(0).cast("long"))
+            out = out.withColumn(f"{name}_ts", from_us(self.fire_us(lv, eoi))).withColumn(
+                f"{name}_seq", F.lit(0).cast("long"))
         return out
 
 
@@ -122,8 +134,10 @@ class StepWatermark:
     marks: DataFrame
 
     def attach(self, rows: DataFrame, levels: dict[str, Column], log: DataFrame | None = None) -> DataFrame:
+        """Add ``<name>_ts``/``<name>_seq`` for each level given in microseconds."""
         out = rows
         for name, lv in levels.items():
+            lv = from_us(lv)
             lv_df = out.select(lv.alias("_level")).distinct()
             fired = _first_step_at_or_above(lv_df, self.marks)
             out = (out.withColumn("_level", lv).join(fired, "_level", "left")
