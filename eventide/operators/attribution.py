@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.timefmt import dur_us, to_us
 from eventide.plans.scan import with_next
-from eventide.session import checkpoint_dir
+from eventide.session import checkpoint_dir, materialize
 
 _B = "1 day"
 
@@ -76,10 +76,10 @@ def referer_walk(visits: DataFrame, impressions: DataFrame, max_depth: int = 100
     # shared checkpoint folder) so a level is one join, not a re-derivation.
     # Partitioned by the walk's join keys before checkpointing, so each level
     # shuffles only the frontier; the big sides keep their partitioning.
-    latest_visits(visits).repartition("user", "url").checkpoint(eager=True).createOrReplaceTempView(vv)
-    (dedup_impressions(impressions).repartition("user", "source_url", "target_url")
-     .checkpoint(eager=True).createOrReplaceTempView(ii))
-    goals_of(visits).checkpoint(eager=True).createOrReplaceTempView(gg)
+    materialize(latest_visits(visits).repartition("user", "url")).createOrReplaceTempView(vv)
+    materialize(dedup_impressions(impressions).repartition("user", "source_url", "target_url")
+                ).createOrReplaceTempView(ii)
+    materialize(goals_of(visits)).createOrReplaceTempView(gg)
     return spark.sql(f"""
     WITH RECURSIVE walk(user, goal_url, goal_ts, fire_level, cur_url, cur_ref, trail, depth)
       MAX RECURSION LEVEL {max_depth} AS (

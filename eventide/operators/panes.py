@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from eventide.functions.timefmt import ceil_to, dur_us, from_us, plus, to_us
 from eventide.plans.scan import running_sums
 from eventide.plans.spec import PaneSpec, Trigger
-from eventide.session import checkpoint_dir
+from eventide.session import materialize
 
 _WKEY = ["key", "w_start"]
 _MAX_SUB = 2**62
@@ -142,7 +142,7 @@ def _stage(rows: DataFrame, trig: Trigger | None, tag: str) -> DataFrame:
 
 
 def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool = False,
-                materialize: bool = True):
+                checkpoint_panes: bool = True):
     """All panes of a bounded arrival log under ``spec``; see the module doc for the rules.
 
     Plan: one projection gives every kept row its pane key (phase, pane time,
@@ -209,11 +209,10 @@ def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool =
         F.when(F.col("pane_ts").isNull() & ((ph == 0) | (ph == 2)), F.col("_last.seq"))
         .otherwise(F.col("pane_sub")).alias("sub"),
         "delta", (ph == 3).alias("closing"), "on_ts", "on_seq", "gc_ts", "gc_seq")
-    if materialize:
+    if checkpoint_panes:
         # Numbering reads the panes twice (rows and bucket totals); a reliable
         # checkpoint in the shared folder keeps the work above from running twice.
-        checkpoint_dir(panes.sparkSession)
-        panes = panes.checkpoint(eager=True)
+        panes = materialize(panes)
     result = number_panes(panes, spec)
     return (result, dropped) if with_dropped else result
 

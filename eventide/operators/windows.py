@@ -7,7 +7,7 @@ many tasks (one per key and time bucket) instead of landing in one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.timefmt import dur_us, plus, to_us
@@ -24,17 +24,34 @@ def session_sum(scores: DataFrame, gap: str, key: str = "key", value: str = "sco
 
     Touching windows (next element exactly ``gap`` later) do not merge.  Output
     ``key, w_start, w_end, value`` with ``w_end = last element + gap``.
+
+    One bucketed pass: within each (key, time bucket) a window finds gaps to the
+    previous element; a bucket-level table (first/last time and gap count per
+    bucket) decides whether each bucket's first element opens a session and
+    carries session counts across buckets; one join gives every row its session id.
     """
-    order = [ts] + ([tie] if tie else [])
-    df = scores.select(F.col(key).alias("key"), F.col(value).cast("bigint").alias("score"), ts,
-                       *([tie] if tie else []), _bucket(ts, bucket).alias("_b"))
-    df = with_prev(df, ["key"], order, "_b", ts, "_prev")
     g = dur_us(gap)
-    df = df.withColumn("_new", F.when(F.col("_prev").isNull() | (to_us(ts) - to_us("_prev") >= g), 1).otherwise(0))
-    df = running_sums(df, ["key"], order, "_b", {"_sid": F.col("_new")})
-    return (df.groupBy("key", "_sid")
-            .agg(F.min(ts).alias("w_start"), plus(F.max(ts), g / 1e6).alias("w_end"), F.sum("score").alias("value"))
-            .select(F.col("key").alias(key) if key != "key" else "key", "w_start", "w_end", "value"))
+    order = [ts] + ([tie] if tie else [])
+    df = (scores.select(F.col(key).alias("key"), F.col(value).cast("bigint").alias("score"), ts,
+                        *([tie] if tie else []), _bucket(ts, bucket).alias("_b"))
+          .repartition("key", "_b"))
+    ordered = Window.partitionBy("key", "_b").orderBy(*order)
+    prev = F.lag(ts).over(ordered)
+    local = df.select("*", F.when(prev.isNotNull() & (to_us(ts) - to_us(prev) >= g), 1).otherwise(0).alias("_gap"))
+    local = local.select("*", F.sum("_gap").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+                         .alias("_lc"))
+    summary = local.groupBy("key", "_b").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"),
+                                              F.sum("_gap").alias("_n"))
+    wb = Window.partitionBy("key").orderBy("_b")
+    prev_last = F.lag("_last").over(wb)
+    summary = summary.select("key", "_b", "_n", F.when(prev_last.isNull() | (to_us("_first") - to_us(prev_last) >= g), 1)
+                             .otherwise(0).alias("_f"))
+    summary = summary.select("key", "_b", "_f", F.coalesce(F.sum(F.col("_n") + F.col("_f")).over(
+        wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    rows = local.join(summary, ["key", "_b"]).withColumn("_sid", F.col("_off") + F.col("_f") + F.col("_lc"))
+    out = (rows.groupBy("key", "_sid")
+           .agg(F.min(ts).alias("w_start"), plus(F.max(ts), g / 1e6).alias("w_end"), F.sum("score").alias("value")))
+    return out.select(F.col("key").alias(key), "w_start", "w_end", "value")
 
 
 def validity_windows(scores: DataFrame, key: str = "key", value: str = "score", ts: str = "event_ts",

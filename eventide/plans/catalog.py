@@ -23,9 +23,9 @@ from eventide.operators.aggregate import fixed_window_sum, sum_per_key
 from eventide.operators.attribution import attribute, dedup_impressions, latest_visits
 from eventide.operators.panes import pane_ledger
 from eventide.operators.windows import session_sum, validity_windows
-from eventide.plans.scan import with_next, with_prev
+from eventide.plans.scan import with_neighbors
 from eventide.plans.spec import PaneSpec, Trigger
-from eventide.session import checkpoint_dir
+from eventide.session import checkpoint_dir, materialize
 from eventide.sources.arrival import tag_and_merge
 from eventide.sources.tables import (EVENT_WATERMARK, arrival_log_from_events, arrival_ts_of, load,
                                      scores_from_events)
@@ -74,8 +74,10 @@ def visits_and_impressions(spark: SparkSession, sf: str) -> tuple[DataFrame, Dat
         F.struct("event_id", "event_type").alias("_me"),
         F.floor(to_us("ts") / F.lit(dur_us("1 day"))).alias("_b"))
     e = e.withColumn("wm_ts", EVENT_WATERMARK.wm_at(F.col("arrival_ts")))
-    e = with_prev(e, ["user"], ["ts", "event_id"], "_b", "_me", "_prev")
-    e = with_next(e, ["user"], ["ts", "event_id"], "_b", "_me", "_next")
+    e = with_neighbors(e, ["user"], ["ts", "event_id"], "_b", "_me", "_prev", "_next")
+    # Visits and impressions both come from this table, and the walk's inputs
+    # read it again: materialize it once in the shared checkpoint folder.
+    e = materialize(e.drop("_me", "_b"))
     page = lambda c: F.concat(F.lit("e"), F.col(c).cast("string"))
     visits = e.where(F.col("event_type") != "signup").select(
         "user", page("event_id").alias("url"), "ts",

@@ -64,3 +64,20 @@ def with_next(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], b
     carry = firsts.select(*by, bucket, F.lead("_first").over(Window.partitionBy(*by).orderBy(bucket)).alias("_carry"))
     res = local.drop("_first").join(carry, [*by, bucket], "inner")
     return res.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry")
+
+
+def with_neighbors(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], bucket: str,
+                   value: str, prev_out: str, next_out: str) -> DataFrame:
+    """``with_prev`` and ``with_next`` in one bucketed pass (one window, one bucket table, one join)."""
+    df = df.repartition(*by, bucket)
+    part = Window.partitionBy(*by, bucket)
+    ordered = part.orderBy(*_cols(order))
+    whole = ordered.rowsBetween(_U, Window.unboundedFollowing)
+    local = df.select("*", F.lag(value).over(ordered).alias(prev_out), F.lead(value).over(ordered).alias(next_out),
+                      F.first(value).over(whole).alias("_first"), F.last(value).over(whole).alias("_last"))
+    ends = local.groupBy(*by, bucket).agg(F.first("_first").alias("_first"), F.first("_last").alias("_last"))
+    wb = Window.partitionBy(*by).orderBy(bucket)
+    carry = ends.select(*by, bucket, F.lag("_last").over(wb).alias("_cp"), F.lead("_first").over(wb).alias("_cn"))
+    res = local.drop("_first", "_last").join(carry, [*by, bucket], "inner")
+    return (res.withColumn(prev_out, F.coalesce(F.col(prev_out), F.col("_cp")))
+            .withColumn(next_out, F.coalesce(F.col(next_out), F.col("_cn"))).drop("_cp", "_cn"))

@@ -84,3 +84,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     checkpoint_dir(spark)
     ship_package(spark)
     return spark
+
+
+def materialize(df):
+    """Reliable checkpoint into the shared folder, computing ``df`` once.
+
+    A checkpoint runs one job to count and another to write the files; persisting
+    first lets the second job read the first one's blocks instead of recomputing.
+    The cache is dropped once the checkpoint files exist, so lineage ends at them.
+    """
+    from pyspark import StorageLevel
+
+    checkpoint_dir(df.sparkSession)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

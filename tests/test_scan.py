@@ -32,3 +32,12 @@ def test_prev_and_next(spark):
     exp_n = pdf.groupby("k")["id"].shift(-1)
     assert got["p"].fillna(-1).astype(int).tolist() == exp_p.fillna(-1).astype(int).tolist()
     assert got["n"].fillna(-1).astype(int).tolist() == exp_n.fillna(-1).astype(int).tolist()
+
+
+def test_neighbors(spark):
+    from eventide.plans.scan import with_neighbors
+    pdf, df = _frame(spark, seed=11)
+    got = with_neighbors(df, ["k"], ["t", "id"], "b", "id", "p", "n").toPandas()
+    got = got.sort_values(["k", "t", "id"]).reset_index(drop=True)
+    assert got["p"].fillna(-1).astype(int).tolist() == pdf.groupby("k")["id"].shift(1).fillna(-1).astype(int).tolist()
+    assert got["n"].fillna(-1).astype(int).tolist() == pdf.groupby("k")["id"].shift(-1).fillna(-1).astype(int).tolist()
