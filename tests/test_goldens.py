@@ -96,3 +96,13 @@ def test_bad_score_lines_are_rejected(spark, tmp_path):
     p.write_text("a, TeamX, notanumber, T12:00:00, 12:01:00\nb, TeamX, 4, T12:00:10, 12:01:00\n")
     good, bad = parse_score_lines(scan_text(spark, str(p)), with_rejects=True)
     assert good.count() == 1 and bad.count() == 1
+
+
+def test_team_scores_job(spark, tmp_path):
+    from eventide.plans.jobs import team_scores_job
+    p = tmp_path / "inputs.csv"
+    p.write_text(SCORE_CSV)
+    rejects = team_scores_job(spark, str(p), str(tmp_path / "out"))
+    assert rejects.count() == 0
+    got = Counter(r.value for r in spark.read.text(str(tmp_path / "out")).collect())
+    assert got == Counter(GOLDEN["2-1"])
