@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.functions.timefmt import ceil_to, dur_us, from_us, plus, to_us
-from eventide.plans.scan import running_sums
+from eventide.plans.scan import fill_backward, fill_forward, running_sums
 from eventide.plans.spec import PaneSpec, Trigger
 from eventide.session import materialize
 
@@ -110,6 +110,59 @@ def _with_delay_starts(rows: DataFrame, delays: dict[bool, int]) -> DataFrame:
     return ordered.mapInPandas(scan, schema)
 
 
+def _cover_mode(kept: DataFrame, delays: dict[bool, int], spec: PaneSpec) -> str:
+    """Pick the unaligned-delay cover; "auto" checks the largest (key, window) group (one small aggregation)."""
+    if spec.delay_cover != "auto":
+        return spec.delay_cover
+    flags = list(delays)
+    biggest = (kept.where(F.col("_early").isin(flags)).groupBy(*_WKEY, "_early").count()
+               .agg(F.max("count")).first()[0])
+    return "parallel" if biggest is not None and biggest > spec.max_group_rows else "sorted"
+
+
+def _with_delay_starts_parallel(rows: DataFrame, delays: dict[bool, int], bucket: str) -> DataFrame:
+    """Exact unaligned-delay cover without sending a (key, window) group to one task.
+
+    With rows of a group ordered by (arrival, seq), let ``next(i)`` be the first
+    row arriving at or after ``a_i + delay``; pane starts are the chain
+    ``first, next(first), next(next(first)), ...``.  ``next`` is an as-of lookup
+    (bucketed backward fill over rows and their deadlines), the chain is found by
+    pointer doubling (``next^(2^k)`` tables joined on row ids, each materialized),
+    and every row takes the last start at or before it (bucketed forward fill).
+    Work is O(n log P) for P panes per group, spread by row id and time bucket.
+    ``seq`` must identify rows.
+    """
+    spark = rows.sparkSession
+    g = ["key", "w_start", "_early"]
+    B = F.lit(dur_us(bucket))
+    dl = F.lit(None).cast("long")
+    for flag, d in delays.items():
+        dl = F.when(F.col("_early") == flag, F.lit(d)).otherwise(dl)
+    sub = rows.where(dl.isNotNull()).select(*g, to_us("arrival_ts").alias("_a"), "seq", dl.alias("_d"))
+    queries = sub.select(*g, (F.col("_a") + F.col("_d")).alias("_t"), F.lit(0).alias("_k"),
+                         F.col("seq").alias("_q"), F.lit(None).cast("long").alias("_id"))
+    data = sub.select(*g, F.col("_a").alias("_t"), F.lit(1).alias("_k"), F.lit(None).cast("long").alias("_q"),
+                      F.col("seq").alias("_id"))
+    both = queries.unionByName(data).withColumn("_b", F.floor(F.col("_t") / B))
+    nxt = fill_backward(both, g, ["_t", "_k", "_id"], "_b", "_id", "_n")
+    jump = materialize(nxt.where(F.col("_k") == 0).select(F.col("_q").alias("id"), F.col("_n").alias("nx")))
+    tables = [jump]
+    while tables[-1].where(F.col("nx").isNotNull()).limit(1).count() > 0:
+        j = tables[-1]
+        tables.append(materialize(j.alias("x").join(j.alias("y"), F.col("x.nx") == F.col("y.id"), "left")
+                                  .select(F.col("x.id").alias("id"), F.col("y.nx").alias("nx"))))
+    firsts = sub.groupBy(*g).agg(F.min(F.struct("_a", "seq")).alias("_f")).select(F.col("_f.seq").alias("id"))
+    starts = firsts
+    for j in reversed(tables):
+        hop = starts.join(j, "id").where(F.col("nx").isNotNull()).select(F.col("nx").alias("id"))
+        starts = materialize(starts.unionByName(hop).distinct())
+    marked = (sub.join(starts.select(F.col("id").alias("seq"), F.lit(True).alias("_s")), "seq", "left")
+              .withColumn("_sa", F.when(F.col("_s"), F.col("_a")))
+              .withColumn("_b", F.floor(F.col("_a") / B)))
+    filled = fill_forward(marked, g, ["_a", "seq"], "_b", "_sa", "_start_us")
+    return (rows.join(filled.select("seq", from_us(F.col("_start_us")).alias("_start")), "seq", "left"))
+
+
 def _assign(trig: Trigger | None, limit: str, tag: str) -> tuple[F.Column, F.Column, F.Column]:
     """(fired?, pane time, pane sub-key) of a row under ``trig`` before the step ``limit``.
 
@@ -158,7 +211,9 @@ def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool =
 
     delays = {flag: dur_us(t.delay) for flag, t in ((True, early_trig), (False, late_trig))
               if t is not None and t.kind == "unaligned"}
-    if delays:
+    if delays and _cover_mode(kept, delays, spec) == "parallel":
+        kept = _with_delay_starts_parallel(kept, delays, spec.bucket)
+    elif delays:
         kept = _with_delay_starts(kept, delays)
     else:
         kept = kept.withColumn("_start", F.lit(None).cast("timestamp_ntz"))

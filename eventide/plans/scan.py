@@ -81,3 +81,30 @@ def with_neighbors(df: DataFrame, by: Sequence[str], order: Sequence[str | Colum
     res = local.drop("_first", "_last").join(carry, [*by, bucket], "inner")
     return (res.withColumn(prev_out, F.coalesce(F.col(prev_out), F.col("_cp")))
             .withColumn(next_out, F.coalesce(F.col(next_out), F.col("_cn"))).drop("_cp", "_cn"))
+
+
+def fill_forward(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], bucket: str,
+                 value: str, out: str) -> DataFrame:
+    """``out`` = last non-null ``value`` at or before each row (NULL if none), bucketed."""
+    df = df.repartition(*by, bucket)
+    ordered = Window.partitionBy(*by, bucket).orderBy(*_cols(order))
+    local = df.select("*", F.last(value, ignorenulls=True).over(ordered.rowsBetween(_U, _C)).alias(out))
+    lasts = local.groupBy(*by, bucket).agg(F.last(out, ignorenulls=True).alias("_bl"))
+    wb = Window.partitionBy(*by).orderBy(bucket).rowsBetween(_U, -1)
+    carry = lasts.select(*by, bucket, F.last("_bl", ignorenulls=True).over(wb).alias("_carry"))
+    res = local.join(carry, [*by, bucket], "inner")
+    return res.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry")
+
+
+def fill_backward(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], bucket: str,
+                  value: str, out: str) -> DataFrame:
+    """``out`` = first non-null ``value`` at or after each row (NULL if none), bucketed."""
+    df = df.repartition(*by, bucket)
+    ordered = Window.partitionBy(*by, bucket).orderBy(*_cols(order))
+    local = df.select("*", F.first(value, ignorenulls=True).over(
+        ordered.rowsBetween(_C, Window.unboundedFollowing)).alias(out))
+    firsts = local.groupBy(*by, bucket).agg(F.first(out, ignorenulls=True).alias("_bf"))
+    wb = Window.partitionBy(*by).orderBy(bucket).rowsBetween(1, Window.unboundedFollowing)
+    carry = firsts.select(*by, bucket, F.first("_bf", ignorenulls=True).over(wb).alias("_carry"))
+    res = local.join(carry, [*by, bucket], "inner")
+    return res.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry")

@@ -66,6 +66,12 @@ class PaneSpec:
     mode: str = "accumulating"
     on_time: str | None = None
     bucket: str = "5 minutes"
+    # Unaligned-delay cover: "sorted" streams each (key, window) group through one
+    # task in arrival order; "parallel" uses pointer doubling on row ids (no group
+    # in one task, O(log panes) extra joins); "auto" measures the largest group
+    # first and goes parallel above ``max_group_rows``.
+    delay_cover: str = "auto"
+    max_group_rows: int = 2_000_000
 
     def resolved_on_time(self) -> str:
         if self.on_time:

@@ -58,8 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def ship_package(spark: SparkSession) -> None:
     """Make ``eventide`` importable in Python workers (once per SparkContext).
 
-    The package is zipped into the shared checkpoint folder and registered with
-    ``addPyFile``, which distributes it to every executor.
+    The package is zipped on the driver and registered with ``addPyFile``, which
+    distributes it to every executor.
     """
     sc = spark.sparkContext
     if getattr(sc, "_eventide_shipped", False):
@@ -68,7 +68,9 @@ def ship_package(spark: SparkSession) -> None:
     import uuid
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    base = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"eventide-py-{uuid.uuid4().hex[:8]}")
+    # Built on the driver; addPyFile uploads it to every executor, so the
+    # shared checkpoint folder (possibly a remote filesystem) is not involved.
+    base = os.path.join(tempfile.mkdtemp(prefix="eventide-py-"), f"eventide-{uuid.uuid4().hex[:8]}")
     archive = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg_dir), base_dir="eventide")
     sc.addPyFile(archive)
     # Stateful streaming workers read PYTHONPATH from the function environment,

@@ -106,3 +106,10 @@ def test_team_scores_job(spark, tmp_path):
     assert rejects.count() == 0
     got = Counter(r.value for r in spark.read.text(str(tmp_path / "out")).collect())
     assert got == Counter(GOLDEN["2-1"])
+
+
+@pytest.mark.parametrize("case", ["2-5", "2-7left", "2-7right", "2-8", "2-9"])
+def test_parallel_delay_cover_goldens(spark, case):
+    import dataclasses
+    wm, spec, extra = CASES[case]
+    assert ledger(spark, wm, dataclasses.replace(spec, delay_cover="parallel"), extra) == Counter(GOLDEN[case])

@@ -56,3 +56,17 @@ def test_validity_windows_tile_the_timeline(spark):
     assert nxt.where(F.col("n").isNotNull() & (F.col("w_end") != F.col("n"))).count() == 0
     assert nxt.where(F.col("n").isNull() & F.col("w_end").isNotNull()).count() == 0
     assert v.agg(F.sum("value")).first()[0] == log.agg(F.sum("score")).first()[0]
+
+
+def test_delay_covers_agree(spark):
+    import dataclasses
+    log = _log(spark)
+    spec = PANE_SPECS["unaligned_delay_panes"]
+    a = sorted(tuple(r) for r in pane_ledger(log, dataclasses.replace(spec, delay_cover="sorted"),
+                                             EVENT_WATERMARK).collect())
+    b = sorted(tuple(r) for r in pane_ledger(log, dataclasses.replace(spec, delay_cover="parallel"),
+                                             EVENT_WATERMARK).collect())
+    # The automatic choice must pick the parallel cover once a group is over the limit.
+    c = sorted(tuple(r) for r in pane_ledger(log, dataclasses.replace(spec, max_group_rows=1),
+                                             EVENT_WATERMARK).collect())
+    assert a == b == c
