@@ -61,6 +61,12 @@ class SessionPaneMachine:
     lateness: int
     accumulating: bool = True
     fixed_size: int | None = None
+    # Early rule: every element (per-record trigger) instead of a delay.
+    early_count: bool = False
+    # Late rule: None fires every late element at once; a delay fires it that long after the first.
+    late_delay: int | None = None
+    # ON_TIME pane even with nothing pending (watermark and delay triggers) or only with data (count trigger).
+    on_time_always: bool = True
     sessions: list[Session] = field(default_factory=list)
     wm: int = -INF
     out: list = field(default_factory=list)
@@ -79,7 +85,7 @@ class SessionPaneMachine:
         due = sorted((s for s in self.sessions if s.deadline is not None and s.deadline <= now),
                      key=lambda s: (s.deadline, s.start))
         for s in due:
-            self._emit(s, "EARLY", s.deadline)
+            self._emit(s, "LATE" if s.on_time_done else "EARLY", s.deadline)
 
     def advance_watermark(self, wm: int, now: int) -> None:
         self.wm = max(self.wm, wm)
@@ -88,7 +94,10 @@ class SessionPaneMachine:
             closing = self.wm >= s.end + self.lateness if self.wm < INF else True
             if not s.on_time_done and self.wm >= s.end:
                 s.on_time_done = True
-                self._emit(s, "ON_TIME", now, is_last=closing)
+                if self.on_time_always or s.n_pending > 0:
+                    self._emit(s, "ON_TIME", now, is_last=closing)
+                else:
+                    s.deadline = None
             elif closing and s.n_pending > 0:
                 self._emit(s, "LATE", now, is_last=True)
             if not closing:
@@ -122,7 +131,12 @@ class SessionPaneMachine:
         s.n_pending += 1
         if self.wm >= s.end:
             s.on_time_done = True
-            self._emit(s, "LATE", now)
+            if self.late_delay is None:
+                self._emit(s, "LATE", now)
+            elif s.deadline is None:
+                s.deadline = now + self.late_delay
+        elif self.early_count:
+            self._emit(s, "EARLY", now)
         elif self.early_delay is not None and s.deadline is None:
             s.deadline = now + self.early_delay
         return True

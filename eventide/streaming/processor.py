@@ -48,11 +48,19 @@ class PaneProcessor(StatefulProcessor):
 
 def stream_panes(replay: DataFrame, *, size: str | None = None, gap: str | None = None,
                  early_delay: str | None = None, lateness: str = "0 seconds",
-                 mode: str = "accumulating") -> DataFrame:
-    """Panes of fixed (``size``) or session (``gap``) windows from a replay stream."""
-    params = dict(gap=dur_us(gap) if gap else 0, early_delay=dur_us(early_delay) if early_delay else None,
-                  lateness=dur_us(lateness), accumulating=mode == "accumulating",
-                  fixed_size=dur_us(size) if size else None)
+                 mode: str = "accumulating", trigger: str = "watermark") -> DataFrame:
+    """Panes of fixed (``size``) or session (``gap``) windows from a replay stream.
+
+    ``trigger``: ``watermark`` (ON_TIME at the watermark, optional ``early_delay``
+    firings before it, every late element after it); ``count`` (every element,
+    repeated; no empty ON_TIME pane); ``delay`` (``early_delay`` after the first
+    element of each pane, repeated before and after the watermark).
+    """
+    d = dur_us(early_delay) if early_delay else None
+    params = dict(gap=dur_us(gap) if gap else 0, early_delay=d, lateness=dur_us(lateness),
+                  accumulating=mode == "accumulating", fixed_size=dur_us(size) if size else None,
+                  early_count=trigger == "count", on_time_always=trigger != "count",
+                  late_delay=d if trigger == "delay" else None)
     # Times travel as microseconds: the end-of-input watermark is beyond pandas' timestamp range.
     slim = replay.select("key", "seq", "kind", to_us("arrival_ts").alias("a"), to_us("wm_ts").alias("w"),
                          to_us("event_ts").alias("t"), "score")

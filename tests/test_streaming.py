@@ -39,6 +39,9 @@ STREAM_CASES = {
     "2-8": ("HEURISTIC", dict(size="2 minutes", early_delay="1 minute", lateness="2 minutes"), True),
     "2-9": ("HEURISTIC", dict(size="2 minutes", early_delay="1 minute", lateness="1000 days",
                               mode="discarding"), False),
+    "2-3": ("BATCH", dict(size="2 minutes", lateness="1000 days", trigger="count"), False),
+    "2-5": ("BATCH", dict(size="2 minutes", early_delay="2 minutes", lateness="1000 days", trigger="delay"), False),
+    "2-6left": ("PERFECT", dict(size="2 minutes"), False),
 }
 
 
