@@ -99,8 +99,19 @@ def referer_walk(visits: DataFrame, impressions: DataFrame, max_depth: int = 100
     """)
 
 
-def attribute(visits: DataFrame, impressions: DataFrame, max_depth: int = 10000) -> DataFrame:
-    """``user, goal_url, goal_ts, imp_id, source_url, target_url, imp_ts, trail`` (trail = visit urls, oldest first)."""
+def attribute(visits: DataFrame, impressions: DataFrame, max_depth: int = 10000,
+              method: str = "walk") -> DataFrame:
+    """``user, goal_url, goal_ts, imp_id, source_url, target_url, imp_ts, trail`` (trail = visit urls, oldest first).
+
+    ``method``: ``walk`` (recursive: per level, the small frontier is shuffled
+    and the pre-partitioned visit table is scanned) or ``lifting`` (binary
+    lifting: about log2(longest chain) shuffles of the visit table, for deep
+    chains; used only when parent pointers are fixed, else it falls back to the walk).
+    """
+    if method == "lifting":
+        vv, ii, gg = _walk_inputs(visits, impressions)
+        if lifting_applies(vv, gg):
+            return attribute_lifting(vv, ii, gg)
     walk = referer_walk(visits, impressions, max_depth)
     imps = dedup_impressions(impressions)
     cond = ((walk["user"] == imps["user"]) & (walk["cur_ref"] == imps["source_url"])
@@ -110,6 +121,93 @@ def attribute(visits: DataFrame, impressions: DataFrame, max_depth: int = 10000)
         imps["ts"].alias("imp_ts"), "trail")
 
 
+_FAR = "9999-12-31 00:00:00"
+
+
+def _walk_inputs(visits: DataFrame, impressions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    vv = materialize(latest_visits(visits).repartition("user", "url"))
+    ii = materialize(dedup_impressions(impressions).repartition("user", "source_url", "target_url"))
+    gg = materialize(goals_of(visits))
+    return vv, ii, gg
+
+
+def lifting_applies(vv: DataFrame, gg: DataFrame) -> bool:
+    """Parent pointers are fixed when each (user, url) has one visit version and no visit reuses a goal url."""
+    multi = vv.groupBy("user", "url").count().where("count > 1").limit(1).count()
+    clash = vv.join(gg.select("user", F.col("goal_url").alias("url")), ["user", "url"], "left_semi").limit(1).count()
+    return multi == 0 and clash == 0
+
+
+def attribute_lifting(vv: DataFrame, ii: DataFrame, gg: DataFrame) -> DataFrame:
+    """Attribution by binary lifting over fixed parent pointers: O(log depth) joins instead of one per level.
+
+    ``up_k(v)`` is the 2^k-th ancestor of visit ``v``; ``hit_k(v)`` the earliest
+    watermark at which any of the 2^k visits from ``v`` matches an impression;
+    ``pres_k(v)`` the latest watermark at which one of the 2^k hops becomes
+    visible.  A goal with firing level ``F`` jumps while no hit is visible and
+    every hop is, so it lands on the first visible hit or where the trail goes
+    cold.  Trails are rebuilt from the same tables.
+    """
+    far = F.lit(_FAR).cast("timestamp_ntz")
+    imp = ii.select("user", F.col("source_url").alias("ref"), F.col("target_url").alias("url"),
+                    F.col("valid_from").alias("ivf"), F.col("id").alias("imp_id"), F.col("ts").alias("imp_ts"))
+    nodes = vv.select("user", "url", F.col("referer").alias("ref"), F.col("valid_from").alias("vf"))
+    nodes = materialize(nodes.join(imp.select("user", "ref", "url", "ivf"), ["user", "ref", "url"], "left"))
+    parents = nodes.select("user", F.col("url").alias("ref"), F.col("url").alias("p_url"), F.col("vf").alias("p_vf"))
+    t0 = nodes.join(parents, ["user", "ref"], "left").select(
+        "user", "url", F.col("p_url").alias("up"), F.coalesce("ivf", far).alias("hit"), F.col("p_vf").alias("pres"))
+    tables = [materialize(t0)]
+    longest = nodes.groupBy("user").count().agg(F.max("count")).first()[0] or 1
+    while len(tables) <= max(1, int(longest).bit_length()):
+        a, b = tables[-1].alias("a"), tables[-1].alias("b")
+        nxt = a.join(b, (F.col("a.user") == F.col("b.user")) & (F.col("a.up") == F.col("b.url")), "left").select(
+            F.col("a.user").alias("user"), F.col("a.url").alias("url"), F.col("b.up").alias("up"),
+            F.least(F.col("a.hit"), F.coalesce(F.col("b.hit"), far)).alias("hit"),
+            F.greatest(F.col("a.pres"), F.col("b.pres")).alias("pres"))
+        nxt = materialize(nxt)
+        tables.append(nxt)
+        if nxt.where(F.col("up").isNotNull()).limit(1).count() == 0:
+            break
+
+    goals = gg.join(imp.withColumnRenamed("ref", "goal_referer").withColumnRenamed("url", "goal_url"),
+                    ["user", "goal_referer", "goal_url"], "left")
+    at_goal = goals.where(F.col("ivf") <= F.col("fire_level")).select(
+        "user", "goal_url", "goal_ts", "imp_id", F.col("goal_referer").alias("source_url"),
+        F.col("goal_url").alias("target_url"), "imp_ts", F.array().cast("array<string>").alias("trail"))
+    rest = goals.where(~F.coalesce(F.col("ivf") <= F.col("fire_level"), F.lit(False))).select(
+        "user", "goal_url", "goal_ts", "goal_referer", "fire_level")
+    state = (rest.join(nodes.select("user", F.col("url").alias("goal_referer"), "vf"), ["user", "goal_referer"])
+             .where(F.col("vf") <= F.col("fire_level"))
+             .select("user", "goal_url", "goal_ts", "fire_level", F.col("goal_referer").alias("x1"),
+                     F.col("goal_referer").alias("x"), F.lit(1).cast("long").alias("depth")))
+    for k in reversed(range(len(tables))):
+        t = tables[k].select("user", F.col("url").alias("x"), F.col("up").alias("_up"), F.col("hit").alias("_hit"),
+                             F.col("pres").alias("_pres"))
+        jump = F.col("_up").isNotNull() & (F.col("_hit") > F.col("fire_level")) & (F.col("_pres") <= F.col("fire_level"))
+        state = (state.join(t, ["user", "x"], "left")
+                 .select("user", "goal_url", "goal_ts", "fire_level", "x1",
+                         F.when(jump, F.col("_up")).otherwise(F.col("x")).alias("x"),
+                         F.when(jump, F.col("depth") + (1 << k)).otherwise(F.col("depth")).alias("depth")))
+    state = materialize(state)
+    found = (state.join(nodes.select("user", F.col("url").alias("x"), "ref"), ["user", "x"])
+             .join(imp.withColumnRenamed("url", "x"), ["user", "ref", "x"])
+             .where(F.col("ivf") <= F.col("fire_level"))
+             .select("user", "goal_url", "goal_ts", "x1", "depth", "imp_id", F.col("ref").alias("source_url"),
+                     F.col("x").alias("target_url"), "imp_ts"))
+    steps = found.select("user", "goal_url", "goal_ts", F.col("x1").alias("cur"),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("depth") - 1)).alias("j"))
+    for k in range(len(tables)):
+        t = tables[k].select("user", F.col("url").alias("cur"), F.col("up").alias("_up"))
+        bit = F.shiftright(F.col("j"), k).bitwiseAND(F.lit(1)) == 1
+        steps = (steps.join(t, ["user", "cur"], "left")
+                 .select("user", "goal_url", "goal_ts", "j", F.when(bit, F.col("_up")).otherwise(F.col("cur")).alias("cur")))
+    trails = steps.groupBy("user", "goal_url", "goal_ts").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("j", "cur")), asc=False), lambda s: s["cur"]).alias("trail"))
+    deep = found.join(trails, ["user", "goal_url", "goal_ts"]).select(
+        "user", "goal_url", "goal_ts", "imp_id", "source_url", "target_url", "imp_ts", "trail")
+    return at_goal.unionByName(deep)
+
+
 def attribution_records(attributed: DataFrame, visits: DataFrame) -> DataFrame:
     """Nested form ``user, impression STRUCT, trail ARRAY<STRUCT>, goal STRUCT`` for formatting."""
     vv = visits.select("user", "url", "ts", "referer", "is_goal")

@@ -113,3 +113,14 @@ def test_parallel_delay_cover_goldens(spark, case):
     import dataclasses
     wm, spec, extra = CASES[case]
     assert ledger(spark, wm, dataclasses.replace(spec, delay_cover="parallel"), extra) == Counter(GOLDEN[case])
+
+
+def test_attribution_lifting_equals_walk(spark):
+    from eventide.plans import catalog
+    log, _ = fixtures.attribution_log(spark)
+    visits = log.where("visit IS NOT NULL").select("user", "visit.*", "arrival_ts", "seq", "wm_ts")
+    imps = log.where("impression IS NOT NULL").select("user", "impression.*", "arrival_ts", "seq", "wm_ts")
+    for v, i in [(visits, imps), catalog.visits_and_impressions(spark, "/root/testdata/sf0.001")]:
+        a = sorted(tuple(r) for r in attribute(v, i, method="walk").collect())
+        b = sorted(tuple(r) for r in attribute(v, i, method="lifting").collect())
+        assert a == b and len(a) > 0
