@@ -63,37 +63,44 @@ def goals_of(visits: DataFrame) -> DataFrame:
 
 
 def referer_walk(visits: DataFrame, impressions: DataFrame, max_depth: int = 10000) -> DataFrame:
-    """Every step of every goal's walk: ``user, goal_url, goal_ts, fire_level, cur_url, cur_ref, trail, depth``.
+    """Every step of every goal's walk: ``user, goal_url, goal_ts, fire_level, cur_url, cur_ref, trail, depth``
+    plus the impression matching ``(cur_ref, cur_url)`` (``imp_id, imp_ts, imp_from``; NULL if none).
 
-    Depth 0 is the goal itself; a step is extended only while its
-    ``(cur_ref, cur_url)`` is not a visible impression.
+    Depth 0 is the goal itself; a step is extended only while its impression is
+    not visible at the goal's firing level.  Each visit version carries its
+    matching impression (joined once, up front), so a recursion level is a single
+    join of the frontier with the pre-partitioned visit versions.
     """
     spark = visits.sparkSession
     checkpoint_dir(spark)
     tag = uuid.uuid4().hex[:12]
-    vv, ii, gg = f"_et_vv_{tag}", f"_et_ii_{tag}", f"_et_gg_{tag}"
-    # Each recursion level re-reads these; checkpoint them (reliable, in the
-    # shared checkpoint folder) so a level is one join, not a re-derivation.
+    vv, gg = f"_et_vv_{tag}", f"_et_gg_{tag}"
+    imps = dedup_impressions(impressions).select(
+        "user", F.col("source_url").alias("referer"), F.col("target_url").alias("url"),
+        F.col("id").alias("imp_id"), F.col("ts").alias("imp_ts"), F.col("valid_from").alias("imp_from"))
+    versions = latest_visits(visits).join(imps, ["user", "referer", "url"], "left")
     # Partitioned by the walk's join keys before checkpointing, so each level
-    # shuffles only the frontier; the big sides keep their partitioning.
-    materialize(latest_visits(visits).repartition("user", "url")).createOrReplaceTempView(vv)
-    materialize(dedup_impressions(impressions).repartition("user", "source_url", "target_url")
-                ).createOrReplaceTempView(ii)
-    materialize(goals_of(visits)).createOrReplaceTempView(gg)
+    # shuffles only the frontier; the visit versions keep their partitioning.
+    materialize(versions.repartition("user", "url")).createOrReplaceTempView(vv)
+    goals = goals_of(visits).join(
+        imps.withColumnRenamed("referer", "goal_referer").withColumnRenamed("url", "goal_url"),
+        ["user", "goal_referer", "goal_url"], "left")
+    materialize(goals).createOrReplaceTempView(gg)
     return spark.sql(f"""
-    WITH RECURSIVE walk(user, goal_url, goal_ts, fire_level, cur_url, cur_ref, trail, depth)
+    WITH RECURSIVE walk(user, goal_url, goal_ts, fire_level, cur_url, cur_ref, trail, depth, imp_id, imp_ts, imp_from)
       MAX RECURSION LEVEL {max_depth} AS (
-      SELECT user, goal_url, goal_ts, fire_level, goal_url, goal_referer, CAST(array() AS ARRAY<STRING>), 0
+      SELECT user, goal_url, goal_ts, fire_level, goal_url, goal_referer, CAST(array() AS ARRAY<STRING>), 0,
+             imp_id, imp_ts, imp_from
       FROM {gg}
       UNION ALL
-      SELECT w.user, w.goal_url, w.goal_ts, w.fire_level, v.url, v.referer, concat(array(v.url), w.trail), w.depth + 1
+      SELECT w.user, w.goal_url, w.goal_ts, w.fire_level, v.url, v.referer, concat(array(v.url), w.trail), w.depth + 1,
+             v.imp_id, v.imp_ts, v.imp_from
       FROM walk w
       JOIN {vv} v
         ON v.user = w.user AND v.url = w.cur_ref
        AND v.valid_from <= w.fire_level AND (v.valid_to IS NULL OR v.valid_to > w.fire_level)
-      LEFT ANTI JOIN {ii} i
-        ON i.user = w.user AND i.source_url = w.cur_ref AND i.target_url = w.cur_url AND i.valid_from <= w.fire_level
-      WHERE NOT array_contains(w.trail, v.url) AND v.url <> w.goal_url
+      WHERE (w.imp_from IS NULL OR w.imp_from > w.fire_level)
+        AND NOT array_contains(w.trail, v.url) AND v.url <> w.goal_url
     )
     SELECT * FROM walk
     """)
@@ -113,12 +120,9 @@ def attribute(visits: DataFrame, impressions: DataFrame, max_depth: int = 10000,
         if lifting_applies(vv, gg):
             return attribute_lifting(vv, ii, gg)
     walk = referer_walk(visits, impressions, max_depth)
-    imps = dedup_impressions(impressions)
-    cond = ((walk["user"] == imps["user"]) & (walk["cur_ref"] == imps["source_url"])
-            & (walk["cur_url"] == imps["target_url"]) & (imps["valid_from"] <= walk["fire_level"]))
-    return walk.join(imps, cond).select(
-        walk["user"], "goal_url", "goal_ts", imps["id"].alias("imp_id"), "source_url", "target_url",
-        imps["ts"].alias("imp_ts"), "trail")
+    return walk.where(F.col("imp_from") <= F.col("fire_level")).select(
+        "user", "goal_url", "goal_ts", "imp_id", F.col("cur_ref").alias("source_url"),
+        F.col("cur_url").alias("target_url"), "imp_ts", "trail")
 
 
 _FAR = "9999-12-31 00:00:00"
