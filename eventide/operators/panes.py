@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.functions.timefmt import ceil_to, dur_us, from_us, plus, to_us
+from eventide.functions.timefmt import ceil_to, dur_us, from_us, to_us
 from eventide.plans.scan import fill_backward, fill_forward, running_sums
 from eventide.plans.spec import PaneSpec, Trigger
 from eventide.session import materialize

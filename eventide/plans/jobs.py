@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventide.functions.timefmt import format_pane
 from eventide.operators.aggregate import sum_per_key
@@ -44,4 +43,4 @@ def _main(argv: list[str] | None = None) -> None:
 if __name__ == "__main__":
     _main()
 
-__all__ = ["team_scores_job", "F"]
+__all__ = ["team_scores_job"]

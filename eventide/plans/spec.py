@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.functions.timefmt import ceil_to, dur_us, floor_to, from_us, plus, to_us
+from eventide.functions.timefmt import dur_us, from_us, to_us
 
 # Far-future watermark value meaning "input complete".
 WM_INFINITY = "9999-12-31 00:00:00"

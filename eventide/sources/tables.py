@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.functions.timefmt import plus
 from eventide.plans.spec import TickWatermark
 
 # Arrival of an event: its event time plus a deterministic lag of up to two hours.
@@ -47,4 +46,4 @@ def arrival_log_from_events(events: DataFrame, key: str = "event_type",
                     F.col("event_id").alias("seq")).withColumn("wm_ts", watermark.wm_at(F.col("arrival_ts")))
 
 
-__all__ = ["load", "scores_from_events", "arrival_log_from_events", "arrival_ts_of", "EVENT_WATERMARK", "plus"]
+__all__ = ["load", "scores_from_events", "arrival_log_from_events", "arrival_ts_of", "EVENT_WATERMARK"]
