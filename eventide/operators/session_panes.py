@@ -143,7 +143,8 @@ class SessionPaneMachine:
 
 
 def session_panes(log: DataFrame, gap: str | None, early_delay: str | None, lateness: str, watermark,
-                  mode: str = "accumulating", max_marks: int = 1_000_000, size: str | None = None) -> DataFrame:
+                  mode: str = "accumulating", max_marks: int = 1_000_000, size: str | None = None,
+                  split: str = "session") -> DataFrame:
     """Panes of merging session windows for an arrival log ``key, score, event_ts, arrival_ts, seq, wm_ts``.
 
     ``watermark`` is a ``StepWatermark`` (marks table, collected once after a
@@ -159,8 +160,17 @@ def session_panes(log: DataFrame, gap: str | None, early_delay: str | None, late
     acc = mode == "accumulating"
     marks: list[tuple[int, int, int]] = []
     tick = lag = None
-    rows = log.select("key", F.col("score").cast("long").alias("score"), to_us("event_ts").alias("t"),
-                      to_us("arrival_ts").alias("a"), "seq")
+    rows = log.select("key", F.col("score").cast("long").alias("score"), "event_ts", "seq",
+                      to_us("event_ts").alias("t"), to_us("arrival_ts").alias("a"))
+    if gap and split == "session":
+        # Windows never cross the final sessions of all rows (a merge joins only
+        # overlapping proto-windows), so each final session is an independent
+        # machine: a hot key is spread over its sessions.
+        from eventide.operators.windows import session_ids
+        rows = session_ids(rows, gap, "key", "event_ts", "seq")
+    else:
+        rows = rows.withColumn("_sid", F.lit(0).cast("long"))
+    rows = rows.drop("event_ts")
     if isinstance(watermark, StepWatermark):
         n = watermark.marks.count()
         if n > max_marks:
@@ -200,7 +210,9 @@ def session_panes(log: DataFrame, gap: str | None, early_delay: str | None, late
             m.out.clear()
 
         for pdf in batches:
-            for k, t, sc, a, seq, e in zip(pdf["key"], pdf["t"], pdf["score"], pdf["a"], pdf["seq"], pdf["eoi"]):
+            for k0, sid, t, sc, a, seq, e in zip(pdf["key"], pdf["_sid"], pdf["t"], pdf["score"], pdf["a"],
+                                                 pdf["seq"], pdf["eoi"]):
+                k = (k0, int(sid))
                 if k != key:
                     yield from flush(m, key, eoi, mi, last_tick)
                     m, key, mi, eoi = SessionPaneMachine(g, d, L, acc, fixed), k, 0, (None if pd.isna(e) else int(e))
@@ -228,7 +240,7 @@ def session_panes(log: DataFrame, gap: str | None, early_delay: str | None, late
                     m.out.clear()
         yield from flush(m, key, eoi, mi, last_tick)
 
-    ordered = rows.repartition("key").sortWithinPartitions("key", "a", "seq")
+    ordered = rows.repartition("key", "_sid").sortWithinPartitions("key", "_sid", "a", "seq")
     return ordered.mapInPandas(run, PANE_SCHEMA)
 
 
@@ -238,6 +250,8 @@ _FAR = 253_370_764_800_000_000  # 9999-01-01 in microseconds: watermark values a
 def _frame(key, out):
     if not out:
         return
+    if isinstance(key, tuple):
+        key = key[0]
     arr = list(zip(*out))
     yield pd.DataFrame({
         "key": [key] * len(out),

@@ -18,12 +18,9 @@ def _bucket(ts: str, width: str) -> F.Column:
     return F.floor(to_us(ts) / F.lit(dur_us(width)))
 
 
-def session_sum(scores: DataFrame, gap: str, key: str = "key", value: str = "score", ts: str = "event_ts",
-                tie: str | None = None, bucket: str = "1 hour") -> DataFrame:
-    """Sessions: each element opens ``[t, t+gap)``; windows that overlap merge.
-
-    Touching windows (next element exactly ``gap`` later) do not merge.  Output
-    ``key, w_start, w_end, value`` with ``w_end = last element + gap``.
+def session_ids(scores: DataFrame, gap: str, key: str = "key", ts: str = "event_ts", tie: str | None = None,
+                bucket: str = "1 hour") -> DataFrame:
+    """Every row with ``_sid``, the number of its final session within its key (1-based).
 
     One bucketed pass: within each (key, time bucket) a window finds gaps to the
     previous element; a bucket-level table (first/last time and gap count per
@@ -32,23 +29,35 @@ def session_sum(scores: DataFrame, gap: str, key: str = "key", value: str = "sco
     """
     g = dur_us(gap)
     order = [ts] + ([tie] if tie else [])
-    df = (scores.select(F.col(key).alias("key"), F.col(value).cast("bigint").alias("score"), ts,
-                        *([tie] if tie else []), _bucket(ts, bucket).alias("_b"))
-          .repartition("key", "_b"))
-    ordered = Window.partitionBy("key", "_b").orderBy(*order)
+    df = scores.withColumn("_b", _bucket(ts, bucket)).repartition(key, "_b")
+    ordered = Window.partitionBy(key, "_b").orderBy(*order)
     prev = F.lag(ts).over(ordered)
     local = df.select("*", F.when(prev.isNotNull() & (to_us(ts) - to_us(prev) >= g), 1).otherwise(0).alias("_gap"))
     local = local.select("*", F.sum("_gap").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
                          .alias("_lc"))
-    summary = local.groupBy("key", "_b").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"),
-                                              F.sum("_gap").alias("_n"))
-    wb = Window.partitionBy("key").orderBy("_b")
+    summary = local.groupBy(key, "_b").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"),
+                                            F.sum("_gap").alias("_n"))
+    wb = Window.partitionBy(key).orderBy("_b")
     prev_last = F.lag("_last").over(wb)
-    summary = summary.select("key", "_b", "_n", F.when(prev_last.isNull() | (to_us("_first") - to_us(prev_last) >= g), 1)
+    summary = summary.select(key, "_b", "_n", F.when(prev_last.isNull() | (to_us("_first") - to_us(prev_last) >= g), 1)
                              .otherwise(0).alias("_f"))
-    summary = summary.select("key", "_b", "_f", F.coalesce(F.sum(F.col("_n") + F.col("_f")).over(
+    summary = summary.select(key, "_b", "_f", F.coalesce(F.sum(F.col("_n") + F.col("_f")).over(
         wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    rows = local.join(summary, ["key", "_b"]).withColumn("_sid", F.col("_off") + F.col("_f") + F.col("_lc"))
+    rows = local.join(summary, [key, "_b"]).withColumn("_sid", F.col("_off") + F.col("_f") + F.col("_lc"))
+    return rows.drop("_b", "_gap", "_lc", "_f", "_off")
+
+
+def session_sum(scores: DataFrame, gap: str, key: str = "key", value: str = "score", ts: str = "event_ts",
+                tie: str | None = None, bucket: str = "1 hour") -> DataFrame:
+    """Sessions: each element opens ``[t, t+gap)``; windows that overlap merge.
+
+    Touching windows (next element exactly ``gap`` later) do not merge.  Output
+    ``key, w_start, w_end, value`` with ``w_end = last element + gap``.
+    """
+    g = dur_us(gap)
+    base = scores.select(F.col(key).alias("key"), F.col(value).cast("bigint").alias("score"), ts,
+                         *([tie] if tie else []))
+    rows = session_ids(base, gap, "key", ts, tie, bucket)
     out = (rows.groupBy("key", "_sid")
            .agg(F.min(ts).alias("w_start"), plus(F.max(ts), g / 1e6).alias("w_end"), F.sum("score").alias("value")))
     return out.select(F.col("key").alias(key), "w_start", "w_end", "value")

@@ -50,3 +50,10 @@ def test_no_session_overlaps_in_final_panes(spark):
     w = Window.partitionBy("key").orderBy("w_start")
     bad = s.withColumn("_next", F.lead("w_start").over(w)).where(F.col("_next") < F.col("w_end"))
     assert bad.count() == 0
+
+
+def test_split_by_session_equals_per_key(spark):
+    log = arrival_log_from_events(load(spark, SF, "events"))
+    a = session_panes(log, watermark=EVENT_WATERMARK, split="key", **SESSION_PANES)
+    b = session_panes(log, watermark=EVENT_WATERMARK, split="session", **SESSION_PANES)
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
