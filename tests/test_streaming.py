@@ -126,3 +126,12 @@ def test_native_update_mode_refines_per_micro_batch(spark, tmp_path):
     got = sorted((r.w_start.strftime("%H:%M"), r.value) for r in out.collect())
     # W2 is emitted twice: 7 after the first micro-batch, 18 after the second.
     assert got == [("12:00", 14), ("12:02", 7), ("12:02", 18), ("12:04", 4), ("12:06", 12)]
+
+
+def test_stream_validity_windows_golden(spark, tmp_path):
+    from eventide.streaming.validity import stream_validity_windows
+    log, marks = fixtures.score_log(spark, "PERFECT")
+    src = tmp_path / "val"
+    write_replay(replay_rows(log, marks), str(src), [12, 22])
+    out = _run(spark, tmp_path, stream_validity_windows(read_replay(spark, str(src))))
+    assert _texts(out) == Counter(GOLDEN["validity"])
