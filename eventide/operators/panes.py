@@ -204,6 +204,7 @@ def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool =
     aggregation first, so a hot key costs one row per map task and pane), and
     one bucketed running sum numbers and accumulates them.
     """
+    watermark = watermark.resolve(log)
     kept, dropped = split_rows(log, spec, watermark)
     early_trig = spec.early if spec.trigger.kind == "watermark" else spec.trigger
     late_trig = spec.late_trigger()

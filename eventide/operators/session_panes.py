@@ -180,7 +180,7 @@ def session_panes(log: DataFrame, gap: str | None, early_delay: str | None, late
         rows = rows.withColumn("eoi", F.lit(None).cast("long"))
     elif isinstance(watermark, TickWatermark):
         tick, lag = dur_us(watermark.tick), dur_us(watermark.lag)
-        rows = rows.withColumn("eoi", watermark.end_of_input_us(log))
+        rows = rows.withColumn("eoi", watermark.resolve(log).end_of_input_us(log))
     else:
         raise TypeError(watermark)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -96,6 +96,18 @@ class TickWatermark:
 
     tick: str = "1 hour"
     lag: str = "1 hour"
+    # End of input (first tick after the last arrival), once resolved for a log.
+    eoi_us: int | None = None
+
+    def resolve(self, log: DataFrame, arrival: str = "arrival_ts") -> "TickWatermark":
+        """Pin the end of input with one small aggregation, so plans carry a literal, not N subqueries."""
+        if self.eoi_us is not None:
+            return self
+        last = log.select(F.max(to_us(arrival))).first()[0]
+        if last is None:
+            return self
+        t = dur_us(self.tick)
+        return replace(self, eoi_us=int(last - last % t + t))
 
     def wm_at(self, arrival: Column) -> Column:
         t, lag = dur_us(self.tick), dur_us(self.lag)
@@ -103,7 +115,9 @@ class TickWatermark:
         return from_us(a - F.pmod(a, F.lit(t)) - F.lit(lag))
 
     def end_of_input_us(self, log: DataFrame, arrival: str = "arrival_ts") -> Column:
-        """First tick after the last arrival (a scalar subquery, evaluated once)."""
+        """First tick after the last arrival (a literal once resolved, else a scalar subquery)."""
+        if self.eoi_us is not None:
+            return F.lit(self.eoi_us)
         t = dur_us(self.tick)
         last = log.select(F.max(to_us(arrival))).scalar()
         return last - F.pmod(last, F.lit(t)) + F.lit(t)
@@ -139,6 +153,9 @@ class StepWatermark:
 
     marks: DataFrame
 
+    def resolve(self, log: DataFrame) -> "StepWatermark":
+        return self
+
     def attach(self, rows: DataFrame, levels: dict[str, Column], log: DataFrame | None = None) -> DataFrame:
         """Add ``<name>_ts``/``<name>_seq`` for each level given in microseconds."""
         out = rows
