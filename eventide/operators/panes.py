@@ -110,10 +110,16 @@ def _with_delay_starts(rows: DataFrame, delays: dict[bool, int]) -> DataFrame:
     return ordered.mapInPandas(scan, schema)
 
 
-def _cover_mode(kept: DataFrame, delays: dict[bool, int], spec: PaneSpec) -> str:
-    """Pick the unaligned-delay cover; "auto" checks the largest (key, window) group (one small aggregation)."""
+def _cover_mode(kept: DataFrame, delays: dict[bool, int], spec: PaneSpec, log: DataFrame | None = None) -> str:
+    """Pick the unaligned-delay cover; "auto" checks the largest (key, window) group (one small aggregation).
+
+    When the whole log is within the limit (a count that parquet answers from
+    file footers), no group can exceed it and the aggregation is skipped.
+    """
     if spec.delay_cover != "auto":
         return spec.delay_cover
+    if log is not None and log.count() <= spec.max_group_rows:
+        return "sorted"
     flags = list(delays)
     biggest = (kept.where(F.col("_early").isin(flags)).groupBy(*_WKEY, "_early").count()
                .agg(F.max("count")).first()[0])
@@ -212,7 +218,7 @@ def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool =
 
     delays = {flag: dur_us(t.delay) for flag, t in ((True, early_trig), (False, late_trig))
               if t is not None and t.kind == "unaligned"}
-    if delays and _cover_mode(kept, delays, spec) == "parallel":
+    if delays and _cover_mode(kept, delays, spec, log) == "parallel":
         kept = _with_delay_starts_parallel(kept, delays, spec.bucket)
     elif delays:
         kept = _with_delay_starts(kept, delays)
