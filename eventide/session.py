@@ -8,7 +8,9 @@ in settings that are unset, so cluster-provided values (shuffle partitions,
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,14 +43,19 @@ def get_session(master: str | None = None, app: str = "eventide", **conf: str) -
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests) a
-    scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``.  Only in local mode, where the driver and
+    the executors are one process, an unset value becomes a new temporary folder;
+    elsewhere it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="eventide-ckpt-", dir=os.environ.get("EVENTIDE_SCRATCH", "/tmp"))
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir is unset and master is {master}: name a folder that the "
+                             "driver and all executors share")
+        d = tempfile.mkdtemp(prefix="eventide-ckpt-", dir=os.environ.get("EVENTIDE_SCRATCH"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
@@ -65,7 +72,6 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(sc, "_eventide_shipped", False):
         return
     import shutil
-    import uuid
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     # Built on the driver; addPyFile uploads it to every executor, so the
@@ -88,18 +94,35 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's folder under ``spark.checkpoint.dir``; Hadoop removes it when the driver ends."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_eventide_scratch", None):
+        folder = f"{checkpoint_dir(spark).rstrip('/')}/eventide-{sc.applicationId}-{uuid.uuid4().hex[:8]}"
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        sc._eventide_scratch = folder
+    return sc._eventide_scratch
+
+
 def materialize(df):
-    """Reliable checkpoint into the shared folder, computing ``df`` once.
+    """Write ``df`` once as Parquet in the shared scratch folder and read it back.
 
-    A checkpoint runs one job to count and another to write the files; persisting
-    first lets the second job read the first one's blocks instead of recomputing.
-    The cache is dropped once the checkpoint files exist, so lineage ends at them.
+    The plan is computed a single time, the lineage ends at the written files, and
+    executors that are lost later cost nothing but a re-read.
     """
-    from pyspark import StorageLevel
-
-    checkpoint_dir(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    path = f"{scratch_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df) -> None:
+    """Delete the files behind a materialized ``df`` that no later plan reads."""
+    sc = df.sparkSession.sparkContext
+    scratch = getattr(sc, "_eventide_scratch", None)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if scratch and scratch.split(":", 1)[-1].lstrip("/") in folder:
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
