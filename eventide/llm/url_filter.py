@@ -26,8 +26,8 @@ from eventide.session import materialize
 
 SIZES = (3, 4)
 BUCKETS = 2048
-STEPS = 12
-RATE = 4.0
+STEPS = 20
+RATE = 16.0
 DECAY = 1e-4
 MAX_LABELLED = 4000
 
