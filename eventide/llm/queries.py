@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import mixing, quality, url_filter
+from eventide.llm import bpe, line_dedup, mixing, quality, token_files, toxicity, url_filter, va_topk
+
+#: The vocabulary size of the tokenizer file of op10, and the id that ends a document.
+VOCABULARY, END_ID = 50257, 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +22,28 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), host="source")
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                public_tokenizers.PATTERN)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_texts(docs, weights, keep=["doc_id"]).select(
+        "doc_id", toxicity.is_held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    gone = line_dedup.removed_per_document(docs)
+    ids = docs.select("doc_id").distinct()
+    return ids.join(gone, ids["doc_id"].eqNullSafe(gone["_id"]), "left").select(
+        "doc_id", F.coalesce(F.size("_numbers"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.concat_ws(",", F.col("_numbers").cast("array<string>")), F.lit("")).alias("removed_lines"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("passes")).alias("taken"),
@@ -28,12 +54,24 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_va_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = va_topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return va_topk.top_k(vectors, vectors.where("id % 100 = 0"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(spark, table(spark, sf_dir, "documents"),
+                                   public_tokenizers.path("byte_bpe_50k.json"), VOCABULARY, END_ID)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op6_source_mixing, op7_url_filter)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_bpe, op4_toxicity, op5_line_dedup, op6_source_mixing, op7_url_filter,
+                                  op8_va_topk, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": OP1_SQL, "op6_source_mixing": OP6_SQL}
+    return {"op1_quality_rules": OP1_SQL, "op5_line_dedup": OP5_SQL, "op6_source_mixing": OP6_SQL,
+            "op8_va_topk": OP8_SQL}
 
 
 OP1_SQL = r"""
@@ -61,6 +99,22 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from base
 """
 
+OP5_SQL = r"""
+with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) s,
+                  unnest(range(len(string_split(coalesce(text, ''), chr(10))))) no from documents),
+e as (select doc_id, no, regexp_extract_all(s, '[^\x20\x09-\x0D]+') w from l),
+o as (select doc_id, no, array_to_string(w, ' ') line, w from e where len(w) >= 5),
+f as (select line, any_value(w) w, min((doc_id, no)) f from o group by line),
+v as (select line, f, len(w) n, i, array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ') v
+      from (select line, f, w, unnest(range(1, len(w) + 1)) i from f)),
+near as (select a.line from v a join v b on a.v = b.v and a.i = b.i and a.n = b.n and a.f > b.f
+         union select a.line from v a join f b on a.v = b.line and a.f > b.f
+         union select a.line from f a join v b on a.line = b.v and a.f > b.f),
+gone as (select doc_id, no from o join f using (line) where (doc_id, no) <> f or line in (select line from near))
+select d.doc_id, count(no)::bigint n_removed, coalesce(string_agg(no::varchar, ',' order by no), '') removed_lines
+from (select distinct doc_id from documents) d left join gone using (doc_id) group by d.doc_id
+"""
+
 OP6_SQL = r"""
 with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint size,
                   md5(coalesce(doc_id::varchar, '')) k from documents),
@@ -84,3 +138,12 @@ select doc_id, size, n source_size, target, (size * passes)::bigint taken,
             else (sqrt((1 - b) * (1 - b) + 4 * b * u) - (1 - b)) / (2 * b) end, 6) end first_position
 from z
 """
+
+OP8_SQL = r"""
+with v as (select vec_id, list_transform(embedding, x -> floor(1024 * x::double)::bigint) v from embeddings
+           where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+s as (select q.vec_id query_id, c.vec_id vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint score
+      from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) "rank" from s)
+select query_id, "rank"::integer "rank", vec_id, score from r where "rank" <= 10
+"""
