@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import bpe, line_dedup, mixing, quality, token_files, toxicity, url_filter, va_topk
+from eventide.llm import bpe, line_dedup, lm_score, mixing, quality, token_files, toxicity, url_filter, va_topk
 
 #: The vocabulary size of the tokenizer file of op10, and the id that ends a document.
 VOCABULARY, END_ID = 50257, 2
@@ -59,6 +59,10 @@ def op8_va_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_topk.top_k(vectors, vectors.where("id % 100 = 0"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(spark, table(spark, sf_dir, "documents"),
                                    public_tokenizers.path("byte_bpe_50k.json"), VOCABULARY, END_ID)
@@ -66,7 +70,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality_rules, op2_bpe, op4_toxicity, op5_line_dedup, op6_source_mixing, op7_url_filter,
-                                  op8_va_topk, op10_token_files)}
+                                  op8_va_topk, op9_lm_score, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -140,8 +144,8 @@ from z
 """
 
 OP8_SQL = r"""
-with v as (select vec_id, list_transform(embedding, x -> floor(1024 * x::double)::bigint) v from embeddings
-           where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) v from embeddings
+           where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (select q.vec_id query_id, c.vec_id vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint score
       from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) "rank" from s)

@@ -146,8 +146,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, block_rows: int =
     stored = rows.select((F.pmod(F.xxhash64("id", F.lit(8)), F.lit(blocks))).alias("block"), "dims", F.lit(0).alias(
         "kind"), F.lit(0).cast("long").alias("key"), "id", "vector").select(columns)
     asked = queries.select(F.xxhash64("id", "vector").alias("key"), "id", "vector", F.size("vector").alias(
-        "dims")).dropDuplicates(["key", "id"]).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast(
-            "long").alias("block"), "dims", F.lit(1).alias("kind"), "key", "id", "vector").select(columns)
+        "dims")).dropDuplicates(["key", "id"]).select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast(
+            "long"))).alias("block"), "dims", F.lit(1).alias("kind"), "key", "id", "vector").select(columns)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     met = stored.unionByName(asked).repartition(tasks, "block").sortWithinPartitions("block", "dims", "kind")
     found = met.mapInArrow(lambda batches: search_blocks(batches, k), FOUND)
