@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import bpe, line_dedup, lm_score, mixing, quality, token_files, toxicity, url_filter, va_topk
+from eventide.llm import bpe, chosen_path, line_dedup, lm_score, mixing, quality, token_files, toxicity, url_filter, va_topk
 
 #: The vocabulary size of the tokenizer file of op10, and the id that ends a document.
 VOCABULARY, END_ID = 50257, 2
@@ -27,6 +27,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.PATTERN)
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_links", "n_copies")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -69,7 +74,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_bpe, op4_toxicity, op5_line_dedup, op6_source_mixing, op7_url_filter,
+    return {f.__name__: f for f in (op1_quality_rules, op2_bpe, op3_ngram_jaccard, op4_toxicity, op5_line_dedup, op6_source_mixing, op7_url_filter,
                                   op8_va_topk, op9_lm_score, op10_token_files)}
 
 
