@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 GLOBAL_WINDOW_TEXT = "[global window]"
 END_OF_GLOBAL_WINDOW = "END_OF_GLOBAL_WINDOW"
 NULL_TEXT = "null"
+MIN_TIME_TEXT, MAX_TIME_TEXT = "TIMESTAMP_MIN_VALUE", "TIMESTAMP_MAX_VALUE"
+# The least and greatest times: 64-bit microseconds cut to milliseconds; the global window ends a day earlier.
+MIN_TIME_US, MAX_TIME_US = -9_223_372_036_854_775_000, 9_223_372_036_854_775_000
+END_OF_GLOBAL_US = MAX_TIME_US - 86_400_000_000
 # Time of day of the last instant inside an open-ended window (one millisecond
 # before the end of the global window, year 294247); printed as the output time
 # of a window whose end is open.
@@ -79,17 +83,27 @@ def parse_time(c: Column | str) -> Column:
 
 
 def format_time(c: Column | str) -> Column:
+    """``HH:mm:ss``, or the names of NULL, the least and greatest times and the end of the global window."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.isNull(), F.lit(NULL_TEXT)).otherwise(F.date_format(c, "HH:mm:ss"))
+    us = to_us(c)
+    return (F.when(c.isNull(), F.lit(NULL_TEXT)).when(us == MIN_TIME_US, F.lit(MIN_TIME_TEXT))
+            .when(us == MAX_TIME_US, F.lit(MAX_TIME_TEXT)).when(us == END_OF_GLOBAL_US, F.lit(END_OF_GLOBAL_WINDOW))
+            .otherwise(F.date_format(c, "HH:mm:ss")))
 
 
-def format_window(start: Column | str, end: Column | str) -> Column:
-    """Global window when both bounds are NULL; an open end prints as the end of the global window."""
-    start = F.col(start) if isinstance(start, str) else start
-    end = F.col(end) if isinstance(end, str) else end
-    end_text = F.when(end.isNull(), F.lit(END_OF_GLOBAL_WINDOW)).otherwise(F.date_format(end, "HH:mm:ss"))
-    return (F.when(start.isNull() & end.isNull(), F.lit(GLOBAL_WINDOW_TEXT))
+def format_window(start: Column | str, end: Column | str, greatest: Column | str | None = None) -> Column:
+    """Global window when both bounds are NULL; an open end prints as the end of the global window.
+
+    A window of another kind is known by its greatest time alone: ``..., greatest]``.
+    """
+    col = lambda c: F.col(c) if isinstance(c, str) else c
+    start, end = col(start), col(end)
+    end_text = F.when(end.isNull(), F.lit(END_OF_GLOBAL_WINDOW)).otherwise(format_time(end))
+    text = (F.when(start.isNull() & end.isNull(), F.lit(GLOBAL_WINDOW_TEXT))
             .otherwise(F.concat(F.lit("["), format_time(start), F.lit(", "), end_text, F.lit(")"))))
+    if greatest is None:
+        return text
+    return F.when(col(greatest).isNotNull(), F.concat(F.lit("..., "), format_time(greatest), F.lit("]"))).otherwise(text)
 
 
 def pane_time_text(start: Column | str, end: Column | str) -> Column:
@@ -101,27 +115,40 @@ def pane_time_text(start: Column | str, end: Column | str) -> Column:
             .otherwise(F.date_format(from_us(to_us(end) - F.lit(1000)), "HH:mm:ss")))
 
 
+def _pane_flags(on_time_index: Column, is_first: Column, is_last: Column) -> Column:
+    return F.concat(
+        F.when(on_time_index.isNotNull(), F.concat(F.lit(" onTimeIndex="), on_time_index.cast("string"))).otherwise(
+            F.lit("")),
+        F.when(is_first, F.lit(" isFirst")).otherwise(F.lit("")), F.when(is_last, F.lit(" isLast")).otherwise(F.lit("")))
+
+
 def format_pane(start, end, key, value, timing, pane_index, on_time_index, is_first, is_last) -> Column:
     """``<window>: <key>:<value, width 2> <time> <timing, width 7> index=<i>`` plus optional flags."""
     col = lambda c: F.col(c) if isinstance(c, str) else c
     head = F.format_string("%s: %s:%-2d %s %-7s index=%d", format_window(start, end), col(key),
                            col(value), pane_time_text(start, end), col(timing), col(pane_index))
-    return F.concat(
-        head,
-        F.when(col(on_time_index).isNotNull(),
-               F.concat(F.lit(" onTimeIndex="), col(on_time_index).cast("string"))).otherwise(F.lit("")),
-        F.when(col(is_first), F.lit(" isFirst")).otherwise(F.lit("")),
-        F.when(col(is_last), F.lit(" isLast")).otherwise(F.lit("")),
-    )
+    return F.concat(head, _pane_flags(col(on_time_index), col(is_first), col(is_last)))
 
 
 def format_attribution(impression: Column | str, trail: Column | str, goal: Column | str,
-                       timing: Column | str | None = None) -> Column:
-    """``[global window]: imp=<id> <source> → <trail urls> → <goal url> <goal time> UNKNOWN``."""
+                       timing: Column | str = "UNKNOWN", pane_index: Column | None = None,
+                       on_time_index: Column | None = None, is_first: Column | None = None,
+                       is_last: Column | None = None) -> Column:
+    """``[global window]: imp=<id> <source> → <trail urls> → <goal url> <goal time> <timing>``.
+
+    Unless the timing is UNKNOWN, the pane's index and flags follow as in ``format_pane``.
+    """
     col = lambda c: F.col(c) if isinstance(c, str) else c
     imp, tr, g = col(impression), col(trail), col(goal)
-    timing = F.lit("UNKNOWN") if timing is None else col(timing)
+    timing = F.lit(timing) if isinstance(timing, str) else timing
     urls = F.transform(tr, lambda v: v["url"])
     path = F.array_join(F.concat(F.array(imp["source_url"]), urls, F.array(g["url"])), ARROW)
-    return F.format_string("%s: imp=%s %s %s %-7s", F.lit(GLOBAL_WINDOW_TEXT),
+    head = F.format_string("%s: imp=%s %s %s %-7s", F.lit(GLOBAL_WINDOW_TEXT),
                            imp["id"].cast("string"), path, format_time(g["ts"]), timing)
+    if pane_index is None:
+        return head
+    none, no = F.lit(None).cast("long"), F.lit(False)
+    tail = F.concat(F.lit(" index="), pane_index.cast("string"), _pane_flags(
+        none if on_time_index is None else on_time_index, no if is_first is None else is_first,
+        no if is_last is None else is_last))
+    return F.when(timing == "UNKNOWN", head).otherwise(F.concat(head, tail))

@@ -1,234 +1,197 @@
 """Conversion attribution: walk the referer chain from a goal back to an impression.
 
-Bounded form of the keyed-state processor.  Inputs are per-user visits and
-impressions with arrival metadata (``arrival_ts, seq, wm_ts``).  A goal fires
-when the watermark passes its timestamp; only state that had arrived by then
-counts.  State as of a firing is expressed as validity intervals in watermark
-time, so each lookup is an equi-join plus an interval test (no per-goal copy of
-state, no all-pairs join):
-
-* latest visit per URL (last arrival wins): version ``v`` of a URL is current
-  while ``wm_ts(v) <= F < wm_ts(next version)``;
-* impressions per (source, target), first arrival wins: present when
-  ``wm_ts(first) <= F``.
-
-The walk is a ``WITH RECURSIVE`` query: each level joins the frontier (one row
-per open goal) with the visit versions; it stops at a matching impression, at an
-unknown referer, or on a repeated URL (a cycle).
+Bounded form of the keyed-state processor.  Inputs are per-user visits and impressions with
+arrival metadata (``arrival_ts, seq, wm_ts``; ``wm_ts`` is the watermark in force when the row
+arrived).  A goal fires when the watermark reaches its timestamp, or at once if the watermark
+had reached it before the goal arrived.  Only state that had arrived by then counts:
+
+* a goal in time sees the rows that arrived under a watermark below its timestamp;
+* a late goal sees the rows that arrived before it, in the order of ``(arrival_ts, seq)``.
+
+Of a URL's visits the last visible one counts, of equal (source, target) impressions the
+first arrival.  Both are looked up by equi-joins plus a test of visibility: a visit is
+current for a goal if it is visible and its successor is not.
+
+The walk is a loop over a frontier with one row per open goal.  Each level is written once
+and read by the next; steps stay as rows, so neither the number of rows nor the depth is
+limited.  A goal leaves the frontier at a visible impression, at an unknown referer, or when
+its walk repeats a URL, found with constant memory by comparing with a URL remembered at
+every power of two.
 """
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.timefmt import dur_us, to_us
 from eventide.plans.scan import with_next
-from eventide.session import checkpoint_dir, materialize
+from eventide.session import materialize
 
 _B = "1 day"
+GOAL = ["user", "goal_url", "goal_ts"]
+_SEEN = ["g_arrival", "g_seq", "g_wm"]
 
 
-def _bucket(c: str) -> F.Column:
+def _bucket(c: str) -> Column:
     return F.floor(to_us(c) / F.lit(dur_us(_B)))
 
 
 def latest_visits(visits: DataFrame) -> DataFrame:
-    """Versions of each (user, url) among non-goal visits: ``valid_from``/``valid_to`` in watermark time."""
+    """Versions of each (user, url) among non-goal visits in arrival order; ``next`` is the successor's arrival."""
     v = visits.where(~F.coalesce(F.col("is_goal"), F.lit(False))).withColumn("_b", _bucket("arrival_ts"))
-    v = v.withColumn("_ord", F.struct("arrival_ts", "seq"))
-    out = with_next(v, ["user", "url"], ["arrival_ts", "seq"], "_b", "wm_ts", "valid_to")
-    return out.select("user", "url", "ts", "referer", "is_goal", "arrival_ts", "seq",
-                      F.col("wm_ts").alias("valid_from"), "valid_to")
+    v = v.withColumn("_at", F.struct("arrival_ts", "seq", "wm_ts"))
+    out = with_next(v, ["user", "url"], ["arrival_ts", "seq"], "_b", "_at", "next")
+    return out.select("user", "url", "ts", "referer", "is_goal", "arrival_ts", "seq", "wm_ts", "next")
 
 
 def dedup_impressions(impressions: DataFrame) -> DataFrame:
     """First arrival per (user, source_url, target_url) wins."""
     return (impressions.groupBy("user", "source_url", "target_url")
             .agg(F.min_by(F.struct("id", "ts", "arrival_ts", "seq", "wm_ts"), F.struct("arrival_ts", "seq")).alias("m"))
-            .select("user", "source_url", "target_url", "m.id", "m.ts", "m.arrival_ts", "m.seq",
-                    F.col("m.wm_ts").alias("valid_from")))
+            .select("user", "source_url", "target_url", "m.*"))
 
 
 def goals_of(visits: DataFrame) -> DataFrame:
-    """Distinct goals with their firing level ``F``: state with ``wm_ts <= F`` is visible."""
-    g = visits.where(F.col("is_goal"))
-    return (g.groupBy("user", "url", "ts", "referer")
-            .agg(F.min(F.struct("arrival_ts", "seq", "wm_ts")).alias("m"))
+    """Distinct goals by (user, url, ts), first arrival: with ``goal_referer`` and the arrival ``g_arrival, g_seq, g_wm``."""
+    first = F.min_by(F.struct("referer", "arrival_ts", "seq", "wm_ts"), F.struct("arrival_ts", "seq")).alias("m")
+    return (visits.where(F.col("is_goal")).groupBy("user", "url", "ts").agg(first)
             .select("user", F.col("url").alias("goal_url"), F.col("ts").alias("goal_ts"),
-                    F.col("referer").alias("goal_referer"),
-                    F.greatest(F.col("ts"), F.col("m.wm_ts")).alias("fire_level")))
+                    F.col("m.referer").alias("goal_referer"), F.col("m.arrival_ts").alias("g_arrival"),
+                    F.col("m.seq").alias("g_seq"), F.col("m.wm_ts").alias("g_wm")))
 
 
-def referer_walk(visits: DataFrame, impressions: DataFrame, max_depth: int = 10000) -> DataFrame:
-    """Every step of every goal's walk: ``user, goal_url, goal_ts, fire_level, cur_url, cur_ref, trail, depth``
-    plus the impression matching ``(cur_ref, cur_url)`` (``imp_id, imp_ts, imp_from``; NULL if none).
+def _before(at: Column) -> Column:
+    """Whether a row with arrival struct ``at`` had arrived when the goal fired."""
+    late = F.col("g_wm") >= F.col("goal_ts")
+    return F.when(late, F.struct(at["arrival_ts"], at["seq"]) < F.struct("g_arrival", "g_seq")).otherwise(
+        at["wm_ts"] < F.col("goal_ts"))
 
-    Depth 0 is the goal itself; a step is extended only while its impression is
-    not visible at the goal's firing level.  Each visit version carries its
-    matching impression (joined once, up front), so a recursion level is a single
-    join of the frontier with the pre-partitioned visit versions.
-    """
-    spark = visits.sparkSession
-    checkpoint_dir(spark)
-    tag = uuid.uuid4().hex[:12]
-    vv, gg = f"_et_vv_{tag}", f"_et_gg_{tag}"
+
+def _fresh(ts: Column, ttl: str | None) -> Column:
+    """Whether state of event time ``ts`` is within ``ttl`` when the goal fires."""
+    if ttl is None:
+        return F.lit(True)
+    return to_us(ts) + F.lit(dur_us(ttl)) >= to_us(F.greatest("goal_ts", "g_wm"))
+
+
+def _hit(imp: str, ttl: str | None) -> Column:
+    at = F.col(imp)
+    return at.isNotNull() & F.coalesce(_before(at) & _fresh(at["ts"], ttl), F.lit(False))
+
+
+def walk_levels(visits: DataFrame, impressions: DataFrame, state_ttl: str | None = None,
+                stop_at_hit: bool = True) -> list[DataFrame]:
+    """Each level's steps: GOAL, the goal's arrival, ``depth``, the visit ``cur``, its impression ``imp``, ``hit``, ``again``."""
     imps = dedup_impressions(impressions).select(
         "user", F.col("source_url").alias("referer"), F.col("target_url").alias("url"),
-        F.col("id").alias("imp_id"), F.col("ts").alias("imp_ts"), F.col("valid_from").alias("imp_from"))
-    versions = latest_visits(visits).join(imps, ["user", "referer", "url"], "left")
-    # Partitioned by the walk's join keys before checkpointing, so each level
-    # shuffles only the frontier; the visit versions keep their partitioning.
-    materialize(versions.repartition("user", "url")).createOrReplaceTempView(vv)
+        F.struct("id", F.col("source_url"), F.col("target_url"), "ts", "arrival_ts", "seq", "wm_ts").alias("imp"))
+    versions = latest_visits(visits).join(imps, ["user", "referer", "url"], "left").select(
+        "user", F.col("url").alias("v_url"), F.struct("url", "ts", "referer", "is_goal").alias("cur"),
+        F.struct("arrival_ts", "seq", "wm_ts").alias("at"), "next", "imp")
+    # Every level joins the versions on these keys: kept partitioned, only the frontier is shuffled.
+    # Lost blocks are computed again from the input.
+    versions = versions.repartition("user", "v_url").persist(StorageLevel.DISK_ONLY)
     goals = goals_of(visits).join(
         imps.withColumnRenamed("referer", "goal_referer").withColumnRenamed("url", "goal_url"),
         ["user", "goal_referer", "goal_url"], "left")
-    materialize(goals).createOrReplaceTempView(gg)
-    return spark.sql(f"""
-    WITH RECURSIVE walk(user, goal_url, goal_ts, fire_level, cur_url, cur_ref, trail, depth, imp_id, imp_ts, imp_from)
-      MAX RECURSION LEVEL {max_depth} AS (
-      SELECT user, goal_url, goal_ts, fire_level, goal_url, goal_referer, CAST(array() AS ARRAY<STRING>), 0,
-             imp_id, imp_ts, imp_from
-      FROM {gg}
-      UNION ALL
-      SELECT w.user, w.goal_url, w.goal_ts, w.fire_level, v.url, v.referer, concat(array(v.url), w.trail), w.depth + 1,
-             v.imp_id, v.imp_ts, v.imp_from
-      FROM walk w
-      JOIN {vv} v
-        ON v.user = w.user AND v.url = w.cur_ref
-       AND v.valid_from <= w.fire_level AND (v.valid_to IS NULL OR v.valid_to > w.fire_level)
-      WHERE (w.imp_from IS NULL OR w.imp_from > w.fire_level)
-        AND NOT array_contains(w.trail, v.url) AND v.url <> w.goal_url
-    )
-    SELECT * FROM walk
-    """)
-
-
-def attribute(visits: DataFrame, impressions: DataFrame, max_depth: int = 10000,
-              method: str = "walk") -> DataFrame:
-    """``user, goal_url, goal_ts, imp_id, source_url, target_url, imp_ts, trail`` (trail = visit urls, oldest first).
-
-    ``method``: ``walk`` (recursive: per level, the small frontier is shuffled
-    and the pre-partitioned visit table is scanned) or ``lifting`` (binary
-    lifting: about log2(longest chain) shuffles of the visit table, for deep
-    chains; used only when parent pointers are fixed, else it falls back to the walk).
+    level = materialize(goals.select(
+        *GOAL, *_SEEN, F.lit(0).alias("depth"),
+        F.struct(F.col("goal_url").alias("url"), F.col("goal_ts").alias("ts"), F.col("goal_referer").alias("referer"),
+                 F.lit(True).alias("is_goal")).alias("cur"),
+        "imp", _hit("imp", state_ttl).alias("hit"), F.lit(False).alias("again"), F.col("goal_url").alias("mark")))
+    levels = []
+    try:
+        while not level.isEmpty():
+            levels.append(level)
+            depth = len(levels)
+            going = level.where(~F.col("again") & ~(F.col("hit") & F.lit(stop_at_hit))).select(
+                *GOAL, *_SEEN, F.col("cur.referer").alias("ref"), "mark")
+            power = depth & (depth - 1) == 0
+            url = F.col("cur.url")
+            level = materialize(
+                going.withColumnRenamed("user", "g_user").join(
+                    versions, (F.col("g_user") == F.col("user")) & (F.col("ref") == F.col("v_url")))
+                .where(_before(F.col("at")) & (F.col("next").isNull() | ~_before(F.col("next")))
+                       & _fresh(F.col("cur.ts"), state_ttl) & (url != F.col("goal_url")))
+                .select(*GOAL, *_SEEN, F.lit(depth).alias("depth"), "cur", "imp", _hit("imp", state_ttl).alias("hit"),
+                        (url == F.col("mark")).alias("again"), (url if power else F.col("mark")).alias("mark")))
+    finally:
+        versions.unpersist()
+    return levels
+
+
+def _steps(levels: list[DataFrame]) -> DataFrame:
+    """All steps up to the first repeated URL of each walk."""
+    steps = reduce(DataFrame.unionByName, levels)
+    if not steps.where("again").isEmpty():
+        first = Window.partitionBy(*GOAL, "cur.url").orderBy("depth")
+        steps = steps.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    return steps
+
+
+def referer_walk(visits: DataFrame, impressions: DataFrame, state_ttl: str | None = None) -> DataFrame:
+    """Every step of every goal's walk: GOAL, ``depth, cur_url, cur_ref, hit``; depth 0 is the goal itself."""
+    steps = _steps(walk_levels(visits, impressions, state_ttl))
+    return steps.select(*GOAL, "depth", F.col("cur.url").alias("cur_url"), F.col("cur.referer").alias("cur_ref"), "hit")
+
+
+def _first_come(hits: DataFrame) -> DataFrame:
+    """(GOAL, depth): each impression credits the earliest firing goal that reaches it; the others walk on.
+
+    Goals propose along their walks, impressions keep the earliest proposer; every round only
+    rejected goals move on, so the result is that of the firings one after another.
     """
-    if method == "lifting":
-        vv, ii, gg = _walk_inputs(visits, impressions)
-        if lifting_applies(vv, gg):
-            return attribute_lifting(vv, ii, gg)
-    walk = referer_walk(visits, impressions, max_depth)
-    return walk.where(F.col("imp_from") <= F.col("fire_level")).select(
-        "user", "goal_url", "goal_ts", "imp_id", F.col("cur_ref").alias("source_url"),
-        F.col("cur_url").alias("target_url"), "imp_ts", "trail")
-
-
-_FAR = "9999-12-31 00:00:00"
-
-
-def _walk_inputs(visits: DataFrame, impressions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    vv = materialize(latest_visits(visits).repartition("user", "url"))
-    ii = materialize(dedup_impressions(impressions).repartition("user", "source_url", "target_url"))
-    gg = materialize(goals_of(visits))
-    return vv, ii, gg
-
-
-def lifting_applies(vv: DataFrame, gg: DataFrame) -> bool:
-    """Parent pointers are fixed when each (user, url) has one visit version and no visit reuses a goal url."""
-    multi = vv.groupBy("user", "url").count().where("count > 1").limit(1).count()
-    clash = vv.join(gg.select("user", F.col("goal_url").alias("url")), ["user", "url"], "left_semi").limit(1).count()
-    return multi == 0 and clash == 0
-
-
-def attribute_lifting(vv: DataFrame, ii: DataFrame, gg: DataFrame) -> DataFrame:
-    """Attribution by binary lifting over fixed parent pointers: O(log depth) joins instead of one per level.
-
-    ``up_k(v)`` is the 2^k-th ancestor of visit ``v``; ``hit_k(v)`` the earliest
-    watermark at which any of the 2^k visits from ``v`` matches an impression;
-    ``pres_k(v)`` the latest watermark at which one of the 2^k hops becomes
-    visible.  A goal with firing level ``F`` jumps while no hit is visible and
-    every hop is, so it lands on the first visible hit or where the trail goes
-    cold.  Trails are rebuilt from the same tables.
+    level = F.greatest("goal_ts", "g_wm")
+    late = F.col("g_wm") >= F.col("goal_ts")
+    turn = F.struct(level.alias("level"), late.alias("late"), F.when(late, F.col("g_arrival")).alias("arrival"), F.when(
+        late, F.col("g_seq")).alias("seq"), F.col("goal_ts").alias("ts"), F.col("goal_url").alias("url"))
+    left = materialize(hits.select(*GOAL, "depth", F.struct("imp.source_url", "imp.target_url").alias("what"),
+                                   turn.alias("turn")))
+    while True:
+        asked = left.groupBy(*GOAL).agg(F.min(F.struct("depth", "what", "turn")).alias("m")).select(
+            *GOAL, "m.depth", "m.what", "m.turn")
+        best = asked.groupBy("user", "what").agg(F.min("turn").alias("best"))
+        told = materialize(asked.join(best, ["user", "what"]).select(
+            *GOAL, F.col("depth").alias("at"), (F.col("turn") == F.col("best")).alias("won")))
+        lost = told.where(~F.col("won"))
+        if lost.isEmpty():
+            return told.select(*GOAL, F.col("at").alias("depth"))
+        left = materialize(left.join(lost, GOAL, "left").where(F.col("at").isNull() | (F.col("depth") > F.col("at")))
+                           .select(*GOAL, "depth", "what", "turn"))
+
+
+def attribute(visits: DataFrame, impressions: DataFrame, consume_impression: bool = False,
+              state_ttl: str | None = None) -> DataFrame:
+    """``user, goal_url, goal_ts, goal_referer, imp_id, source_url, target_url, imp_ts, trail``.
+
+    ``trail`` holds the visits walked through, oldest first, as the versions the goal saw.
+    ``consume_impression``: an impression credits one goal only, the first to fire, and later
+    goals walk past it.  ``state_ttl``: visits and impressions count for this long after
+    their event time.
     """
-    far = F.lit(_FAR).cast("timestamp_ntz")
-    imp = ii.select("user", F.col("source_url").alias("ref"), F.col("target_url").alias("url"),
-                    F.col("valid_from").alias("ivf"), F.col("id").alias("imp_id"), F.col("ts").alias("imp_ts"))
-    nodes = vv.select("user", "url", F.col("referer").alias("ref"), F.col("valid_from").alias("vf"))
-    nodes = materialize(nodes.join(imp.select("user", "ref", "url", "ivf"), ["user", "ref", "url"], "left"))
-    parents = nodes.select("user", F.col("url").alias("ref"), F.col("url").alias("p_url"), F.col("vf").alias("p_vf"))
-    t0 = nodes.join(parents, ["user", "ref"], "left").select(
-        "user", "url", F.col("p_url").alias("up"), F.coalesce("ivf", far).alias("hit"), F.col("p_vf").alias("pres"))
-    tables = [materialize(t0)]
-    longest = nodes.groupBy("user").count().agg(F.max("count")).first()[0] or 1
-    while len(tables) <= max(1, int(longest).bit_length()):
-        a, b = tables[-1].alias("a"), tables[-1].alias("b")
-        nxt = a.join(b, (F.col("a.user") == F.col("b.user")) & (F.col("a.up") == F.col("b.url")), "left").select(
-            F.col("a.user").alias("user"), F.col("a.url").alias("url"), F.col("b.up").alias("up"),
-            F.least(F.col("a.hit"), F.coalesce(F.col("b.hit"), far)).alias("hit"),
-            F.greatest(F.col("a.pres"), F.col("b.pres")).alias("pres"))
-        nxt = materialize(nxt)
-        tables.append(nxt)
-        if nxt.where(F.col("up").isNotNull()).limit(1).count() == 0:
-            break
-
-    goals = gg.join(imp.withColumnRenamed("ref", "goal_referer").withColumnRenamed("url", "goal_url"),
-                    ["user", "goal_referer", "goal_url"], "left")
-    at_goal = goals.where(F.col("ivf") <= F.col("fire_level")).select(
-        "user", "goal_url", "goal_ts", "imp_id", F.col("goal_referer").alias("source_url"),
-        F.col("goal_url").alias("target_url"), "imp_ts", F.array().cast("array<string>").alias("trail"))
-    rest = goals.where(~F.coalesce(F.col("ivf") <= F.col("fire_level"), F.lit(False))).select(
-        "user", "goal_url", "goal_ts", "goal_referer", "fire_level")
-    state = (rest.join(nodes.select("user", F.col("url").alias("goal_referer"), "vf"), ["user", "goal_referer"])
-             .where(F.col("vf") <= F.col("fire_level"))
-             .select("user", "goal_url", "goal_ts", "fire_level", F.col("goal_referer").alias("x1"),
-                     F.col("goal_referer").alias("x"), F.lit(1).cast("long").alias("depth")))
-    for k in reversed(range(len(tables))):
-        t = tables[k].select("user", F.col("url").alias("x"), F.col("up").alias("_up"), F.col("hit").alias("_hit"),
-                             F.col("pres").alias("_pres"))
-        jump = F.col("_up").isNotNull() & (F.col("_hit") > F.col("fire_level")) & (F.col("_pres") <= F.col("fire_level"))
-        state = (state.join(t, ["user", "x"], "left")
-                 .select("user", "goal_url", "goal_ts", "fire_level", "x1",
-                         F.when(jump, F.col("_up")).otherwise(F.col("x")).alias("x"),
-                         F.when(jump, F.col("depth") + (1 << k)).otherwise(F.col("depth")).alias("depth")))
-    state = materialize(state)
-    found = (state.join(nodes.select("user", F.col("url").alias("x"), "ref"), ["user", "x"])
-             .join(imp.withColumnRenamed("url", "x"), ["user", "ref", "x"])
-             .where(F.col("ivf") <= F.col("fire_level"))
-             .select("user", "goal_url", "goal_ts", "x1", "depth", "imp_id", F.col("ref").alias("source_url"),
-                     F.col("x").alias("target_url"), "imp_ts"))
-    steps = found.select("user", "goal_url", "goal_ts", F.col("x1").alias("cur"),
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("depth") - 1)).alias("j"))
-    for k in range(len(tables)):
-        t = tables[k].select("user", F.col("url").alias("cur"), F.col("up").alias("_up"))
-        bit = F.shiftright(F.col("j"), k).bitwiseAND(F.lit(1)) == 1
-        steps = (steps.join(t, ["user", "cur"], "left")
-                 .select("user", "goal_url", "goal_ts", "j", F.when(bit, F.col("_up")).otherwise(F.col("cur")).alias("cur")))
-    trails = steps.groupBy("user", "goal_url", "goal_ts").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("j", "cur")), asc=False), lambda s: s["cur"]).alias("trail"))
-    deep = found.join(trails, ["user", "goal_url", "goal_ts"]).select(
-        "user", "goal_url", "goal_ts", "imp_id", "source_url", "target_url", "imp_ts", "trail")
-    return at_goal.unionByName(deep)
-
-
-def attribution_records(attributed: DataFrame, visits: DataFrame) -> DataFrame:
+    levels = walk_levels(visits, impressions, state_ttl, stop_at_hit=not consume_impression)
+    steps = _steps(levels) if consume_impression else reduce(DataFrame.unionByName, levels)
+    hits = steps.where("hit")
+    if consume_impression:
+        hits = hits.join(_first_come(hits), [*GOAL, "depth"])
+    found = hits.select(*GOAL, F.col("depth").alias("end"), "imp")
+    way = steps.select(*GOAL, "depth", "cur").join(found.select(*GOAL, "end"), GOAL).where(F.col("depth") <= F.col("end"))
+    trails = way.groupBy(*GOAL).agg(F.sort_array(F.collect_list(F.struct("depth", "cur")), asc=False).alias("_t"))
+    goal_last = F.size("_t")
+    return found.join(trails, GOAL).select(
+        *GOAL, F.element_at("_t", goal_last)["cur"]["referer"].alias("goal_referer"), F.col("imp.id").alias("imp_id"),
+        "imp.source_url", "imp.target_url", F.col("imp.ts").alias("imp_ts"),
+        F.transform(F.slice("_t", 1, goal_last - 1), lambda s: s["cur"]).alias("trail"))
+
+
+def attribution_records(attributed: DataFrame) -> DataFrame:
     """Nested form ``user, impression STRUCT, trail ARRAY<STRUCT>, goal STRUCT`` for formatting."""
-    vv = visits.select("user", "url", "ts", "referer", "is_goal")
-    t = attributed.select("user", "goal_url", "goal_ts", F.posexplode("trail").alias("pos", "url"))
-    tv = (t.join(vv.where(~F.col("is_goal")).dropDuplicates(["user", "url"]), ["user", "url"], "left")
-          .groupBy("user", "goal_url", "goal_ts")
-          .agg(F.sort_array(F.collect_list(F.struct("pos", F.struct("url", "ts", "referer", "is_goal").alias("v"))))
-               .alias("_t")))
-    return (attributed.join(tv, ["user", "goal_url", "goal_ts"], "left")
-            .join(vv.where(F.col("is_goal")).dropDuplicates(["user", "url", "ts"])
-                  .withColumnRenamed("url", "goal_url").withColumnRenamed("ts", "goal_ts"),
-                  ["user", "goal_url", "goal_ts"], "left")
-            .select("user",
-                    F.struct(F.col("imp_id").alias("id"), "source_url", "target_url", F.col("imp_ts").alias("ts"))
-                    .alias("impression"),
-                    F.coalesce(F.transform("_t", lambda x: x["v"]),
-                               F.array().cast("array<struct<url:string,ts:timestamp_ntz,referer:string,is_goal:boolean>>"))
-                    .alias("trail"),
-                    F.struct(F.col("goal_url").alias("url"), F.col("goal_ts").alias("ts"), "referer", "is_goal")
-                    .alias("goal")))
+    return attributed.select(
+        "user", F.struct(F.col("imp_id").alias("id"), "source_url", "target_url", F.col("imp_ts").alias("ts")).alias(
+            "impression"), "trail",
+        F.struct(F.col("goal_url").alias("url"), F.col("goal_ts").alias("ts"), F.col("goal_referer").alias("referer"),
+                 F.lit(True).alias("is_goal")).alias("goal"))

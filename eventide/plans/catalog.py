@@ -17,15 +17,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.functions.timefmt import (dur_us, format_pane, format_time, format_window, parse_time,
-                                        to_us)
+from eventide.functions.timefmt import (END_OF_GLOBAL_US, MAX_TIME_US, MIN_TIME_US, dur_us, format_attribution,
+                                        format_pane, format_time, format_window, from_us, parse_time, to_us)
 from eventide.operators.aggregate import fixed_window_sum, sum_per_key
-from eventide.operators.attribution import attribute, dedup_impressions, latest_visits
+from eventide.operators.attribution import (attribute, attribution_records, dedup_impressions, latest_visits,
+                                              referer_walk)
 from eventide.operators.panes import pane_ledger
 from eventide.operators.windows import session_sum, validity_windows
 from eventide.plans.scan import with_neighbors
 from eventide.plans.spec import PaneSpec, Trigger
-from eventide.session import checkpoint_dir, materialize
+from eventide.session import materialize, scratch_dir
 from eventide.sources.arrival import tag_and_merge
 from eventide.sources.tables import (EVENT_WATERMARK, arrival_log_from_events, arrival_ts_of, load,
                                      scores_from_events)
@@ -69,32 +70,32 @@ def event_log(spark: SparkSession, sf: str) -> DataFrame:
 
 def visits_and_impressions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     e = events(spark, sf).select(
-        F.col("user_id").cast("string").alias("user"), "event_id", "ts", "event_type",
+        F.col("user_id").cast("string").alias("user"), "event_id", "ts", "event_type", "value",
         arrival_ts_of().alias("arrival_ts"),
-        F.struct("event_id", "event_type").alias("_me"),
+        F.struct("event_type", "value").alias("_me"),
         F.floor(to_us("ts") / F.lit(dur_us("1 day"))).alias("_b"))
     e = e.withColumn("wm_ts", EVENT_WATERMARK.wm_at(F.col("arrival_ts")))
     e = with_neighbors(e, ["user"], ["ts", "event_id"], "_b", "_me", "_prev", "_next")
     # Visits and impressions both come from this table, and the walk's inputs
     # read it again: materialize it once in the shared checkpoint folder.
     e = materialize(e.drop("_me", "_b"))
-    page = lambda c: F.concat(F.lit("e"), F.col(c).cast("string"))
+    page = lambda e: F.concat(e["event_type"], F.lit("-"), F.least(
+        F.floor(e["value"] / 20), F.lit(5)).cast("string"))
+    search = lambda e: F.concat(F.lit("q"), F.least(F.floor(e["value"] / 40), F.lit(2)).cast("string"))
+    me, prev, nxt = F.struct("event_type", "value"), F.col("_prev"), F.col("_next")
     visits = e.where(F.col("event_type") != "signup").select(
-        "user", page("event_id").alias("url"), "ts",
-        F.when(F.col("_prev").isNull(), F.lit(None).cast("string"))
-        .when(F.col("_prev.event_type") == "signup", F.concat(F.lit("q"), F.col("_prev.event_id").cast("string")))
-        .otherwise(page("_prev.event_id")).alias("referer"),
+        "user", page(me).alias("url"), "ts",
+        F.when(prev["event_type"] == "signup", search(prev)).otherwise(page(prev)).alias("referer"),
         (F.col("event_type") == "purchase").alias("is_goal"),
         "arrival_ts", F.col("event_id").alias("seq"), "wm_ts")
     imps = e.where(F.col("event_type") == "signup").select(
-        "user", F.col("event_id").alias("id"), F.concat(F.lit("q"), F.col("event_id").cast("string")).alias("source_url"),
-        F.when(F.col("_next").isNotNull(), page("_next.event_id")).alias("target_url"), "ts",
+        "user", F.col("event_id").alias("id"), search(me).alias("source_url"), page(nxt).alias("target_url"), "ts",
         "arrival_ts", F.col("event_id").alias("seq"), "wm_ts")
     return visits, imps
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # ---------------------------------------------------------------- queries
@@ -118,7 +119,19 @@ def _score_line_rows(spark, sf):
     e = events(spark, sf)
     return scores_from_events(e).select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user"), F.col("key").alias("team"), "score",
-        "event_ts", arrival_ts_of("event_ts").alias("arrival_ts"))
+        "event_ts", arrival_ts_of("event_ts").alias("arrival_ts"), "event_id")
+
+
+def _written_lines(spark, sf):
+    """Score lines as a text folder; of every 40 events one line is cut short, one is empty, one has no number."""
+    rows = _score_line_rows(spark, sf)
+    whole = score_lines(rows.select("*", F.pmod("event_id", F.lit(40)).alias("_m")), keep=("user", "team", "_m"))
+    lines = whole.select(F.when(F.col("_m") == 0, F.concat_ws(",\t", "user", "team")).when(F.col("_m") == 1, "").when(
+        F.col("_m") == 2, F.regexp_replace("value", r"\t(-?\d+),\t2024", "\tx$1,\t2024")).otherwise(
+            F.col("value")).alias("value"))
+    path = _scratch(spark, "score-lines")
+    write_text(lines, path)
+    return scan_text(spark, path)
 
 
 def q_write_text(spark, sf):
@@ -136,9 +149,11 @@ def q_scan_text(spark, sf):
 
 
 def q_parse_scores(spark, sf):
-    path = _scratch(spark, "score-lines")
-    write_text(score_lines(_score_line_rows(spark, sf)), path)
-    return parse_score_lines(scan_text(spark, path))
+    return parse_score_lines(_written_lines(spark, sf))[0]
+
+
+def q_score_rejects(spark, sf):
+    return parse_score_lines(_written_lines(spark, sf))[1]
 
 
 def q_parse_time(spark, sf):
@@ -147,12 +162,20 @@ def q_parse_time(spark, sf):
 
 
 def q_format_time(spark, sf):
-    return events(spark, sf).select("event_id", format_time("ts").alias("text"))
+    """Event times; of every 50 events one has no time and three have the named ones."""
+    m, named = F.pmod("event_id", F.lit(50)), lambda us: from_us(F.lit(us))
+    t = (F.when(m == 0, F.lit(None).cast("timestamp_ntz")).when(m == 1, named(MIN_TIME_US))
+         .when(m == 2, named(MAX_TIME_US)).when(m == 3, named(END_OF_GLOBAL_US)).otherwise(F.col("ts")))
+    return events(spark, sf).select("event_id", format_time(t).alias("text"))
 
 
 def q_format_window(spark, sf):
+    """Validity windows; by the second they start in, some are the global window or known by their end alone."""
     v = validity_windows(scores(spark, sf))
-    return v.select("key", "w_start", format_window("w_start", "w_end").alias("text"))
+    m, none = F.pmod(F.floor(to_us("w_start") / 1_000_000), F.lit(20)), F.lit(None).cast("timestamp_ntz")
+    text = format_window(F.when(m == 0, none).otherwise(F.col("w_start")), F.when(m == 0, none).otherwise(F.col("w_end")),
+                         F.when(m == 1, F.col("w_start")).otherwise(none))
+    return v.select("key", "w_start", text.alias("text"))
 
 
 def _pane_text(p: DataFrame) -> DataFrame:
@@ -198,7 +221,7 @@ def q_visits_or_impressions(spark, sf):
 
 def q_latest_visit(spark, sf):
     v, _ = visits_and_impressions(spark, sf)
-    return latest_visits(v).where(F.col("valid_to").isNull()).select("user", "url", "ts", "referer", "seq")
+    return latest_visits(v).where(F.col("next").isNull()).select("user", "url", "ts", "referer", "seq")
 
 
 def q_dedup_impressions(spark, sf):
@@ -213,25 +236,34 @@ def _attributed(spark, sf):
 
 def q_attribution(spark, sf):
     a = _attributed(spark, sf)
-    path = F.array_join(F.concat(F.array("source_url"), "trail", F.array("goal_url")), " → ")
-    return a.select("user", "goal_url", "goal_ts", "imp_id", "source_url", path.alias("path"),
+    path = F.array_join(F.concat(F.array("source_url"), F.transform("trail", lambda v: v["url"]), F.array("goal_url")),
+                        " → ")
+    seen = F.array_join(F.transform("trail", lambda v: F.date_format(v["ts"], "MM-dd HH:mm:ss")), " ")
+    return a.select("user", "goal_url", "goal_ts", "imp_id", "source_url", path.alias("path"), seen.alias("visit_times"),
                     F.size("trail").cast("bigint").alias("trail_len"))
 
 
+def q_attribution_once(spark, sf):
+    """Each impression credited once, state kept for ten days."""
+    v, i = visits_and_impressions(spark, sf)
+    return attribute(v, i, consume_impression=True, state_ttl=STATE_TTL).select(
+        "user", "goal_url", "goal_ts", "imp_id", F.size("trail").cast("bigint").alias("trail_len"))
+
+
 def q_format_attribution(spark, sf):
-    a = _attributed(spark, sf)
-    path = F.array_join(F.concat(F.array("source_url"), "trail", F.array("goal_url")), " → ")
-    text = F.format_string("[global window]: imp=%s %s %s %-7s", F.col("imp_id").cast("string"), path,
-                           format_time("goal_ts"), F.lit("UNKNOWN"))
-    return a.select("user", "goal_url", "goal_ts", text.alias("text"))
+    rec = attribution_records(_attributed(spark, sf))
+    return rec.select("user", F.col("goal.url").alias("goal_url"), F.col("goal.ts").alias("goal_ts"),
+                      format_attribution("impression", "trail", "goal").alias("text"),
+                      format_attribution("impression", "trail", "goal", F.lit("LATE"), F.lit(1), F.lit(0), F.lit(False),
+                                         F.lit(True)).alias("pane_text"))
 
 
 def q_referer_chain(spark, sf):
-    from eventide.operators.attribution import referer_walk
     v, i = visits_and_impressions(spark, sf)
     return referer_walk(v, i).select("user", "goal_url", "goal_ts", "depth", "cur_url", "cur_ref")
 
 
+STATE_TTL = "10 days"
 SESSION_PANES = dict(gap=SESSION_GAP, early_delay="10 minutes", lateness="3 hours")
 
 
@@ -249,6 +281,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_text": q_scan_text,
         "write_text": q_write_text,
         "parse_scores": q_parse_scores,
+        "score_rejects": q_score_rejects,
         "parse_time": q_parse_time,
         "format_time": q_format_time,
         "format_window": q_format_window,
@@ -260,6 +293,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dedup_impressions": q_dedup_impressions,
         "referer_chain": q_referer_chain,
         "attribution": q_attribution,
+        "attribution_once": q_attribution_once,
         "format_attribution": q_format_attribution,
         "session_panes": q_session_panes,
     }

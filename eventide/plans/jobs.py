@@ -15,7 +15,7 @@ def team_scores_job(spark: SparkSession, input_path: str, output_path: str) -> D
 
     Returns the rejected lines (unparseable score or time) instead of failing.
     """
-    good, rejects = parse_score_lines(scan_text(spark, input_path), with_rejects=True)
+    good, rejects = parse_score_lines(scan_text(spark, input_path))
     panes = single_panes(sum_per_key(good.withColumnRenamed("team", "key")))
     text = format_pane("w_start", "w_end", "key", "value", "timing", "pane_index", "on_time_index", "is_first",
                        "is_last")

@@ -7,7 +7,7 @@ CTEs for the sequential rules (unaligned delay, referer walk), no bucketing.
 from __future__ import annotations
 
 from eventide.functions.timefmt import dur_us
-from eventide.plans.catalog import PANE_SPECS, SESSION_GAP, WINDOW
+from eventide.plans.catalog import PANE_SPECS, SESSION_GAP, STATE_TTL, WINDOW
 from eventide.plans.spec import PaneSpec, Trigger
 
 ARR = "ts + to_microseconds(((event_id * 7919) % 7200) * 1000000)"
@@ -128,6 +128,12 @@ def ledger_sql(spec: PaneSpec, final: str = "panes_out") -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + f"\nSELECT * FROM {final}"
 
 
+def _line_sql(score: str) -> str:
+    iso = "'%Y-%m-%dT%H:%M:%S.%f'"
+    return (f"array_to_string(['u' || user_id, event_type, CAST({score} AS VARCHAR), strftime(ts, {iso}), "
+            f"strftime({ARR}, {iso})], ',' || chr(9))")
+
+
 def _window_text(s: str, e: str) -> str:
     return (f"'[' || strftime({s}, '%H:%M:%S') || ', ' || "
             f"CASE WHEN {e} IS NULL THEN 'END_OF_GLOBAL_WINDOW' ELSE strftime({e}, '%H:%M:%S') END || ')'")
@@ -147,37 +153,70 @@ def _validity_sql() -> str:
       FROM per"""
 
 
-VI = f"""ev AS (SELECT CAST(user_id AS VARCHAR) AS "user", event_id, ts, event_type, {ARR} AS arrival_ts,
-        event_id AS seq, {WM} AS wm_ts,
-        lag(event_id) OVER u AS prev_id, lag(event_type) OVER u AS prev_type, lead(event_id) OVER u AS next_id
-      FROM events WINDOW u AS (PARTITION BY user_id ORDER BY ts, event_id)),
-    visits AS (SELECT "user", 'e' || event_id AS url, ts,
-        CASE WHEN prev_id IS NULL THEN NULL WHEN prev_type = 'signup' THEN 'q' || prev_id ELSE 'e' || prev_id END AS referer,
-        event_type = 'purchase' AS is_goal, arrival_ts, seq, wm_ts FROM ev WHERE event_type <> 'signup'),
-    imps AS (SELECT "user", event_id AS id, 'q' || event_id AS source_url,
-        CASE WHEN next_id IS NULL THEN NULL ELSE 'e' || next_id END AS target_url, ts, arrival_ts, seq, wm_ts
-      FROM ev WHERE event_type = 'signup'),
-    vv AS (SELECT "user", url, ts, referer, seq, wm_ts AS valid_from,
-        lead(wm_ts) OVER (PARTITION BY "user", url ORDER BY arrival_ts, seq) AS valid_to FROM visits WHERE NOT is_goal),
-    ii AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY "user", source_url, target_url
-        ORDER BY arrival_ts, seq) AS rn FROM imps) WHERE rn = 1),
-    goals AS (SELECT "user", url AS goal_url, ts AS goal_ts, referer AS goal_referer, greatest(ts, min(wm_ts)) AS fire_level
-      FROM visits WHERE is_goal GROUP BY "user", url, ts, referer),
-    walk("user", goal_url, goal_ts, fire_level, cur_url, cur_ref, trail, depth) AS (
-      SELECT "user", goal_url, goal_ts, fire_level, goal_url, goal_referer, CAST([] AS VARCHAR[]), 0 FROM goals
+PAGE = "event_type || '-' || CAST(CAST(least(floor(value / 20), 5) AS BIGINT) AS VARCHAR)"
+SEARCH = "'q' || CAST(CAST(least(floor(value / 40), 2) AS BIGINT) AS VARCHAR)"
+
+# Visits, impressions and goals; then, for each goal, a snapshot of the state that had arrived when it fired.
+VI = f"""ev AS (SELECT CAST(user_id AS VARCHAR) AS "user", event_id, ts, event_type, value, {ARR} AS arrival_ts,
+        event_id AS seq, {WM} AS wm_ts, {PAGE} AS page, {SEARCH} AS search FROM events),
+    nb AS (SELECT *, lag(CASE WHEN event_type = 'signup' THEN search ELSE page END) OVER u AS prev,
+        lead(page) OVER u AS nxt FROM ev WINDOW u AS (PARTITION BY "user" ORDER BY ts, event_id)),
+    visits AS (SELECT "user", page AS url, ts, prev AS referer, event_type = 'purchase' AS is_goal, arrival_ts, seq, wm_ts
+      FROM nb WHERE event_type <> 'signup'),
+    imps AS (SELECT "user", event_id AS id, search AS source_url, nxt AS target_url, ts, arrival_ts, seq, wm_ts
+      FROM nb WHERE event_type = 'signup'),
+    goals AS (SELECT "user", url AS goal_url, ts AS goal_ts, arg_min(referer, (arrival_ts, seq)) AS goal_referer,
+        min(arrival_ts) AS g_arr, arg_min(seq, (arrival_ts, seq)) AS g_seq, min(wm_ts) AS g_wm
+      FROM visits WHERE is_goal GROUP BY "user", url, ts)"""
+
+
+def _walks(ttl: str | None = None, stop: bool = True) -> str:
+    seen = ("CASE WHEN g.g_wm >= g.goal_ts THEN (s.arrival_ts, s.seq) < (g.g_arr, g.g_seq) ELSE s.wm_ts < g.goal_ts END")
+    fresh = f" AND s.ts + to_microseconds({_us(ttl)}) >= greatest(g.goal_ts, g.g_wm)" if ttl else ""
+    go_on = "AND i.id IS NULL" if stop else ""
+    return f"""{VI},
+    gv AS (SELECT g."user", g.goal_url, g.goal_ts, s.url, arg_max(s.ts, (s.arrival_ts, s.seq)) AS ts,
+        arg_max({{'r': s.referer}}, (s.arrival_ts, s.seq)).r AS referer
+      FROM goals g JOIN visits s ON s."user" = g."user" AND NOT s.is_goal AND {seen}
+      GROUP BY g."user", g.goal_url, g.goal_ts, s.url),
+    gv2 AS (SELECT s.* FROM gv s JOIN goals g USING ("user", goal_url, goal_ts) WHERE true{fresh}),
+    gi AS (SELECT g."user", g.goal_url, g.goal_ts, s.source_url, s.target_url, arg_min(s.id, (s.arrival_ts, s.seq)) AS id,
+        arg_min(s.ts, (s.arrival_ts, s.seq)) AS ts
+      FROM goals g JOIN imps s ON s."user" = g."user" AND {seen}
+      GROUP BY g."user", g.goal_url, g.goal_ts, s.source_url, s.target_url),
+    gi2 AS (SELECT s.* FROM gi s JOIN goals g USING ("user", goal_url, goal_ts) WHERE true{fresh}),
+    walk("user", goal_url, goal_ts, cur_url, cur_ref, trail, times, depth) AS (
+      SELECT "user", goal_url, goal_ts, goal_url, goal_referer, CAST([] AS VARCHAR[]), CAST([] AS TIMESTAMP[]), 0 FROM goals
       UNION ALL
-      SELECT w."user", w.goal_url, w.goal_ts, w.fire_level, v.url, v.referer, list_prepend(v.url, w.trail), w.depth + 1
-      FROM walk w JOIN vv v ON v."user" = w."user" AND v.url = w.cur_ref AND v.valid_from <= w.fire_level
-        AND (v.valid_to IS NULL OR v.valid_to > w.fire_level)
-      WHERE NOT EXISTS (SELECT 1 FROM ii i WHERE i."user" = w."user" AND i.source_url = w.cur_ref
-                          AND i.target_url = w.cur_url AND i.wm_ts <= w.fire_level)
-        AND NOT list_contains(w.trail, v.url) AND v.url <> w.goal_url),
-    attributed AS (SELECT w."user", w.goal_url, w.goal_ts, i.id AS imp_id, i.source_url, w.trail
-      FROM walk w JOIN ii i ON i."user" = w."user" AND i.source_url = w.cur_ref AND i.target_url = w.cur_url
-        AND i.wm_ts <= w.fire_level)"""
+      SELECT w."user", w.goal_url, w.goal_ts, v.url, v.referer, list_prepend(v.url, w.trail), list_prepend(v.ts, w.times),
+        w.depth + 1
+      FROM walk w JOIN gv2 v ON v."user" = w."user" AND v.goal_url = w.goal_url AND v.goal_ts = w.goal_ts AND v.url = w.cur_ref
+        LEFT JOIN gi2 i ON i."user" = w."user" AND i.goal_url = w.goal_url AND i.goal_ts = w.goal_ts
+          AND i.source_url = w.cur_ref AND i.target_url = w.cur_url
+      WHERE NOT list_contains(w.trail, v.url) AND v.url <> w.goal_url {go_on}),
+    hits AS (SELECT w."user", w.goal_url, w.goal_ts, w.depth, i.id AS imp_id, w.cur_ref AS source_url,
+        w.cur_url AS target_url, w.trail, w.times
+      FROM walk w JOIN gi2 i ON i."user" = w."user" AND i.goal_url = w.goal_url AND i.goal_ts = w.goal_ts
+        AND i.source_url = w.cur_ref AND i.target_url = w.cur_url)"""
+
 
 PATH = "array_to_string([source_url] || trail || [goal_url], ' → ')"
 
+# Goals one after another in firing order per user; each takes the first impression of its walk not yet taken.
+ONCE = """turns AS (SELECT "user", goal_url, goal_ts, row_number() OVER (PARTITION BY "user" ORDER BY greatest(goal_ts, g_wm),
+        g_wm >= goal_ts, CASE WHEN g_wm >= goal_ts THEN g_arr END, CASE WHEN g_wm >= goal_ts THEN g_seq END, goal_ts, goal_url)
+        AS turn FROM goals),
+    ways AS (SELECT t."user", t.turn, t.goal_url, t.goal_ts, list({'d': h.depth, 'k': h.source_url || ' ' || h.target_url,
+        'id': h.imp_id} ORDER BY h.depth) FILTER (h.depth IS NOT NULL) AS way
+      FROM turns t LEFT JOIN hits h USING ("user", goal_url, goal_ts) GROUP BY ALL),
+    run("user", turn, taken, got) AS (
+      SELECT DISTINCT "user", CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST(NULL AS STRUCT(d INTEGER, k VARCHAR, id BIGINT))
+      FROM turns
+      UNION ALL
+      SELECT r."user", w.turn, CASE WHEN f IS NULL THEN r.taken ELSE list_append(r.taken, f.k) END, f
+      FROM run r JOIN (SELECT * FROM ways) w ON w."user" = r."user" AND w.turn = r.turn + 1,
+        LATERAL (SELECT list_filter(coalesce(w.way, []), lambda x: NOT list_contains(r.taken, x.k))[1] AS f) z)"""
+
 
 def oracle_sql() -> dict[str, str]:
     gap = _us(SESSION_GAP)
@@ -195,11 +234,21 @@ def oracle_sql() -> dict[str, str]:
                    CAST(sum(score) AS BIGINT) AS value FROM b GROUP BY key, sid""",
         "validity_windows": _validity_sql(),
         "parse_scores": f"""SELECT 'u' || user_id AS "user", event_type AS team, {SCORE} AS score, ts AS event_ts,
-                                   {ARR} AS arrival_ts FROM events""",
+                                   {ARR} AS arrival_ts FROM events WHERE event_id % 40 > 2""",
+        "score_rejects": f"""SELECT CASE event_id % 40 WHEN 0 THEN 'u' || user_id || ',' || chr(9) || event_type WHEN 1 THEN ''
+                ELSE {_line_sql("'x' || " + SCORE)} END AS value FROM events WHERE event_id % 40 <= 2""",
+        "write_text": f"SELECT {_line_sql(SCORE)} AS value FROM events",
+        "scan_text": f"""WITH {SCORES}, w AS (SELECT key, {_floor('event_ts', WINDOW)} AS w_start,
+                {_plus(_floor('event_ts', WINDOW), WINDOW)} AS w_end, sum(score) AS v FROM sc GROUP BY ALL)
+            SELECT key || ' ' || {_window_text('w_start', 'w_end')} || ' ' || CAST(CAST(v AS BIGINT) AS VARCHAR) AS value FROM w""",
         "parse_time": """SELECT event_id, strftime(ts, '%H:%M:%S') AS hms,
                                 CAST('1970-01-01 ' || strftime(ts, '%H:%M:%S') AS TIMESTAMP) AS t FROM events""",
-        "format_time": "SELECT event_id, strftime(ts, '%H:%M:%S') AS text FROM events",
-        "format_window": f"SELECT key, w_start, {_window_text('w_start', 'w_end')} AS text FROM ({_validity_sql()})",
+        "format_time": """SELECT event_id, CASE event_id % 50 WHEN 0 THEN 'null' WHEN 1 THEN 'TIMESTAMP_MIN_VALUE'
+                WHEN 2 THEN 'TIMESTAMP_MAX_VALUE' WHEN 3 THEN 'END_OF_GLOBAL_WINDOW' ELSE strftime(ts, '%H:%M:%S') END AS text
+            FROM events""",
+        "format_window": f"""SELECT key, w_start, CASE (epoch_us(w_start) // 1000000) % 20 WHEN 0 THEN '[global window]'
+                WHEN 1 THEN '..., ' || strftime(w_start, '%H:%M:%S') || ']'
+                ELSE {_window_text('w_start', 'w_end')} END AS text FROM ({_validity_sql()})""",
         "format_pane": ledger_sql(PANE_SPECS["allowed_lateness"]).replace(
             "SELECT * FROM panes_out", f"SELECT key, w_start, pane_index, {_pane_text()} AS text FROM panes_out"),
         "arrival_log": f"WITH {LOG} SELECT * FROM log",
@@ -210,17 +259,25 @@ def oracle_sql() -> dict[str, str]:
             SELECT "user", seq, 'visit' AS kind, url, referer, ts, is_goal, CAST(NULL AS BIGINT) AS imp_id FROM visits
             UNION ALL
             SELECT "user", seq, 'impression', target_url, source_url, ts, CAST(NULL AS BOOLEAN), id FROM imps""",
-        "latest_visit": f"""WITH {VI} SELECT "user", url, ts, referer, seq FROM vv WHERE valid_to IS NULL""",
-        "dedup_impressions": f"""WITH {VI} SELECT "user", source_url, target_url, id, ts FROM ii""",
-        "referer_chain": f"""WITH RECURSIVE {VI} SELECT "user", goal_url, goal_ts, depth, cur_url, cur_ref FROM walk""",
-        "attribution": f"""WITH RECURSIVE {VI}
-            SELECT "user", goal_url, goal_ts, imp_id, source_url, {PATH} AS path, CAST(len(trail) AS BIGINT) AS trail_len
-            FROM attributed""",
-        "format_attribution": f"""WITH RECURSIVE {VI}
-            SELECT "user", goal_url, goal_ts,
-                   printf('[global window]: imp=%s %s %s %-7s', CAST(imp_id AS VARCHAR), {PATH},
-                          strftime(goal_ts, '%H:%M:%S'), 'UNKNOWN') AS text
-            FROM attributed""",
+        "latest_visit": f"""WITH {VI} SELECT "user", url, arg_max(ts, (arrival_ts, seq)) AS ts,
+            arg_max({{'r': referer}}, (arrival_ts, seq)).r AS referer, arg_max(seq, (arrival_ts, seq)) AS seq
+            FROM visits WHERE NOT is_goal GROUP BY "user", url""",
+        "dedup_impressions": f"""WITH {VI} SELECT "user", source_url, target_url, arg_min(id, (arrival_ts, seq)) AS id,
+            arg_min(ts, (arrival_ts, seq)) AS ts FROM imps GROUP BY "user", source_url, target_url""",
+        "referer_chain": f"""WITH RECURSIVE {_walks()} SELECT "user", goal_url, goal_ts, depth, cur_url, cur_ref FROM walk""",
+        "attribution": f"""WITH RECURSIVE {_walks()}
+            SELECT "user", goal_url, goal_ts, imp_id, source_url, {PATH} AS path,
+                   array_to_string(list_transform(times, lambda t: strftime(t, '%m-%d %H:%M:%S')), ' ') AS visit_times,
+                   CAST(len(trail) AS BIGINT) AS trail_len
+            FROM hits""",
+        "attribution_once": f"""WITH RECURSIVE {_walks(STATE_TTL, stop=False)}, {ONCE}
+            SELECT t."user", t.goal_url, t.goal_ts, r.got.id AS imp_id, CAST(r.got.d AS BIGINT) AS trail_len
+            FROM run r JOIN turns t ON t."user" = r."user" AND t.turn = r.turn WHERE r.got IS NOT NULL""",
+        "format_attribution": f"""WITH RECURSIVE {_walks()},
+            f AS (SELECT *, printf('[global window]: imp=%s %s %s ', CAST(imp_id AS VARCHAR), {PATH},
+                          strftime(goal_ts, '%H:%M:%S')) AS head FROM hits)
+            SELECT "user", goal_url, goal_ts, head || 'UNKNOWN' AS text,
+                   head || 'LATE    index=1 onTimeIndex=0 isLast' AS pane_text FROM f""",
     }
     for name, spec in PANE_SPECS.items():
         sql = ledger_sql(spec)

@@ -35,32 +35,29 @@ def _instant(c: Column) -> Column:
     return F.try_to_timestamp(full).cast("timestamp_ntz")
 
 
-def parse_score_lines(lines: DataFrame, column: str = "value", with_rejects: bool = False):
-    """Parse score lines into ``user, team, score, event_ts, arrival_ts``.
+def parse_score_lines(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(``user, team, score, event_ts, arrival_ts``, rejected lines as ``value``).
 
-    Lines whose score or event time does not parse go to a second DataFrame
-    (returned when ``with_rejects``) instead of failing the job.
+    A line goes to the rejects if it has no third field or its score or event time does not
+    parse; short and empty lines do not fail the job.
     """
     parts = F.split(F.col(column), ",")
+    field = lambda i: _strip(F.get(parts, F.lit(i)))
     parsed = lines.select(
         F.col(column).alias("_line"),
-        _strip(parts.getItem(0)).alias("user"),
-        _strip(parts.getItem(1)).alias("team"),
-        _strip(parts.getItem(2)).try_cast("bigint").alias("score"),
-        _instant(parts.getItem(3)).alias("event_ts"),
-        F.when(F.size(parts) > 4, _instant(parts.getItem(4))).alias("arrival_ts"),
+        field(0).alias("user"),
+        field(1).alias("team"),
+        field(2).try_cast("bigint").alias("score"),
+        _instant(F.get(parts, F.lit(3))).alias("event_ts"),
+        _instant(F.get(parts, F.lit(4))).alias("arrival_ts"),
     )
     ok = F.col("team").isNotNull() & F.col("score").isNotNull() & F.col("event_ts").isNotNull()
-    good = parsed.where(ok).drop("_line")
-    if not with_rejects:
-        return good
-    bad = parsed.where(~F.coalesce(ok, F.lit(False))).select(F.col("_line").alias("value"))
-    return good, bad
+    return parsed.where(ok).drop("_line"), parsed.where(~ok).select(F.col("_line").alias("value"))
 
 
-def score_lines(scores: DataFrame) -> DataFrame:
-    """Inverse of ``parse_score_lines`` for rows ``user, team, score, event_ts, arrival_ts``."""
+def score_lines(scores: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Inverse of ``parse_score_lines`` for rows ``user, team, score, event_ts, arrival_ts``; ``keep`` columns go along."""
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    return scores.select(F.concat_ws(
+    return scores.select(*keep, F.concat_ws(
         ",\t", F.col("user"), F.col("team"), F.col("score").cast("string"),
         F.date_format("event_ts", iso), F.date_format("arrival_ts", iso)).alias("value"))
