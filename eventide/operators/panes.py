@@ -20,26 +20,26 @@ Rules (per key and fixed window ``[start, end)``):
 Every step is a DataFrame plan: window assignment and drop filters are
 projections, pane contents are partial aggregations, numbering and accumulation
 are bucketed running sums.  The one sequential rule, the unaligned delay
-(``deadline = first element of a pane + delay``), runs as ``applyInPandas`` per
-key and window over the window's early (or late) rows only.
+(``deadline = first element of a pane + delay``), is a chain found by pointer doubling.
+
+A repeated count trigger (``trigger = Trigger.count(n)``) numbers a window's rows over their
+whole arrival order, early and late ones together: every n-th row fires a pane, EARLY or
+LATE as that row is; rows left over fire when the window closes, ON_TIME if that is also the
+on-time step.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventide.functions.timefmt import ceil_to, dur_us, from_us, to_us
-from eventide.plans.scan import fill_backward, fill_forward, running_sums
+from eventide.plans.scan import first_at_or_after, last_at_or_before, running_sums
 from eventide.plans.spec import PaneSpec, Trigger
 from eventide.session import materialize
 
 _WKEY = ["key", "w_start"]
 _MAX_SUB = 2**62
-_PANE_TS = "struct<ts:timestamp_ntz,sub:bigint>"
 
 
 def assign_windows(log: DataFrame, spec: PaneSpec) -> DataFrame:
@@ -59,114 +59,43 @@ def split_rows(log: DataFrame, spec: PaneSpec, watermark) -> tuple[DataFrame, Da
     return kept, dropped
 
 
-def _with_delay_starts(rows: DataFrame, delays: dict[bool, int]) -> DataFrame:
+def _with_delay_starts(rows: DataFrame, delays: dict[bool, int], bucket: str) -> DataFrame:
     """Add ``_start``: first arrival of the row's unaligned-delay pane (NULL where no delay applies).
 
-    Pane k opens at its first element ``s_k`` and holds arrivals in
-    ``[s_k, s_k + delay)``; early and late rows are covered separately.  The
-    cover is sequential within a key and window, so rows are hash-partitioned by
-    (key, window), sorted by arrival inside each partition, and scanned batch by
-    batch with ``mapInPandas``; a group that straddles two Arrow batches carries
-    its open pane over.  Work per pane is one binary search, not one step per row.
-    """
-    d_of = {True: delays.get(True, 0), False: delays.get(False, 0)}
-    schema = T.StructType([*rows.schema.fields, T.StructField("_start", T.TimestampNTZType())])
-
-    def scan(batches):
-        carry = None  # (key, w_start, early, open pane start in us)
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            a = pdf["arrival_ts"].to_numpy(dtype="datetime64[us]").astype(np.int64)
-            key, ws, early = pdf["key"].to_numpy(), pdf["w_start"].to_numpy(), pdf["_early"].to_numpy()
-            brk = np.ones(n, dtype=bool)
-            brk[1:] = (key[1:] != key[:-1]) | (ws[1:] != ws[:-1]) | (early[1:] != early[:-1])
-            bounds = np.append(np.flatnonzero(brk), n)
-            out = np.full(n, np.iinfo(np.int64).min, dtype=np.int64)
-            for gi in range(len(bounds) - 1):
-                lo, hi = int(bounds[gi]), int(bounds[gi + 1])
-                d = d_of[bool(early[lo])]
-                if not d:
-                    continue
-                i = lo
-                if gi == 0 and carry is not None and carry[:3] == (key[lo], ws[lo], bool(early[lo])):
-                    s0 = carry[3]
-                    j = lo + int(np.searchsorted(a[lo:hi], s0 + d, side="left"))
-                    out[lo:j] = s0
-                    i = j
-                while i < hi:
-                    j = lo + int(np.searchsorted(a[lo:hi], a[i] + d, side="left"))
-                    out[i:j] = a[i]
-                    i = j
-            last = n - 1
-            carry = (key[last], ws[last], bool(early[last]), int(out[last]))
-            starts = pd.Series(out.astype("datetime64[us]"))
-            starts[out == np.iinfo(np.int64).min] = pd.NaT
-            pdf["_start"] = starts.to_numpy()
-            yield pdf
-
-    ordered = rows.repartition(*_WKEY).sortWithinPartitions(*_WKEY, "_early", "arrival_ts", "seq")
-    return ordered.mapInPandas(scan, schema)
-
-
-def _cover_mode(kept: DataFrame, delays: dict[bool, int], spec: PaneSpec, log: DataFrame | None = None) -> str:
-    """Pick the unaligned-delay cover; "auto" checks the largest (key, window) group (one small aggregation).
-
-    When the whole log is within the limit (a count that parquet answers from
-    file footers), no group can exceed it and the aggregation is skipped.
+    Pane k opens at its first element ``s_k`` and holds arrivals in ``[s_k, s_k + delay)``;
+    early and late rows of a window are covered apart.  Of a group's distinct arrival times,
+    let ``next(a)`` be the first at or after ``a + delay``; pane starts are the chain ``first,
+    next(first), next(next(first)), ...``.  ``next`` is a bucketed as-of lookup, the chain is
+    found by pointer doubling (``next^(2^k)`` tables), and every row takes the last start at or
+    before it.  The work is O(n log P) for P panes per group, spread by time and by
+    (group, arrival): no group gathers in one task, at any size.
     """
-    if spec.delay_cover != "auto":
-        return spec.delay_cover
-    if log is not None and log.count() <= spec.max_group_rows:
-        return "sorted"
-    flags = list(delays)
-    biggest = (kept.where(F.col("_early").isin(flags)).groupBy(*_WKEY, "_early").count()
-               .agg(F.max("count")).first()[0])
-    return "parallel" if biggest is not None and biggest > spec.max_group_rows else "sorted"
-
-
-def _with_delay_starts_parallel(rows: DataFrame, delays: dict[bool, int], bucket: str) -> DataFrame:
-    """Exact unaligned-delay cover without sending a (key, window) group to one task.
-
-    With rows of a group ordered by (arrival, seq), let ``next(i)`` be the first
-    row arriving at or after ``a_i + delay``; pane starts are the chain
-    ``first, next(first), next(next(first)), ...``.  ``next`` is an as-of lookup
-    (bucketed backward fill over rows and their deadlines), the chain is found by
-    pointer doubling (``next^(2^k)`` tables joined on row ids, each materialized),
-    and every row takes the last start at or before it (bucketed forward fill).
-    Work is O(n log P) for P panes per group, spread by row id and time bucket.
-    ``seq`` must identify rows.
-    """
-    spark = rows.sparkSession
-    g = ["key", "w_start", "_early"]
-    B = F.lit(dur_us(bucket))
-    dl = F.lit(None).cast("long")
+    span = F.lit(dur_us(bucket))
+    delay = F.lit(None).cast("long")
     for flag, d in delays.items():
-        dl = F.when(F.col("_early") == flag, F.lit(d)).otherwise(dl)
-    sub = rows.where(dl.isNotNull()).select(*g, to_us("arrival_ts").alias("_a"), "seq", dl.alias("_d"))
-    queries = sub.select(*g, (F.col("_a") + F.col("_d")).alias("_t"), F.lit(0).alias("_k"),
-                         F.col("seq").alias("_q"), F.lit(None).cast("long").alias("_id"))
-    data = sub.select(*g, F.col("_a").alias("_t"), F.lit(1).alias("_k"), F.lit(None).cast("long").alias("_q"),
-                      F.col("seq").alias("_id"))
-    both = queries.unionByName(data).withColumn("_b", F.floor(F.col("_t") / B))
-    nxt = fill_backward(both, g, ["_t", "_k", "_id"], "_b", "_id", "_n")
-    jump = materialize(nxt.where(F.col("_k") == 0).select(F.col("_q").alias("id"), F.col("_n").alias("nx")))
-    tables = [jump]
-    while tables[-1].where(F.col("nx").isNotNull()).limit(1).count() > 0:
-        j = tables[-1]
-        tables.append(materialize(j.alias("x").join(j.alias("y"), F.col("x.nx") == F.col("y.id"), "left")
-                                  .select(F.col("x.id").alias("id"), F.col("y.nx").alias("nx"))))
-    firsts = sub.groupBy(*g).agg(F.min(F.struct("_a", "seq")).alias("_f")).select(F.col("_f.seq").alias("id"))
-    starts = firsts
-    for j in reversed(tables):
-        hop = starts.join(j, "id").where(F.col("nx").isNotNull()).select(F.col("nx").alias("id"))
-        starts = materialize(starts.unionByName(hop).distinct())
-    marked = (sub.join(starts.select(F.col("id").alias("seq"), F.lit(True).alias("_s")), "seq", "left")
-              .withColumn("_sa", F.when(F.col("_s"), F.col("_a")))
-              .withColumn("_b", F.floor(F.col("_a") / B)))
-    filled = fill_forward(marked, g, ["_a", "seq"], "_b", "_sa", "_start_us")
-    return (rows.join(filled.select("seq", from_us(F.col("_start_us")).alias("_start")), "seq", "left"))
+        delay = F.when(F.col("_g._early") == flag, F.lit(d)).otherwise(delay)
+    rows = rows.withColumn("_g", F.struct("key", "w_start", "_early")).withColumn("_a", to_us("arrival_ts"))
+    nodes = materialize(rows.where(F.col("_early").isin(list(delays))).select("_g", "_a").distinct())
+    asked = nodes.select("_g", (F.col("_a") + delay).alias("_t"), F.lit(0).alias("_k"), F.col("_a").alias("_q"),
+                         F.lit(None).cast("long").alias("_v"))
+    there = nodes.select("_g", F.col("_a").alias("_t"), F.lit(1).alias("_k"), F.lit(None).cast("long").alias("_q"),
+                         F.col("_a").alias("_v"))
+    both = asked.unionByName(there).withColumn("_b", F.floor(F.col("_t") / span))
+    nxt = first_at_or_after(both, ["_g"], "_t", "_k", "_b", "_v", "_n").where("_k = 0 and _n is not null")
+    jump = materialize(nxt.select("_g", F.col("_q").alias("_a"), F.col("_n").alias("_to")))
+    tables = []
+    while not jump.isEmpty():
+        tables.append(jump)
+        onward = jump.select("_g", F.col("_a").alias("_to"), F.col("_to").alias("_then"))
+        jump = materialize(jump.join(onward, ["_g", "_to"]).select("_g", "_a", F.col("_then").alias("_to")))
+    starts = nodes.groupBy("_g").agg(F.min("_a").alias("_a"))
+    for jump in reversed(tables):
+        # Every start found so far leads to a new one 2^k panes on.
+        starts = materialize(starts.unionByName(starts.join(jump, ["_g", "_a"]).select("_g", F.col("_to").alias("_a"))))
+    marked = nodes.join(starts.withColumn("_s", F.col("_a")), ["_g", "_a"], "left").withColumn(
+        "_b", F.floor(F.col("_a") / span))
+    filled = last_at_or_before(marked, ["_g"], "_a", "_b", "_s", "_from")
+    return rows.join(filled.select("_g", "_a", from_us(F.col("_from")).alias("_start")), ["_g", "_a"], "left").drop("_g", "_a")
 
 
 def _assign(trig: Trigger | None, limit: str, tag: str) -> tuple[F.Column, F.Column, F.Column]:
@@ -218,17 +147,16 @@ def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool =
 
     delays = {flag: dur_us(t.delay) for flag, t in ((True, early_trig), (False, late_trig))
               if t is not None and t.kind == "unaligned"}
-    if delays and _cover_mode(kept, delays, spec, log) == "parallel":
-        kept = _with_delay_starts_parallel(kept, delays, spec.bucket)
-    elif delays:
-        kept = _with_delay_starts(kept, delays)
+    if delays:
+        kept = _with_delay_starts(kept, delays, spec.bucket)
     else:
         kept = kept.withColumn("_start", F.lit(None).cast("timestamp_ntz"))
     counted = [t for t in (early_trig, late_trig) if t is not None and t.kind == "count" and t.n > 1]
+    through = bool(counted) and spec.trigger.kind == "count"
     if counted:
         b = F.floor(to_us("arrival_ts") / F.lit(dur_us(spec.bucket)))
-        kept = running_sums(kept.withColumn("_b", b), ["key", "w_start", "_early"], ["arrival_ts", "seq"], "_b",
-                            {"_rn": F.lit(1).cast("long")}).drop("_b")
+        kept = running_sums(kept.withColumn("_b", b), [*_WKEY] if through else [*_WKEY, "_early"], ["arrival_ts", "seq"],
+                            "_b", {"_rn": F.lit(1).cast("long")}).drop("_b")
     else:
         kept = kept.withColumn("_rn", F.lit(0).cast("long"))
 
@@ -240,6 +168,9 @@ def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool =
     # phase: 0 EARLY fired, 1 ON_TIME, 2 LATE fired, 3 closing
     kept = kept.withColumn("_phase", F.when(early, F.when(F.col("_fired"), 0).otherwise(1))
                            .otherwise(F.when(F.col("_fired"), 2).otherwise(3)))
+    if through:
+        # One numbering for all rows; a pane's phase is that of the row that fills it.
+        kept = kept.withColumn("_phase", F.lit(0))
     phase = F.col("_phase")
     kept = kept.withColumn("_pts", F.when(phase == 0, ets).when(phase == 1, F.col("on_ts"))
                            .when(phase == 2, lts).otherwise(F.col("gc_ts")))
@@ -251,18 +182,23 @@ def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool =
     # ON_TIME pane exists even when every early row already fired.
     marker = F.struct(F.lit(1).alias("phase"), F.col("on_ts").alias("ts"), F.lit(0).cast("long").alias("sub"),
                       F.lit(0).cast("bigint").alias("score"), F.lit(0).cast("long").alias("n"))
-    entries = F.when(early & F.col("_fired"), F.array(own, marker)).otherwise(F.array(own))
-    flat = kept.select(*_WKEY, "w_end", "arrival_ts", "seq", F.explode(entries).alias("e"))
+    entries = F.array(own) if through else F.when(early & F.col("_fired"), F.array(own, marker)).otherwise(F.array(own))
+    flat = kept.select(*_WKEY, "w_end", "arrival_ts", "seq", "_early", F.explode(entries).alias("e"))
     panes = (flat.groupBy(*_WKEY, "w_end", F.col("e.phase").alias("phase"), F.col("e.ts").alias("pane_ts"),
                           F.col("e.sub").alias("pane_sub"))
              .agg(F.sum("e.score").alias("delta"), F.sum("e.n").alias("n"),
-                  F.max(F.when(F.col("e.n") > 0, F.struct("arrival_ts", "seq"))).alias("_last")))
-    if counted:
+                  F.max(F.when(F.col("e.n") > 0, F.struct("arrival_ts", "seq", "_early"))).alias("_last")))
+    if counted and not through:
         panes = _settle_counts(panes, early_trig, late_trig)
     if spec.resolved_on_time() == "if_non_empty":
         panes = panes.where((F.col("phase") != 1) | (F.col("n") > 0))
     end_us = to_us("w_end")
     panes = watermark.attach(panes, {"on": end_us, "gc": end_us + F.lit(dur_us(spec.lateness))}, log)
+    if through:
+        full = F.col("n") >= spec.trigger.n
+        at_once = (F.col("on_ts") == F.col("gc_ts")) & (F.col("on_seq") == F.col("gc_seq"))
+        panes = panes.withColumn("phase", F.when(full & F.col("_last._early"), 0).when(full, 2).when(at_once, 1).otherwise(3))
+        panes = panes.withColumn("pane_sub", F.when(F.col("phase") == 3, F.lit(_MAX_SUB)).otherwise(F.lit(0).cast("long")))
     ph = F.col("phase")
     panes = panes.select(
         *_WKEY, "w_end", F.least(ph, F.lit(2)).alias("phase"),

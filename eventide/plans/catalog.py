@@ -39,6 +39,7 @@ PANE_SPECS: dict[str, PaneSpec] = {
     "on_time_panes": PaneSpec(size=WINDOW),
     "allowed_lateness": PaneSpec(size=WINDOW, lateness="1 hour"),
     "per_record_panes": PaneSpec(size=WINDOW, trigger=Trigger.count(1), lateness="3 hours"),
+    "count_n_panes": PaneSpec(size=WINDOW, trigger=Trigger.count(3), lateness="1 hour"),
     "aligned_delay_panes": PaneSpec(size=WINDOW, trigger=Trigger.aligned("10 minutes", "5 minutes"),
                                     lateness="3 hours"),
     "unaligned_delay_panes": PaneSpec(size=WINDOW, trigger=Trigger.unaligned("10 minutes"), lateness="3 hours"),
@@ -108,7 +109,7 @@ def q_sum_per_key(spark, sf):
 
 
 def q_session_sum(spark, sf):
-    return session_sum(scores(spark, sf), SESSION_GAP, tie="event_id")
+    return session_sum(scores(spark, sf), SESSION_GAP)
 
 
 def q_validity_windows(spark, sf):

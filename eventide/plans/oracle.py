@@ -80,6 +80,29 @@ def _fire_sql(src: str, trig: Trigger | None, limit: str, phase: int, x: str) ->
     raise ValueError(trig)
 
 
+def count_sql(spec: PaneSpec) -> str:
+    """Every n-th row of a window fires a pane; the rest fires at the close."""
+    n = spec.trigger.n
+    on, gc = _ceil(_plus("w_end", "1 hour"), "1 hour"), _ceil(_plus(_plus("w_end", spec.lateness), "1 hour"), "1 hour")
+    return f"""WITH {LOG},
+        eoi AS (SELECT date_trunc('hour', max(arrival_ts)) + INTERVAL 1 HOUR AS eoi FROM log),
+        r AS (SELECT *, {_floor('event_ts', spec.size)} AS w_start, {_plus(_floor('event_ts', spec.size), spec.size)} AS w_end
+              FROM log),
+        k AS (SELECT key, w_start, w_end, score, arrival_ts, seq, wm_ts, least({on}, eoi) AS on_ts, least({gc}, eoi) AS gc_ts,
+                (row_number() OVER (PARTITION BY key, w_start ORDER BY arrival_ts, seq) - 1) // {n} AS pane
+              FROM r, eoi WHERE wm_ts < {_plus('w_end', spec.lateness)}),
+        p AS (SELECT key, w_start, w_end, on_ts, gc_ts, pane, sum(score) AS delta, count(*) AS c, max(arrival_ts) AS last_ts,
+                max(wm_ts) AS last_wm FROM k GROUP BY ALL),
+        q AS (SELECT *, CASE WHEN c = {n} THEN CASE WHEN last_wm < w_end THEN 0 ELSE 2 END WHEN on_ts = gc_ts THEN 1 ELSE 3 END
+                AS phase FROM p)
+        SELECT key, w_start, w_end, pane AS pane_index,
+            CASE WHEN phase > 0 THEN CAST(sum(CASE WHEN phase > 0 THEN 1 ELSE 0 END) OVER w - 1 AS BIGINT) END AS on_time_index,
+            CASE phase WHEN 0 THEN 'EARLY' WHEN 1 THEN 'ON_TIME' ELSE 'LATE' END AS timing, pane = 0 AS is_first,
+            phase IN (1, 3) AS is_last, CAST(sum(delta) OVER w AS BIGINT) AS value,
+            CASE WHEN c = {n} THEN last_ts ELSE gc_ts END AS fire_ts
+        FROM q WINDOW w AS (PARTITION BY key, w_start ORDER BY pane ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
 def ledger_sql(spec: PaneSpec, final: str = "panes_out") -> str:
     S, L = spec.size, spec.lateness
     early_trig = spec.early if spec.trigger.kind == "watermark" else spec.trigger
@@ -280,7 +303,7 @@ def oracle_sql() -> dict[str, str]:
                    head || 'LATE    index=1 onTimeIndex=0 isLast' AS pane_text FROM f""",
     }
     for name, spec in PANE_SPECS.items():
-        sql = ledger_sql(spec)
+        sql = count_sql(spec) if spec.trigger.kind == "count" and spec.trigger.n > 1 else ledger_sql(spec)
         if name == "pane_metadata":
             sql = sql.replace("SELECT * FROM panes_out", f"SELECT *, {_pane_text()} AS text FROM panes_out")
         o[name] = sql

@@ -2,11 +2,10 @@
 
 A plain ``Window.partitionBy(key).orderBy(t)`` puts a whole key into one task.
 Here each group is cut into sub-buckets of its order time (``bucket`` column,
-monotone in the order).  The scan runs per ``(group, bucket)``; a bucket-level
-table (one row per group and bucket, so its size is data span / bucket width,
-not row count) carries totals across buckets with a second, small window; one
-join on ``(group, bucket)`` adds the carry back.  The big side is shuffled once:
-the join reuses the window's hash partitioning.
+monotone in the order).  The scan runs per ``(group, bucket)``; what crosses a
+bucket's ends (totals, first and last rows) is carried by a second, small window
+with one or two rows per group and bucket, so its size is data span / bucket
+width, not row count.
 """
 
 from __future__ import annotations
@@ -40,71 +39,64 @@ def running_sums(df: DataFrame, by: Sequence[str], order: Sequence[str | Column]
     return out
 
 
+def with_neighbors(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], bucket: str,
+                   value: str, prev_out: str | None, next_out: str | None) -> DataFrame:
+    """``prev_out`` / ``next_out`` = ``value`` of the previous / next row of the group in ``order`` (NULL at the ends).
+
+    Two windows and no join: the first, by (group, bucket), finds neighbours inside buckets;
+    the second sees only the first and last rows of each bucket together in one group, two
+    rows per bucket, and finds the neighbours across buckets.  Other rows keep to their
+    (group, bucket) there, so no task holds a whole group.
+    """
+    cols = _cols(order)
+    inner = Window.partitionBy(*by, bucket).orderBy(*cols)
+    boxed = F.struct(F.col(value).alias("v"))
+    df = df.select("*", F.lag(boxed).over(inner).alias("_ip"), F.lead(boxed).over(inner).alias("_in"))
+    edge = F.col("_ip").isNull() | F.col("_in").isNull()
+    df = df.withColumn("_part", F.when(edge, F.lit(None).cast("long")).otherwise(F.col(bucket).cast("long")))
+    outer = Window.partitionBy(*by, "_part").orderBy(*cols)
+    picks = []
+    if prev_out:
+        picks.append(F.coalesce("_ip", F.lag(boxed).over(outer))["v"].alias(prev_out))
+    if next_out:
+        picks.append(F.coalesce("_in", F.lead(boxed).over(outer))["v"].alias(next_out))
+    return df.select("*", *picks).drop("_ip", "_in", "_part")
+
+
 def with_prev(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], bucket: str,
               value: str, out: str) -> DataFrame:
     """``out`` = ``value`` of the previous row of the group in ``order`` (NULL for the first)."""
-    part = Window.partitionBy(*by, bucket)
-    ordered = part.orderBy(*_cols(order))
-    local = df.select("*", F.lag(value).over(ordered).alias(out),
-                      F.last(value).over(ordered.rowsBetween(_U, Window.unboundedFollowing)).alias("_last"))
-    lasts = local.groupBy(*by, bucket).agg(F.first("_last").alias("_last"))
-    carry = lasts.select(*by, bucket, F.lag("_last").over(Window.partitionBy(*by).orderBy(bucket)).alias("_carry"))
-    res = local.drop("_last").join(carry, [*by, bucket], "inner")
-    return res.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry")
+    return with_neighbors(df, by, order, bucket, value, out, None)
 
 
 def with_next(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], bucket: str,
               value: str, out: str) -> DataFrame:
     """``out`` = ``value`` of the next row of the group in ``order`` (NULL for the last)."""
-    part = Window.partitionBy(*by, bucket)
-    ordered = part.orderBy(*_cols(order))
-    local = df.select("*", F.lead(value).over(ordered).alias(out),
-                      F.first(value).over(ordered.rowsBetween(_U, Window.unboundedFollowing)).alias("_first"))
-    firsts = local.groupBy(*by, bucket).agg(F.first("_first").alias("_first"))
-    carry = firsts.select(*by, bucket, F.lead("_first").over(Window.partitionBy(*by).orderBy(bucket)).alias("_carry"))
-    res = local.drop("_first").join(carry, [*by, bucket], "inner")
-    return res.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry")
+    return with_neighbors(df, by, order, bucket, value, None, out)
 
 
-def with_neighbors(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], bucket: str,
-                   value: str, prev_out: str, next_out: str) -> DataFrame:
-    """``with_prev`` and ``with_next`` in one bucketed pass (one window, one bucket table, one join)."""
+def _carried(df: DataFrame, by: Sequence[str], order: Sequence[Column], bucket: str, later: bool, value: str, out: str,
+             best) -> DataFrame:
+    """``best`` of ``value`` over this row and all before it in ``order``; frames start at the first row, so a pass is linear."""
     df = df.repartition(*by, bucket)
-    part = Window.partitionBy(*by, bucket)
-    ordered = part.orderBy(*_cols(order))
-    whole = ordered.rowsBetween(_U, Window.unboundedFollowing)
-    local = df.select("*", F.lag(value).over(ordered).alias(prev_out), F.lead(value).over(ordered).alias(next_out),
-                      F.first(value).over(whole).alias("_first"), F.last(value).over(whole).alias("_last"))
-    ends = local.groupBy(*by, bucket).agg(F.first("_first").alias("_first"), F.first("_last").alias("_last"))
-    wb = Window.partitionBy(*by).orderBy(bucket)
-    carry = ends.select(*by, bucket, F.lag("_last").over(wb).alias("_cp"), F.lead("_first").over(wb).alias("_cn"))
-    res = local.drop("_first", "_last").join(carry, [*by, bucket], "inner")
-    return (res.withColumn(prev_out, F.coalesce(F.col(prev_out), F.col("_cp")))
-            .withColumn(next_out, F.coalesce(F.col(next_out), F.col("_cn"))).drop("_cp", "_cn"))
-
-
-def fill_forward(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], bucket: str,
-                 value: str, out: str) -> DataFrame:
-    """``out`` = last non-null ``value`` at or before each row (NULL if none), bucketed."""
-    df = df.repartition(*by, bucket)
-    ordered = Window.partitionBy(*by, bucket).orderBy(*_cols(order))
-    local = df.select("*", F.last(value, ignorenulls=True).over(ordered.rowsBetween(_U, _C)).alias(out))
-    lasts = local.groupBy(*by, bucket).agg(F.last(out, ignorenulls=True).alias("_bl"))
-    wb = Window.partitionBy(*by).orderBy(bucket).rowsBetween(_U, -1)
-    carry = lasts.select(*by, bucket, F.last("_bl", ignorenulls=True).over(wb).alias("_carry"))
+    local = df.select("*", best(value).over(Window.partitionBy(*by, bucket).orderBy(*order).rowsBetween(_U, _C)).alias(out))
+    ends = local.groupBy(*by, bucket).agg(best(value).alias("_e"))
+    at = F.col(bucket).desc() if later else F.col(bucket).asc()
+    carry = ends.select(*by, bucket, best("_e").over(
+        Window.partitionBy(*by).orderBy(at).rowsBetween(_U, -1)).alias("_carry"))
     res = local.join(carry, [*by, bucket], "inner")
     return res.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry")
 
 
-def fill_backward(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], bucket: str,
-                  value: str, out: str) -> DataFrame:
-    """``out`` = first non-null ``value`` at or after each row (NULL if none), bucketed."""
-    df = df.repartition(*by, bucket)
-    ordered = Window.partitionBy(*by, bucket).orderBy(*_cols(order))
-    local = df.select("*", F.first(value, ignorenulls=True).over(
-        ordered.rowsBetween(_C, Window.unboundedFollowing)).alias(out))
-    firsts = local.groupBy(*by, bucket).agg(F.first(out, ignorenulls=True).alias("_bf"))
-    wb = Window.partitionBy(*by).orderBy(bucket).rowsBetween(1, Window.unboundedFollowing)
-    carry = firsts.select(*by, bucket, F.first("_bf", ignorenulls=True).over(wb).alias("_carry"))
-    res = local.join(carry, [*by, bucket], "inner")
-    return res.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry")
+def first_at_or_after(df: DataFrame, by: Sequence[str], time: str, tie: str, bucket: str, value: str,
+                      out: str) -> DataFrame:
+    """``out`` = least non-null ``value`` among rows of the group at or after this row (``value`` rises with ``time``).
+
+    Rows of equal time count if their ``tie`` is not below this row's.
+    """
+    return _carried(df, by, [F.col(time).desc(), F.col(tie).desc()], bucket, True, value, out, F.min)
+
+
+def last_at_or_before(df: DataFrame, by: Sequence[str], time: str, bucket: str, value: str, out: str) -> DataFrame:
+    """``out`` = greatest non-null ``value`` among rows of the group at or before this row (``value`` rises with ``time``)."""
+    return _carried(df, by, [F.col(time).asc()], bucket, False, value, out, F.max)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.timefmt import dur_us, from_us, to_us
+from eventide.plans.scan import first_at_or_after
 
 # Far-future watermark value meaning "input complete".
 WM_INFINITY = "9999-12-31 00:00:00"
@@ -66,12 +67,6 @@ class PaneSpec:
     mode: str = "accumulating"
     on_time: str | None = None
     bucket: str = "5 minutes"
-    # Unaligned-delay cover: "sorted" streams each (key, window) group through one
-    # task in arrival order; "parallel" uses pointer doubling on row ids (no group
-    # in one task, O(log panes) extra joins); "auto" measures the largest group
-    # first and goes parallel above ``max_group_rows``.
-    delay_cover: str = "auto"
-    max_group_rows: int = 2_000_000
 
     def resolved_on_time(self) -> str:
         if self.on_time:
@@ -172,15 +167,14 @@ class StepWatermark:
 def _first_step_at_or_above(levels: DataFrame, marks: DataFrame) -> DataFrame:
     """For each level, the earliest mark with ``wm_ts >= level`` (an as-of lookup).
 
-    Levels (distinct window ends) and marks are both sized by time span; they are
-    sorted together once and the next mark is found with a following-rows window.
+    Watermarks rise with ``seq``, so the earliest mark is the least by ``seq`` among those at
+    or above the level: a running minimum per hour of watermark time, carried across hours.
     """
-    m = marks.select(F.col("wm_ts").alias("_v"), F.lit(1).alias("_kind"), F.col("seq").alias("_s"),
-                     F.struct(F.col("proc_ts").alias("ts"), F.col("seq").alias("seq")).alias("_m"))
-    lv = levels.select(F.col("_level").alias("_v"), F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_s"),
-                       F.lit(None).cast("struct<ts:timestamp_ntz,seq:bigint>").alias("_m"))
-    w = Window.orderBy("_v", "_kind", "_s").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    both = lv.unionByName(m).withColumn("_next", F.first("_m", ignorenulls=True).over(w))
-    return both.where(F.col("_kind") == 0).select(F.col("_v").alias("_level"),
-                                                  F.col("_next.ts").alias("fire_ts"),
-                                                  F.col("_next.seq").alias("fire_seq"))
+    m = marks.select(F.lit(0).alias("_one"), to_us("wm_ts").alias("_v"), F.lit(1).alias("_kind"),
+                     F.struct(F.col("seq").alias("seq"), F.col("proc_ts").alias("ts")).alias("_m"))
+    lv = levels.select(F.lit(0).alias("_one"), to_us("_level").alias("_v"), F.lit(0).alias("_kind"),
+                       F.lit(None).cast("struct<seq:bigint,ts:timestamp_ntz>").alias("_m"))
+    both = lv.unionByName(m).withColumn("_b", F.floor(F.col("_v") / F.lit(dur_us("1 hour"))))
+    found = first_at_or_after(both, ["_one"], "_v", "_kind", "_b", "_m", "_next")
+    return found.where(F.col("_kind") == 0).select(from_us(F.col("_v")).alias("_level"), F.col("_next.ts").alias("fire_ts"),
+                                                   F.col("_next.seq").alias("fire_seq"))
