@@ -107,7 +107,7 @@ def time_of(used: Column, slope: Column) -> Column:
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The training order: ``docs``' rows, each as often as the mix takes it, range-sorted by ``position``.
+    """The training order: ``docs``' rows, each as often as the mix takes it, range-sorted by position.
 
     The plan joins the rows by doc_id and, where rows share one, by their order of size.
     Text moves twice: to meet its positions, and to its range of positions.
@@ -116,9 +116,11 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options
     nth = lambda key, size: F.row_number().over(Window.partitionBy(key).orderBy(size))
     plan = mix_plan(docs, doc_id=doc_id, text=text, **options).select(name("doc_id").alias("_id"), "size", "positions")
     plan = plan.withColumn("_nth", nth("_id", "size"))
-    rows = docs.withColumn("_doc", name(doc_id)).withColumn("_words", F.size(words(whole(text))))
+    # The row travels as one struct, so its columns may have any names.
+    rows = docs.select(F.struct("*").alias("row"), name(doc_id).alias("_doc"), F.size(words(whole(text))).alias("_words"))
     rows = rows.withColumn("_n", nth("_doc", "_words"))
     # Only the id is an equi-key, so the window above and the join share one shuffle of the text.
     taken = rows.join(plan, (F.col("_doc") == F.col("_id")) & (F.col("_n") - F.col("_nth") == 0))
-    taken = taken.select(*[docs[c] for c in docs.columns], F.explode("positions").alias("position"))
-    return taken.repartitionByRange("position").sortWithinPartitions("position")
+    taken = taken.select("row", F.explode("positions").alias("position"))
+    return taken.repartitionByRange("position").sortWithinPartitions("position").select(
+        *[F.col("row").getField(c).alias(c) for c in docs.columns])

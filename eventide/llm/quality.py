@@ -119,6 +119,10 @@ def remove_frequent_lines(docs: DataFrame, doc_id: str = "doc_id", host: str = "
     own = (lines.join(often, ["host", "line"]).groupBy("doc_id").agg(F.collect_set("line").alias("_often"))
            .withColumnRenamed("doc_id", "_id"))
     key = lambda s: F.xxhash64(F.btrim(F.regexp_replace(F.lower(s), "[0-9]", "0"), F.lit(" \t\x0b\x0c\r")))
-    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda s: ~F.array_contains("_often", key(s))), "\n")
-    return (docs.join(own, F.col(doc_id).eqNullSafe(F.col("_id")), "left")
-            .withColumn(text, F.when(F.col("_often").isNull(), F.col(text)).otherwise(kept)).select(docs.columns))
+    # The row travels as one struct, so its columns may have any names.
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("_doc"))
+    body = F.col("row").getField(text)
+    kept = F.array_join(F.filter(F.split(body, "\n", -1), lambda s: ~F.array_contains("_often", key(s))), "\n")
+    left = F.when(F.col("_often").isNull(), body).otherwise(kept)
+    return rows.join(own, F.col("_doc").eqNullSafe(F.col("_id")), "left").select(
+        *[left.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -321,7 +321,9 @@ def score_texts(docs: DataFrame, weights: dict[str, np.ndarray], text: str = "te
     A column that is already named score is replaced.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c != "score"]
-    docs = docs.select(*keep, F.col(text).alias("_text"))
+    fields = [docs.schema[c] for c in keep]
+    # Inside, columns go by number, so they may have any names.
+    docs = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col(text).alias("text"))
     # The weights have a fixed size, about 2 MB.
     sent, token = docs.sparkSession.sparkContext.broadcast(weights), uuid.uuid4().hex
 
@@ -333,4 +335,4 @@ def score_texts(docs: DataFrame, weights: dict[str, np.ndarray], text: str = "te
                 [*batch.columns[:len(keep)], pa.array(np.concatenate(scores) if scores else [], pa.float64())],
                 [*keep, "score"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields[:len(keep)], StructField("score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*fields, StructField("score", DoubleType())]))
