@@ -4,8 +4,9 @@ A document is the set of hashed shingles of five words (all its words, if fewer)
 are collapsed first.  Each distinct set keeps ``SKETCH`` minimum hash values, whose agreement
 estimates the Jaccard similarity.  A run splits all sets by sampled shared tokens: every node
 of the recursion samples each sketch position with probability 1 / (SIMILAR * SKETCH), and
-sets that agree at a sampled position go to one child.  Buckets of at most ``LEAF`` sets, and
-all buckets at ``DEPTH``, are compared by brute force, large ones in blocks.  Runs are repeated
+sets that agree at a sampled position go to one child.  Buckets of at most ``LEAF`` sets,
+those whose sets are alike already (splitting would only lose pairs), and all buckets at
+``DEPTH`` are compared by brute force, large ones in blocks.  Runs are repeated
 until a pair at exactly ``SIMILAR`` meets with probability ``RECALL``.
 
 Brute force compares sketches, keeps the pairs above the estimate's tolerance, and verifies
@@ -39,11 +40,13 @@ from pyspark.sql import functions as F
 from eventide.llm.bpe import rows_of
 from eventide.session import materialize
 
-WORDS, SIMILAR, RECALL = 5, 0.8, 0.99
+WORDS, SIMILAR, RECALL = 5, 0.8, 0.995
 SKETCH, DEPTH, LEAF = 64, 3, 128
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 20
 #: Agreeing sketch positions below which a pair at SIMILAR falls about once in two thousand.
 TOLERATED = 40
+#: A large bucket whose sets agree at this share of LOOKED_AT sketch positions is compared as it is.
+ALIKE, LOOKED_AT = 0.5, 4
 WORDS_KEPT = 1 << 19
 ODD = np.uint64(0x9E3779B97F4A7C15)
 PATHS = np.random.default_rng(11).integers(1, 1 << 63, 2 * SKETCH, dtype=np.uint64).reshape(2, SKETCH) | np.uint64(1)
@@ -152,7 +155,7 @@ def split_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def leaves_of(sets: DataFrame) -> DataFrame:
-    """(bucket, set_id, m, w) of all leaves with two sets or more; m sets and w shingles in the leaf."""
+    """(bucket, set_id, m) of all leaves with two sets or more; m sets in the leaf."""
     keyed = sets.select("set_id", "n", "sketch")
     level = sets.select("set_id", "sketch").mapInArrow(split_roots, "bucket long, set_id binary")
     found = None
@@ -165,11 +168,36 @@ def leaves_of(sets: DataFrame) -> DataFrame:
         large = shared.where(F.col("m") > LEAF)
         if depth == DEPTH or large.isEmpty():
             break
-        level = large.select("bucket", "set_id").join(keyed.select("set_id", "sketch"), "set_id").select(
-            "bucket", "set_id", "sketch").mapInArrow(split_buckets, "bucket long, set_id binary")
+        large = materialize(large.join(keyed.select("set_id", "sketch"), "set_id"))
+        alike = large.select("bucket", "m", "sketch").mapInArrow(
+            count_values, "bucket long, m long, place int, value long, n long").groupBy(
+                "bucket", "m", "place", "value").agg(F.sum("n").cast("double").alias("n"))
+        alike = alike.groupBy("bucket", "m").agg((F.sum(F.col("n") * F.col("n")) / LOOKED_AT).alias("pairs"))
+        alike = materialize(alike.where(F.col("pairs") >= ALIKE * F.col("m") * F.col("m")).select("bucket"))
+        found = found.unionByName(large.join(alike, "bucket", "left_semi").select("bucket", "set_id", "m"))
+        level = large.join(alike, "bucket", "left_anti").select("bucket", "set_id", "sketch").mapInArrow(
+            split_buckets, "bucket long, set_id binary")
     return found
 
 
+def count_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, m, sketch) to (bucket, m, place, value, n): how often each value stands at a few sketch positions."""
+    for batch in batches:
+        packed = batch.column("sketch").to_pylist()
+        if not packed:
+            continue
+        sketches = np.frombuffer(b"".join(packed), np.uint32).reshape(-1, SKETCH)
+        bucket, m = batch.column("bucket").to_numpy(), batch.column("m").to_numpy()
+        for place in range(LOOKED_AT):
+            order = np.lexsort((sketches[:, place], bucket))
+            b, v = bucket[order], sketches[order, place]
+            first = np.flatnonzero(np.r_[True, (b[1:] != b[:-1]) | (v[1:] != v[:-1])])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(b[first]), pa.array(m[order][first]), pa.array(np.full(len(first), place, np.int32)),
+                 pa.array(v[first].astype(np.int64)), pa.array(np.diff(np.r_[first, len(b)]))],
+                ["bucket", "m", "place", "value", "n"])
+
+
 # ---------------------------------------------------------------- brute force
 def groups_of(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Runs of rows with one key, whole even where they span batches; rows come sorted by key."""
@@ -375,6 +403,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     first = near_classes(docs, doc_id, text).where("is_first").select(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_name"), F.col("text_key").alias("_key")).distinct()
     name = F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit(""))
-    keyed = docs.withColumn("_own", name).withColumn("_text_key", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    kept = keyed.join(first, (F.col("_own") == F.col("_name")) & (F.col("_text_key") == F.col("_key")), "left_semi")
-    return kept.dropDuplicates(["_own", "_text_key"]).select(docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), name.alias("_own"), F.xxhash64(
+        F.coalesce(F.col(text), F.lit(""))).alias("_text_key"))
+    kept = rows.join(first, (F.col("_own") == F.col("_name")) & (F.col("_text_key") == F.col("_key")), "left_semi")
+    return kept.dropDuplicates(["_own", "_text_key"]).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
