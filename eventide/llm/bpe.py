@@ -9,9 +9,9 @@ last ``longest`` of them come out as before.
 Whether two tokens stand side by side is decided by definition: merging their joined bytes
 by rank gives the two back.  Answers are memoised.
 
-A text is cut by the pre-tokenizer pattern.  No match runs from a non-space into a
-following space, so texts without doubled, leading or trailing spaces are cut at spaces
-first and each unit's ids are looked up; other texts go through the pattern whole.  Caches
+A text is cut by the pre-tokenizer pattern.  A match begins at every space that a character
+other than white space follows, so texts in which all spaces are such are cut at them and
+each unit's ids are looked up; other texts go through the pattern whole.  Caches
 are bounded and emptied when full, so a worker's memory does not follow the corpus.
 
 Defined cases: a null text encodes as the empty text (no ids); any length; a document is
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -32,12 +33,33 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-UNITS_KEPT = 1 << 19
+UNITS_KEPT, PIECES_KEPT = 1 << 19, 1 << 18
+HEAD_BYTES, HEADS_KEPT = 6, 1 << 16
 PAIRS_KEPT = 1 << 20
 ROWS_AT_ONCE = 64
+#: A space before white space or the end: it may belong to a match that began before it.
+NOT_BETWEEN_UNITS = re.compile(r" (?:\s|\Z)")
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+class Recent(dict):
+    """``find`` of what is asked for, kept in two halves: when the new one is full, it becomes the old one."""
+
+    def __init__(self, find, kept: int):
+        super().__init__()
+        self.find, self.kept, self.before = find, kept, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.kept:
+            self.before = dict(self)
+            self.clear()
+        value = self.before.get(key)
+        if value is None:
+            value = self.find(key)
+        self[key] = value
+        return value
+
+
 class Vocabulary:
     """Token ids and bytes, and the prefix tables over them."""
 
@@ -45,8 +67,10 @@ class Vocabulary:
         self.ranks = ranks
         self.token = dict(zip(ranks.values(), ranks.keys(), strict=True))
         self.longest = max(map(len, ranks))
-        self.tails = {t[i:] for t in ranks for i in range(len(t))}
+        #: Every ending of a token: its id if it is a token itself, else -1.
+        self.tails = {t[i:]: ranks.get(t[i:], -1) for t in ranks for i in range(len(t))}
         self._beside: dict[tuple[int, int], bool] = {}
+        self.heads = Recent(lambda data: tuple(self.table(data)), HEADS_KEPT)
 
     def merged(self, data: bytes) -> list[int]:
         """The definition: join the neighbours of lowest rank, leftmost first, while any pair has one."""
@@ -71,11 +95,13 @@ class Vocabulary:
 
     def last_token(self, data: bytes, end: int, last: list[int]) -> int:
         """The last token of ``data[:end]``, given those of all shorter prefixes."""
-        ranks, tails, at, found = self.ranks, self.tails, end - 1, []
-        while at >= 0 and (tail := data[at:end]) in tails:
-            if tail in ranks:
-                found.append((at, ranks[tail]))
-            at -= 1
+        tails, found = self.tails, []
+        for at in range(end - 1, -1, -1):
+            token = tails.get(data[at:end])
+            if token is None:
+                break
+            if token >= 0:
+                found.append((at, token))
         for start, token in reversed(found):
             if start == 0 or self.beside(last[start - 1], token):
                 return token
@@ -99,7 +125,10 @@ class Vocabulary:
     def encode(self, data: bytes) -> list[int]:
         if data in self.ranks:
             return [self.ranks[data]]
-        return self.read_back(self.table(data))
+        if len(data) <= HEAD_BYTES:
+            return self.read_back(self.table(data))
+        # A table of the first bytes serves every string that begins with them: the rest is an append.
+        return self.read_back(self.table(data, self.heads[data[:HEAD_BYTES]]))
 
     def edit(self, data: bytes, last: list[int], start: int, end: int, new: bytes) -> tuple[bytes, list[int]]:
         """Replace ``data[start:end]`` by ``new``: the new bytes and their table, recomputed near the edit only."""
@@ -122,32 +151,17 @@ class TextEncoder:
         self.vocabulary, self.pattern = vocabulary, regex.compile(pattern)
         self.bytes_of = [vocabulary.token.get(i, b"") for i in range(max(vocabulary.token) + 1)]
         self.name_of = [str(i) for i in range(len(self.bytes_of))]
-        encoder = self
-
-        class Spaced(dict):
-            """Ids of a unit with its leading space; when full, what is not asked for again is forgotten."""
-
-            before: dict[str, tuple[int, ...]] = {}
-
-            def __missing__(self, unit: str) -> tuple[int, ...]:
-                if len(self) >= UNITS_KEPT:
-                    self.before = dict(self)
-                    self.clear()
-                ids = self.before.pop(unit, None)
-                if ids is None:
-                    ids = tuple(encoder.matches(" " + unit))
-                self[unit] = ids
-                return ids
-
-        self.spaced = Spaced()
+        self.pieces = Recent(lambda piece: tuple(vocabulary.encode(piece.encode())), PIECES_KEPT)
+        #: Ids of a unit with its leading space.
+        self.spaced = Recent(lambda unit: tuple(self.matches(" " + unit)), UNITS_KEPT)
 
     def matches(self, text: str) -> Iterator[int]:
-        return chain.from_iterable(self.vocabulary.encode(m.encode()) for m in self.pattern.findall(text))
+        return chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
     def encode(self, text: str) -> list[int]:
-        units = text.split(" ")
-        if "" in units:
+        if NOT_BETWEEN_UNITS.search(text):
             return list(self.matches(text))
+        units = text.split(" ")
         return list(chain(self.matches(units[0]), chain.from_iterable(map(self.spaced.__getitem__, units[1:]))))
 
     def decode(self, ids: list[int]) -> bytes:
