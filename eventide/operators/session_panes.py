@@ -6,8 +6,7 @@ window's bounds starts a new window whose pane numbering restarts; a merged
 window already behind the watermark fires LATE at once.  Its state is the set of
 open sessions of one key, so the bounded form streams each key's rows in arrival
 order (``repartition`` by key + ``sortWithinPartitions`` + ``mapInPandas``) and
-keeps only open sessions in memory; the streaming form keeps the same state in
-``transformWithStateInPandas``.
+keeps only open sessions in memory.
 """
 
 from __future__ import annotations
@@ -265,18 +264,3 @@ def _frame(key, out):
         "value": np.array(arr[7], dtype="int64"),
         "fire_ts": pd.to_datetime(np.array(arr[8], dtype="int64"), unit="us"),
     })
-
-
-def machine_to_json(m: SessionPaneMachine) -> str:
-    import json
-    return json.dumps({"wm": m.wm, "sessions": [s.__dict__ for s in m.sessions]})
-
-
-def machine_from_json(text: str | None, **params) -> SessionPaneMachine:
-    import json
-    m = SessionPaneMachine(**params)
-    if text:
-        d = json.loads(text)
-        m.wm = d["wm"]
-        m.sessions = [Session(**x) for x in d["sessions"]]
-    return m

@@ -1,57 +1,11 @@
-"""Bounded arrival logs: data rows, watermark steps and clock steps in arrival order.
-
-A scripted stream becomes two DataFrames: the data log (each row with its arrival
-time and the watermark in force when it arrived) and the marks table (one row per
-watermark step).  Both feed the bounded pane ledger and the streaming replay.
-"""
+"""Visits and impressions as one keyed stream."""
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Iterable, Sequence
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-INFINITY = dt.datetime(9999, 12, 31)
-
-
-def at(hms: str | None, date: dt.date = dt.date(1970, 1, 1)) -> dt.datetime:
-    """'HH:mm:ss' on 1970-01-01; None means the end of time (watermark infinity)."""
-    if hms is None:
-        return INFINITY
-    h, m, s = (int(x) for x in hms.split(":"))
-    return dt.datetime(date.year, date.month, date.day, h, m, s)
-
-
-def arrival_log_from_steps(spark: SparkSession, steps: Iterable[Sequence], data_fields: Sequence[T.StructField],
-                           start_clock: str = "12:00:00") -> tuple[DataFrame, DataFrame]:
-    """Build ``(log, marks)`` from steps ``('p', time)``, ``('w', time|None)`` and ``('e', *values)``.
-
-    ``log`` has ``seq, arrival_ts, wm_ts`` followed by ``data_fields``; ``marks``
-    has ``seq, proc_ts, wm_ts``.  Clock and watermark start at ``start_clock``.
-    """
-    clock = wm = at(start_clock)
-    rows, marks = [], []
-    for seq, step in enumerate(steps):
-        kind = step[0]
-        if kind == "p":
-            clock = at(step[1])
-        elif kind == "w":
-            wm = at(step[1])
-            marks.append((seq, clock, wm))
-        elif kind == "e":
-            rows.append((seq, clock, wm, *step[1:]))
-        else:
-            raise ValueError(f"unknown step {step!r}")
-    log_schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("arrival_ts", T.TimestampNTZType()),
-                               T.StructField("wm_ts", T.TimestampNTZType()), *data_fields])
-    mark_schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("proc_ts", T.TimestampNTZType()),
-                                T.StructField("wm_ts", T.TimestampNTZType())])
-    return spark.createDataFrame(rows, log_schema), spark.createDataFrame(marks, mark_schema)
-
-
 VISIT = T.StructType([T.StructField("url", T.StringType()), T.StructField("ts", T.TimestampNTZType()),
                       T.StructField("referer", T.StringType()), T.StructField("is_goal", T.BooleanType())])
 IMPRESSION = T.StructType([T.StructField("id", T.LongType()), T.StructField("source_url", T.StringType()),

@@ -1,8 +1,8 @@
-from eventide.streaming.native import stream_window_sums, stream_session_sums
-from eventide.streaming.replay import replay_rows, write_replay, read_replay
-from eventide.streaming.processor import stream_panes
-from eventide.streaming.validity import stream_validity_windows
 from eventide.streaming.attribution import stream_attribution
+from eventide.streaming.native import stream_session_sums, stream_window_sums
+from eventide.streaming.panes import stream_panes
+from eventide.streaming.validity import stream_validity_windows
+from eventide.streaming.watermark import asserted
 
-__all__ = ["stream_window_sums", "stream_session_sums", "replay_rows", "write_replay", "read_replay",
-           "stream_panes", "stream_validity_windows", "stream_attribution"]
+__all__ = ["asserted", "stream_attribution", "stream_panes", "stream_session_sums", "stream_validity_windows",
+           "stream_window_sums"]

@@ -1,17 +1,17 @@
-"""Conversion attribution as a Structured Streaming stateful operator.
-
-Per user, state holds the latest visit per URL (last arrival wins), the first
-impression per (source, target) and the pending goals.  A goal fires when the
-watermark passes its timestamp: the referer chain is walked back through the
-visit map until a (referer, url) pair is a known impression.  Inputs are replay
-rows (``kind`` = ``data`` or ``wm``), so processing order and watermark are part
-of the data and the result equals the bounded form in
-``eventide.operators.attribution``.
+"""Conversion attribution as a live stateful operator.
+
+Per user, map states hold the latest visit of each URL (last arrival wins), the first
+impression of each (source, target) and the pending goals.  Each goal has an event-time
+timer; a goal that arrives behind the watermark is walked at once.  The walk follows
+referers through the visits until a (referer, url) pair is a known impression.
+
+``consume_impression``: an impression is taken out of the state by the first goal that it
+credits.  ``state_ttl``: visits and impressions count for this long after their event time
+and are removed once the watermark is past that.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,84 +20,104 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from eventide.functions.timefmt import to_us
-
-OUTPUT = T.StructType([
-    T.StructField("user", T.StringType()), T.StructField("goal_url", T.StringType()),
-    T.StructField("goal_ts_us", T.LongType()), T.StructField("imp_id", T.LongType()),
-    T.StructField("source_url", T.StringType()), T.StructField("target_url", T.StringType()),
-    T.StructField("trail", T.ArrayType(T.StringType())),
-])
-_FAR = 253_370_764_800_000_000
-
-
-def attribution_replay_rows(log: DataFrame, marks: DataFrame) -> DataFrame:
-    """Flatten a visits/impressions log ``user, seq, arrival_ts, wm_ts, visit, impression`` plus per-user marks."""
-    data = log.select(
-        F.col("user").alias("key"), "seq", F.lit("data").alias("kind"), to_us("arrival_ts").alias("a"),
-        to_us("wm_ts").alias("w"), F.col("visit.url").alias("v_url"), to_us("visit.ts").alias("v_ts"),
-        F.col("visit.referer").alias("v_ref"), F.col("visit.is_goal").alias("v_goal"),
-        F.col("impression.id").alias("i_id"), F.col("impression.source_url").alias("i_src"),
-        F.col("impression.target_url").alias("i_tgt"))
-    users = log.select(F.col("user").alias("key")).distinct()
-    wm = marks.join(users).select("key", "seq", F.lit("wm").alias("kind"), to_us("proc_ts").alias("a"),
-                                  to_us("wm_ts").alias("w"))
-    return data.unionByName(wm, allowMissingColumns=True)
-
-
-def walk(goal: dict, visits: dict, imps: dict) -> tuple[dict, list[str]] | None:
-    trail: list[str] = []
-    seen = {goal["url"]}
-    cur = goal
-    while True:
-        imp = imps.get(f'{cur["ref"]}\x00{cur["url"]}')
-        if imp is not None:
-            return imp, trail
-        nxt = visits.get(cur["ref"]) if cur["ref"] is not None else None
-        if nxt is None or nxt["url"] in seen:
-            return None
-        seen.add(nxt["url"])
-        trail.insert(0, nxt["url"])
-        cur = nxt
+from eventide.functions.timefmt import dur_us, to_us
+from eventide.streaming.watermark import asserted, keyed
+
+
+def _fields(**kinds) -> T.StructType:
+    return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
+
+
+S, L = T.StringType(), T.LongType()
+OUT = _fields(user=S, goal_url=S, goal_us=L, imp_id=L, source_url=S, target_url=S, imp_us=L,
+              trail=T.ArrayType(_fields(url=S, us=L, referer=S)))
 
 
 class AttributionProcessor(StatefulProcessor):
+    def __init__(self, consume: bool, ttl_us: int | None):
+        self.consume, self.ttl = consume, ttl_us
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("attribution", T.StructType([T.StructField("json", T.StringType())]))
+        self.handle = handle
+        self.visits = handle.getMapState("visits", _fields(url=S), _fields(us=L, referer=S))
+        self.impressions = handle.getMapState("impressions", _fields(source=S, target=S), _fields(id=L, us=L))
+        self.goals = handle.getMapState("goals", _fields(us=L, url=S), _fields(referer=S))
+
+    def _live(self, us: int, at: int) -> bool:
+        return self.ttl is None or us + self.ttl >= at
+
+    def _walk(self, user: str, us: int, url: str, referer: str | None, fire: int) -> list[tuple]:
+        trail, here, back, seen = [], url, referer, {url}
+        while back is not None:
+            pair = (back, here)
+            if self.impressions.containsKey(pair) and self._live((imp := self.impressions.getValue(pair))[1], fire):
+                if self.consume:
+                    self.impressions.removeKey(pair)
+                return [(user, url, us, imp[0], back, here, imp[1], trail[::-1])]
+            if back in seen or not self.visits.containsKey((back,)):
+                return []
+            at, further = self.visits.getValue((back,))
+            if not self._live(at, fire):
+                return []
+            trail.append((back, at, further))
+            seen.add(back)
+            here, back = back, further
+        return []
+
+    def _fire(self, user: str, wm_us: int) -> list[tuple]:
+        """Goals that the watermark has reached, earliest first; then what has outlived its time."""
+        out = []
+        for us, url in sorted(k for k in self.goals.keys() if k[0] <= wm_us):
+            out += self._walk(user, us, url, self.goals.getValue((us, url))[0], us)
+            self.goals.removeKey((us, url))
+        return out
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        st = json.loads(self.state.get()[0]) if self.state.exists() else {"v": {}, "i": {}, "g": []}
-        visits, imps, goals = st["v"], st["i"], st["g"]
-        out = []
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        for r in pdf.itertuples(index=False):
-            if r.kind == "wm":
-                wm = int(r.w)
-                due = sorted((g for g in goals if wm >= _FAR or wm > g["ts"]), key=lambda g: g["ts"])
-                for g in due:
-                    found = walk(g, visits, imps)
-                    if found is not None:
-                        imp, trail = found
-                        out.append((key[0], g["url"], g["ts"], imp["id"], imp["src"], imp["tgt"], trail))
-                goals = [g for g in goals if g not in due]
-            elif isinstance(r.v_url, str):
-                v = {"url": r.v_url, "ts": int(r.v_ts), "ref": r.v_ref if isinstance(r.v_ref, str) else None}
-                if bool(r.v_goal):
-                    if not any(g["url"] == v["url"] and g["ts"] == v["ts"] for g in goals):
-                        goals.append(v)
-                else:
-                    visits[v["url"]] = v
-            else:
-                imps.setdefault(f"{r.i_src}\x00{r.i_tgt}", {"id": int(r.i_id), "src": r.i_src, "tgt": r.i_tgt})
-        self.state.update((json.dumps({"v": visits, "i": imps, "g": goals}),))
+        if key[1]:
+            return
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        out = self._fire(key[0], wm_us)
+        arrived = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable").astype(object)
+        arrived = arrived.where(arrived.notna(), None)
+        for r in arrived.itertuples(index=False):
+            if r.source is not None or r.id is not None:
+                if not self.impressions.containsKey((r.source, r.url)):
+                    self.impressions.updateValue((r.source, r.url), (int(r.id), int(r.us)))
+            elif not r.is_goal:
+                self.visits.updateValue((r.url,), (int(r.us), r.referer))
+            elif r.us <= wm_us:
+                out += self._walk(key[0], int(r.us), r.url, r.referer, wm_us)
+            elif not self.goals.containsKey((int(r.us), r.url)):
+                self.goals.updateValue((int(r.us), r.url), (r.referer,))
+                self.handle.registerTimer(-(-int(r.us) // 1000))
+        if self.ttl is not None:
+            for state in (self.visits, self.impressions):
+                at = 0 if state is self.visits else 1
+                for k in [k for k, v in state.iterator() if v[at] + self.ttl < wm_us]:
+                    state.removeKey(k)
+        if out:
+            yield pd.DataFrame(out, columns=OUT.names)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        out = self._fire(key[0], timerValues.getCurrentWatermarkInMs() * 1000)
         if out:
-            yield pd.DataFrame(out, columns=[f.name for f in OUTPUT.fields])
+            yield pd.DataFrame(out, columns=OUT.names)
 
     def close(self) -> None:
         pass
 
 
-def stream_attribution(replay: DataFrame) -> DataFrame:
-    out = replay.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=AttributionProcessor(), outputStructType=OUTPUT, outputMode="Append", timeMode="None")
-    return out.withColumn("goal_ts", F.timestamp_micros("goal_ts_us").cast("timestamp_ntz")).drop("goal_ts_us")
+def stream_attribution(stream: DataFrame, consume_impression: bool = False, state_ttl: str | None = None) -> DataFrame:
+    """``user, goal_url, goal_ts, imp_id, source_url, target_url, imp_ts, trail`` from ``user, seq, visit, impression, wm_ts``."""
+    rows = asserted(stream).select(
+        *keyed("user"), "seq", F.coalesce("visit.url", "impression.target_url").alias("url"), F.coalesce(
+            to_us("visit.ts"), to_us("impression.ts")).alias("us"), F.col("visit.referer").alias("referer"),
+        F.coalesce("visit.is_goal", F.lit(False)).alias("is_goal"), F.col("impression.source_url").alias("source"),
+        F.col("impression.id").alias("id"))
+    out = rows.groupBy("user", "step").transformWithStateInPandas(
+        statefulProcessor=AttributionProcessor(consume_impression, None if state_ttl is None else dur_us(state_ttl)),
+        outputStructType=OUT, outputMode="Append", timeMode="EventTime")
+    at = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    return out.select("user", "goal_url", at(F.col("goal_us")).alias("goal_ts"), "imp_id", "source_url", "target_url",
+                      at(F.col("imp_us")).alias("imp_ts"), F.transform("trail", lambda v: F.struct(
+                          v["url"].alias("url"), at(v["us"]).alias("ts"), v["referer"].alias("referer"))).alias("trail"))

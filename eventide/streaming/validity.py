@@ -1,82 +1,83 @@
-"""Validity windows as a Structured Streaming stateful operator.
+"""Validity windows as a live stateful operator.
 
-A value at X is valid over ``[X, next X)``.  Per key the state holds the
-unfired timestamps with their sums and how far windows have already been
-emitted.  ``[X, next)`` fires once the watermark reaches ``next``; the newest
-window stays open until the input ends (open end, ``w_end`` NULL).  A late row
-that would split an already emitted window is dropped.
+A value at X is valid over ``[X, next X)``.  Per key a map holds the sums of the times that
+have not been emitted; ``[X, next)`` comes out when the watermark reaches ``next``, by an
+event-time timer, and the newest time stays until the input is complete, when it comes out
+with an open end.  A row that would split an emitted window comes out with ``kind``
+``dropped``.  Input: ``key, score, event_ts, wm_ts`` (see ``streaming.watermark``).
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventide.functions.timefmt import to_us
-from eventide.operators.session_panes import _FAR, PANE_SCHEMA
+from eventide.streaming.watermark import COMPLETE_MS, asserted, keyed
 
-_MIN = -(2**62)
-
-
-def _frame(key: str, out: list) -> Iterator[pd.DataFrame]:
-    if not out:
-        return
-    starts, ends, values, fired = zip(*out)
-    yield pd.DataFrame({
-        "key": [key] * len(out),
-        "w_start": pd.to_datetime(pd.Series(starts, dtype="int64"), unit="us"),
-        "w_end": pd.to_datetime(pd.Series([e if e is not None else None for e in ends], dtype="Int64"), unit="us"),
-        "pane_index": [0] * len(out), "on_time_index": [0] * len(out), "timing": ["ON_TIME"] * len(out),
-        "is_first": [True] * len(out), "is_last": [True] * len(out),
-        "value": pd.Series(values, dtype="int64"),
-        "fire_ts": pd.to_datetime(pd.Series(fired, dtype="int64"), unit="us"),
-    })
+OUT = T.StructType([T.StructField("kind", T.StringType()), T.StructField("key", T.StringType()),
+                    T.StructField("start_us", T.LongType()), T.StructField("end_us", T.LongType()),
+                    T.StructField("value", T.LongType())])
+_TIME = T.StructType([T.StructField("us", T.LongType())])
 
 
 class ValidityProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("validity", T.StructType([T.StructField("json", T.StringType())]))
+        self.handle = handle
+        self.sums = handle.getMapState("sums", _TIME, T.StructType([T.StructField("value", T.LongType())]))
+        self.fired = handle.getValueState("fired", _TIME)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        st = json.loads(self.state.get()[0]) if self.state.exists() else {"p": {}, "upto": _MIN}
-        pending = {int(k): v for k, v in st["p"].items()}
-        upto = st["upto"]
+    def _emit(self, key: str, wm_ms: int) -> list[tuple]:
+        times = sorted(k[0] for k in self.sums.keys())
         out = []
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        for r in pdf.itertuples(index=False):
-            now = int(r.a)
-            if r.kind == "data":
-                t = int(r.t)
-                if t < upto:
-                    continue  # would split a window that was already emitted
-                pending[t] = pending.get(t, 0) + int(r.score)
-                continue
-            wm = int(r.w)
-            xs = sorted(pending)
-            final = wm >= _FAR
-            for i, x in enumerate(xs):
-                nxt = xs[i + 1] if i + 1 < len(xs) else None
-                if nxt is not None and nxt <= wm:
-                    out.append((x, nxt, pending.pop(x), now))
-                    upto = max(upto, nxt)
-                elif final:
-                    out.append((x, nxt, pending.pop(x), now))
-                else:
-                    break
-        self.state.update((json.dumps({"p": {str(k): v for k, v in pending.items()}, "upto": upto}),))
-        yield from _frame(key[0], out)
+        for x, after in zip(times, [*times[1:], None], strict=True):
+            if (after is None and wm_ms < COMPLETE_MS) or (after is not None and after > wm_ms * 1000):
+                break
+            out.append(("pane", key, x, after, self.sums.getValue((x,))[0]))
+            self.sums.removeKey((x,))
+            # An open window is final: nothing may follow it.
+            self.fired.update((COMPLETE_MS * 1000 if after is None else after,))
+        return out
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if key[1]:
+            return
+        wm, out = timerValues.getCurrentWatermarkInMs(), []
+        if self.sums.exists():
+            out += self._emit(key[0], wm)
+        done = self.fired.get()[0] if self.fired.exists() else None
+        for pdf in rows:
+            late = pdf["us"] < done if done is not None else pd.Series(False, index=pdf.index)
+            out += [("dropped", key[0], int(u), None, int(s)) for u, s in zip(pdf["us"][late], pdf["score"][late])]
+            for us, value in pdf[~late].groupby("us")["score"].sum().items():
+                at = (int(us),)
+                old = self.sums.getValue(at)[0] if self.sums.containsKey(at) else 0
+                self.sums.updateValue(at, (old + int(value),))
+                if us > wm * 1000:
+                    self.handle.registerTimer(-(-int(us) // 1000))
+        out += self._emit(key[0], wm)
+        self.handle.registerTimer(COMPLETE_MS)
+        if out:
+            yield pd.DataFrame(out, columns=OUT.names).astype({"end_us": "Int64"})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        out = self._emit(key[0], timerValues.getCurrentWatermarkInMs())
+        if out:
+            yield pd.DataFrame(out, columns=OUT.names).astype({"end_us": "Int64"})
 
     def close(self) -> None:
         pass
 
 
-def stream_validity_windows(replay: DataFrame) -> DataFrame:
-    slim = replay.select("key", "seq", "kind", to_us("arrival_ts").alias("a"), to_us("wm_ts").alias("w"),
-                         to_us("event_ts").alias("t"), "score")
-    return slim.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=ValidityProcessor(), outputStructType=PANE_SCHEMA, outputMode="Append", timeMode="None")
+def stream_validity_windows(stream: DataFrame) -> DataFrame:
+    """``kind, key, w_start, w_end, value``; of a dropped row, ``w_start`` is its time and ``value`` its score."""
+    rows = asserted(stream).select(*keyed("key"), to_us("event_ts").alias("us"), F.col("score").cast("bigint").alias("score"))
+    out = rows.groupBy("key", "step").transformWithStateInPandas(
+        statefulProcessor=ValidityProcessor(), outputStructType=OUT, outputMode="Append", timeMode="EventTime")
+    at = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    return out.select("kind", "key", at("start_us").alias("w_start"), at("end_us").alias("w_end"), "value")

@@ -6,9 +6,51 @@ Times are on 1970-01-01, UTC.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from eventide.sources.arrival import IMPRESSION, VISIT, arrival_log_from_steps, at
+from eventide.sources.arrival import IMPRESSION, VISIT
+
+INFINITY = dt.datetime(9999, 12, 31)
+
+
+def at(hms: str | None, date: dt.date = dt.date(1970, 1, 1)) -> dt.datetime:
+    """'HH:mm:ss' on 1970-01-01; None means the end of time (watermark infinity)."""
+    if hms is None:
+        return INFINITY
+    h, m, s = (int(x) for x in hms.split(":"))
+    return dt.datetime(date.year, date.month, date.day, h, m, s)
+
+
+def arrival_log_from_steps(spark: SparkSession, steps: Iterable[Sequence], data_fields: Sequence[T.StructField],
+                           start_clock: str = "12:00:00") -> tuple[DataFrame, DataFrame]:
+    """Build ``(log, marks)`` from steps ``('p', time)``, ``('w', time|None)`` and ``('e', *values)``.
+
+    ``log`` has ``seq, arrival_ts, wm_ts`` followed by ``data_fields``; ``marks``
+    has ``seq, proc_ts, wm_ts``.  Clock and watermark start at ``start_clock``.
+    """
+    clock = wm = at(start_clock)
+    rows, marks = [], []
+    for seq, step in enumerate(steps):
+        kind = step[0]
+        if kind == "p":
+            clock = at(step[1])
+        elif kind == "w":
+            wm = at(step[1])
+            marks.append((seq, clock, wm))
+        elif kind == "e":
+            rows.append((seq, clock, wm, *step[1:]))
+        else:
+            raise ValueError(f"unknown step {step!r}")
+    log_schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("arrival_ts", T.TimestampNTZType()),
+                               T.StructField("wm_ts", T.TimestampNTZType()), *data_fields])
+    mark_schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("proc_ts", T.TimestampNTZType()),
+                                T.StructField("wm_ts", T.TimestampNTZType())])
+    return spark.createDataFrame(rows, log_schema), spark.createDataFrame(marks, mark_schema)
+
 
 # Team-score batch (team, score, event time).
 SCORES_BATCH = [
@@ -26,31 +68,26 @@ def scores_batch(spark):
                                  T.StructType(SCORE_FIELDS))
 
 
+# The scripted score stream.  Each row: the variants it belongs to (B batch, P perfect, H heuristic
+# watermark, 6 the extra element), then a clock step ("p"), a watermark step ("w") or an element ("e", score, time).
+SCORE_STEPS = [
+    ("BPH", "w", "12:00:00"), ("BPH", "p", "12:04:59"), ("BPH", "e", 5, "12:00:26"), ("BPH", "p", "12:05:39"),
+    ("BPH", "e", 7, "12:02:24"), ("BPH", "p", "12:06:00"), ("H", "w", "12:02:00"), ("BPH", "p", "12:06:13"),
+    ("BPH", "e", 3, "12:03:39"), ("BPH", "p", "12:06:39"), ("BPH", "e", 4, "12:04:19"), ("6", "e", 6, "12:00:53"),
+    ("BPH", "p", "12:07:06"), ("BPH", "e", 8, "12:03:06"), ("BPH", "p", "12:07:19"), ("BPH", "e", 3, "12:06:39"),
+    ("BPH", "p", "12:07:30"), ("H", "w", "12:04:00"), ("H", "p", "12:07:40"), ("H", "w", "12:06:00"),
+    ("BPH", "p", "12:08:19"), ("BPH", "e", 9, "12:01:25"), ("BPH", "p", "12:08:39"), ("P", "w", "12:02:00"),
+    ("BPH", "e", 8, "12:07:26"), ("BPH", "p", "12:09:00"), ("BPH", "e", 1, "12:07:46"), ("P", "w", "12:04:00"),
+    ("P", "p", "12:09:10"), ("P", "w", "12:06:00"), ("P", "p", "12:09:20"), ("P", "w", "12:08:00"),
+    ("BPH", "p", "12:09:30"), ("H", "w", "12:08:30"), ("BPH", "p", "12:10:00"), ("BPH", "w", None),
+]
+
+
 def score_steps(watermark: str = "BATCH", extra_six: bool = False) -> list[tuple]:
-    """The scripted score stream; ``watermark`` is BATCH, PERFECT or HEURISTIC."""
-    H, P = watermark == "HEURISTIC", watermark == "PERFECT"
-    e = lambda v, t: ("e", "TeamX", v, at(t))
-    s = [("w", "12:00:00"), ("p", "12:04:59"), e(5, "12:00:26"), ("p", "12:05:39"), e(7, "12:02:24"),
-         ("p", "12:06:00")]
-    if H:
-        s.append(("w", "12:02:00"))
-    s += [("p", "12:06:13"), e(3, "12:03:39"), ("p", "12:06:39"), e(4, "12:04:19")]
-    if extra_six:
-        s.append(e(6, "12:00:53"))
-    s += [("p", "12:07:06"), e(8, "12:03:06"), ("p", "12:07:19"), e(3, "12:06:39"), ("p", "12:07:30")]
-    if H:
-        s += [("w", "12:04:00"), ("p", "12:07:40"), ("w", "12:06:00")]
-    s += [("p", "12:08:19"), e(9, "12:01:25"), ("p", "12:08:39")]
-    if P:
-        s.append(("w", "12:02:00"))
-    s += [e(8, "12:07:26"), ("p", "12:09:00"), e(1, "12:07:46")]
-    if P:
-        s += [("w", "12:04:00"), ("p", "12:09:10"), ("w", "12:06:00"), ("p", "12:09:20"), ("w", "12:08:00")]
-    s.append(("p", "12:09:30"))
-    if H:
-        s.append(("w", "12:08:30"))
-    s += [("p", "12:10:00"), ("w", None)]
-    return s
+    """The steps of a variant (BATCH, PERFECT or HEURISTIC), elements under one key."""
+    wanted = {watermark[0]} | ({"6"} if extra_six else set())
+    steps = [step[1:] for step in SCORE_STEPS if wanted & set(step[0])]
+    return [("e", "TeamX", s[1], at(s[2])) if s[0] == "e" else s for s in steps]
 
 
 def score_log(spark, watermark: str = "BATCH", extra_six: bool = False):
@@ -58,10 +95,6 @@ def score_log(spark, watermark: str = "BATCH", extra_six: bool = False):
     return arrival_log_from_steps(spark, score_steps(watermark, extra_six), SCORE_FIELDS)
 
 
-S = "http://search.com?q="
-X = "http://xyz.com"
-
-
 def _visit(url, t, ref, goal=False):
     return ("v", (url, at(t), ref, goal))
 
@@ -71,17 +104,17 @@ def _imp(i, src, dst, t):
 
 
 # One user's visits and impressions, in event-time order.
-SIGNUP_IMPRESSION = _imp(123, S + "xyz", X + "/", "12:01:00")
-SIGNUP_VISIT = _visit(X + "/", "12:01:10", S + "xyz")
-SIGNUP_GOAL = _visit(X + "/join-mailing-list", "12:01:30", X + "/", True)
-SHOPPING_IMPRESSION = _imp(456, S + "thing", X + "/thing", "12:02:00")
-SHOPPING_IMPRESSION_DUP = _imp(789, S + "thing", X + "/thing", "12:02:10")
-SHOPPING_VISIT1 = _visit(X + "/thing", "12:02:30", S + "thing")
-SHOPPING_VISIT2 = _visit(X + "/thing/add-to-cart", "12:03:00", X + "/thing")
-SHOPPING_VISIT3 = _visit(X + "/thing/purchase", "12:03:20", X + "/thing/add-to-cart")
-SHOPPING_GOAL = _visit(X + "/thing/receipt", "12:03:45", X + "/thing/purchase", True)
-UNATTRIBUTED_IMPRESSION = _imp(0, S + "thing", X + "/other-thing", "12:04:00")
-UNATTRIBUTED_VISIT = _visit(X + "/other-thing", "12:04:20", S + "other thing")
+SIGNUP_IMPRESSION = _imp(123, "http://search.com?q=xyz", "http://xyz.com/", "12:01:00")
+SIGNUP_VISIT = _visit("http://xyz.com/", "12:01:10", "http://search.com?q=xyz")
+SIGNUP_GOAL = _visit("http://xyz.com/join-mailing-list", "12:01:30", "http://xyz.com/", True)
+SHOPPING_IMPRESSION = _imp(456, "http://search.com?q=thing", "http://xyz.com/thing", "12:02:00")
+SHOPPING_IMPRESSION_DUP = _imp(789, "http://search.com?q=thing", "http://xyz.com/thing", "12:02:10")
+SHOPPING_VISIT1 = _visit("http://xyz.com/thing", "12:02:30", "http://search.com?q=thing")
+SHOPPING_VISIT2 = _visit("http://xyz.com/thing/add-to-cart", "12:03:00", "http://xyz.com/thing")
+SHOPPING_VISIT3 = _visit("http://xyz.com/thing/purchase", "12:03:20", "http://xyz.com/thing/add-to-cart")
+SHOPPING_GOAL = _visit("http://xyz.com/thing/receipt", "12:03:45", "http://xyz.com/thing/purchase", True)
+UNATTRIBUTED_IMPRESSION = _imp(0, "http://search.com?q=thing", "http://xyz.com/other-thing", "12:04:00")
+UNATTRIBUTED_VISIT = _visit("http://xyz.com/other-thing", "12:04:20", "http://search.com?q=other thing")
 
 # Arrival order, with watermark steps.
 ATTRIBUTION_STEPS = [

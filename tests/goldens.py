@@ -1,74 +1,73 @@
 """Expected pane and attribution strings of the published examples."""
 
-W0, W2, W4, W6 = "[12:00:00, 12:02:00)", "[12:02:00, 12:04:00)", "[12:04:00, 12:06:00)", "[12:06:00, 12:08:00)"
 
 GOLDEN = {
     "2-1": ["[global window]: TeamX:48 END_OF_GLOBAL_WINDOW ON_TIME index=0 onTimeIndex=0 isFirst isLast"],
-    "2-2": [f"{W0}: TeamX:14 12:01:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
-            f"{W2}: TeamX:18 12:03:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
-            f"{W4}: TeamX:4  12:05:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
-            f"{W6}: TeamX:12 12:07:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast"],
-    "2-3": [f"{W0}: TeamX:5  12:01:59 EARLY   index=0 isFirst",
-            f"{W0}: TeamX:14 12:01:59 EARLY   index=1",
-            f"{W2}: TeamX:7  12:03:59 EARLY   index=0 isFirst",
-            f"{W2}: TeamX:10 12:03:59 EARLY   index=1",
-            f"{W2}: TeamX:18 12:03:59 EARLY   index=2",
-            f"{W4}: TeamX:4  12:05:59 EARLY   index=0 isFirst",
-            f"{W6}: TeamX:3  12:07:59 EARLY   index=0 isFirst",
-            f"{W6}: TeamX:11 12:07:59 EARLY   index=1",
-            f"{W6}: TeamX:12 12:07:59 EARLY   index=2"],
-    "2-5": [f"{W0}: TeamX:5  12:01:59 EARLY   index=0 isFirst",
-            f"{W0}: TeamX:14 12:01:59 ON_TIME index=1 onTimeIndex=0 isLast",
-            f"{W2}: TeamX:18 12:03:59 EARLY   index=0 isFirst",
-            f"{W2}: TeamX:18 12:03:59 ON_TIME index=1 onTimeIndex=0 isLast",
-            f"{W4}: TeamX:4  12:05:59 EARLY   index=0 isFirst",
-            f"{W4}: TeamX:4  12:05:59 ON_TIME index=1 onTimeIndex=0 isLast",
-            f"{W6}: TeamX:12 12:07:59 EARLY   index=0 isFirst",
-            f"{W6}: TeamX:12 12:07:59 ON_TIME index=1 onTimeIndex=0 isLast"],
-    "2-6left": [f"{W0}: TeamX:14 12:01:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
-                f"{W2}: TeamX:18 12:03:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
-                f"{W4}: TeamX:4  12:05:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
-                f"{W6}: TeamX:12 12:07:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast"],
-    "2-6right": [f"{W0}: TeamX:5  12:01:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
-                 f"{W2}: TeamX:18 12:03:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
-                 f"{W4}: TeamX:4  12:05:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
-                 f"{W6}: TeamX:12 12:07:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast"],
-    "2-7left": [f"{W0}: TeamX:5  12:01:59 EARLY   index=0 isFirst",
-                f"{W0}: TeamX:14 12:01:59 ON_TIME index=1 onTimeIndex=0",
-                f"{W2}: TeamX:10 12:03:59 EARLY   index=0 isFirst",
-                f"{W2}: TeamX:18 12:03:59 EARLY   index=1",
-                f"{W2}: TeamX:18 12:03:59 ON_TIME index=2 onTimeIndex=0",
-                f"{W4}: TeamX:4  12:05:59 EARLY   index=0 isFirst",
-                f"{W4}: TeamX:4  12:05:59 ON_TIME index=1 onTimeIndex=0",
-                f"{W6}: TeamX:3  12:07:59 EARLY   index=0 isFirst",
-                f"{W6}: TeamX:12 12:07:59 ON_TIME index=1 onTimeIndex=0"],
-    "2-7right": [f"{W0}: TeamX:5  12:01:59 EARLY   index=0 isFirst",
-                 f"{W0}: TeamX:5  12:01:59 ON_TIME index=1 onTimeIndex=0",
-                 f"{W0}: TeamX:14 12:01:59 LATE    index=2 onTimeIndex=1",
-                 f"{W2}: TeamX:10 12:03:59 EARLY   index=0 isFirst",
-                 f"{W2}: TeamX:18 12:03:59 ON_TIME index=1 onTimeIndex=0",
-                 f"{W4}: TeamX:4  12:05:59 EARLY   index=0 isFirst",
-                 f"{W4}: TeamX:4  12:05:59 ON_TIME index=1 onTimeIndex=0",
-                 f"{W6}: TeamX:3  12:07:59 EARLY   index=0 isFirst",
-                 f"{W6}: TeamX:12 12:07:59 ON_TIME index=1 onTimeIndex=0"],
-    "2-8": [f"{W0}: TeamX:5  12:01:59 EARLY   index=0 isFirst",
-            f"{W0}: TeamX:5  12:01:59 ON_TIME index=1 onTimeIndex=0",
-            f"{W0}: TeamX:11 12:01:59 LATE    index=2 onTimeIndex=1",
-            f"{W2}: TeamX:10 12:03:59 EARLY   index=0 isFirst",
-            f"{W2}: TeamX:18 12:03:59 ON_TIME index=1 onTimeIndex=0",
-            f"{W4}: TeamX:4  12:05:59 EARLY   index=0 isFirst",
-            f"{W4}: TeamX:4  12:05:59 ON_TIME index=1 onTimeIndex=0",
-            f"{W6}: TeamX:3  12:07:59 EARLY   index=0 isFirst",
-            f"{W6}: TeamX:12 12:07:59 ON_TIME index=1 onTimeIndex=0"],
-    "2-9": [f"{W0}: TeamX:5  12:01:59 EARLY   index=0 isFirst",
-            f"{W0}: TeamX:0  12:01:59 ON_TIME index=1 onTimeIndex=0",
-            f"{W0}: TeamX:9  12:01:59 LATE    index=2 onTimeIndex=1",
-            f"{W2}: TeamX:10 12:03:59 EARLY   index=0 isFirst",
-            f"{W2}: TeamX:8  12:03:59 ON_TIME index=1 onTimeIndex=0",
-            f"{W4}: TeamX:4  12:05:59 EARLY   index=0 isFirst",
-            f"{W4}: TeamX:0  12:05:59 ON_TIME index=1 onTimeIndex=0",
-            f"{W6}: TeamX:3  12:07:59 EARLY   index=0 isFirst",
-            f"{W6}: TeamX:9  12:07:59 ON_TIME index=1 onTimeIndex=0"],
+    "2-2": ["[12:00:00, 12:02:00): TeamX:14 12:01:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
+            "[12:02:00, 12:04:00): TeamX:18 12:03:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
+            "[12:04:00, 12:06:00): TeamX:4  12:05:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
+            "[12:06:00, 12:08:00): TeamX:12 12:07:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast"],
+    "2-3": ["[12:00:00, 12:02:00): TeamX:5  12:01:59 EARLY   index=0 isFirst",
+            "[12:00:00, 12:02:00): TeamX:14 12:01:59 EARLY   index=1",
+            "[12:02:00, 12:04:00): TeamX:7  12:03:59 EARLY   index=0 isFirst",
+            "[12:02:00, 12:04:00): TeamX:10 12:03:59 EARLY   index=1",
+            "[12:02:00, 12:04:00): TeamX:18 12:03:59 EARLY   index=2",
+            "[12:04:00, 12:06:00): TeamX:4  12:05:59 EARLY   index=0 isFirst",
+            "[12:06:00, 12:08:00): TeamX:3  12:07:59 EARLY   index=0 isFirst",
+            "[12:06:00, 12:08:00): TeamX:11 12:07:59 EARLY   index=1",
+            "[12:06:00, 12:08:00): TeamX:12 12:07:59 EARLY   index=2"],
+    "2-5": ["[12:00:00, 12:02:00): TeamX:5  12:01:59 EARLY   index=0 isFirst",
+            "[12:00:00, 12:02:00): TeamX:14 12:01:59 ON_TIME index=1 onTimeIndex=0 isLast",
+            "[12:02:00, 12:04:00): TeamX:18 12:03:59 EARLY   index=0 isFirst",
+            "[12:02:00, 12:04:00): TeamX:18 12:03:59 ON_TIME index=1 onTimeIndex=0 isLast",
+            "[12:04:00, 12:06:00): TeamX:4  12:05:59 EARLY   index=0 isFirst",
+            "[12:04:00, 12:06:00): TeamX:4  12:05:59 ON_TIME index=1 onTimeIndex=0 isLast",
+            "[12:06:00, 12:08:00): TeamX:12 12:07:59 EARLY   index=0 isFirst",
+            "[12:06:00, 12:08:00): TeamX:12 12:07:59 ON_TIME index=1 onTimeIndex=0 isLast"],
+    "2-6left": ["[12:00:00, 12:02:00): TeamX:14 12:01:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
+                "[12:02:00, 12:04:00): TeamX:18 12:03:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
+                "[12:04:00, 12:06:00): TeamX:4  12:05:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
+                "[12:06:00, 12:08:00): TeamX:12 12:07:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast"],
+    "2-6right": ["[12:00:00, 12:02:00): TeamX:5  12:01:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
+                 "[12:02:00, 12:04:00): TeamX:18 12:03:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
+                 "[12:04:00, 12:06:00): TeamX:4  12:05:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast",
+                 "[12:06:00, 12:08:00): TeamX:12 12:07:59 ON_TIME index=0 onTimeIndex=0 isFirst isLast"],
+    "2-7left": ["[12:00:00, 12:02:00): TeamX:5  12:01:59 EARLY   index=0 isFirst",
+                "[12:00:00, 12:02:00): TeamX:14 12:01:59 ON_TIME index=1 onTimeIndex=0",
+                "[12:02:00, 12:04:00): TeamX:10 12:03:59 EARLY   index=0 isFirst",
+                "[12:02:00, 12:04:00): TeamX:18 12:03:59 EARLY   index=1",
+                "[12:02:00, 12:04:00): TeamX:18 12:03:59 ON_TIME index=2 onTimeIndex=0",
+                "[12:04:00, 12:06:00): TeamX:4  12:05:59 EARLY   index=0 isFirst",
+                "[12:04:00, 12:06:00): TeamX:4  12:05:59 ON_TIME index=1 onTimeIndex=0",
+                "[12:06:00, 12:08:00): TeamX:3  12:07:59 EARLY   index=0 isFirst",
+                "[12:06:00, 12:08:00): TeamX:12 12:07:59 ON_TIME index=1 onTimeIndex=0"],
+    "2-7right": ["[12:00:00, 12:02:00): TeamX:5  12:01:59 EARLY   index=0 isFirst",
+                 "[12:00:00, 12:02:00): TeamX:5  12:01:59 ON_TIME index=1 onTimeIndex=0",
+                 "[12:00:00, 12:02:00): TeamX:14 12:01:59 LATE    index=2 onTimeIndex=1",
+                 "[12:02:00, 12:04:00): TeamX:10 12:03:59 EARLY   index=0 isFirst",
+                 "[12:02:00, 12:04:00): TeamX:18 12:03:59 ON_TIME index=1 onTimeIndex=0",
+                 "[12:04:00, 12:06:00): TeamX:4  12:05:59 EARLY   index=0 isFirst",
+                 "[12:04:00, 12:06:00): TeamX:4  12:05:59 ON_TIME index=1 onTimeIndex=0",
+                 "[12:06:00, 12:08:00): TeamX:3  12:07:59 EARLY   index=0 isFirst",
+                 "[12:06:00, 12:08:00): TeamX:12 12:07:59 ON_TIME index=1 onTimeIndex=0"],
+    "2-8": ["[12:00:00, 12:02:00): TeamX:5  12:01:59 EARLY   index=0 isFirst",
+            "[12:00:00, 12:02:00): TeamX:5  12:01:59 ON_TIME index=1 onTimeIndex=0",
+            "[12:00:00, 12:02:00): TeamX:11 12:01:59 LATE    index=2 onTimeIndex=1",
+            "[12:02:00, 12:04:00): TeamX:10 12:03:59 EARLY   index=0 isFirst",
+            "[12:02:00, 12:04:00): TeamX:18 12:03:59 ON_TIME index=1 onTimeIndex=0",
+            "[12:04:00, 12:06:00): TeamX:4  12:05:59 EARLY   index=0 isFirst",
+            "[12:04:00, 12:06:00): TeamX:4  12:05:59 ON_TIME index=1 onTimeIndex=0",
+            "[12:06:00, 12:08:00): TeamX:3  12:07:59 EARLY   index=0 isFirst",
+            "[12:06:00, 12:08:00): TeamX:12 12:07:59 ON_TIME index=1 onTimeIndex=0"],
+    "2-9": ["[12:00:00, 12:02:00): TeamX:5  12:01:59 EARLY   index=0 isFirst",
+            "[12:00:00, 12:02:00): TeamX:0  12:01:59 ON_TIME index=1 onTimeIndex=0",
+            "[12:00:00, 12:02:00): TeamX:9  12:01:59 LATE    index=2 onTimeIndex=1",
+            "[12:02:00, 12:04:00): TeamX:10 12:03:59 EARLY   index=0 isFirst",
+            "[12:02:00, 12:04:00): TeamX:8  12:03:59 ON_TIME index=1 onTimeIndex=0",
+            "[12:04:00, 12:06:00): TeamX:4  12:05:59 EARLY   index=0 isFirst",
+            "[12:04:00, 12:06:00): TeamX:0  12:05:59 ON_TIME index=1 onTimeIndex=0",
+            "[12:06:00, 12:08:00): TeamX:3  12:07:59 EARLY   index=0 isFirst",
+            "[12:06:00, 12:08:00): TeamX:9  12:07:59 ON_TIME index=1 onTimeIndex=0"],
     "4-3": ["[12:00:26, 12:01:26): TeamX:5  12:01:25 EARLY   index=0 isFirst",
             "[12:00:26, 12:01:26): TeamX:5  12:01:25 ON_TIME index=1 onTimeIndex=0",
             "[12:02:24, 12:03:24): TeamX:7  12:03:23 EARLY   index=0 isFirst",
@@ -96,17 +95,17 @@ GOLDEN = {
 
 # Aligned delay (period 2 minutes, aligned to 12:05) derived from the trigger rules
 # rather than taken from the published example, whose author flags it as unreliable.
-ALIGNED_OURS = [f"{W0}: TeamX:5  12:01:59 EARLY   index=0 isFirst",
-                f"{W0}: TeamX:14 12:01:59 EARLY   index=1",
-                f"{W0}: TeamX:14 12:01:59 ON_TIME index=2 onTimeIndex=0 isLast",
-                f"{W2}: TeamX:10 12:03:59 EARLY   index=0 isFirst",
-                f"{W2}: TeamX:18 12:03:59 EARLY   index=1",
-                f"{W2}: TeamX:18 12:03:59 ON_TIME index=2 onTimeIndex=0 isLast",
-                f"{W4}: TeamX:4  12:05:59 EARLY   index=0 isFirst",
-                f"{W4}: TeamX:4  12:05:59 ON_TIME index=1 onTimeIndex=0 isLast",
-                f"{W6}: TeamX:11 12:07:59 EARLY   index=0 isFirst",
-                f"{W6}: TeamX:12 12:07:59 EARLY   index=1",
-                f"{W6}: TeamX:12 12:07:59 ON_TIME index=2 onTimeIndex=0 isLast"]
+ALIGNED_OURS = ["[12:00:00, 12:02:00): TeamX:5  12:01:59 EARLY   index=0 isFirst",
+                "[12:00:00, 12:02:00): TeamX:14 12:01:59 EARLY   index=1",
+                "[12:00:00, 12:02:00): TeamX:14 12:01:59 ON_TIME index=2 onTimeIndex=0 isLast",
+                "[12:02:00, 12:04:00): TeamX:10 12:03:59 EARLY   index=0 isFirst",
+                "[12:02:00, 12:04:00): TeamX:18 12:03:59 EARLY   index=1",
+                "[12:02:00, 12:04:00): TeamX:18 12:03:59 ON_TIME index=2 onTimeIndex=0 isLast",
+                "[12:04:00, 12:06:00): TeamX:4  12:05:59 EARLY   index=0 isFirst",
+                "[12:04:00, 12:06:00): TeamX:4  12:05:59 ON_TIME index=1 onTimeIndex=0 isLast",
+                "[12:06:00, 12:08:00): TeamX:11 12:07:59 EARLY   index=0 isFirst",
+                "[12:06:00, 12:08:00): TeamX:12 12:07:59 EARLY   index=1",
+                "[12:06:00, 12:08:00): TeamX:12 12:07:59 ON_TIME index=2 onTimeIndex=0 isLast"]
 
 # The score lines of the batch job's input file.
 SCORE_CSV = """Julie,\tTeamX, 5, T12:00:26, 12:05:19

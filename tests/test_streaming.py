@@ -1,5 +1,6 @@
-"""Streaming forms: the same goldens through Structured Streaming, state across micro-batches."""
+"""Streaming forms: the goldens and rules through Structured Streaming, state across micro-batches."""
 
+import time
 import uuid
 from collections import Counter
 
@@ -8,13 +9,13 @@ from pyspark.sql import functions as F
 
 import fixtures
 from goldens import GOLDEN
-from eventide.functions.timefmt import format_pane
+from eventide.functions.timefmt import format_attribution, format_pane
 from eventide.operators.panes import pane_ledger
 from eventide.operators.session_panes import session_panes
 from eventide.plans.catalog import PANE_SPECS
 from eventide.sources.tables import EVENT_WATERMARK, arrival_log_from_events, load
-from eventide.streaming import (read_replay, replay_rows, stream_panes, stream_session_sums,
-                                stream_window_sums, write_replay)
+from eventide.streaming import (stream_attribution, stream_panes, stream_session_sums, stream_validity_windows,
+                                stream_window_sums)
 
 
 def _run(spark, tmp_path, df, mode="append"):
@@ -31,28 +32,77 @@ def _texts(df):
     return Counter(r[0] for r in df.select(t).collect())
 
 
-STREAM_CASES = {
-    "4-3": ("HEURISTIC", dict(gap="1 minute", early_delay="1 minute", lateness="1000 days"), False),
-    "2-6right": ("HEURISTIC", dict(size="2 minutes"), False),
-    "2-7right": ("HEURISTIC", dict(size="2 minutes", early_delay="1 minute", lateness="1000 days"), False),
-    "2-7left": ("PERFECT", dict(size="2 minutes", early_delay="1 minute", lateness="1000 days"), False),
-    "2-8": ("HEURISTIC", dict(size="2 minutes", early_delay="1 minute", lateness="2 minutes"), True),
-    "2-9": ("HEURISTIC", dict(size="2 minutes", early_delay="1 minute", lateness="1000 days",
-                              mode="discarding"), False),
-    "2-3": ("BATCH", dict(size="2 minutes", lateness="1000 days", trigger="count"), False),
-    "2-5": ("BATCH", dict(size="2 minutes", early_delay="2 minutes", lateness="1000 days", trigger="delay"), False),
-    "2-6left": ("PERFECT", dict(size="2 minutes"), False),
-}
-
-
-@pytest.mark.parametrize("case", sorted(STREAM_CASES))
-def test_stream_panes_goldens(spark, tmp_path, case):
-    wm, params, extra = STREAM_CASES[case]
-    log, marks = fixtures.score_log(spark, wm, extra)
+def _as_stream(spark, path, log, marks):
+    """A file stream with one micro-batch for each watermark step; a step is one row without a key."""
+    marks = marks.orderBy("seq").collect()
+    after = -1
+    for m in marks:
+        rows = log.where((F.col("seq") > after) & (F.col("seq") < m.seq)).drop("arrival_ts")
+        step = spark.createDataFrame([(m.seq, m.wm_ts)], "seq long, wm_ts timestamp_ntz")
+        rows.unionByName(step, allowMissingColumns=True).coalesce(1).write.mode("append").parquet(str(path))
+        after = m.seq
+        time.sleep(0.02)
+    schema = log.drop("arrival_ts").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(path))
+
+
+@pytest.mark.parametrize("case,wm", [("2-6left", "PERFECT"), ("2-6right", "HEURISTIC")])
+def test_stream_watermark_panes(spark, tmp_path, case, wm):
+    log, marks = fixtures.score_log(spark, wm, False)
+    out = _run(spark, tmp_path, stream_panes(_as_stream(spark, tmp_path / "in", log, marks), "2 minutes"))
+    panes = out.where("kind = 'pane'")
+    assert _texts(panes) == Counter(GOLDEN[case])
+    # Kept and dropped rows together are the input.
+    dropped = out.where("kind = 'dropped'")
+    total = log.agg(F.sum("score")).first()[0]
+    assert panes.agg(F.sum("value")).first()[0] + (dropped.agg(F.sum("value")).first()[0] or 0) == total
+
+
+def test_stream_late_panes_and_close(spark, tmp_path):
+    """Lateness of two minutes: late rows refine the on-time pane, rows after the close come out as dropped."""
+    def at(text):
+        return F.lit(f"1970-01-01 {text}").cast("timestamp_ntz")
+    steps = [(0, "k", 1, "12:00:10", "12:00:00"), (2, "k", 2, "12:00:20", "12:02:30"), (3, "k", 4, "12:01:00", "12:02:30"),
+             (5, "k", 8, "12:00:30", "12:04:10")]
+    log = spark.createDataFrame(steps, "seq long, key string, score long, e string, w string").select(
+        "seq", "key", "score", F.concat(F.lit("1970-01-01 "), "e").cast("timestamp_ntz").alias("event_ts"),
+        F.concat(F.lit("1970-01-01 "), "w").cast("timestamp_ntz").alias("wm_ts"), at("12:00:00").alias("arrival_ts"))
+    marks = spark.createDataFrame([(1, "12:02:30"), (4, "12:04:10"), (6, "12:30:00")], "seq long, w string").select(
+        "seq", F.concat(F.lit("1970-01-01 "), "w").cast("timestamp_ntz").alias("wm_ts"))
+    for mode, values in (("accumulating", [1, 3, 7]), ("discarding", [1, 2, 4])):
+        out = _run(spark, tmp_path, stream_panes(_as_stream(spark, tmp_path / mode, log, marks), "2 minutes", "2 minutes",
+                                                 mode=mode)).collect()
+        panes = sorted((r.pane_index, r.on_time_index, r.timing, r.value) for r in out if r.kind == "pane")
+        assert panes == [(0, 0, "ON_TIME", values[0]), (1, 1, "LATE", values[1]), (2, 2, "LATE", values[2])]
+        assert [(r.value, r.event_ts.strftime("%H:%M:%S")) for r in out if r.kind == "dropped"] == [(8, "12:00:30")]
+
+
+def test_stream_early_panes_on_the_wall_clock(spark, tmp_path):
+    """An early pane comes half a second after the first element, before the watermark gets there."""
+    schema = "key string, score long, event_ts timestamp_ntz, wm_ts timestamp_ntz"
+    row = spark.createDataFrame([("k", 5)], "key string, score long").select(
+        "key", "score", F.lit("1970-01-01 12:00:10").cast("timestamp_ntz").alias("event_ts"),
+        F.lit("1970-01-01 12:00:00").cast("timestamp_ntz").alias("wm_ts"))
     src = tmp_path / "in"
-    write_replay(replay_rows(log, marks), str(src), [10, 20])
-    out = _run(spark, tmp_path, stream_panes(read_replay(spark, str(src)), **params))
-    assert _texts(out) == Counter(GOLDEN[case])
+    row.write.parquet(str(src))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src))
+    q = (stream_panes(stream, "2 minutes", early_delay="500 milliseconds", poll="300 milliseconds").writeStream
+         .format("memory").queryName("early_panes").option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(processingTime="300 milliseconds").start())
+    try:
+        def panes():
+            return [(r.timing, r.value) for r in spark.sql("SELECT * FROM early_panes ORDER BY pane_index").collect()]
+        for want in (["EARLY"], ["EARLY", "ON_TIME"]):
+            end = time.monotonic() + 60
+            while [t for t, _ in panes()] != want and time.monotonic() < end:
+                time.sleep(0.3)
+            assert panes() == [(t, 5) for t in want]
+            step = spark.createDataFrame([(None, None)], "key string, score long").select(
+                "key", "score", F.lit(None).cast("timestamp_ntz").alias("event_ts"),
+                F.lit("1970-01-01 12:05:00").cast("timestamp_ntz").alias("wm_ts"))
+            step.write.mode("append").parquet(str(src))
+    finally:
+        q.stop()
 
 
 def test_native_window_sums_append(spark, tmp_path):
@@ -95,22 +145,12 @@ def test_ledger_equals_state_machine_on_events(spark):
 
 
 def test_stream_attribution_golden(spark, tmp_path):
-    from eventide.functions.timefmt import format_time
-    from eventide.streaming.attribution import attribution_replay_rows, stream_attribution
     log, marks = fixtures.attribution_log(spark)
-    src = tmp_path / "attr"
-    rows = attribution_replay_rows(log, marks)
-    bounds = [None, 6, 12, None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        part = rows if lo is None else rows.where(F.col("seq") >= lo)
-        part = part if hi is None else part.where(F.col("seq") < hi)
-        part.coalesce(1).write.mode("append").parquet(str(src))
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(src))
-    out = _run(spark, tmp_path, stream_attribution(stream))
-    path = F.array_join(F.concat(F.array("source_url"), "trail", F.array("goal_url")), " → ")
-    text = F.format_string("[global window]: imp=%s %s %s %-7s", F.col("imp_id").cast("string"), path,
-                           format_time("goal_ts"), F.lit("UNKNOWN"))
-    assert Counter(r[0] for r in out.select(text).collect()) == Counter(GOLDEN["attribution"])
+    out = _run(spark, tmp_path, stream_attribution(_as_stream(spark, tmp_path / "in", log, marks)))
+    imp = F.struct(F.col("imp_id").alias("id"), "source_url")
+    goal = F.struct(F.col("goal_url").alias("url"), F.col("goal_ts").alias("ts"))
+    assert Counter(r[0] for r in out.select(format_attribution(imp, F.col("trail"), goal)).collect()) == Counter(
+        GOLDEN["attribution"])
 
 
 def test_native_update_mode_refines_per_micro_batch(spark, tmp_path):
@@ -129,9 +169,11 @@ def test_native_update_mode_refines_per_micro_batch(spark, tmp_path):
 
 
 def test_stream_validity_windows_golden(spark, tmp_path):
-    from eventide.streaming.validity import stream_validity_windows
     log, marks = fixtures.score_log(spark, "PERFECT")
-    src = tmp_path / "val"
-    write_replay(replay_rows(log, marks), str(src), [12, 22])
-    out = _run(spark, tmp_path, stream_validity_windows(read_replay(spark, str(src))))
-    assert _texts(out) == Counter(GOLDEN["validity"])
+    out = _run(spark, tmp_path, stream_validity_windows(_as_stream(spark, tmp_path / "in", log, marks)))
+    last = out.where("kind = 'pane'")
+    for name, value in (("pane_index", F.lit(0)), ("on_time_index", F.lit(0)), ("timing", F.lit("ON_TIME")),
+                        ("is_first", F.lit(True)), ("is_last", F.lit(True))):
+        last = last.withColumn(name, value)
+    assert _texts(last) == Counter(GOLDEN["validity"])
+    assert out.where("kind = 'dropped'").count() == 0
