@@ -87,10 +87,16 @@ def ship_package(spark: SparkSession) -> None:
     sc._eventide_shipped = True
 
 
+#: Rows with whole texts go to Python in batches of this size at most, unless the session sets it.
+ARROW_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Checkpoint folder + package shipping; call once before running eventide plans."""
+    """Checkpoint folder + package shipping + batch size; call once before running eventide plans."""
     checkpoint_dir(spark)
     ship_package(spark)
+    if not spark.sparkContext.getConf().contains(ARROW_BATCH[0]):
+        spark.conf.set(*ARROW_BATCH)
     return spark
 
 
@@ -116,13 +122,3 @@ def materialize(df):
     path = f"{scratch_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def discard(df) -> None:
-    """Delete the files behind a materialized ``df`` that no later plan reads."""
-    sc = df.sparkSession.sparkContext
-    scratch = getattr(sc, "_eventide_scratch", None)
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if scratch and scratch.split(":", 1)[-1].lstrip("/") in folder:
-            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
