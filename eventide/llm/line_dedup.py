@@ -4,8 +4,8 @@ Two lines are alike if at most one word is inserted, deleted or replaced.  Of al
 the earliest, by (doc_id, line number), stays: an occurrence goes if the same line, or a
 line one edit away, occurs earlier.
 
-1. Every line of ``MIN_WORDS`` words or more gets an identity (two hashes of its words) and
-   three keys: hashes of its halves, chosen so that lines one edit apart share one.
+1. Every line of ``MIN_WORDS`` words or more gets three keys: hashes of its halves (which
+   together identify it) and one more, chosen so that lines one edit apart share a key.
    Lines whose keys no other line shares have no neighbour and go no further.
 2. Each remaining distinct line emits its deletion variants, as hashed keys tagged with the
    deleted position, and itself.  Equal variants at one position are a replacement; a
@@ -30,30 +30,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.textops import spaced_parts, whole, words
+from eventide.llm.textops import OTHER_SPACES, whole, words
 from eventide.session import materialize
 
 MIN_WORDS = 5
 
 
-def _lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
-    """(doc_id, no, words) of the lines that count."""
-    cut = F.transform(F.split(whole(text), "\n", -1), lambda s: F.array_remove(spaced_parts(s), ""))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(cut).alias("no", "words"))
-    return rows.where(F.size("words") >= min_words)
+def _cut(text):
+    """The lines of a text as arrays of words; separators other than line feeds are replaced in the whole text first."""
+    text = whole(text)
+    for c in OTHER_SPACES.replace("\n", ""):
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.transform(F.split(text, "\n", -1), lambda s: F.array_remove(F.split(s, " ", -1), ""))
 
 
-def identity(line="words"):
-    return F.struct(F.xxhash64(line).alias("a"), F.hash(line).alias("b"))
+def _head(line, k):
+    return F.xxhash64(F.lit(0), k, F.slice(line, F.lit(1), k))
 
 
-def half_keys(line: str = "words"):
-    """Hashes of the first and of the last words, cut at half the length of this line and of one a word shorter."""
+def _tail(line, k):
+    return F.xxhash64(F.lit(1), k, F.slice(line, F.size(line) - k + 1, k))
+
+
+def identity(line):
+    """Two hashes that cover all words of a line: one of each half."""
+    return F.struct(_head(line, F.floor(F.size(line) / 2).cast("int")).alias("a"),
+                    _tail(line, F.ceil(F.size(line) / 2).cast("int")).alias("b"))
+
+
+def third_key(line):
+    """With the halves of ``identity``, the key that lets a line meet one a word shorter."""
     n = F.size(line)
-    cuts = F.array_distinct(F.array(F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")))
-    tails = F.array_distinct(F.array(F.ceil(n / 2).cast("int"), F.ceil((n - 1) / 2).cast("int")))
-    return F.concat(F.transform(cuts, lambda k: F.xxhash64(F.lit(0), k, F.slice(line, F.lit(1), k))),
-                    F.transform(tails, lambda k: F.xxhash64(F.lit(1), k, F.slice(line, n - k + 1, k))))
+    return F.when(n % 2 == 0, _head(line, (n / 2 - 1).cast("int"))).otherwise(_tail(line, ((n - 1) / 2).cast("int")))
 
 
 def _word_hash(word: str, at):
@@ -98,11 +106,12 @@ def near_lines(firsts: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, no, line) of the occurrences that go."""
-    lines = _lines(docs, doc_id, text, min_words)
-    seen = materialize(lines.select("doc_id", "no", identity().alias("line"), half_keys().alias("keys")))
+    lines = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(_cut(text)).alias("no", "words"))
+    lines = lines.where(F.size("words") >= min_words)
+    seen = materialize(lines.select("doc_id", "no", identity("words").alias("line"), third_key("words").alias("third")))
     firsts = materialize(seen.groupBy("line").agg(F.min(F.struct("doc_id", "no")).alias("first"), F.first(
-        "keys").alias("keys")))
-    keys = firsts.select("line", "first", F.explode("keys").alias("key"))
+        "third").alias("third"), F.count("no").alias("times")))
+    keys = firsts.select("line", "first", F.explode(F.array("line.a", "line.b", "third")).alias("key"))
     shared = keys.groupBy("key").agg(F.count("line").alias("k")).where("k > 1").select("key")
     near = keys.join(shared, "key").select("line", "first").distinct()
     # Their words, from the documents they occur in first.
@@ -110,12 +119,13 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     body = docs.select(F.col(doc_id).alias("_doc"), whole(text).alias("_text"))
     held = place.join(body, F.col("_d").eqNullSafe(F.col("_doc"))).select(
         "line", "first", words(F.get(F.split("_text", "\n", -1), F.col("_n"))).alias("words"))
-    held = materialize(held.where(identity() == F.col("line")).dropDuplicates(["line"]))
+    held = materialize(held.where(identity("words") == F.col("line")).dropDuplicates(["line"]))
     gone = near_lines(held).withColumn("near", F.lit(True))
-    marks = firsts.select("line", "first").join(gone, "line", "left").select(
-        F.col("line").alias("_line"), "first", F.coalesce("near", F.lit(False)).alias("near"))
-    all_seen = seen.select("doc_id", "no", "line").join(marks, F.col("line") == F.col("_line"))
-    return all_seen.where(F.col("near") | (F.struct("doc_id", "no") != F.col("first"))).select("doc_id", "no", "line")
+    # Only lines that occur again or have an earlier neighbour can go; on its own, this join's hot lines can be split.
+    marks = materialize(firsts.select("line", "first", "times").join(gone, "line", "left").where(
+        "near or times > 1").select(F.col("line").alias("_line"), "first", F.coalesce("near", F.lit(False)).alias("near")))
+    found = seen.select("doc_id", "no", "line").join(marks, F.col("line") == F.col("_line"))
+    return found.where(F.col("near") | (F.struct("doc_id", "no") != F.col("first"))).select("doc_id", "no", "line")
 
 
 def removed_per_document(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -135,9 +145,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 min_words: int = MIN_WORDS) -> DataFrame:
     """The documents without their removed lines; every other column unchanged."""
     gone = removed_per_document(docs, doc_id, text, min_words)
-    all_marks = F.transform(F.split(text, "\n", -1), lambda s, i: mark(i, identity(words(s))))
+    # The row travels as one struct, so its columns may have any names.
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("_doc"))
+    body = F.col("row").getField(text)
+    all_marks = F.transform(_cut(body), lambda line, i: mark(i, identity(line)))
     kept = F.transform(F.array_except(all_marks, "_gone"), lambda m: F.get(
-        F.split(text, "\n", -1), F.substring_index(m, ":", 1).cast("int")))
-    return (docs.join(gone, F.col(doc_id).eqNullSafe(F.col("_id")), "left")
-            .withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")))
-            .select(docs.columns))
+        F.split(body, "\n", -1), F.substring_index(m, ":", 1).cast("int")))
+    left = F.when(F.col("_gone").isNull(), body).otherwise(F.array_join(kept, "\n"))
+    return rows.join(gone, F.col("_doc").eqNullSafe(F.col("_id")), "left").select(
+        *[left.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
