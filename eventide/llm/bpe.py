@@ -25,7 +25,6 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
@@ -33,7 +32,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-UNITS_KEPT, PIECES_KEPT = 1 << 19, 1 << 18
+from eventide.llm.warm import warm
+
+#: Units in one half of the cache, about 200 bytes each; half as many pieces.
+UNITS_KEPT = 1 << 19
 HEAD_BYTES, HEADS_KEPT = 6, 1 << 16
 PAIRS_KEPT = 1 << 20
 ROWS_AT_ONCE = 64
@@ -147,13 +149,13 @@ class Vocabulary:
 class TextEncoder:
     """Whole texts: the pattern's matches, each encoded alone; and ids back to bytes."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str):
+    def __init__(self, vocabulary: Vocabulary, pattern: str, units_kept: int = UNITS_KEPT):
         self.vocabulary, self.pattern = vocabulary, regex.compile(pattern)
         self.bytes_of = [vocabulary.token.get(i, b"") for i in range(max(vocabulary.token) + 1)]
         self.name_of = [str(i) for i in range(len(self.bytes_of))]
-        self.pieces = Recent(lambda piece: tuple(vocabulary.encode(piece.encode())), PIECES_KEPT)
+        self.pieces = Recent(lambda piece: tuple(vocabulary.encode(piece.encode())), units_kept // 2)
         #: Ids of a unit with its leading space.
-        self.spaced = Recent(lambda unit: tuple(self.matches(" " + unit)), UNITS_KEPT)
+        self.spaced = Recent(lambda unit: tuple(self.matches(" " + unit)), units_kept)
 
     def matches(self, text: str) -> Iterator[int]:
         return chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(text)))
@@ -171,11 +173,12 @@ class TextEncoder:
         return " ".join(map(self.name_of.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
-def text_encoder(path: str, pattern: str) -> TextEncoder:
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    return TextEncoder(Vocabulary(ranks), pattern)
+def text_encoder(path: str, pattern: str, units_kept: int = UNITS_KEPT) -> TextEncoder:
+    def make() -> TextEncoder:
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        return TextEncoder(Vocabulary(ranks), pattern, units_kept)
+    return warm(("bpe", path, pattern, units_kept), make)
 
 
 def rows_of(batch: pa.RecordBatch, step: int = ROWS_AT_ONCE) -> Iterator[list]:
@@ -185,10 +188,10 @@ def rows_of(batch: pa.RecordBatch, step: int = ROWS_AT_ONCE) -> Iterator[list]:
 
 
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id",
-                 text: str = "text") -> DataFrame:
+                 text: str = "text", units_kept: int = UNITS_KEPT) -> DataFrame:
     """(doc_id, ids) of every whole text."""
     def run(batches):
-        encoder = text_encoder(ranks_path, pattern)
+        encoder = text_encoder(ranks_path, pattern, units_kept)
         for batch in batches:
             for ids, texts in rows_of(batch):
                 yield pa.RecordBatch.from_arrays(

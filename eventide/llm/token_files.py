@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +30,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.bpe import rows_of
+from eventide.llm.bpe import NOT_BETWEEN_UNITS, rows_of
+from eventide.llm.warm import warm
 from eventide.session import materialize, scratch_dir
 
 MAGIC = b"TIDS0001"
 NO_ID = -(1 << 63)
 BLOCK_IDS = 4096
 FILE_IDS = 1 << 22
-UNITS_KEPT = 1 << 18
+UNITS_KEPT, ASKED_AT_ONCE = 1 << 19, 4096
+#: A white-space character of one byte, and stops that the pre-tokenizer cuts from letters.
+SEPARATOR, STOPS = "\x0b", ".,!?;:"
+
+
+#: Widths of whole bytes, where packing is numpy's own cast.
+WHOLE = {8: "u1", 16: "<u2", 32: "<u4"}
 
 
 def bits_for(vocabulary: int) -> int:
@@ -47,6 +53,8 @@ def bits_for(vocabulary: int) -> int:
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """``ids`` in ``bits`` bits each, the first in the lowest bits; the last byte is filled up with zeros."""
+    if bits in WHOLE:
+        return ids.astype(WHOLE[bits]).tobytes()
     lanes = np.zeros((-(-len(ids) // 8), 8), np.uint64)
     lanes.reshape(-1)[:len(ids)] = ids
     out = np.zeros((len(lanes), bits), np.uint8)
@@ -61,6 +69,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
 
 def unpack(data: bytes, bits: int, count: int) -> np.ndarray:
     """The first ``count`` ids of ``pack``'s bytes."""
+    if bits in WHOLE:
+        return np.frombuffer(data, WHOLE[bits], count).astype(np.uint32)
     rows = -(-count // 8)
     raw = np.zeros(rows * bits, np.uint8)
     raw[:len(data)] = np.frombuffer(data, np.uint8)[:rows * bits]
@@ -115,34 +125,66 @@ class TokenFile:
 
 
 class LibraryEncoder:
-    """The tokenizers library, asked once for each unit between spaces while a bounded cache holds it."""
+    """The tokenizers library, asked once for each unit between spaces while a bounded cache holds it.
+
+    The cache has two halves: when the new one is full it becomes the old one, and units found
+    there move back.  Units are asked many at a time, joined by a separator that the
+    pre-tokenizer sets apart as one token; a letters-only word with a stop after it is the word
+    and the stop, as the pre-tokenizer cuts it.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.spaced: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.separator, = self._ids(SEPARATOR)
+        self.stops = {c: np.array(self._ids(c), "<u4").tobytes() for c in STOPS}
+
+    def _ids(self, text: str) -> list[int]:
+        # The fast form leaves out offsets, which nothing here reads.
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        """Each text's ids; texts that could run into a separator are asked alone."""
+        out: list[bytes | None] = [None] * len(texts)
+        joined = []
+        for i, t in enumerate(texts):
+            if not t or SEPARATOR in t or t[-1].isspace() or (t[0].isspace() and t[0] != " "):
+                out[i] = np.array(self._ids(t), "<u4").tobytes()
+            else:
+                joined.append(i)
+        for a in range(0, len(joined), ASKED_AT_ONCE):
+            some = joined[a:a + ASKED_AT_ONCE]
+            ids = np.array(self._ids(SEPARATOR.join([texts[i] for i in some])), "<u4")
+            cuts = np.flatnonzero(ids == self.separator)
+            raw, starts, ends = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
+            for i, x, y in zip(some, starts, ends, strict=True):
+                out[i] = raw[x:y]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian uint32; texts with doubled or outer spaces go to the library whole."""
-        units = [t.split(" ") for t in texts]
-        plain = [u for u in units if "" not in u]
-        new = list(set().union(*[u[1:] for u in plain]).difference(self.spaced)) if plain else []
+        """Each text's ids as little-endian uint32; texts with spaces inside white space go to the library whole."""
+        units = [None if NOT_BETWEEN_UNITS.search(t) else t.split(" ") for t in texts]
+        plain = [u for u in units if u]
+        wanted = set().union(*(u[1:] for u in plain))
+        new = wanted.difference(self.spaced)
         if len(self.spaced) + len(new) > UNITS_KEPT:
-            self.spaced = {}
-            new = list(set().union(*[u[1:] for u in plain]))
-        self.spaced.update(zip(new, self._ask([" " + u for u in new]), strict=True))
+            self.before, self.spaced, new = self.spaced, {}, wanted
+        again = {u for u in new if u in self.before}
+        self.spaced.update((u, self.before[u]) for u in again)
+        stopped = {u for u in new - again if u[-1] in STOPS and u[:-1].isalpha()}
+        bare = list((new - again - stopped).union(w for u in stopped if (w := u[:-1]) not in self.spaced))
+        self.spaced.update(zip(bare, self._ask([" " + u for u in bare]), strict=True))
+        self.spaced.update((u, self.spaced[u[:-1]] + self.stops[u[-1]]) for u in stopped)
         first = iter(self._ask([u[0] for u in plain]))
-        rest = iter(self._ask([t for t, u in zip(texts, units, strict=True) if "" in u]))
-        return [next(rest) if "" in u else next(first) + b"".join(map(self.spaced.__getitem__, u[1:])) for u in units]
+        rest = iter(self._ask([t for t, u in zip(texts, units, strict=True) if not u]))
+        return [next(rest) if not u else next(first) + b"".join(map(self.spaced.__getitem__, u[1:])) for u in units]
 
 
-@lru_cache(maxsize=2)
 def library_encoder(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
+    return warm(("library", path), lambda: LibraryEncoder(path))
 
 
 def _open(uri: str):

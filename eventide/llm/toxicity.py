@@ -32,6 +32,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from eventide.llm.bpe import rows_of
 from eventide.llm.textops import OTHER_SPACES, whole, words
+from eventide.llm.warm import warm
 
 WINDOW, STRIDE = 48, 24
 WORD_BUCKETS, GRAM_BUCKETS, GRAMS = 1 << 14, 1 << 15, (3, 5)
@@ -39,8 +40,8 @@ WORD_DIM, GRAM_DIM, HIDDEN, ATTENTION = 8, 8, 8, 8
 MAX_TOXIC, MAX_CLEAN, TRAIN_WORDS = 1200, 3600, 2000
 UPDATES, TEXTS_AT_ONCE, RATE = 500, 24, 0.01
 #: More than the words of WINDOWS_AT_ONCE windows.
-WORDS_KEPT = 1 << 18
-WINDOWS_AT_ONCE = 2048
+WORDS_KEPT = 1 << 17
+WINDOWS_AT_ONCE = 1024
 PUNCTUATION = ".,;:!?\"'()[]{}<>*#$%&|-_~`"
 
 
@@ -303,17 +304,6 @@ def fit(docs: DataFrame, labels: DataFrame, updates: int = UPDATES) -> dict[str,
     return train([r["text"] for r in rows], [r["toxic"] for r in rows], updates)
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
-def _scorer(token: str, weights) -> Scorer:
-    """One scorer for each worker and model."""
-    if token not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[token] = Scorer(weights.value)
-    return _SCORERS[token]
-
-
 def score_texts(docs: DataFrame, weights: dict[str, np.ndarray], text: str = "text",
                 keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns (all, if not given) plus ``score``, the probability of label 1 of each whole text.
@@ -328,7 +318,7 @@ def score_texts(docs: DataFrame, weights: dict[str, np.ndarray], text: str = "te
     sent, token = docs.sparkSession.sparkContext.broadcast(weights), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(token, sent)
+        scorer = warm(("toxicity", token), lambda: Scorer(sent.value))
         for batch in batches:
             scores = [scorer.scores(texts) for texts, in rows_of(batch.select([len(keep)]))]
             yield pa.RecordBatch.from_arrays(
