@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.timefmt import dur_us, to_us
 from eventide.plans.scan import with_next
-from eventide.session import materialize
+from eventide.session import materialize, materialize_counted
 
 _B = "1 day"
 GOAL = ["user", "goal_url", "goal_ts"]
@@ -98,21 +98,21 @@ def walk_levels(visits: DataFrame, impressions: DataFrame, state_ttl: str | None
     goals = goals_of(visits).join(
         imps.withColumnRenamed("referer", "goal_referer").withColumnRenamed("url", "goal_url"),
         ["user", "goal_referer", "goal_url"], "left")
-    level = materialize(goals.select(
+    level, n = materialize_counted(goals.select(
         *GOAL, *_SEEN, F.lit(0).alias("depth"),
         F.struct(F.col("goal_url").alias("url"), F.col("goal_ts").alias("ts"), F.col("goal_referer").alias("referer"),
                  F.lit(True).alias("is_goal")).alias("cur"),
         "imp", _hit("imp", state_ttl).alias("hit"), F.lit(False).alias("again"), F.col("goal_url").alias("mark")))
     levels = []
     try:
-        while not level.isEmpty():
+        while n:
             levels.append(level)
             depth = len(levels)
             going = level.where(~F.col("again") & ~(F.col("hit") & F.lit(stop_at_hit))).select(
                 *GOAL, *_SEEN, F.col("cur.referer").alias("ref"), "mark")
             power = depth & (depth - 1) == 0
             url = F.col("cur.url")
-            level = materialize(
+            level, n = materialize_counted(
                 going.withColumnRenamed("user", "g_user").join(
                     versions, (F.col("g_user") == F.col("user")) & (F.col("ref") == F.col("v_url")))
                 .where(_before(F.col("at")) & (F.col("next").isNull() | ~_before(F.col("next")))
@@ -155,11 +155,11 @@ def _first_come(hits: DataFrame) -> DataFrame:
         asked = left.groupBy(*GOAL).agg(F.min(F.struct("depth", "what", "turn")).alias("m")).select(
             *GOAL, "m.depth", "m.what", "m.turn")
         best = asked.groupBy("user", "what").agg(F.min("turn").alias("best"))
-        told = materialize(asked.join(best, ["user", "what"]).select(
+        won = materialize(asked.join(best, ["user", "what"]).select(
             *GOAL, F.col("depth").alias("at"), (F.col("turn") == F.col("best")).alias("won")))
-        lost = told.where(~F.col("won"))
-        if lost.isEmpty():
-            return told.select(*GOAL, F.col("at").alias("depth"))
+        lost, n = materialize_counted(won.where(~F.col("won")))
+        if not n:
+            return won.select(*GOAL, F.col("at").alias("depth"))
         left = materialize(left.join(lost, GOAL, "left").where(F.col("at").isNull() | (F.col("depth") > F.col("at")))
                            .select(*GOAL, "depth", "what", "turn"))
 

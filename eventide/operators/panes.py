@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from eventide.functions.timefmt import ceil_to, dur_us, from_us, to_us
 from eventide.plans.scan import first_at_or_after, last_at_or_before, running_sums
 from eventide.plans.spec import PaneSpec, Trigger
-from eventide.session import materialize
+from eventide.session import materialize, materialize_counted
 
 _WKEY = ["key", "w_start"]
 _MAX_SUB = 2**62
@@ -82,12 +82,12 @@ def _with_delay_starts(rows: DataFrame, delays: dict[bool, int], bucket: str) ->
                          F.col("_a").alias("_v"))
     both = asked.unionByName(there).withColumn("_b", F.floor(F.col("_t") / span))
     nxt = first_at_or_after(both, ["_g"], "_t", "_k", "_b", "_v", "_n").where("_k = 0 and _n is not null")
-    jump = materialize(nxt.select("_g", F.col("_q").alias("_a"), F.col("_n").alias("_to")))
+    jump, n = materialize_counted(nxt.select("_g", F.col("_q").alias("_a"), F.col("_n").alias("_to")))
     tables = []
-    while not jump.isEmpty():
+    while n:
         tables.append(jump)
         onward = jump.select("_g", F.col("_a").alias("_to"), F.col("_to").alias("_then"))
-        jump = materialize(jump.join(onward, ["_g", "_to"]).select("_g", "_a", F.col("_then").alias("_to")))
+        jump, n = materialize_counted(jump.join(onward, ["_g", "_to"]).select("_g", "_a", F.col("_then").alias("_to")))
     starts = nodes.groupBy("_g").agg(F.min("_a").alias("_a"))
     for jump in reversed(tables):
         # Every start found so far leads to a new one 2^k panes on.

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.functions.timefmt import dur_us, to_us
+from eventide.functions.timefmt import dur_us, from_us, to_us
 
 INF = np.iinfo(np.int64).max
 
@@ -141,15 +141,36 @@ class SessionPaneMachine:
         return True
 
 
+def _steps_per_group(rows: DataFrame, marks: DataFrame, level: F.Column) -> DataFrame:
+    """Each group's watermark steps, as rows: those after its first row, to the one that closes its last window.
+
+    A range join on ``seq``: a group's span is cut into blocks of ``_BLOCK`` positions, and
+    steps meet it block by block.
+    """
+    from eventide.plans.spec import _first_step_at_or_above
+
+    groups = rows.groupBy("key", "_sid").agg(F.min("seq").alias("lo"), F.max(level).alias("level"))
+    closed = _first_step_at_or_above(groups.select(from_us(F.col("level")).alias("_level")).distinct(), marks)
+    spans = groups.withColumn("_level", from_us(F.col("level"))).join(closed, "_level", "left").select(
+        "key", "_sid", "lo", "fire_seq")
+    last = marks.agg(F.max("seq").alias("last"))
+    spans = spans.join(F.broadcast(last)).select("key", "_sid", "lo", F.coalesce("fire_seq", "last").alias("hi"))
+    block = lambda c: F.floor(F.col(c) / _BLOCK)
+    spans = spans.where("hi >= lo").select("*", F.explode(F.sequence(block("lo"), block("hi"))).alias("_k"))
+    m = marks.select(F.col("seq").alias("m_seq"), to_us("proc_ts").alias("a"), to_us("wm_ts").alias("w"),
+                     block("seq").alias("_k"))
+    return spans.join(m, "_k").where("m_seq > lo and m_seq <= hi").select(
+        "key", "_sid", F.col("m_seq").alias("seq"), F.lit(None).cast("long").alias("t"), F.lit(None).cast("long").alias(
+            "score"), "a", "w")
+
+
 def session_panes(log: DataFrame, gap: str | None, early_delay: str | None, lateness: str, watermark,
-                  mode: str = "accumulating", max_marks: int = 1_000_000, size: str | None = None,
-                  split: str = "session") -> DataFrame:
+                  mode: str = "accumulating", size: str | None = None, split: str = "session") -> DataFrame:
     """Panes of merging session windows for an arrival log ``key, score, event_ts, arrival_ts, seq, wm_ts``.
 
-    ``watermark`` is a ``StepWatermark`` (marks table, collected once after a
-    size check; it is sized by time span and heartbeat rate) or a
-    ``TickWatermark`` (steps generated in closed form; input ends at the first
-    tick after the last arrival).
+    ``watermark`` is a ``StepWatermark``, whose steps join the groups they concern as rows, or
+    a ``TickWatermark`` (steps generated in closed form; input ends at the first tick after the
+    last arrival).
     """
     from eventide.plans.spec import StepWatermark, TickWatermark
 
@@ -157,10 +178,9 @@ def session_panes(log: DataFrame, gap: str | None, early_delay: str | None, late
     fixed = dur_us(size) if size else None
     d = dur_us(early_delay) if early_delay else None
     acc = mode == "accumulating"
-    marks: list[tuple[int, int, int]] = []
     tick = lag = None
     rows = log.select("key", F.col("score").cast("long").alias("score"), "event_ts", "seq",
-                      to_us("event_ts").alias("t"), to_us("arrival_ts").alias("a"))
+                      to_us("event_ts").alias("t"), to_us("arrival_ts").alias("a"), to_us("wm_ts").alias("w"))
     if gap and split == "session":
         # Windows never cross the final sessions of all rows (a merge joins only
         # overlapping proto-windows), so each final session is an independent
@@ -169,37 +189,28 @@ def session_panes(log: DataFrame, gap: str | None, early_delay: str | None, late
         rows = session_ids(rows, gap, "key", "event_ts", "seq")
     else:
         rows = rows.withColumn("_sid", F.lit(0).cast("long"))
-    rows = rows.drop("event_ts")
+    rows = rows.select("key", "_sid", "seq", "t", "score", "a", "w")
     if isinstance(watermark, StepWatermark):
-        n = watermark.marks.count()
-        if n > max_marks:
-            raise ValueError(f"{n} watermark marks exceed max_marks={max_marks}")
-        marks = sorted((int(r[0]), int(r[1]), int(r[2])) for r in watermark.marks.select(
-            "seq", to_us("proc_ts"), to_us("wm_ts")).collect())
-        rows = rows.withColumn("eoi", F.lit(None).cast("long"))
+        end = F.col("t") + F.lit(g) if not fixed else F.col("t") - F.pmod("t", F.lit(fixed)) + F.lit(fixed)
+        rows = rows.unionByName(_steps_per_group(rows, watermark.marks, end + F.lit(L)))
+        order, eoi = ["seq"], None
     elif isinstance(watermark, TickWatermark):
         tick, lag = dur_us(watermark.tick), dur_us(watermark.lag)
-        rows = rows.withColumn("eoi", watermark.resolve(log).end_of_input_us(log))
+        order, eoi = ["a", "seq"], watermark.resolve(log).eoi_us
     else:
         raise TypeError(watermark)
 
     def run(batches):
         m = None
         key = None
-        eoi = None
-        mi = 0
         last_tick = None
 
-        def flush(m, key, eoi, mi, last_tick):
+        def flush():
             if m is None:
                 return
-            if marks:
-                for seq, proc, wm in marks[mi:]:
-                    m.advance_clock(proc)
-                    m.advance_watermark(INF if wm >= _FAR else wm, proc)
-            else:
+            if tick:
                 t = last_tick
-                while t is not None and t + tick < eoi:
+                while t + tick < eoi:
                     t += tick
                     m.advance_clock(t)
                     m.advance_watermark(t - lag, t)
@@ -209,21 +220,14 @@ def session_panes(log: DataFrame, gap: str | None, early_delay: str | None, late
             m.out.clear()
 
         for pdf in batches:
-            for k0, sid, t, sc, a, seq, e in zip(pdf["key"], pdf["_sid"], pdf["t"], pdf["score"], pdf["a"],
-                                                 pdf["seq"], pdf["eoi"]):
-                k = (k0, int(sid))
+            for k0, sid, t, sc, a, w in zip(pdf["key"], pdf["_sid"], pdf["t"], pdf["score"], pdf["a"], pdf["w"]):
+                k, a, w = (k0, int(sid)), int(a), int(w)
                 if k != key:
-                    yield from flush(m, key, eoi, mi, last_tick)
-                    m, key, mi, eoi = SessionPaneMachine(g, d, L, acc, fixed), k, 0, (None if pd.isna(e) else int(e))
-                    last_tick = None
-                if marks:
-                    while mi < len(marks) and marks[mi][0] < seq:
-                        _, proc, wm = marks[mi]
-                        m.advance_clock(proc)
-                        m.advance_watermark(INF if wm >= _FAR else wm, proc)
-                        mi += 1
-                else:
-                    cur = (int(a) // tick) * tick
+                    yield from flush()
+                    m, key, last_tick = SessionPaneMachine(g, d, L, acc, fixed), k, None
+                    m.wm = w
+                if tick:
+                    cur = (a // tick) * tick
                     if last_tick is None:
                         last_tick = cur
                         m.advance_clock(cur)
@@ -232,17 +236,21 @@ def session_panes(log: DataFrame, gap: str | None, early_delay: str | None, late
                         last_tick += tick
                         m.advance_clock(last_tick)
                         m.advance_watermark(last_tick - lag, last_tick)
-                m.advance_clock(int(a))
-                m.add(int(t), int(sc), int(a))
+                m.advance_clock(a)
+                if pd.isna(t):
+                    m.advance_watermark(INF if w >= _FAR else w, a)
+                else:
+                    m.add(int(t), int(sc), a)
                 if len(m.out) > 10_000:
                     yield from _frame(key, m.out)
                     m.out.clear()
-        yield from flush(m, key, eoi, mi, last_tick)
+        yield from flush()
 
-    ordered = rows.repartition("key", "_sid").sortWithinPartitions("key", "_sid", "a", "seq")
+    ordered = rows.repartition("key", "_sid").sortWithinPartitions("key", "_sid", *order)
     return ordered.mapInPandas(run, PANE_SCHEMA)
 
 
+_BLOCK = 1024
 _FAR = 253_370_764_800_000_000  # 9999-01-01 in microseconds: watermark values at or beyond mean infinity
 
 

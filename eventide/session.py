@@ -122,3 +122,13 @@ def materialize(df):
     path = f"{scratch_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(df):
+    """``materialize`` with the number of rows, counted while they are written."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    seen = Observation()
+    out = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return out, seen.get["n"]
