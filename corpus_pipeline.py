@@ -49,7 +49,7 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     # A smaller cache than by itself: this stage's JVM also holds the ids that it writes.
     ids = bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
-                           units_kept=1 << 18)
+                           units_kept=1 << 17)
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

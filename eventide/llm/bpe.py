@@ -37,7 +37,7 @@ from eventide.llm.warm import warm
 #: Units in one half of the cache, about 200 bytes each; half as many pieces.
 UNITS_KEPT = 1 << 19
 HEAD_BYTES, HEADS_KEPT = 6, 1 << 16
-PAIRS_KEPT = 1 << 20
+PAIRS_KEPT = 1 << 18
 ROWS_AT_ONCE = 64
 #: A space before white space or the end: it may belong to a match that began before it.
 NOT_BETWEEN_UNITS = re.compile(r" (?:\s|\Z)")

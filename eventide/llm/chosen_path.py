@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm.bpe import rows_of
+from eventide.llm.warm import let_go
 from eventide.session import materialize
 
 WORDS, SIMILAR, RECALL = 5, 0.8, 0.995
@@ -47,7 +48,7 @@ BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 20
 TOLERATED = 40
 #: A large bucket whose sets agree at this share of LOOKED_AT sketch positions is compared as it is.
 ALIKE, LOOKED_AT = 0.5, 4
-WORDS_KEPT = 1 << 19
+WORDS_KEPT = 1 << 17
 ODD = np.uint64(0x9E3779B97F4A7C15)
 PATHS = np.random.default_rng(11).integers(1, 1 << 63, 2 * SKETCH, dtype=np.uint64).reshape(2, SKETCH) | np.uint64(1)
 
@@ -105,6 +106,7 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
 
 def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text_key, text) to (doc_id, text_key, set_id, n, sketch); sets without shingles get an id of their own."""
+    let_go()
     shingler = Shingler()
     for batch in batches:
         for ids, keys, texts in rows_of(batch):
@@ -369,6 +371,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         "set_id", "copies", "text")
 
     def shingle(batches):
+        let_go()
         shingler = Shingler()
         for batch in batches:
             for ids, copies, body in rows_of(batch):

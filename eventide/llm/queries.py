@@ -52,7 +52,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("passes")).alias("taken"),
-                       F.round(F.get("positions", F.lit(0)), 6).alias("first_position"))
+                       F.round(F.get("positions", F.lit(0)), 6).alias("first_position")).repartitionByRange(
+                           "first_position").sortWithinPartitions("first_position")
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,6 +140,7 @@ class LibraryEncoder:
         self.spaced: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.separator, = self._ids(SEPARATOR)
+        self.newline = np.array(self._ids("\n"), "<u4").tobytes()
         self.stops = {c: np.array(self._ids(c), "<u4").tobytes() for c in STOPS}
 
     def _ids(self, text: str) -> list[int]:
@@ -164,23 +165,46 @@ class LibraryEncoder:
                 out[i] = raw[x:y]
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian uint32; texts with spaces inside white space go to the library whole."""
-        units = [None if NOT_BETWEEN_UNITS.search(t) else t.split(" ") for t in texts]
-        plain = [u for u in units if u]
-        wanted = set().union(*(u[1:] for u in plain))
+    def _learn(self, wanted: set[str], turn: bool = True) -> None:
+        """Put the ids of all ``wanted`` units into the cache.
+
+        A unit stands after a space; one that begins with a line feed stands for itself.  Units
+        of several lines are their lines, as the pre-tokenizer sets a lone line feed apart.
+        """
         new = wanted.difference(self.spaced)
-        if len(self.spaced) + len(new) > UNITS_KEPT:
+        if turn and len(self.spaced) + len(new) > UNITS_KEPT:
             self.before, self.spaced, new = self.spaced, {}, wanted
         again = {u for u in new if u in self.before}
         self.spaced.update((u, self.before[u]) for u in again)
-        stopped = {u for u in new - again if u[-1] in STOPS and u[:-1].isalpha()}
-        bare = list((new - again - stopped).union(w for u in stopped if (w := u[:-1]) not in self.spaced))
-        self.spaced.update(zip(bare, self._ask([" " + u for u in bare]), strict=True))
+        new = new - again
+        broken = {u: parts for u in new if "\n" in u[1:] and (parts := self._lines(u))}
+        if broken:
+            self._learn(set().union(*broken.values()), turn=False)
+            self.spaced.update((u, b"".join(map(self.spaced.__getitem__, parts))) for u, parts in broken.items())
+        stopped = {u for u in new if u not in broken and u[-1] in STOPS and u[u[0] == "\n":-1].isalpha()}
+        bare = list(new.difference(broken, stopped).union(w for u in stopped if (w := u[:-1]) not in self.spaced))
+        ids = self._ask([u[1:] if u[0] == "\n" else " " + u for u in bare])
+        self.spaced.update((u, self.newline + x if u[0] == "\n" else x) for u, x in zip(bare, ids, strict=True))
         self.spaced.update((u, self.spaced[u[:-1]] + self.stops[u[-1]]) for u in stopped)
-        first = iter(self._ask([u[0] for u in plain]))
+
+    @staticmethod
+    def _lines(unit: str) -> list[str] | None:
+        """The unit as units of one line each, if its line feeds stand alone between other characters."""
+        lines = unit[unit[0] == "\n":].split("\n")
+        if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+            return [lines[0] if unit[0] != "\n" else "\n" + lines[0], *("\n" + x for x in lines[1:])]
+        return None
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian uint32; texts whose spaces or ends are inside white space go to the library whole."""
+        units = [None if not t or t[0].isspace() or NOT_BETWEEN_UNITS.search(t) else t.split(" ") for t in texts]
+        plain = [u for u in units if u]
+        for u in plain:
+            u[0] = "\n" + u[0]
+        self._learn(set().union(*plain))
         rest = iter(self._ask([t for t, u in zip(texts, units, strict=True) if not u]))
-        return [next(rest) if not u else next(first) + b"".join(map(self.spaced.__getitem__, u[1:])) for u in units]
+        skip = len(self.newline)
+        return [next(rest) if not u else b"".join(map(self.spaced.__getitem__, u))[skip:] for u in units]
 
 
 def library_encoder(path: str) -> LibraryEncoder:

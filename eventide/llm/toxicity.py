@@ -20,7 +20,6 @@ an empty table gives an empty result; other columns are never inputs.
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +31,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from eventide.llm.bpe import rows_of
 from eventide.llm.textops import OTHER_SPACES, whole, words
-from eventide.llm.warm import warm
+from eventide.llm.warm import let_go
 
 WINDOW, STRIDE = 48, 24
 WORD_BUCKETS, GRAM_BUCKETS, GRAMS = 1 << 14, 1 << 15, (3, 5)
@@ -315,10 +314,11 @@ def score_texts(docs: DataFrame, weights: dict[str, np.ndarray], text: str = "te
     # Inside, columns go by number, so they may have any names.
     docs = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col(text).alias("text"))
     # The weights have a fixed size, about 2 MB.
-    sent, token = docs.sparkSession.sparkContext.broadcast(weights), uuid.uuid4().hex
+    sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = warm(("toxicity", token), lambda: Scorer(sent.value))
+        let_go()
+        scorer = Scorer(sent.value)
         for batch in batches:
             scores = [scorer.scores(texts) for texts, in rows_of(batch.select([len(keep)]))]
             yield pa.RecordBatch.from_arrays(
