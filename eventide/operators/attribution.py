@@ -94,7 +94,7 @@ def walk_levels(visits: DataFrame, impressions: DataFrame, state_ttl: str | None
         F.struct("arrival_ts", "seq", "wm_ts").alias("at"), "next", "imp")
     # Every level joins the versions on these keys: kept partitioned, only the frontier is shuffled.
     # Lost blocks are computed again from the input.
-    versions = versions.repartition("user", "v_url").persist(StorageLevel.DISK_ONLY)
+    versions = versions.repartition("user", "v_url").persist(StorageLevel.MEMORY_AND_DISK)
     goals = goals_of(visits).join(
         imps.withColumnRenamed("referer", "goal_referer").withColumnRenamed("url", "goal_url"),
         ["user", "goal_referer", "goal_url"], "left")
