@@ -38,7 +38,7 @@ MAGIC = b"TIDS0001"
 NO_ID = -(1 << 63)
 BLOCK_IDS = 4096
 FILE_IDS = 1 << 22
-UNITS_KEPT, ASKED_AT_ONCE = 1 << 19, 4096
+UNITS_KEPT, ASKED_AT_ONCE = 1 << 20, 4096
 #: A white-space character of one byte, and stops that the pre-tokenizer cuts from letters.
 SEPARATOR, STOPS = "\x0b", ".,!?;:"
 
