@@ -2,12 +2,14 @@
 
 A document is the set of hashed shingles of five words (all its words, if fewer).  Equal sets
 are collapsed first.  Each distinct set keeps ``SKETCH`` minimum hash values, whose agreement
-estimates the Jaccard similarity.  A run splits all sets by sampled shared tokens: every node
-of the recursion samples each sketch position with probability 1 / (SIMILAR * SKETCH), and
-sets that agree at a sampled position go to one child.  Buckets of at most ``LEAF`` sets,
+estimates the Jaccard similarity.  A run splits all sets by sampled shared tokens: its root
+takes one sketch position that no other run's root takes, every node below it samples each
+position with probability 1 / (SIMILAR * SKETCH), and sets that agree at a sampled position
+go to one child.  Buckets of at most ``LEAF`` sets,
 those whose sets are alike already (splitting would only lose pairs), and all buckets at
 ``DEPTH`` are compared by brute force, large ones in blocks.  Runs are repeated
-until a pair at exactly ``SIMILAR`` meets with probability ``RECALL``.
+until a pair at exactly ``SIMILAR`` is found with probability ``RECALL`` even if all its
+buckets are split down to ``DEPTH``, sketches that disagree too often included.
 
 Brute force compares sketches, keeps the pairs above the estimate's tolerance, and verifies
 these on the whole sets.  A pair that meets in several leaves counts in the smallest one
@@ -53,15 +55,23 @@ ODD = np.uint64(0x9E3779B97F4A7C15)
 PATHS = np.random.default_rng(11).integers(1, 1 << 63, 2 * SKETCH, dtype=np.uint64).reshape(2, SKETCH) | np.uint64(1)
 
 
-def meets(depth: int) -> float:
-    """The chance that two sets at SIMILAR are still together at ``depth`` in one run: a branching process."""
-    p = 1.0
-    for _ in range(depth):
-        p = 1 - (1 - p / SKETCH) ** SKETCH
-    return p
+def missed(runs: int, depth: int = DEPTH) -> float:
+    """The chance that two sets at SIMILAR are not found by ``runs`` runs when their buckets are split down to ``depth``."""
+    total = 0.0
+    for agree in range(SKETCH + 1):
+        p = 1.0
+        for _ in range(depth - 1):
+            # Nodes below the root: a branching process over the positions at which the two agree.
+            p = 1 - (1 - p / (SIMILAR * SKETCH)) ** agree
+        apart = sum(math.comb(agree, k) * math.comb(SKETCH - agree, runs - k) * (1 - p) ** k for k in range(runs + 1))
+        chance = math.comb(SKETCH, agree) * SIMILAR ** agree * (1 - SIMILAR) ** (SKETCH - agree)
+        total += chance * (apart / math.comb(SKETCH, runs) if agree >= TOLERATED else 1.0)
+    return total
 
 
-RUNS = math.ceil(math.log(1 - RECALL) / math.log(1 - meets(DEPTH)))
+RUNS = next(n for n in range(1, SKETCH + 1) if missed(n) <= 1 - RECALL)
+#: The position of each run's root: the last ones, since the first LOOKED_AT judge whether a bucket is alike.
+ROOTS = np.arange(SKETCH - RUNS, SKETCH)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -134,15 +144,14 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def split_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(set_id, sketch) to (bucket, set_id): the first level of all runs."""
-    roots = mixed(np.arange(1, RUNS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
     for batch in batches:
         ids, packed = batch.column("set_id"), batch.column("sketch").to_pylist()
         if not len(packed):
             continue
         sketches = np.frombuffer(b"".join(packed), np.uint32).reshape(-1, SKETCH)
-        for root in roots:
-            row, child = children(np.full(len(packed), root), sketches)
-            yield pa.RecordBatch.from_arrays([_signed(child), ids.take(pa.array(row))], ["bucket", "set_id"])
+        for place in ROOTS:
+            child = mixed(mixed(np.full(len(packed), place, np.uint64) * ODD) + sketches[:, place].astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([_signed(child), ids], ["bucket", "set_id"])
 
 
 def split_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -131,6 +131,22 @@ def test_near_groups(spark):
     assert got == want and len({c for c, _ in got.values()}) == 301
 
 
+def test_near_recall(spark):
+    """Pairs at 0.8 whose buckets hold over LEAF sets at levels 1 and 2 without being alike meet in a leaf."""
+    rng = np.random.default_rng(8)
+    n, values = 2000, 5
+    left = rng.integers(0, values, (n, chosen_path.SKETCH)).astype(np.uint32)
+    right = np.where(rng.random(left.shape) < chosen_path.SIMILAR, left, (left + rng.integers(1, values, left.shape)) % values)
+    sets = [(bytes([side]) + i.to_bytes(4, "big"), 100, row.astype(np.uint32).tobytes())
+            for side, rows in enumerate((left, right)) for i, row in enumerate(rows)]
+    df = spark.createDataFrame(sets, "set_id binary, n long, sketch binary")
+    met = chosen_path.leaves_of(df).select("bucket", F.substring("set_id", 2, 4).alias("pair"), "set_id").distinct()
+    met = met.groupBy("pair", "bucket").count().where("count = 2")
+    met = met.groupBy("pair").count().count()
+    assert met >= 0.985 * n
+    assert chosen_path.missed(chosen_path.RUNS) <= 1 - chosen_path.RECALL
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(200 + i, 100) for i in range(50)] + [(300, 301)]
     got = chosen_path.components(spark.createDataFrame(edges, "a long, b long")).collect()
