@@ -39,7 +39,11 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in training order, each as often as its source's target takes it."""
+    """The documents, each as often as its source's target takes it.
+
+    Rows leave in training order, but the next stage reads them as Parquet splits in any order, and
+    positions are not among the columns: only which documents and how often reaches the last stage.
+    """
     prepare(spark)
     return mixing.mixed(docs).select(docs.columns)
 
