@@ -4,12 +4,14 @@ A word enters as its own embedding (hashed) beside the mean embedding of its cha
 n-grams (hashed), so unseen forms of known words are read by their characters.  A gated
 recurrent layer runs over a window of words in both directions, attention pools its states,
 and a linear layer gives the window's logit.  All overlapping windows of a text are scored;
-the text's logit is their softmax-weighted mean, close to the largest.  The same pooling is
+the text's logit is the largest, however many windows there are.  The same pooling is
 trained, so the network itself finds which windows of a labelled text carry the label.
 
 The fit is bounded by documented parameters: at most ``MAX_TOXIC`` and ``MAX_CLEAN``
-labelled rows, the first in hashed order of their ids, those of up to ``TRAIN_WORDS`` words.
-The model's size is fixed.  Scoring covers every whole text, one pass, no shuffle.
+labelled rows, the first in hashed order of their ids.  Texts of up to ``TRAIN_WORDS`` words
+are learned whole.  All windows of longer ones are scored by what these taught, and their
+highest windows, again up to ``TRAIN_WORDS`` words, join a second fit: the largest logit
+depends on no other windows.  The model's size is fixed.  Scoring covers every whole text, one pass, no shuffle.
 
 Defined cases: a null or empty text, or one of separators only, scores the share of label 1
 in the fitting sample (at most 0.49); without labelled rows of both classes every text does;
@@ -170,14 +172,12 @@ class Network:
 
 
 def pool(logits: np.ndarray, text: np.ndarray, count: int, default: float) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's softmax-weighted mean of its windows' logits, and the weights."""
+    """Each text's largest logit of its windows, and the windows' shares in it (equal ones share alike)."""
     top = np.full(count, -np.inf)
     np.maximum.at(top, text, logits)
-    e = np.exp(logits - top[text])
-    total = np.bincount(text, e, count)
-    share = e / total[text]
-    found = np.bincount(text, share * logits, count)
-    return np.where(total > 0, found, default), share
+    share = (logits == top[text]).astype(np.float64)
+    share /= np.bincount(text, share, count)[text]
+    return np.where(np.isfinite(top), top, default), share
 
 
 def train(texts: list[str], labels: list[int], updates: int = UPDATES, seed: int = 7) -> dict[str, np.ndarray]:
@@ -216,7 +216,7 @@ def train(texts: list[str], labels: list[int], updates: int = UPDATES, seed: int
         logits, kept = net.forward(gates[place], there, keep=True)
         whole_text, weight = pool(logits.astype(np.float64), text, len(some), 0.0)
         wrong = (sigmoid(whole_text) - y) / len(some)
-        d_logits = (wrong[text] * weight * (1 + logits - whole_text[text])).astype(np.float32)
+        d_logits = (wrong[text] * weight).astype(np.float32)
         g, d_given = net.backward(d_logits, kept)
         d_gates = np.zeros((len(used), 6 * HIDDEN), np.float32)
         np.add.at(d_gates, place[there], d_given.reshape(*there.shape, -1)[there])
@@ -262,13 +262,9 @@ class Scorer:
             self._learn(new)
         return np.fromiter(map(self.row.__getitem__, found), np.int64, len(found))
 
-    def logits(self, texts: list[str | None]) -> np.ndarray:
-        """Text logits; long texts are cut into runs of windows, so memory stays bounded."""
-        found = [text_words(t) for t in texts]
-        sizes = np.array([len(f) for f in found], np.int64)
-        if not self.known or not sizes.sum():
-            return np.full(len(texts), self.default)
-        text, start, size = cut(sizes)
+    def window_logits(self, found: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The text and the logit of every window; long texts are cut into runs of windows, so memory stays bounded."""
+        text, start, size = cut(np.array([len(f) for f in found], np.int64))
         flat = [x for f in found for x in f]
         logits = np.empty(len(text))
         for a in range(0, len(text), WINDOWS_AT_ONCE):
@@ -278,8 +274,27 @@ class Scorer:
             there = np.arange(WINDOW) < size[a:b, None]
             place = index[np.minimum(start[a:b, None] - low + np.arange(WINDOW), high - low - 1)]
             logits[a:b] = self.net.forward(self.table[place], there)
+        return text, logits
+
+    def logits(self, texts: list[str | None]) -> np.ndarray:
+        found = [text_words(t) for t in texts]
+        if not self.known or not any(found):
+            return np.full(len(texts), self.default)
+        text, logits = self.window_logits(found)
         return pool(logits, text, len(texts), self.default)[0]
 
+    def highest(self, text: str) -> str:
+        """The windows of the largest logits, TRAIN_WORDS words at most, in the order of the text.
+
+        Windows start at multiples of STRIDE, so each is cut from what this returns again.
+        """
+        found = text_words(text)
+        _, logits = self.window_logits([found])
+        kept = np.zeros(len(found), bool)
+        for nth in np.argsort(-logits, kind="stable")[:TRAIN_WORDS // WINDOW]:
+            kept[nth * STRIDE:nth * STRIDE + WINDOW] = True
+        return " ".join(found[i] for i in np.flatnonzero(kept))
+
     def scores(self, texts: list[str | None]) -> np.ndarray:
         return np.round(sigmoid(self.logits(texts)), 6)
 
@@ -297,10 +312,37 @@ def fit(docs: DataFrame, labels: DataFrame, updates: int = UPDATES) -> dict[str,
         known.where("toxic = 0").orderBy(*order).limit(MAX_CLEAN))
     # MAX_TOXIC + MAX_CLEAN ids at most: a proven size for a broadcast.
     body = docs.select(F.col("doc_id").alias("_id"), whole("text").alias("_text"))
-    rows = body.join(F.broadcast(sample), F.col("_id") == F.col("doc_id")).where(F.size(words(F.col("_text"))) <= TRAIN_WORDS)
-    rows = rows.groupBy("doc_id").agg(F.max("_text").alias("text"), F.max("toxic").alias("toxic")).collect()
-    rows.sort(key=lambda r: r["doc_id"])
-    return train([r["text"] for r in rows], [r["toxic"] for r in rows], updates)
+    rows = body.join(F.broadcast(sample), F.col("_id") == F.col("doc_id")).select("doc_id", "toxic", "_text")
+    size = F.size(words(F.col("_text")))
+
+    def gathered(rows: DataFrame) -> dict[int, tuple[str, int]]:
+        each = rows.groupBy("doc_id").agg(F.max("_text").alias("text"), F.max("toxic").alias("toxic")).collect()
+        return {r["doc_id"]: (r["text"], r["toxic"]) for r in each}
+
+    def fitted(found: dict[int, tuple[str, int]]) -> dict[str, np.ndarray]:
+        return train([found[i][0] for i in sorted(found)], [found[i][1] for i in sorted(found)], updates)
+
+    short, long = gathered(rows.where(size <= TRAIN_WORDS)), rows.where(size > TRAIN_WORDS)
+    weights = fitted(short)
+    # If the short texts taught nothing, the first choice of windows is blind and is made again.
+    for _ in range(2 if "untrained" in weights or not short else 1):
+        sent = docs.sparkSession.sparkContext.broadcast(weights)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            let_go()
+            scorer = Scorer(sent.value)
+            for batch in batches:
+                for ids, toxic, texts in rows_of(batch):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids, pa.int64()), pa.array(toxic, pa.int32()),
+                         pa.array([scorer.highest(t) for t in texts], pa.string())], ["doc_id", "toxic", "_text"])
+
+        picked = gathered(long.select(F.col("doc_id").cast("long"), "toxic", "_text").mapInArrow(
+            run, "doc_id long, toxic int, _text string"))
+        if not picked:
+            break
+        weights = fitted(picked | short)
+    return weights
 
 
 def score_texts(docs: DataFrame, weights: dict[str, np.ndarray], text: str = "text",

@@ -169,6 +169,32 @@ def test_toxicity_odd(spark, odd, none):
     assert {r.score for r in toxicity.score_texts(odd, bare).collect()} == {0.000001}
 
 
+def test_toxicity_long(spark):
+    """One toxic passage counts however much clean text surrounds it, and labels of long texts are learned."""
+    rng = random.Random(5)
+    clean = lambda n: [f"plain{rng.randrange(300)}" for _ in range(n)]
+    for n in (10, 400, 5000):
+        assert toxicity.pool(np.array([-3.0] * n + [3.0]), np.zeros(n + 1, int), 1, 0.0)[0][0] == 3
+
+    def hidden(n):
+        w = clean(n)
+        w[n // 3:n // 3 + 30] = ["gorblex", "snarfing"] * 15
+        return " ".join(w)
+
+    texts = [hidden(200) if i % 3 == 0 else " ".join(clean(200)) for i in range(60)]
+    scorer = toxicity.Scorer(toxicity.train(texts, [int(i % 3 == 0) for i in range(60)], 150))
+    for n in (1000, 10000, 100000):
+        toxic, plain = scorer.scores([hidden(n), " ".join(clean(n))])
+        assert toxic > 0.5 > plain
+    assert "gorblex" in scorer.highest(hidden(20000)) and len(scorer.highest(hidden(20000)).split()) <= toxicity.TRAIN_WORDS
+    # Every labelled text is longer than TRAIN_WORDS.
+    rows = [(i, "s", " ".join((clean(2300) if i % 3 else ["gorblex", "snarfing"] * 1150))) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    learned = toxicity.Scorer(toxicity.fit(frame(spark, rows), labels, updates=60))
+    toxic = " ".join(clean(1500) + ["gorblex", "snarfing"] * 50 + clean(1500))
+    assert learned.scores([toxic])[0] > 0.5 > learned.scores([" ".join(clean(3000))])[0]
+
+
 def test_toxicity_gradients():
     """Backward passes agree with differences of the loss."""
     rng = np.random.default_rng(2)
