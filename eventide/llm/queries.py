@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import bpe, chosen_path, line_dedup, lm_score, mixing, quality, token_files, toxicity, url_filter, va_topk
+from eventide.llm import (bpe, chosen_path, line_dedup, lm_score, mixing, quality, spelling, token_files, toxicity, url_filter,
+                          va_topk)
 
 #: The vocabulary size of the tokenizer file of op10, and the id that ends a document.
 VOCABULARY, END_ID = 50257, 2
@@ -74,14 +75,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.path("byte_bpe_50k.json"), VOCABULARY, END_ID)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality_rules, op2_bpe, op3_ngram_jaccard, op4_toxicity, op5_line_dedup, op6_source_mixing, op7_url_filter,
-                                  op8_va_topk, op9_lm_score, op10_token_files)}
+                                  op8_va_topk, op9_lm_score, op10_token_files, op11_spelling)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_quality_rules": OP1_SQL, "op5_line_dedup": OP5_SQL, "op6_source_mixing": OP6_SQL,
-            "op8_va_topk": OP8_SQL}
+            "op8_va_topk": OP8_SQL, "op11_spelling": OP11_SQL}
 
 
 OP1_SQL = r"""
@@ -157,3 +162,35 @@ s as (select q.vec_id query_id, c.vec_id vec_id, list_inner_product(q.v::double[
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) "rank" from s)
 select query_id, "rank"::integer "rank", vec_id, score from r where "rank" <= 10
 """
+
+#: Unsigned crc32 of column ``s`` of table ``asked``, as table ``crc (s, h)``: the usual table of 256 remainders, byte by byte.
+CRC_SQL = r"""
+steps(i, k, c) as (select range, 0, range from range(256) union all
+  select i, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from steps where k < 8),
+remainders as (select list(c order by i) t from steps where k = 8),
+crc as (select s, xor(list_reduce(list_transform(range(len(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::bigint),
+          lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::bigint), 4294967295) h
+        from (select distinct s, hex(encode(s)) x from asked), remainders)"""
+
+OP11_SQL = r"""
+with recursive run as (select coalesce(doc_id::varchar, '') || ':' s, unnest(regexp_extract_all(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]{7,}')) r
+  from documents),
+asked as (select distinct s || r s from run), """ + CRC_SQL + r""",
+word as (select word, count(*) n from (select case when h % 31 = 0
+           then left(r, (h % length(r))::bigint) || substr(r, (h % length(r) + 2)::bigint) else r end word
+         from run join crc on crc.s = run.s || run.r) where length(word) >= 7 group by word having count(*) >= 2),
+cut as (select word, n, i, left(word, i) || substr(word, i + 2) c
+        from (select word, n, unnest(range(length(word))) i from word)),
+pair as (select a.word, b.word near, b.n near_n from cut a join cut b on a.c = b.c and a.i = b.i and a.word <> b.word
+           and length(a.word) = length(b.word)
+         union select a.word, b.word, b.n from cut a join word b on a.c = b.word
+         union select b.word, a.word, a.n from cut a join word b on a.c = b.word),
+best as (select word, count(*) n_near, min((-near_n, near)) b from pair group by word),
+found as (select word.word, n, coalesce(n_near, 0) n_near, case when -b[1] >= 10 * n then b[2] end form,
+                 case when -b[1] >= 10 * n then -b[1] end form_n from word left join best using (word)),
+walk(word, last, d) as (select word, word, 0 from found union all
+  select walk.word, found.form, d + 1 from walk join found on found.word = last where found.form is not null),
+root as (select word, max_by(last, d) root from walk group by word)
+select word, form, root, n, n_near, form_n from found join root using (word)
+"""
