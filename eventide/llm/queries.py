@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import (bpe, chosen_path, line_dedup, lm_score, mixing, quality, spelling, token_files, toxicity, url_filter,
-                          va_topk)
+from eventide.llm import (bpe, chosen_path, conv_trie, line_dedup, lm_score, mixing, quality, spelling, token_files, toxicity,
+                          url_filter, va_topk, warc)
 
 #: The vocabulary size of the tokenizer file of op10, and the id that ends a document.
 VOCABULARY, END_ID = 50257, 2
@@ -79,14 +79,23 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op13_conv_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conv_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality_rules, op2_bpe, op3_ngram_jaccard, op4_toxicity, op5_line_dedup, op6_source_mixing, op7_url_filter,
-                                  op8_va_topk, op9_lm_score, op10_token_files, op11_spelling)}
+                                  op8_va_topk, op9_lm_score, op10_token_files, op11_spelling, op12_warc, op13_conv_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_quality_rules": OP1_SQL, "op5_line_dedup": OP5_SQL, "op6_source_mixing": OP6_SQL,
-            "op8_va_topk": OP8_SQL, "op11_spelling": OP11_SQL}
+            "op8_va_topk": OP8_SQL, "op11_spelling": OP11_SQL, "op12_warc": OP12_SQL,
+            "op13_conv_trie": OP13_SQL}
 
 
 OP1_SQL = r"""
@@ -194,3 +203,40 @@ walk(word, last, d) as (select word, word, 0 from found union all
 root as (select word, max_by(last, d) root from walk group by word)
 select word, form, root, n, n_near, form_n from found join root using (word)
 """
+
+OP12_SQL = r"""
+with p as (select page_id, octet_length(encode(coalesce(html, ''))) b, sha256(coalesce(html, '')) d from pages),
+f as (select d, min(page_id) first from p where b >= 100 group by d having count(*) > 1),
+r as (select p.*, case when page_id is null or page_id > first then first end refers_to from p left join f using (d))
+select page_id, b payload_bytes, d payload_digest, case when refers_to is null then 'response' else 'revisit' end record_type,
+       refers_to from r
+"""
+
+OP13_SQL = r"""
+with recursive turns as (select conv_id c, row_number() over (partition by conv_id order by turn nulls first,
+    coalesce(role, ''), coalesce(text, '')) p, coalesce(role, '') r, coalesce(text, '') t
+  from conversations where conv_id is not null),
+convs as (select distinct c from turns),
+asked as (select c::varchar s from convs), """ + CRC_SQL + r""",
+head as (select convs.c, h % 4 h from convs join crc on crc.s = convs.c::varchar),
+built as (select head.c, p o, r, t from head join turns on turns.c = head.c - head.c % 20 and p <= h
+          union all select head.c, 1000000 + p, r, t from head join turns on turns.c = head.c and p > h),
+path as (select c, row_number() over (partition by c order by o) d,
+                sha256(concat_ws(':', length(r), r, t)) x, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) w from built),
+pre(c, d, x, w) as (select c, 0::bigint, sha256(''), 0::bigint from convs
+          union all select path.c, path.d, sha256(pre.x || path.x), path.w from pre join path on path.c = pre.c and path.d = pre.d + 1),
+len as (select c, max(d) n from pre group by c),
+node as (select d, x, min(c) conv_id, count(*) n_convs, any_value(w) w from pre group by d, x),
+edge as (select distinct a.d, a.x, b.x px from pre a join pre b on a.c = b.c and b.d = a.d - 1),
+kids as (select px x, d - 1 d, count(*) n from edge group by px, d),
+leaf as (select node.d, node.x from node left join kids using (d, x) where kids.n is null),
+anc as (select distinct u.d ud, u.x ux, v.d, v.x from pre u join pre v on u.c = v.c and v.d <= u.d),
+sub as (select anc.d, anc.x, count(leaf.x) n_leaves, sum((node.n_convs - 1) * node.w) saved_tokens from anc
+        join node on node.d = anc.ud and node.x = anc.ux left join leaf on leaf.d = anc.ud and leaf.x = anc.ux
+        group by anc.d, anc.x),
+ends as (select d, x, string_agg(c::varchar, ',' order by c) ids from pre join len using (c) where d = n group by d, x)
+select node.conv_id, node.d depth, parent.conv_id parent_conv_id, node.n_convs, coalesce(kids.n, 0) n_children, n_leaves,
+       saved_tokens::bigint saved_tokens, sha256(coalesce(ids, '')) ends_sha256
+from node join sub using (d, x) left join kids using (d, x) left join ends using (d, x) left join edge using (d, x)
+left join node parent on parent.d = node.d - 1 and parent.x = edge.px
+"""
