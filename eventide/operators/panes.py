@@ -215,17 +215,19 @@ def pane_ledger(log: DataFrame, spec: PaneSpec, watermark, with_dropped: bool =
     return (result, dropped) if with_dropped else result
 
 
-def number_panes(panes: DataFrame, spec: PaneSpec) -> DataFrame:
+def number_panes(panes: DataFrame, spec: PaneSpec, window: list[str] = _WKEY, so_far: str | None = None) -> DataFrame:
     """Index, on-time index, first/last flags and the accumulated or discarded value.
 
+    ``so_far``: a column that holds the accumulated value already.
+
     Panes of a window are ordered by (phase, fire time, sub-key); the running
     counts and sums are bucketed by fire time, which is monotone in that order.
     """
     b = F.floor(to_us("fire_ts") / F.lit(dur_us(spec.bucket)))
     numbered = running_sums(
-        panes.withColumn("_b", b), _WKEY, ["phase", "fire_ts", "sub"], "_b",
+        panes.withColumn("_b", b), window, ["phase", "fire_ts", "sub"], "_b",
         {"_idx": F.lit(1).cast("long"), "_oti": (F.col("phase") > 0).cast("long"), "_acc": F.col("delta")})
-    value = F.col("_acc") if spec.mode == "accumulating" else F.col("delta")
+    value = F.col(so_far or "_acc") if spec.mode == "accumulating" else F.col("delta")
     same_step = (F.col("on_ts") == F.col("gc_ts")) & (F.col("on_seq") == F.col("gc_seq"))
     is_last = F.col("closing") | ((F.col("phase") == 1) & same_step)
     return numbered.select(

@@ -1,274 +1,351 @@
-"""Session windows under early/on-time/late triggers, with merging (late data can bridge sessions).
-
-Per key this is a state machine over arrival order: sessions merge when a new
-element's proto-window ``[t, t+gap)`` overlaps them; a merge that changes a
-window's bounds starts a new window whose pane numbering restarts; a merged
-window already behind the watermark fires LATE at once.  Its state is the set of
-open sessions of one key, so the bounded form streams each key's rows in arrival
-order (``repartition`` by key + ``sortWithinPartitions`` + ``mapInPandas``) and
-keeps only open sessions in memory.
+"""Panes of merging session windows, as joins over a bounded arrival log.
+
+Each element opens a window ``[t, t + gap)``; windows of one key that overlap merge, and a late
+element can bridge sessions that have fired.  A window is known by its bounds: whenever an
+arrival changes them the pane numbering starts anew.  Rules as in ``operators.panes``: rows
+with ``wm_ts >= t + gap + lateness`` are dropped, an EARLY pane fires ``early_delay`` after its
+first element (merged sessions keep the earlier deadline), ON_TIME when the watermark reaches
+the window's end, and every later element is a LATE pane.
+
+No state is replayed.  The plan follows from four facts about the positions (distinct event
+times) of a key:
+
+* *Gaps close at an arrival.*  A position is joined to its left at the least arrival in
+  ``(t - gap, t)`` and to its right at the least arrival in ``(t, t + gap)``: range minima.
+* *Closed sessions stay apart.*  If nothing arrives in ``(t, t + gap)`` before the watermark
+  reaches ``t + gap + lateness``, nothing is ever joined across ``t``.  These cuts part a key
+  into epochs.
+* *Bounds after an arrival* are the nearest position at or before it whose left gap, and the
+  nearest at or after it whose right gap, closes later than that arrival: ``plans.nearest``.
+  The earlier of the two closings is when the window gives way to a larger one.
+* *Windows are nested or apart.*  What a window has taken over from smaller ones is the sum of
+  all windows inside it, a difference of two running sums in order of their bounds.
+
+Only the early deadlines depend on one another in sequence.  They are settled per stretch of
+processing time (``_settled``), all stretches at once, from the deadlines that the stretch
+before leaves open; stretches whose start turned out different are settled again.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventide.functions.timefmt import dur_us, from_us, to_us
+from eventide.operators.panes import number_panes
+from eventide.plans.nearest import Maxima
+from eventide.plans.scan import first_at_or_after, least_before, running_sums
+from eventide.plans.spec import PaneSpec
+from eventide.session import materialize
 
-INF = np.iinfo(np.int64).max
-
-PANE_SCHEMA = T.StructType([
-    T.StructField("key", T.StringType()), T.StructField("w_start", T.TimestampNTZType()),
-    T.StructField("w_end", T.TimestampNTZType()), T.StructField("pane_index", T.LongType()),
-    T.StructField("on_time_index", T.LongType()), T.StructField("timing", T.StringType()),
-    T.StructField("is_first", T.BooleanType()), T.StructField("is_last", T.BooleanType()),
-    T.StructField("value", T.LongType()), T.StructField("fire_ts", T.TimestampNTZType()),
-])
-
-
-@dataclass
-class Session:
-    start: int
-    end: int
-    total: int = 0
-    pending: int = 0
-    n_pending: int = 0
-    deadline: int | None = None
-    index: int = 0
-    on_time_index: int = 0
-    on_time_done: bool = False
-
-
-@dataclass
-class SessionPaneMachine:
-    """Early (unaligned delay) / on-time / late (every element) panes for one key.
-
-    Windows are sessions of ``gap`` or, with ``fixed_size``, tumbling windows
-    (whose proto-windows only ever coincide, so nothing merges).  All times are
-    microseconds; emitted panes collect in ``out``.  The state is plain data so
-    the streaming processor can persist it between micro-batches.
-    """
+#: Later than any arrival.
+NEVER = 2**62
+_ORDER = "struct<a:bigint,seq:bigint,w:bigint>"
+_WINDOW = ["key", "epoch", "s", "e"]
 
-    gap: int
-    early_delay: int | None
-    lateness: int
-    accumulating: bool = True
-    fixed_size: int | None = None
-    # Early rule: every element (per-record trigger) instead of a delay.
-    early_count: bool = False
-    # Late rule: None fires every late element at once; a delay fires it that long after the first.
-    late_delay: int | None = None
-    # ON_TIME pane even with nothing pending (watermark and delay triggers) or only with data (count trigger).
-    on_time_always: bool = True
-    sessions: list[Session] = field(default_factory=list)
-    wm: int = -INF
-    out: list = field(default_factory=list)
-
-    def _emit(self, s: Session, timing: str, now: int, is_last: bool = False) -> None:
-        value = s.total if self.accumulating else s.pending
-        oti = None if timing == "EARLY" else s.on_time_index
-        self.out.append((s.start, s.end, s.index, oti, timing, s.index == 0, is_last, value, now))
-        s.index += 1
-        if timing != "EARLY":
-            s.on_time_index += 1
-        s.pending, s.n_pending, s.deadline = 0, 0, None
-
-    def advance_clock(self, now: int) -> None:
-        """Processing time moves to ``now``: early deadlines at or before it fire, earliest first."""
-        due = sorted((s for s in self.sessions if s.deadline is not None and s.deadline <= now),
-                     key=lambda s: (s.deadline, s.start))
-        for s in due:
-            self._emit(s, "LATE" if s.on_time_done else "EARLY", s.deadline)
-
-    def advance_watermark(self, wm: int, now: int) -> None:
-        self.wm = max(self.wm, wm)
-        keep = []
-        for s in sorted(self.sessions, key=lambda s: s.start):
-            closing = self.wm >= s.end + self.lateness if self.wm < INF else True
-            if not s.on_time_done and self.wm >= s.end:
-                s.on_time_done = True
-                if self.on_time_always or s.n_pending > 0:
-                    self._emit(s, "ON_TIME", now, is_last=closing)
-                else:
-                    s.deadline = None
-            elif closing and s.n_pending > 0:
-                self._emit(s, "LATE", now, is_last=True)
-            if not closing:
-                keep.append(s)
-        self.sessions = keep
-
-    def add(self, t: int, score: int, now: int) -> bool:
-        """One element with event time ``t``; False if it was dropped as too late."""
-        if self.fixed_size:
-            lo = t - (t % self.fixed_size)
-            hi = lo + self.fixed_size
+
+def _never() -> Column:
+    return F.struct(*[F.lit(NEVER).cast("long").alias(c) for c in ("a", "seq", "w")])
+
+
+def _least_arrival(positions: DataFrame, by: list[str], gap: int, ahead: bool, bucket: int) -> DataFrame:
+    """``positions`` (``by``, t, first) with ``link``: the least ``first`` in (t, t + gap), or in (t - gap, t).
+
+    Time is cut into blocks of ``gap``, so the range lies in two of them: a running minimum from
+    one end of each.
+    """
+    t, none = F.col("t"), F.lit(None).cast(_ORDER)
+    own, over = F.floor(t / gap), F.floor((t + (gap if ahead else -gap)) / gap)
+
+    def rows(block: Column, at: Column, tie: int, asked: bool) -> DataFrame:
+        return positions.select(*by, block.alias("_block"), at.alias("_t"), F.lit(tie).alias("_tie"), F.when(
+            F.lit(asked), t).alias("_asked"), (none if asked else F.col("first")).alias("_v")).withColumn(
+                "_b", F.floor(F.col("_t") / bucket))
+
+    # Asked rows come before the position of their own time, on whichever side the scan starts.
+    after = rows(own, t, 0, False).unionByName(rows(own, t, 1, True) if ahead else rows(over, t - gap, 1, True))
+    before = rows(own, t, 1, False).unionByName(rows(over, t + gap, 0, True) if ahead else rows(own, t, 0, True))
+    found = first_at_or_after(after, [*by, "_block"], "_t", "_tie", "_b", "_v", "link").unionByName(
+        least_before(before, [*by, "_block"], "_t", "_tie", "_b", "_v", "link")).where("_asked IS NOT NULL")
+    both = found.select(*by, F.col("_asked").alias("t"), "link", none.alias("first")).unionByName(
+        positions.select(*by, "t", none.alias("link"), "first"))
+    return both.groupBy(*by, "t").agg(F.min("link").alias("link"), F.min("first").alias("first"))
+
+
+def _positions(rows: DataFrame, gap: int, lateness: int, bucket: int) -> DataFrame:
+    """``g`` (key, epoch), ``number``, ``t`` and the closings ``left``, ``right`` of the gaps on both sides."""
+    at = rows.groupBy("key", "t").agg(F.min(F.struct("a", "seq", "w")).alias("first"))
+    at = materialize(_least_arrival(materialize(at), ["key"], gap, True, bucket))
+    cut = F.col("link").isNull() | (F.col("link.w") >= F.col("t") + gap + lateness)
+    at = at.withColumn("_cut", cut.cast("long")).withColumn("_b", F.floor(F.col("t") / bucket))
+    at = running_sums(at, ["key"], ["t"], "_b", {"_cuts": F.col("_cut")})
+    right = F.when(F.col("_cut") == 1, _never()).otherwise(F.col("link"))
+    at = materialize(at.select("key", (F.col("_cuts") - F.col("_cut")).alias("epoch"), "t", "first", right.alias("right")))
+    left = _least_arrival(at.select("key", "epoch", "t", "first"), ["key", "epoch"], gap, False, bucket)
+    at = at.withColumn("_g", F.struct("key", "epoch")).join(left.select(F.struct("key", "epoch").alias("_g"), "t", F.coalesce(
+        "link", _never()).alias("left")), ["_g", "t"])
+    at = running_sums(at.withColumn("_b", F.floor(F.col("t") / bucket)), ["key", "epoch"], ["t"], "_b", {
+        "number": F.lit(1).cast("long")})
+    return materialize(at.select("_g", "t", (F.col("number") - 1).alias("number"), "left", "right"))
+
+
+def _with_bounds(rows: DataFrame, positions: DataFrame, gap: int) -> DataFrame:
+    """``rows`` with ``epoch``, the window ``[s, e)`` that holds each right after its arrival, and ``dies``, when that gives way."""
+    asked = rows.withColumn("_k", F.struct("key")).join(
+        positions.select(F.struct("_g.key").alias("_k"), "t", "_g", "number"), ["_k", "t"]).drop("_k")
+    table = positions.select("_g", "number", F.struct(*[F.col(f"left.{c}") for c in ("a", "seq", "w")], "t").alias("left"),
+                             F.struct(*[F.col(f"right.{c}") for c in ("a", "seq", "w")], "t").alias("right"))
+    # Arrivals are unique, so one more field never decides.
+    beyond = F.struct("a", "seq", "w", F.lit(NEVER).cast("long").alias("t"))
+    asked = Maxima(table, "_g", "number", "left").nearest(asked, "number", beyond, True, "_l")
+    asked = Maxima(table, "_g", "number", "right").nearest(asked, "number", beyond, False, "_r")
+    dies = F.least(*[F.struct(*[F.col(f"{c}.value.{x}").alias(x) for x in ("a", "seq", "w")]) for c in ("_l", "_r")])
+    return asked.select(*rows.columns, F.col("_g.epoch").alias("epoch"), F.col("_l.value.t").alias("s"), (
+        F.col("_r.value.t") + gap).alias("e"), dies.alias("dies"))
+
+
+def _windows(rows: DataFrame, bucket: int) -> DataFrame:
+    """One row a window: ``own`` (the sum of the rows that came while it was current), ``inside`` (of the windows in it)."""
+    w = materialize(rows.groupBy(*_WINDOW).agg(
+        F.sum("score").alias("own"), F.sum(F.when(F.col("early"), F.col("score"))).alias("own_early"),
+        F.first("dies").alias("dies")))
+    zero = F.lit(0).cast("bigint")
+    # Windows by start, then the larger first: those inside a window follow it, up to the first that starts at its end.
+    opens = w.select(*_WINDOW, F.col("s").alias("_at"), (-F.col("e")).alias("_tie"), F.lit(True).alias("_opens"), F.col("own").alias("_v"))
+    ends = w.select(*_WINDOW, F.col("e").alias("_at"), F.lit(-NEVER).cast("long").alias("_tie"), F.lit(False).alias("_opens"), zero.alias("_v"))
+    both = opens.unionByName(ends).withColumn("_b", F.floor(F.col("_at") / bucket))
+    sums = running_sums(both, ["key", "epoch"], ["_at", "_tie", F.col("_opens").desc()], "_b", {"_sum": F.col("_v")})
+    inside = sums.groupBy(F.struct(*_WINDOW).alias("_w")).agg(F.sum(F.when(F.col("_opens"), -F.col("_sum")).otherwise(F.col("_sum"))).alias("inside"))
+    return materialize(w.withColumn("_w", F.struct(*_WINDOW)).join(inside, "_w").drop("_w"))
+
+
+# ------------------------------------------------------------------ early deadlines
+_ENTRY = "struct<s:bigint,e:bigint,on:bigint,due:bigint,id:bigint>"
+_EARLY, _ON_TIME, _OPEN = 0, 1, 2
+
+
+def _settle_stretch(entries: list[list], rows, delay: int, until: int):
+    """The deadline rule over one stretch of arrivals of an epoch, in order.
+
+    ``entries``: pending panes ``[s, e, on, due, id]`` at its start.  Yields ``(member, fate, due, id, on)``
+    for the pane of every row and of every entry given: fired EARLY at ``due``, left to ON_TIME,
+    or still open at the end; then ``(None, entries)`` left open.  Memory: the pending rows.
+    """
+    pending = [(e, [("entry", e[4])]) for e in entries]
+
+    def leave(entry, members, fate):
+        return [(m, fate, entry[3], entry[4], entry[2]) for m in members]
+
+    for a, seq, w, s, e, on in rows:
+        hit, kept = [], []
+        for entry, members in pending:
+            if entry[3] <= a and entry[3] <= entry[2]:
+                yield from leave(entry, members, _EARLY)
+            elif w >= entry[1]:
+                yield from leave(entry, members, _ON_TIME)
+            elif s <= entry[0] < e:
+                hit.append((entry, members))
+            else:
+                kept.append((entry, members))
+        if hit:
+            entry, members = min(hit, key=lambda h: (h[0][3], h[0][4]))
+            for other, more in hit:
+                if other is not entry:
+                    members.extend(more)
+            entry = [s, e, on, entry[3], entry[4]]
         else:
-            lo, hi = t, t + self.gap
-        if self.wm < INF and hi + self.lateness <= self.wm:
-            return False
-        parts = [s for s in self.sessions if s.start < hi and lo < s.end]
-        if len(parts) == 1 and parts[0].start <= lo and hi <= parts[0].end:
-            s = parts[0]
+            entry, members = [s, e, on, a + delay, seq], []
+        members.append(("row", seq))
+        pending = [*kept, (entry, members)]
+    left = []
+    for entry, members in pending:
+        if entry[3] <= min(entry[2], until):
+            yield from leave(entry, members, _EARLY)
+        elif entry[2] < min(entry[3], until):
+            yield from leave(entry, members, _ON_TIME)
         else:
-            start = min([lo] + [p.start for p in parts])
-            end = max([hi] + [p.end for p in parts])
-            pend = [p.deadline for p in parts if p.deadline is not None]
-            s = Session(start, end, total=sum(p.total for p in parts), pending=sum(p.pending for p in parts),
-                        n_pending=sum(p.n_pending for p in parts), deadline=min(pend) if pend else None)
-            if len(parts) == 1 and (parts[0].start, parts[0].end) == (start, end):
-                s = parts[0]
-            else:
-                self.sessions = [x for x in self.sessions if x not in parts] + [s]
-        s.total += score
-        s.pending += score
-        s.n_pending += 1
-        if self.wm >= s.end:
-            s.on_time_done = True
-            if self.late_delay is None:
-                self._emit(s, "LATE", now)
-            elif s.deadline is None:
-                s.deadline = now + self.late_delay
-        elif self.early_count:
-            self._emit(s, "EARLY", now)
-        elif self.early_delay is not None and s.deadline is None:
-            s.deadline = now + self.early_delay
-        return True
-
-
-def _steps_per_group(rows: DataFrame, marks: DataFrame, level: F.Column) -> DataFrame:
-    """Each group's watermark steps, as rows: those after its first row, to the one that closes its last window.
-
-    A range join on ``seq``: a group's span is cut into blocks of ``_BLOCK`` positions, and
-    steps meet it block by block.
+            yield from leave(entry, members, _OPEN)
+            left.append(entry)
+    yield None, sorted(left)
+
+
+def _run_stretches(ordered: DataFrame, delay: int, width: int) -> DataFrame:
+    """Per stretch: its members' panes (``left`` null) and one row with the entries it leaves (``left``).
+
+    ``ordered`` holds (key, epoch, stretch, a, seq, w, s, e, on, given) in order of arrival, a
+    stretch's entries in a row of their own before its first.
     """
-    from eventide.plans.spec import _first_step_at_or_above
-
-    groups = rows.groupBy("key", "_sid").agg(F.min("seq").alias("lo"), F.max(level).alias("level"))
-    closed = _first_step_at_or_above(groups.select(from_us(F.col("level")).alias("_level")).distinct(), marks)
-    spans = groups.withColumn("_level", from_us(F.col("level"))).join(closed, "_level", "left").select(
-        "key", "_sid", "lo", "fire_seq")
-    last = marks.agg(F.max("seq").alias("last"))
-    spans = spans.join(F.broadcast(last)).select("key", "_sid", "lo", F.coalesce("fire_seq", "last").alias("hi"))
-    block = lambda c: F.floor(F.col(c) / _BLOCK)
-    spans = spans.where("hi >= lo").select("*", F.explode(F.sequence(block("lo"), block("hi"))).alias("_k"))
-    m = marks.select(F.col("seq").alias("m_seq"), to_us("proc_ts").alias("a"), to_us("wm_ts").alias("w"),
-                     block("seq").alias("_k"))
-    return spans.join(m, "_k").where("m_seq > lo and m_seq <= hi").select(
-        "key", "_sid", F.col("m_seq").alias("seq"), F.lit(None).cast("long").alias("t"), F.lit(None).cast("long").alias(
-            "score"), "a", "w")
-
-
-def session_panes(log: DataFrame, gap: str | None, early_delay: str | None, lateness: str, watermark,
-                  mode: str = "accumulating", size: str | None = None, split: str = "session") -> DataFrame:
+    schema = f"key string, epoch long, stretch long, kind string, member long, fate int, due long, id long, on long, left array<{_ENTRY}>"
+    entry = pa.struct([(n, pa.int64()) for n in ("s", "e", "on", "due", "id")])
+    types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(entry)]
+    names = ["key", "epoch", "stretch", "kind", "member", "fate", "due", "id", "on", "left"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows_in() -> Iterator[tuple]:
+            for batch in batches:
+                yield from zip(*[c.to_pylist() for c in batch.columns], strict=True)
+
+        out: list[tuple] = []
+        source = rows_in()
+        row = next(source, None)
+        while row is not None:
+            head, entries = row[:3], []
+            if row[9] is not None:
+                entries = [[x["s"], x["e"], x["on"], x["due"], x["id"]] for x in row[9]]
+                row = next(source, None)
+
+            def members():
+                nonlocal row
+                while row is not None and row[:3] == head:
+                    yield row[3:9]
+                    row = next(source, None)
+
+            for got in _settle_stretch(entries, members(), delay, (head[2] + 1) * width):
+                if got[0] is None:
+                    out.append((*head, "left", None, None, None, None, None, [dict(zip(("s", "e", "on", "due", "id"), x, strict=True)) for x in got[1]]))
+                else:
+                    (kind, member), fate, due, pane, on = got
+                    out.append((*head, kind, member, fate, due, pane, on, None))
+                if len(out) >= 8192:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+                    out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+
+    return ordered.mapInArrow(run, schema)
+
+
+#: Rounds at one width before stretches are made ``WIDER`` times as long.
+ROUNDS, WIDER = 4, 16
+
+
+def _settled(rows: DataFrame, delay: int, width: int) -> DataFrame:
+    """Early rows (key, epoch, a, seq, w, s, e, on) with the pane they end in: ``fate``, ``due``, ``id``.
+
+    Stretches of ``width`` microseconds are settled all at once.  A stretch begins with the
+    entries that the one before leaves, at first none; those whose entries changed are settled
+    again until nothing changes, which makes the result that of one pass in order.  Deadlines
+    soon stop depending on how a stretch began, so a few rounds do; if not, stretches become
+    longer, at last a whole epoch, which has no open start.
+    """
+    given = None
+    first, last = rows.agg(F.min("a"), F.max("a")).first()
+    while True:
+        parted = materialize(rows.withColumn("_g", F.struct("key", "epoch")).withColumn("stretch", F.floor(F.col("a") / width).cast("long")))
+        seen = parted.select("_g", "stretch").distinct()
+        follows = materialize(seen.withColumn("then", F.lead("stretch").over(Window.partitionBy("_g").orderBy("stretch"))))
+        cells = ["_g", "stretch"]
+        start = follows.select(*cells)
+        start = start.withColumn("given", F.expr(f"CAST(array() AS array<{_ENTRY}>)")) if given is None else start.join(
+            given, cells, "left").select(*cells, F.coalesce("given", F.expr(f"CAST(array() AS array<{_ENTRY}>)")).alias("given"))
+        start = materialize(start)
+        ask, done, rounds = start, None, 0
+        while True:
+            data = parted.join(ask.select(*cells), cells).select(
+                "_g.key", "_g.epoch", "stretch", "a", "seq", "w", "s", "e", "on", F.lit(None).cast(f"array<{_ENTRY}>").alias("given"))
+            heads = ask.select("_g.key", "_g.epoch", "stretch", F.lit(-NEVER).cast("long").alias("a"), *[F.lit(None).cast("long").alias(
+                c) for c in ("seq", "w", "s", "e", "on")], "given")
+            ordered = data.unionByName(heads).repartition("key", "epoch", "stretch").sortWithinPartitions(
+                "key", "epoch", "stretch", "a", "seq")
+            fresh = _run_stretches(ordered, delay, width).withColumn("_g", F.struct("key", "epoch"))
+            done = materialize(fresh if done is None else fresh.unionByName(done.join(ask.select(*cells), cells, "left_anti")))
+            leaves = done.where("kind = 'left'").join(follows, cells).where("then IS NOT NULL").select(
+                "_g", F.col("then").alias("stretch"), F.col("left").alias("given"))
+            new = start.select(*cells).join(leaves, cells, "left").select(*cells, F.coalesce("given", F.expr(
+                f"CAST(array() AS array<{_ENTRY}>)")).alias("given"))
+            new = materialize(new)
+            ask = materialize(new.join(start.withColumnRenamed("given", "_was"), cells).where("given <> _was").select(*cells, "given"))
+            rounds += 1
+            if ask.isEmpty():
+                return _panes_of(done, follows)
+            start = new
+            if rounds == ROUNDS and first // width != last // width:
+                break
+        # The entries at the starts of the longer stretches, as far as they are known.
+        wider = F.floor(F.col("stretch") / WIDER).cast("long")
+        given = materialize(new.withColumn("_wide", wider).withColumn("_n", F.row_number().over(
+            Window.partitionBy("_g", "_wide").orderBy("stretch"))).where("_n = 1").select("_g", F.col("_wide").alias("stretch"), "given"))
+        width *= WIDER
+
+
+def _panes_of(done: DataFrame, follows: DataFrame) -> DataFrame:
+    """The rows' panes, those left open followed into the stretches after theirs."""
+    links = done.where("kind <> 'left'").join(follows, ["_g", "stretch"])
+    final = F.when(F.col("fate") != _OPEN, F.col("fate")).when(F.col("then").isNull(), F.when(
+        F.col("due") <= F.col("on"), _EARLY).otherwise(_ON_TIME))
+    links = links.withColumn("fate", F.coalesce(final, F.lit(_OPEN)))
+    rows = materialize(links.where("kind = 'row'").select("_g", F.col("member").alias("seq"), "fate", "due", "id", "then"))
+    hops = materialize(links.where("kind = 'entry'").select("_g", F.col("stretch").alias("then"), F.col("member").alias("id"), F.struct(
+        "fate", "due", "id", "then").alias("_next")))
+    keys = ["_g", "then", "id"]
+
+    def follow(df: DataFrame, name) -> DataFrame:
+        moved = df.join(hops, keys, "left")
+        go = (F.col("fate") == _OPEN) & F.col("_next").isNotNull()
+        return moved.select(*name, *[F.when(go, F.col(f"_next.{c}")).otherwise(F.col(c)).alias(c) for c in ("fate", "due", "id", "then")])
+
+    while not rows.where((F.col("fate") == _OPEN) & F.col("then").isNotNull()).isEmpty():
+        rows = materialize(follow(rows, ["_g", "seq"]))
+        flat = hops.select("_g", F.col("then").alias("_t"), F.col("id").alias("_i"), "_next.*")
+        hops = materialize(follow(flat, ["_g", "_t", "_i"]).select("_g", F.col("_t").alias("then"), F.col("_i").alias("id"), F.struct(
+            "fate", "due", F.col("id").alias("id"), F.col("then").alias("then")).alias("_next")))
+    return rows.select("_g", "seq", "fate", "due", "id")
+
+
+# ------------------------------------------------------------------ panes
+def session_panes(log: DataFrame, gap: str, early_delay: str | None, lateness: str, watermark, mode: str = "accumulating",
+                  bucket: str = "1 hour", with_dropped: bool = False):
     """Panes of merging session windows for an arrival log ``key, score, event_ts, arrival_ts, seq, wm_ts``.
 
-    ``watermark`` is a ``StepWatermark``, whose steps join the groups they concern as rows, or
-    a ``TickWatermark`` (steps generated in closed form; input ends at the first tick after the
-    last arrival).
+    Output as of ``operators.panes.pane_ledger``: ``key, w_start, w_end, pane_index, on_time_index,
+    timing, is_first, is_last, value, fire_ts``; with ``with_dropped`` also the rows that came too
+    late.  ``seq`` orders rows of equal arrival time within a key.
     """
-    from eventide.plans.spec import StepWatermark, TickWatermark
-
-    g, L = (dur_us(gap) if gap else 0), dur_us(lateness)
-    fixed = dur_us(size) if size else None
-    d = dur_us(early_delay) if early_delay else None
-    acc = mode == "accumulating"
-    tick = lag = None
-    rows = log.select("key", F.col("score").cast("long").alias("score"), "event_ts", "seq",
-                      to_us("event_ts").alias("t"), to_us("arrival_ts").alias("a"), to_us("wm_ts").alias("w"))
-    if gap and split == "session":
-        # Windows never cross the final sessions of all rows (a merge joins only
-        # overlapping proto-windows), so each final session is an independent
-        # machine: a hot key is spread over its sessions.
-        from eventide.operators.windows import session_ids
-        rows = session_ids(rows, gap, "key", "event_ts", "seq")
-    else:
-        rows = rows.withColumn("_sid", F.lit(0).cast("long"))
-    rows = rows.select("key", "_sid", "seq", "t", "score", "a", "w")
-    if isinstance(watermark, StepWatermark):
-        end = F.col("t") + F.lit(g) if not fixed else F.col("t") - F.pmod("t", F.lit(fixed)) + F.lit(fixed)
-        rows = rows.unionByName(_steps_per_group(rows, watermark.marks, end + F.lit(L)))
-        order, eoi = ["seq"], None
-    elif isinstance(watermark, TickWatermark):
-        tick, lag = dur_us(watermark.tick), dur_us(watermark.lag)
-        order, eoi = ["a", "seq"], watermark.resolve(log).eoi_us
-    else:
-        raise TypeError(watermark)
-
-    def run(batches):
-        m = None
-        key = None
-        last_tick = None
-
-        def flush():
-            if m is None:
-                return
-            if tick:
-                t = last_tick
-                while t + tick < eoi:
-                    t += tick
-                    m.advance_clock(t)
-                    m.advance_watermark(t - lag, t)
-                m.advance_clock(eoi)
-                m.advance_watermark(INF, eoi)
-            yield from _frame(key, m.out)
-            m.out.clear()
-
-        for pdf in batches:
-            for k0, sid, t, sc, a, w in zip(pdf["key"], pdf["_sid"], pdf["t"], pdf["score"], pdf["a"], pdf["w"]):
-                k, a, w = (k0, int(sid)), int(a), int(w)
-                if k != key:
-                    yield from flush()
-                    m, key, last_tick = SessionPaneMachine(g, d, L, acc, fixed), k, None
-                    m.wm = w
-                if tick:
-                    cur = (a // tick) * tick
-                    if last_tick is None:
-                        last_tick = cur
-                        m.advance_clock(cur)
-                        m.advance_watermark(cur - lag, cur)
-                    while last_tick < cur:
-                        last_tick += tick
-                        m.advance_clock(last_tick)
-                        m.advance_watermark(last_tick - lag, last_tick)
-                m.advance_clock(a)
-                if pd.isna(t):
-                    m.advance_watermark(INF if w >= _FAR else w, a)
-                else:
-                    m.add(int(t), int(sc), a)
-                if len(m.out) > 10_000:
-                    yield from _frame(key, m.out)
-                    m.out.clear()
-        yield from flush()
-
-    ordered = rows.repartition("key", "_sid").sortWithinPartitions("key", "_sid", *order)
-    return ordered.mapInPandas(run, PANE_SCHEMA)
-
-
-_BLOCK = 1024
-_FAR = 253_370_764_800_000_000  # 9999-01-01 in microseconds: watermark values at or beyond mean infinity
-
-
-def _frame(key, out):
-    if not out:
-        return
-    if isinstance(key, tuple):
-        key = key[0]
-    arr = list(zip(*out))
-    yield pd.DataFrame({
-        "key": [key] * len(out),
-        "w_start": pd.to_datetime(np.array(arr[0], dtype="int64"), unit="us"),
-        "w_end": pd.to_datetime(np.array(arr[1], dtype="int64"), unit="us"),
-        "pane_index": np.array(arr[2], dtype="int64"),
-        "on_time_index": pd.array(arr[3], dtype="Int64"),
-        "timing": list(arr[4]),
-        "is_first": np.array(arr[5], dtype=bool),
-        "is_last": np.array(arr[6], dtype=bool),
-        "value": np.array(arr[7], dtype="int64"),
-        "fire_ts": pd.to_datetime(np.array(arr[8], dtype="int64"), unit="us"),
-    })
+    g, late, b = dur_us(gap), dur_us(lateness), dur_us(bucket)
+    watermark = watermark.resolve(log)
+    all_rows = log.select("key", F.col("score").cast("bigint").alias("score"), to_us("event_ts").alias("t"), to_us(
+        "arrival_ts").alias("a"), F.col("seq").cast("long").alias("seq"), to_us("wm_ts").alias("w"))
+    too_late = F.col("w") >= F.col("t") + g + late
+    rows = materialize(all_rows.where(~too_late))
+    positions = _positions(rows, g, late, b)
+    rows = _with_bounds(rows, positions, g).withColumn("early", F.col("w") < F.col("e"))
+    rows = running_sums(rows.withColumn("_b", F.floor(F.col("a") / b)), _WINDOW, ["a", "seq"], "_b", {"so_far": F.col("score")})
+    rows = materialize(rows.drop("_b"))
+    windows = _windows(rows, b)
+    ends = watermark.attach(windows, {"on": F.col("e"), "gc": F.col("e") + F.lit(late)}, log)
+    windows = materialize(ends.withColumn("fires", F.col("own_early").isNotNull() & (F.col("dies.w") >= F.col("e"))))
+    of_window = windows.select(F.struct(*_WINDOW).alias("_w"), F.col("inside").alias("before"), to_us("on_ts").alias("on"), "on_ts", "on_seq", "gc_ts", "gc_seq")
+    rows = materialize(rows.withColumn("_w", F.struct(*_WINDOW)).join(of_window.select("_w", "before", "on"), "_w").withColumn(
+        "total", F.col("before") + F.col("so_far")).drop("_w", "before", "so_far"))
+
+    # Without an early delay the deadlines only tell what an on-time pane adds; nothing is due before it.
+    d = dur_us(early_delay) if early_delay is not None else 2**61
+    width = max(16 * d, dur_us("4 hours")) if early_delay is not None else dur_us("4 hours")
+    early_rows = rows.where("early")
+    settled = _settled(early_rows.select("key", "epoch", "a", "seq", "w", "s", "e", "on"), d, width)
+    last = F.max(F.struct("a", "seq", "s", "e", "total")).alias("m")
+    phase = F.when(F.col("fate") == _EARLY, F.lit(0)).otherwise(F.lit(1))
+    by_pane = materialize(early_rows.withColumn("_g", F.struct("key", "epoch")).join(settled, ["_g", "seq"]).groupBy("_g", "id").agg(
+        F.min("fate").alias("fate"), F.min("due").alias("due"), F.sum("score").alias("delta"), last).select(
+            "_g.key", "_g.epoch", "m.s", "m.e", phase.alias("phase"), "due", F.col("id").alias("sub"), "delta", F.col("m.total").alias("acc")))
+    waiting = by_pane.where("phase = 1").groupBy(F.struct(*_WINDOW).alias("_w")).agg(F.sum("delta").alias("delta"))
+    fired = windows.where("fires").withColumn("_w", F.struct(*_WINDOW)).join(waiting, "_w", "left").select(
+        *_WINDOW, F.lit(1).alias("phase"), F.col("on_ts").alias("fire_ts"), F.lit(0).cast("long").alias("sub"), F.coalesce(
+            "delta", F.lit(0).cast("bigint")).alias("delta"), (F.col("inside") + F.col("own_early")).alias("acc"))
+    early_panes = by_pane.where("phase = 0").select(*_WINDOW, "phase", from_us(F.col("due")).alias("fire_ts"), "sub", "delta", "acc")
+    late_panes = rows.where("NOT early").select(
+        *_WINDOW, F.lit(2).alias("phase"), from_us(F.col("a")).alias("fire_ts"), F.col("seq").alias("sub"), F.col("score").alias("delta"),
+        F.col("total").alias("acc"))
+    panes = early_panes.unionByName(fired).unionByName(late_panes).withColumn("_w", F.struct(*_WINDOW)).join(
+        of_window.select("_w", "on_ts", "on_seq", "gc_ts", "gc_seq"), "_w").drop("_w")
+    panes = materialize(panes.select("key", "epoch", from_us(F.col("s")).alias("w_start"), from_us(F.col("e")).alias("w_end"), "phase",
+                                     "fire_ts", "sub", "delta", "acc", F.lit(False).alias("closing"),
+                                     "on_ts", "on_seq", "gc_ts", "gc_seq"))
+    result = number_panes(panes, PaneSpec(mode=mode, bucket=bucket), ["key", "epoch", "w_start", "w_end"], "acc")
+    if not with_dropped:
+        return result
+    return result, all_rows.where(too_late).select("key", "score", from_us(F.col("t")).alias("event_ts"), from_us(
+        F.col("a")).alias("arrival_ts"), "seq", from_us(F.col("w")).alias("wm_ts"))

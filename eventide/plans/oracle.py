@@ -7,7 +7,7 @@ CTEs for the sequential rules (unaligned delay, referer walk), no bucketing.
 from __future__ import annotations
 
 from eventide.functions.timefmt import dur_us
-from eventide.plans.catalog import PANE_SPECS, SESSION_GAP, STATE_TTL, WINDOW
+from eventide.plans.catalog import PANE_SPECS, SESSION_GAP, SESSION_PANES, STATE_TTL, WINDOW
 from eventide.plans.spec import PaneSpec, Trigger
 
 ARR = "ts + to_microseconds(((event_id * 7919) % 7200) * 1000000)"
@@ -241,6 +241,51 @@ ONCE = """turns AS (SELECT "user", goal_url, goal_ts, row_number() OVER (PARTITI
         LATERAL (SELECT list_filter(coalesce(w.way, []), lambda x: NOT list_contains(r.taken, x.k))[1] AS f) z)"""
 
 
+def session_panes_sql(gap: str, early_delay: str, lateness: str) -> str:
+    """Session panes by replay: one recursion step a row of a key, the open sessions as a list."""
+    g, d, late, hour = _us(gap), _us(early_delay), _us(lateness), 3_600_000_000
+    # The processing time at which the watermark reaches a level: one hour later, at a whole hour, or the end of input.
+    step = lambda level: f"least((({level} + {2 * hour - 1}) // {hour}) * {hour}, eoi)"
+    session = "STRUCT(s BIGINT, e BIGINT, total BIGINT, due BIGINT, idx BIGINT, oti BIGINT, done BOOLEAN)"
+    pane = "STRUCT(s BIGINT, e BIGINT, idx BIGINT, oti BIGINT, timing VARCHAR, \"last\" BOOLEAN, value BIGINT, fired BIGINT)"
+    moved = f"""list_transform(st, lambda x: {{'x': x, 'steps': {step('x.e')}, 'gone': {step(f'x.e + {late}')},
+            'early': coalesce(x.due <= least(now, {step('x.e')}), false), 'on': NOT x.done AND {step('x.e')} <= now}})"""
+    fired = """list_concat(
+            list_transform(list_filter(m, lambda y: y.early), lambda y: {'s': y.x.s, 'e': y.x.e, 'idx': y.x.idx,
+              'oti': NULL::BIGINT, 'timing': 'EARLY', 'last': false, 'value': y.x.total, 'fired': y.x.due}),
+            list_transform(list_filter(m, lambda y: y.on), lambda y: {'s': y.x.s, 'e': y.x.e, 'idx': y.x.idx + y.early::BIGINT,
+              'oti': y.x.oti, 'timing': 'ON_TIME', 'last': y.gone <= y.steps, 'value': y.x.total, 'fired': y.steps}))"""
+    left = """list_transform(list_filter(m, lambda y: y.gone > now), lambda y: {'s': y.x.s, 'e': y.x.e, 'total': y.x.total,
+            'due': CASE WHEN y.early OR y.on THEN NULL ELSE y.x.due END, 'idx': y.x.idx + y.early::BIGINT + y.on::BIGINT,
+            'oti': y.x.oti + y.on::BIGINT, 'done': y.x.done OR y.on})"""
+    return f"""WITH RECURSIVE {LOG},
+      eoi AS (SELECT epoch_us(date_trunc('hour', max(arrival_ts)) + INTERVAL 1 HOUR) AS eoi FROM log),
+      r AS (SELECT key, score, epoch_us(event_ts) AS t, epoch_us(arrival_ts) AS now, epoch_us(wm_ts) AS wm, eoi,
+              row_number() OVER (PARTITION BY key ORDER BY arrival_ts, seq) AS rn FROM log, eoi),
+      run(key, rn, st, panes) AS (
+        SELECT DISTINCT key, 0::BIGINT, CAST([] AS {session}[]), CAST([] AS {pane}[]) FROM r
+        UNION ALL
+        SELECT key, rn, CAST(CASE WHEN dropped THEN st ELSE list_append(apart, {{'s': s, 'e': e, 'total': total,
+            'due': CASE WHEN late THEN NULL ELSE coalesce(due, now + {d}) END, 'idx': idx + late::BIGINT, 'oti': oti + late::BIGINT,
+            'done': late}}) END AS {session}[]),
+          CAST(CASE WHEN late AND NOT dropped THEN list_append(panes, {{'s': s, 'e': e, 'idx': idx, 'oti': oti, 'timing': 'LATE',
+            'last': false, 'value': total, 'fired': now}}) ELSE panes END AS {pane}[])
+        FROM (SELECT *, wm >= e AS late, CASE WHEN same THEN p[1].idx ELSE 0 END AS idx, CASE WHEN same THEN p[1].oti ELSE 0 END AS oti
+        FROM (SELECT *, least(t, list_min(list_transform(p, lambda x: x.s))) AS s,
+            greatest(t + {g}, list_max(list_transform(p, lambda x: x.e))) AS e, list_min(list_transform(p, lambda x: x.due)) AS due,
+            score + coalesce(list_sum(list_transform(p, lambda x: x.total)), 0)::BIGINT AS total,
+            coalesce(len(p) = 1 AND p[1].s <= t AND t + {g} <= p[1].e, false) AS same
+        FROM (SELECT *, list_filter(st, lambda x: x.s < t + {g} AND t < x.e) AS p,
+            list_filter(st, lambda x: NOT (x.s < t + {g} AND t < x.e)) AS apart, wm >= t + {g + late} AS dropped
+        FROM (SELECT key, rn, score, t, now, wm, {fired} AS panes, {left} AS st
+        FROM (SELECT r.key, r.rn, r.score, r.t, r.now, r.wm, {moved} AS m
+              FROM run JOIN r ON r.key = run.key AND r.rn = run.rn + 1))))) ),
+      rest AS (SELECT key, {moved} AS m FROM (SELECT key, arg_max(st, rn) AS st, eoi AS now, eoi FROM run, eoi GROUP BY key, eoi)),
+      out AS (SELECT key, unnest(panes) AS p FROM run UNION ALL SELECT key, unnest(CAST({fired} AS {pane}[])) FROM rest)
+      SELECT key, make_timestamp(p.s) AS w_start, make_timestamp(p.e) AS w_end, p.idx AS pane_index, p.oti AS on_time_index,
+        p.timing AS timing, p.idx = 0 AS is_first, p."last" AS is_last, p.value AS value, make_timestamp(p.fired) AS fire_ts FROM out"""
+
+
 def oracle_sql() -> dict[str, str]:
     gap = _us(SESSION_GAP)
     o = {
@@ -256,6 +301,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT key, min(event_ts) AS w_start, max(event_ts) + to_microseconds({gap}) AS w_end,
                    CAST(sum(score) AS BIGINT) AS value FROM b GROUP BY key, sid""",
         "validity_windows": _validity_sql(),
+        "session_panes": session_panes_sql(**SESSION_PANES),
         "parse_scores": f"""SELECT 'u' || user_id AS "user", event_type AS team, {SCORE} AS score, ts AS event_ts,
                                    {ARR} AS arrival_ts FROM events WHERE event_id % 40 > 2""",
         "score_rejects": f"""SELECT CASE event_id % 40 WHEN 0 THEN 'u' || user_id || ',' || chr(9) || event_type WHEN 1 THEN ''

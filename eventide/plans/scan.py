@@ -22,18 +22,23 @@ def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def _grouped(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """With the group as one struct ``_by``: never null, so joins keep groups whose keys are null."""
+    return df.withColumn("_by", F.struct(*by))
+
+
 def running_sums(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], bucket: str,
                  sums: dict[str, Column]) -> DataFrame:
     """Add inclusive running sums ``sums[name]`` over ``by`` in ``order`` (bucketed by ``bucket``)."""
-    part = Window.partitionBy(*by, bucket)
+    part = Window.partitionBy("_by", bucket)
     w = part.orderBy(*_cols(order)).rowsBetween(_U, _C)
-    local = df.select("*", *[F.sum(c).over(w).alias(f"_r_{n}") for n, c in sums.items()],
-                      *[F.sum(c).over(part).alias(f"_t_{n}") for n, c in sums.items()])
-    totals = local.groupBy(*by, bucket).agg(*[F.first(f"_t_{n}").alias(f"_t_{n}") for n in sums])
-    wb = Window.partitionBy(*by).orderBy(bucket).rowsBetween(_U, -1)
-    offsets = totals.select(*by, bucket, *[F.coalesce(F.sum(f"_t_{n}").over(wb), F.lit(0)).alias(f"_o_{n}")
-                                           for n in sums])
-    out = local.drop(*[f"_t_{n}" for n in sums]).join(offsets, [*by, bucket], "inner")
+    local = _grouped(df, by).select("*", *[F.sum(c).over(w).alias(f"_r_{n}") for n, c in sums.items()],
+                                    *[F.sum(c).over(part).alias(f"_t_{n}") for n, c in sums.items()])
+    totals = local.groupBy("_by", bucket).agg(*[F.first(f"_t_{n}").alias(f"_t_{n}") for n in sums])
+    wb = Window.partitionBy("_by").orderBy(bucket).rowsBetween(_U, -1)
+    offsets = totals.select("_by", bucket, *[F.coalesce(F.sum(f"_t_{n}").over(wb), F.lit(0)).alias(f"_o_{n}")
+                                             for n in sums])
+    out = local.drop(*[f"_t_{n}" for n in sums]).join(offsets, ["_by", bucket], "inner").drop("_by")
     for n in sums:
         out = out.withColumn(n, F.col(f"_r_{n}") + F.col(f"_o_{n}")).drop(f"_r_{n}", f"_o_{n}")
     return out
@@ -78,25 +83,30 @@ def with_next(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], b
 def _carried(df: DataFrame, by: Sequence[str], order: Sequence[Column], bucket: str, later: bool, value: str, out: str,
              best) -> DataFrame:
     """``best`` of ``value`` over this row and all before it in ``order``; frames start at the first row, so a pass is linear."""
-    df = df.repartition(*by, bucket)
-    local = df.select("*", best(value).over(Window.partitionBy(*by, bucket).orderBy(*order).rowsBetween(_U, _C)).alias(out))
-    ends = local.groupBy(*by, bucket).agg(best(value).alias("_e"))
+    df = _grouped(df, by).repartition("_by", bucket)
+    local = df.select("*", best(value).over(Window.partitionBy("_by", bucket).orderBy(*order).rowsBetween(_U, _C)).alias(out))
+    ends = local.groupBy("_by", bucket).agg(best(value).alias("_e"))
     at = F.col(bucket).desc() if later else F.col(bucket).asc()
-    carry = ends.select(*by, bucket, best("_e").over(
-        Window.partitionBy(*by).orderBy(at).rowsBetween(_U, -1)).alias("_carry"))
-    res = local.join(carry, [*by, bucket], "inner")
+    carry = ends.select("_by", bucket, best("_e").over(
+        Window.partitionBy("_by").orderBy(at).rowsBetween(_U, -1)).alias("_carry"))
+    res = local.join(carry, ["_by", bucket], "inner").drop("_by")
     return res.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry")
 
 
 def first_at_or_after(df: DataFrame, by: Sequence[str], time: str, tie: str, bucket: str, value: str,
                       out: str) -> DataFrame:
-    """``out`` = least non-null ``value`` among rows of the group at or after this row (``value`` rises with ``time``).
+    """``out`` = least non-null ``value`` among rows of the group at or after this row.
 
     Rows of equal time count if their ``tie`` is not below this row's.
     """
     return _carried(df, by, [F.col(time).desc(), F.col(tie).desc()], bucket, True, value, out, F.min)
 
 
+def least_before(df: DataFrame, by: Sequence[str], time: str, tie: str, bucket: str, value: str, out: str) -> DataFrame:
+    """``out`` = least non-null ``value`` among rows of the group at or before this row in order of (``time``, ``tie``)."""
+    return _carried(df, by, [F.col(time).asc(), F.col(tie).asc()], bucket, False, value, out, F.min)
+
+
 def last_at_or_before(df: DataFrame, by: Sequence[str], time: str, bucket: str, value: str, out: str) -> DataFrame:
     """``out`` = greatest non-null ``value`` among rows of the group at or before this row (``value`` rises with ``time``)."""
     return _carried(df, by, [F.col(time).asc()], bucket, False, value, out, F.max)

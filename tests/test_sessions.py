@@ -1,17 +1,22 @@
 """Merging session windows: the published golden, and consistency with the batch session sum."""
 
+import random
 from collections import Counter
+from functools import partial
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import fixtures
+import session_machine
 from goldens import GOLDEN
 from eventide.functions.timefmt import format_pane
+from eventide.operators import session_panes as sessions
 from eventide.operators.session_panes import session_panes
 from eventide.operators.windows import session_sum
 from eventide.plans.catalog import SESSION_PANES
-from eventide.plans.spec import StepWatermark
+from eventide.plans.spec import StepWatermark, TickWatermark
 from eventide.sources.tables import EVENT_WATERMARK, arrival_log_from_events, load
 
 SF = "/root/testdata/sf0.001"
@@ -52,8 +57,84 @@ def test_no_session_overlaps_in_final_panes(spark):
     assert bad.count() == 0
 
 
-def test_split_by_session_equals_per_key(spark):
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def _both(log, watermark=EVENT_WATERMARK, **how):
+    """The plan's panes and those of the row-by-row machine."""
+    return _rows(session_panes(log, watermark=watermark, **how)), _rows(session_machine.session_panes(
+        log, watermark=watermark, split="key", **how))
+
+
+def test_equal_to_the_machine_on_events(spark):
     log = arrival_log_from_events(load(spark, SF, "events"))
-    a = session_panes(log, watermark=EVENT_WATERMARK, split="key", **SESSION_PANES)
-    b = session_panes(log, watermark=EVENT_WATERMARK, split="session", **SESSION_PANES)
-    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+    for mode in ("accumulating", "discarding"):
+        plan, machine = _both(log, mode=mode, **SESSION_PANES)
+        assert plan == machine and {r[5] for r in plan} == {"EARLY", "ON_TIME", "LATE"}
+
+
+def _random_log(spark, seed, n, span, lag, keys=("a", "b", None)):
+    """Arrivals up to ``lag`` seconds late, many at equal times; the hourly heuristic watermark's rules at one minute."""
+    rng = random.Random(seed)
+    rows = []
+    for seq in range(n):
+        t = rng.randrange(span)
+        rows.append((rng.choice(keys), rng.randrange(-5, 50), seq, t, t + int(lag * rng.random() ** 3)))
+    at = lambda c: F.timestamp_seconds(F.lit(1_704_067_200) + F.col(c)).cast("timestamp_ntz")
+    df = spark.createDataFrame(rows, "key string, score long, seq long, t long, a long").select(
+        "key", "score", "seq", at("t").alias("event_ts"), at("a").alias("arrival_ts"))
+    return df.withColumn("wm_ts", FAST.wm_at(F.col("arrival_ts")))
+
+
+FAST = TickWatermark(tick="1 minute", lag="2 minutes")
+
+
+@pytest.mark.parametrize("seed,n,span,lag,how", [
+    (1, 700, 9000, 1500, dict(gap="1 minute", early_delay="90 seconds", lateness="3 minutes")),
+    (2, 700, 40000, 1500, dict(gap="100 seconds", early_delay="2 minutes", lateness="0 seconds")),
+    (3, 1500, 3000, 600, dict(gap="5 seconds", early_delay="20 seconds", lateness="30 seconds", mode="discarding")),
+    (4, 900, 9000, 4000, dict(gap="2 minutes", early_delay=None, lateness="10 minutes", mode="discarding")),
+    (5, 900, 9000, 4000, dict(gap="1 minute", early_delay="30 minutes", lateness="100 minutes")),
+])
+def test_equal_to_the_machine_on_random_logs(spark, seed, n, span, lag, how):
+    """Merges, sessions closed before their neighbours come, ties, late bridges; a third of the rows has no key."""
+    log = _random_log(spark, seed, n, span, lag)
+    plan, machine = _both(log, watermark=FAST, **how)
+    assert plan == machine and any(r[0] is None for r in plan)
+
+
+def test_short_stretches_settle_alike(spark, monkeypatch):
+    """Stretches shorter than the delay, few rounds: widening ends at the same panes."""
+    log = _random_log(spark, 6, 600, 4000, 900, keys=("a", None))
+    how = dict(gap="20 seconds", early_delay="45 seconds", lateness="2 minutes")
+    want = _rows(session_panes(log, watermark=FAST, **how))
+    monkeypatch.setattr(sessions, "ROUNDS", 1)
+    monkeypatch.setattr(sessions, "WIDER", 3)
+    monkeypatch.setattr(sessions, "_settled", partial(_narrow, sessions._settled))
+    assert _rows(session_panes(log, watermark=FAST, **how)) == want
+
+
+def _narrow(settled, rows, delay, width):
+    return settled(rows, delay, 20_000_000)
+
+
+def test_dropped_and_kept_rows_are_the_input(spark):
+    log = _random_log(spark, 7, 500, 9000, 1500)
+    panes, dropped = session_panes(log, watermark=FAST, gap="1 minute", early_delay="1 minute", lateness="1 minute", mode="discarding",
+                                   with_dropped=True)
+    assert dropped.count() > 0
+    assert panes.agg(F.sum("value")).first()[0] + dropped.agg(F.sum("score")).first()[0] == log.agg(F.sum("score")).first()[0]
+
+
+def test_one_key_spreads_over_tasks(spark):
+    """One unbroken session of one key: its deadlines are settled in many stretches."""
+    log = _random_log(spark, 8, 400, 60_000, 600, keys=("a",))
+    seen = []
+    old = sessions._run_stretches
+    try:
+        sessions._run_stretches = lambda ordered, *a: (seen.append(ordered.select("stretch").distinct().count()), old(ordered, *a))[1]
+        session_panes(log, watermark=FAST, gap="20 minutes", early_delay="1 minute", lateness="1 hour").count()
+    finally:
+        sessions._run_stretches = old
+    assert seen[0] >= 4

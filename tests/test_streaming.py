@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures
+import session_machine
 from goldens import GOLDEN
 from eventide.functions.timefmt import format_attribution, format_pane
 from eventide.operators.panes import pane_ledger
-from eventide.operators.session_panes import session_panes
 from eventide.plans.catalog import PANE_SPECS
 from eventide.sources.tables import EVENT_WATERMARK, arrival_log_from_events, load
 from eventide.streaming import (stream_attribution, stream_panes, stream_session_sums, stream_validity_windows,
@@ -138,7 +138,7 @@ def test_ledger_equals_state_machine_on_events(spark):
     cols = ["key", "w_start", "w_end", "pane_index", "on_time_index", "timing", "is_first", "is_last", "value",
             "fire_ts"]
     batch = pane_ledger(log, spec, EVENT_WATERMARK).select(*cols)
-    machine = session_panes(log, None, "10 minutes", spec.lateness, EVENT_WATERMARK, size=spec.size).select(*cols)
+    machine = session_machine.session_panes(log, None, "10 minutes", spec.lateness, EVENT_WATERMARK, size=spec.size).select(*cols)
     a = sorted(tuple(r) for r in batch.collect())
     b = sorted(tuple(r) for r in machine.collect())
     assert a == b
