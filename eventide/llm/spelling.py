@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,10 +82,9 @@ def words_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All letters as one Latin-1 array, and where each word starts in it."""
-    spelled = [w.encode("latin-1") for w in words.to_pylist()]
-    starts = np.zeros(len(spelled) + 1, np.int64)
-    np.cumsum([len(s) for s in spelled], out=starts[1:])
-    return np.frombuffer(b"".join(spelled), np.uint8), starts
+    starts = np.zeros(len(words) + 1, np.int64)
+    np.cumsum(pc.utf8_length(words).to_numpy(), out=starts[1:])
+    return np.frombuffer("".join(words.to_pylist()).encode("latin-1"), np.uint8), starts
 
 
 def letter_counts(letters: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -112,6 +112,10 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ["choice", "key", "length", "word", "n"])
 
 
+#: Words of up to so many letters are compared as rows of one array, longer ones each for itself.
+WIDTH = 32
+
+
 def _one_edit(x: bytes, y: bytes) -> bool:
     """Whether one replaced, or one inserted or deleted, letter turns ``x`` into ``y``."""
     if len(x) > len(y):
@@ -120,6 +124,15 @@ def _one_edit(x: bytes, y: bytes) -> bool:
     return x[same + (len(x) == len(y)):] == y[same + 1:] and x != y
 
 
+def _one_edit_rows(x: np.ndarray, y: np.ndarray, same_length: np.ndarray) -> np.ndarray:
+    """``_one_edit`` for rows of letters filled up with zeros; a row of ``y`` is as long as that of ``x``, or one longer."""
+    differs = x != y
+    first = differs.argmax(1)
+    after = np.arange(x.shape[1] - 1) >= first[:, None]
+    inserted = ~((x[:, :-1] != y[:, 1:]) & after).any(1)
+    return np.where(same_length, differs.sum(1) == 1, inserted)
+
+
 def _first_choice(difference: np.ndarray) -> np.ndarray:
     """The first choice of groups in which each pair's counts agree; ``difference`` is a pair's count vectors' difference."""
     touched = np.stack([(difference[:, GROUP_OF == g] != 0).any(1) for g in range(GROUPS)], 1)
@@ -139,6 +152,12 @@ class Tiles:
         self.kind = np.float32 if self.length.max(initial=0) < 2000 else np.float64
         self.counts = counts.astype(self.kind)
         self.square = (self.counts * self.counts).sum(1)
+        # Words as rows of WIDTH letters, filled up with zeros; those of longer ones are not used.
+        place = np.arange(len(self.letters)) - np.repeat(self.starts[:-1], self.length)
+        row = np.repeat(np.arange(len(self.length)), self.length)
+        inside = place < WIDTH
+        self.rows = np.zeros((len(self.length), WIDTH), np.uint8)
+        self.rows[row[inside], place[inside]] = self.letters[inside]
 
     def spelled(self, i: int) -> bytes:
         return self.letters[self.starts[i]:self.starts[i + 1]].tobytes()
@@ -171,17 +190,26 @@ class Tiles:
             end, first = last[left], (left + step) * TILE
             left = left[(self.block[end] == self.block[first]) & (self.length[first] - self.length[end] <= 1)]
 
+    def _verified(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        short = np.where(self.length[i] <= self.length[j], i, j)
+        long = i + j - short
+        good = np.zeros(len(i), bool)
+        narrow = self.length[long] < WIDTH
+        s, t = short[narrow], long[narrow]
+        good[narrow] = _one_edit_rows(self.rows[s], self.rows[t], self.length[s] == self.length[t])
+        for k in np.flatnonzero(~narrow).tolist():
+            good[k] = _one_edit(self.spelled(short[k]), self.spelled(long[k]))
+        return good
+
     def pairs(self, choice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(i, j) one edit apart, each pair in the first block of those in which it meets."""
-        found = [(i, j) for i, j in self.candidates() if len(i)]
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-        first = _first_choice(self.counts[i] - self.counts[j]) == choice[i]
-        i, j = i[first], j[first]
-        good = np.array([_one_edit(self.spelled(a), self.spelled(b)) for a, b in zip(i.tolist(), j.tolist(), strict=True)],
-                        bool)
-        return i[good], j[good]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for i, j in self.candidates():
+            good = self._verified(i, j)
+            i, j = i[good], j[good]
+            first = _first_choice(self.counts[i] - self.counts[j]) == choice[i]
+            found.append((i[first], j[first]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
