@@ -22,6 +22,22 @@ def write_text(df: DataFrame, path: str, column: str = "value", mode: str = "ove
     df.select(F.col(column).alias("value")).write.mode(mode).text(path)
 
 
+def stream_text(df: DataFrame, path: str, checkpoint: str, column: str = "value", shards: int | None = None,
+                trigger: dict | None = None):
+    """Write one string column of a stream as text files, each line exactly once; the started query.
+
+    Files count once the sink's log in ``path`` names them, and a query that starts again from
+    ``checkpoint`` writes only batches that are not named, so readers of the folder see neither
+    half batches nor repeated ones.  ``shards``: files a micro-batch.  ``trigger``: arguments of
+    ``DataStreamWriter.trigger``.
+    """
+    lines = df.select(F.col(column).alias("value"))
+    if shards:
+        lines = lines.repartition(shards)
+    writer = lines.writeStream.format("text").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
 def _strip(c: Column) -> Column:
     # Blank, tab and control characters at both ends, like a Java String.trim.
     return F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+$", "")

@@ -18,10 +18,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventide.functions.timefmt import to_us
-from eventide.streaming.watermark import COMPLETE_MS, asserted, keyed
+from eventide.streaming.watermark import COMPLETE_MS, asserted, keyed, original_key, steps
 
 OUT = T.StructType([T.StructField("kind", T.StringType()), T.StructField("key", T.StringType()),
-                    T.StructField("start_us", T.LongType()), T.StructField("end_us", T.LongType()),
+                    T.StructField("no_key", T.BooleanType()), T.StructField("start_us", T.LongType()), T.StructField("end_us", T.LongType()),
                     T.StructField("value", T.LongType())])
 _TIME = T.StructType([T.StructField("us", T.LongType())])
 
@@ -32,41 +32,41 @@ class ValidityProcessor(StatefulProcessor):
         self.sums = handle.getMapState("sums", _TIME, T.StructType([T.StructField("value", T.LongType())]))
         self.fired = handle.getValueState("fired", _TIME)
 
-    def _emit(self, key: str, wm_ms: int) -> list[tuple]:
+    def _emit(self, key: tuple, wm_ms: int) -> list[tuple]:
         times = sorted(k[0] for k in self.sums.keys())
         out = []
         for x, after in zip(times, [*times[1:], None], strict=True):
             if (after is None and wm_ms < COMPLETE_MS) or (after is not None and after > wm_ms * 1000):
                 break
-            out.append(("pane", key, x, after, self.sums.getValue((x,))[0]))
+            out.append(("pane", *key, x, after, self.sums.getValue((x,))[0]))
             self.sums.removeKey((x,))
             # An open window is final: nothing may follow it.
             self.fired.update((COMPLETE_MS * 1000 if after is None else after,))
         return out
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if key[1]:
+        if key[2]:
             return
         wm, out = timerValues.getCurrentWatermarkInMs(), []
         if self.sums.exists():
-            out += self._emit(key[0], wm)
+            out += self._emit(key[:2], wm)
         done = self.fired.get()[0] if self.fired.exists() else None
         for pdf in rows:
             late = pdf["us"] < done if done is not None else pd.Series(False, index=pdf.index)
-            out += [("dropped", key[0], int(u), None, int(s)) for u, s in zip(pdf["us"][late], pdf["score"][late])]
+            out += [("dropped", *key[:2], int(u), None, int(s)) for u, s in zip(pdf["us"][late], pdf["score"][late])]
             for us, value in pdf[~late].groupby("us")["score"].sum().items():
                 at = (int(us),)
                 old = self.sums.getValue(at)[0] if self.sums.containsKey(at) else 0
                 self.sums.updateValue(at, (old + int(value),))
                 if us > wm * 1000:
                     self.handle.registerTimer(-(-int(us) // 1000))
-        out += self._emit(key[0], wm)
+        out += self._emit(key[:2], wm)
         self.handle.registerTimer(COMPLETE_MS)
         if out:
             yield pd.DataFrame(out, columns=OUT.names).astype({"end_us": "Int64"})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out = self._emit(key[0], timerValues.getCurrentWatermarkInMs())
+        out = self._emit(key[:2], timerValues.getCurrentWatermarkInMs())
         if out:
             yield pd.DataFrame(out, columns=OUT.names).astype({"end_us": "Int64"})
 
@@ -76,8 +76,8 @@ class ValidityProcessor(StatefulProcessor):
 
 def stream_validity_windows(stream: DataFrame) -> DataFrame:
     """``kind, key, w_start, w_end, value``; of a dropped row, ``w_start`` is its time and ``value`` its score."""
-    rows = asserted(stream).select(*keyed("key"), to_us("event_ts").alias("us"), F.col("score").cast("bigint").alias("score"))
-    out = rows.groupBy("key", "step").transformWithStateInPandas(
+    rows = asserted(stream).select(*keyed("key"), steps().alias("step"), to_us("event_ts").alias("us"), F.col("score").cast("bigint").alias("score"))
+    out = rows.groupBy("key", "no_key", "step").transformWithStateInPandas(
         statefulProcessor=ValidityProcessor(), outputStructType=OUT, outputMode="Append", timeMode="EventTime")
     at = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
-    return out.select("kind", "key", at("start_us").alias("w_start"), at("end_us").alias("w_end"), "value")
+    return out.select("kind", original_key(), at("start_us").alias("w_start"), at("end_us").alias("w_end"), "value")
