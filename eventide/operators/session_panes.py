@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from eventide.functions.timefmt import dur_us, from_us, to_us
 from eventide.operators.panes import number_panes
 from eventide.plans.nearest import Maxima
-from eventide.plans.scan import first_at_or_after, least_before, running_sums
+from eventide.plans.scan import running_sums
 from eventide.plans.spec import PaneSpec
 from eventide.session import materialize
 
@@ -51,60 +51,59 @@ def _never() -> Column:
     return F.struct(*[F.lit(NEVER).cast("long").alias(c) for c in ("a", "seq", "w")])
 
 
-def _least_arrival(positions: DataFrame, by: list[str], gap: int, ahead: bool, bucket: int) -> DataFrame:
-    """``positions`` (``by``, t, first) with ``link``: the least ``first`` in (t, t + gap), or in (t - gap, t).
+def _least_arrival(positions: DataFrame, by: list[str], gap: int, ahead: bool, out: str) -> DataFrame:
+    """``positions`` with ``out``: the least ``first`` in (t, t + gap), or in (t - gap, t), of the group.
 
-    Time is cut into blocks of ``gap``, so the range lies in two of them: a running minimum from
-    one end of each.
+    Time is cut into blocks of ``gap``, so the range lies in a position's own block and the next
+    one.  Each block also gets the positions of that next block, moved by ``gap``: what is in
+    range are its own positions on one side of t and the moved ones on the other.  One shuffle
+    by (group, block), each range a running minimum.
     """
     t, none = F.col("t"), F.lit(None).cast(_ORDER)
-    own, over = F.floor(t / gap), F.floor((t + (gap if ahead else -gap)) / gap)
-
-    def rows(block: Column, at: Column, tie: int, asked: bool) -> DataFrame:
-        return positions.select(*by, block.alias("_block"), at.alias("_t"), F.lit(tie).alias("_tie"), F.when(
-            F.lit(asked), t).alias("_asked"), (none if asked else F.col("first")).alias("_v")).withColumn(
-                "_b", F.floor(F.col("_t") / bucket))
-
-    # Asked rows come before the position of their own time, on whichever side the scan starts.
-    after = rows(own, t, 0, False).unionByName(rows(own, t, 1, True) if ahead else rows(over, t - gap, 1, True))
-    before = rows(own, t, 1, False).unionByName(rows(over, t + gap, 0, True) if ahead else rows(own, t, 0, True))
-    found = first_at_or_after(after, [*by, "_block"], "_t", "_tie", "_b", "_v", "link").unionByName(
-        least_before(before, [*by, "_block"], "_t", "_tie", "_b", "_v", "link")).where("_asked IS NOT NULL")
-    both = found.select(*by, F.col("_asked").alias("t"), "link", none.alias("first")).unionByName(
-        positions.select(*by, "t", none.alias("link"), "first"))
-    return both.groupBy(*by, "t").agg(F.min("link").alias("link"), F.min("first").alias("first"))
+    kept = [c for c in positions.columns if c not in by]
+    moved = t - gap if ahead else t + gap
+    own = positions.select(*by, F.floor(t / gap).alias("_block"), t.alias("_t"), F.struct(*kept).alias("_row"), F.col("first").alias(
+        "_own"), none.alias("_next"))
+    other = positions.select(*by, F.floor(moved / gap).alias("_block"), moved.alias("_t"), F.lit(None).cast(own.schema["_row"].dataType).alias(
+        "_row"), none.alias("_own"), F.col("first").alias("_next"))
+    side = Window.partitionBy(*by, "_block")
+    # A moved position exactly at t is a whole gap away: it comes after the position there, whichever way the scan goes.
+    tie = F.col("_row").isNull()
+    up, down = (side.orderBy(o, tie).rowsBetween(Window.unboundedPreceding, -1) for o in (F.col("_t").asc(), F.col("_t").desc()))
+    least = F.least(F.min("_own").over(down if ahead else up), F.min("_next").over(up if ahead else down))
+    return own.unionByName(other).select(*by, "_row", least.alias(out)).where("_row IS NOT NULL").select(*by, "_row.*", out)
 
 
 def _positions(rows: DataFrame, gap: int, lateness: int, bucket: int) -> DataFrame:
-    """``g`` (key, epoch), ``number``, ``t`` and the closings ``left``, ``right`` of the gaps on both sides."""
+    """``key, epoch, number, t`` (numbered within the key) and the closings ``left``, ``right`` of the gaps on both sides."""
     at = rows.groupBy("key", "t").agg(F.min(F.struct("a", "seq", "w")).alias("first"))
-    at = materialize(_least_arrival(materialize(at), ["key"], gap, True, bucket))
-    cut = F.col("link").isNull() | (F.col("link.w") >= F.col("t") + gap + lateness)
+    at = materialize(_least_arrival(at, ["key"], gap, True, "right"))
+    cut = F.col("right").isNull() | (F.col("right.w") >= F.col("t") + gap + lateness)
     at = at.withColumn("_cut", cut.cast("long")).withColumn("_b", F.floor(F.col("t") / bucket))
-    at = running_sums(at, ["key"], ["t"], "_b", {"_cuts": F.col("_cut")})
-    right = F.when(F.col("_cut") == 1, _never()).otherwise(F.col("link"))
-    at = materialize(at.select("key", (F.col("_cuts") - F.col("_cut")).alias("epoch"), "t", "first", right.alias("right")))
-    left = _least_arrival(at.select("key", "epoch", "t", "first"), ["key", "epoch"], gap, False, bucket)
-    at = at.withColumn("_g", F.struct("key", "epoch")).join(left.select(F.struct("key", "epoch").alias("_g"), "t", F.coalesce(
-        "link", _never()).alias("left")), ["_g", "t"])
-    at = running_sums(at.withColumn("_b", F.floor(F.col("t") / bucket)), ["key", "epoch"], ["t"], "_b", {
-        "number": F.lit(1).cast("long")})
-    return materialize(at.select("_g", "t", (F.col("number") - 1).alias("number"), "left", "right"))
+    at = running_sums(at, ["key"], ["t"], "_b", {"_cuts": F.col("_cut"), "_n": F.lit(1).cast("long")})
+    at = at.select("key", (F.col("_cuts") - F.col("_cut")).alias("epoch"), (F.col("_n") - 1).alias("number"), "t", "first", F.when(
+        F.col("_cut") == 1, _never()).otherwise(F.col("right")).alias("right"))
+    at = _least_arrival(at, ["key", "epoch"], gap, False, "left")
+    # An epoch's first position never joins its left, so searches end there.
+    return materialize(at.select(F.struct("key").alias("_k"), "epoch", "number", "t", F.coalesce("left", _never()).alias("left"), "right"))
 
 
 def _with_bounds(rows: DataFrame, positions: DataFrame, gap: int) -> DataFrame:
     """``rows`` with ``epoch``, the window ``[s, e)`` that holds each right after its arrival, and ``dies``, when that gives way."""
-    asked = rows.withColumn("_k", F.struct("key")).join(
-        positions.select(F.struct("_g.key").alias("_k"), "t", "_g", "number"), ["_k", "t"]).drop("_k")
-    table = positions.select("_g", "number", F.struct(*[F.col(f"left.{c}") for c in ("a", "seq", "w")], "t").alias("left"),
-                             F.struct(*[F.col(f"right.{c}") for c in ("a", "seq", "w")], "t").alias("right"))
-    # Arrivals are unique, so one more field never decides.
-    beyond = F.struct("a", "seq", "w", F.lit(NEVER).cast("long").alias("t"))
-    asked = Maxima(table, "_g", "number", "left").nearest(asked, "number", beyond, True, "_l")
-    asked = Maxima(table, "_g", "number", "right").nearest(asked, "number", beyond, False, "_r")
+    rows = materialize(rows.withColumn("_k", F.struct("key")).join(positions.select("_k", "t", "epoch", "number"), ["_k", "t"]))
+
+    def closing(side: str) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}") for c in ("a", "seq", "w")], "t").alias(side)
+
+    table = positions.select("_k", "number", closing("left"), closing("right"))
+    # Arrivals are unique, so the fields after the first two never decide.
+    beyond = F.struct("a", "seq", F.lit(NEVER).cast("long").alias("w"), F.lit(NEVER).cast("long").alias("t"))
+    asked = rows.select("_k", "seq", "a", "number")
+    asked = Maxima(table, "_k", "number", "left").nearest(asked, "number", beyond, True, "_l")
+    asked = Maxima(table, "_k", "number", "right").nearest(asked, "number", beyond, False, "_r")
     dies = F.least(*[F.struct(*[F.col(f"{c}.value.{x}").alias(x) for x in ("a", "seq", "w")]) for c in ("_l", "_r")])
-    return asked.select(*rows.columns, F.col("_g.epoch").alias("epoch"), F.col("_l.value.t").alias("s"), (
-        F.col("_r.value.t") + gap).alias("e"), dies.alias("dies"))
+    found = asked.select("_k", "seq", F.col("_l.value.t").alias("s"), (F.col("_r.value.t") + gap).alias("e"), dies.alias("dies"))
+    return rows.join(found, ["_k", "seq"]).drop("_k", "number")
 
 
 def _windows(rows: DataFrame, bucket: int) -> DataFrame:

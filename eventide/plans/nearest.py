@@ -3,7 +3,7 @@
 Positions of a group are numbered from 0.  ``FAN`` neighbours form a block, ``FAN`` blocks a
 block of the next level, and every block knows its greatest value.  A question climbs from its
 own block until a sibling's maximum is beyond its threshold, then goes down to the position.
-Each step is an equi-join on (group, block) against arrays of at most ``FAN`` entries, and only
+Each step is a join on (group, block), which has at most ``FAN`` entries to compare, and only
 questions that are still open take the next one, so the work is O(n log n) for any data and no
 group gathers in one task.
 """
@@ -28,46 +28,46 @@ class Maxima:
         rows = table.select(group, F.col(number).cast("long").alias("_i"), F.col(value).alias("_m"))
         self.levels: list[DataFrame] = []
         while True:
-            blocks = materialize(rows.groupBy(group, F.floor(F.col("_i") / FAN).cast("long").alias("_block")).agg(
-                F.sort_array(F.collect_list(F.struct("_i", "_m"))).alias("_entries")))
-            self.levels.append(blocks)
-            rows = blocks.select(group, F.col("_block").alias("_i"), F.array_max(F.transform("_entries", lambda e: e["_m"])).alias("_m"))
-            if blocks.where("_block > 0").isEmpty():
+            self.levels.append(rows.withColumn("_block", F.floor(F.col("_i") / FAN).cast("long")))
+            if rows.where(F.col("_i") >= FAN).isEmpty():
                 break
+            rows = materialize(self.levels[-1].groupBy(group, F.col("_block").alias("_i")).agg(F.max("_m").alias("_m")))
 
-    def _pick(self, asked: DataFrame, level: int, back: bool, beyond: Column, allowed) -> DataFrame:
-        """``asked`` with ``_hit``, the nearest entry of block ``_block`` that is beyond the threshold (null if none)."""
-        fits = F.filter("_entries", lambda e: allowed(e["_i"]) & (e["_m"] > beyond))
-        hit = F.get(fits, F.size(fits) - 1) if back else F.get(fits, F.lit(0))
-        return asked.join(self.levels[level], [self.group, "_block"]).withColumn("_hit", hit).drop("_entries")
+    def _pick(self, asked: DataFrame, level: int, back: bool, beyond: Column, allowed: Column | None) -> DataFrame:
+        """``asked`` with ``_hit``, the number of the nearest entry of block ``_block`` beyond the threshold (null if none)."""
+        own = asked.columns
+        entries = self.levels[level].select(F.col(self.group).alias("_eg"), F.col("_block").alias("_eb"), "_i", "_m")
+        fits = (F.col(self.group) == F.col("_eg")) & (F.col("_block") == F.col("_eb")) & (F.col("_m") > beyond)
+        met = asked.join(entries, fits if allowed is None else fits & allowed, "left")
+        return met.groupBy(*own).agg((F.max("_i") if back else F.min("_i")).alias("_hit"))
 
     def nearest(self, asked: DataFrame, number: str, beyond: Column, back: bool, out: str) -> DataFrame:
         """``asked`` with ``out`` (number, value): the nearest position at or before (``back``) or after whose value is beyond ``beyond``.
 
-        Questions without an answer have a null ``out``.
+        Rows of ``asked`` are distinct; the fewer columns, the better.  Questions without an
+        answer have null fields in ``out``.
         """
-        columns = asked.columns
-        here = F.col(number).cast("long")
-        near = self._pick(asked.withColumn("_block", F.floor(here / FAN).cast("long")), 0, back, beyond,
-                          lambda i: i <= here if back else i >= here)
-        got = materialize(near)
+        columns, i = asked.columns, F.col("_i")
+        here = F.col(number)
+        got = materialize(self._pick(asked.withColumn("_block", F.floor(here / FAN).cast("long")), 0, back, beyond,
+                                     i <= here if back else i >= here))
         done, hits = [got.where("_hit IS NOT NULL")], []
         for level in range(1, len(self.levels)):
             still = got.where("_hit IS NULL")
             if still.isEmpty():
                 break
             up = still.select(*columns, F.col("_block").alias("_at")).withColumn("_block", F.floor(F.col("_at") / FAN).cast("long"))
-            at = F.col("_at")
-            got = materialize(self._pick(up, level, back, beyond, lambda i: i < at if back else i > at).drop("_at"))
+            got = materialize(self._pick(up, level, back, beyond, i < F.col("_at") if back else i > F.col("_at")).drop("_at"))
             hits.append((level, got.where("_hit IS NOT NULL")))
-        done.append(got.where("_hit IS NULL").select(*columns, F.lit(None).cast(done[0].schema["_hit"].dataType).alias("_hit")))
+        done.append(got.where("_hit IS NULL").select(*columns, F.lit(None).cast("long").alias("_hit")))
         # From the highest level down: a hit is a block one level below.
         down: DataFrame | None = None
         for level, found in reversed(hits):
             found = found.select(*columns, "_hit")
             down = found if down is None else down.select(*columns, "_hit").unionByName(found)
-            down = materialize(self._pick(down.withColumn("_block", F.col("_hit._i")).drop("_hit"), level - 1, back, beyond,
-                                          lambda i: F.lit(True)))
-        parts = [p.select(*columns, F.col("_hit").alias(out)) for p in [*done, *([down] if down is not None else [])]]
-        return reduce(DataFrame.unionByName, parts).withColumn(out, F.struct(F.col(out)["_i"].alias("number"), F.col(out)["_m"].alias(
-            "value")))
+            down = materialize(self._pick(down.withColumn("_block", F.col("_hit")).drop("_hit"), level - 1, back, beyond, None))
+        parts = [p.select(*columns, "_hit") for p in [*done, *([down] if down is not None else [])]]
+        found = self.levels[0].select(F.col(self.group).alias("_eg"), F.col("_i").alias("_hit"), F.col("_m").alias("_value"))
+        asked = reduce(DataFrame.unionByName, parts).withColumn("_ag", F.col(self.group))
+        return asked.join(found.withColumnRenamed("_eg", "_ag"), ["_ag", "_hit"], "left").select(*columns, F.struct(
+            F.col("_hit").alias("number"), F.col("_value").alias("value")).alias(out))

@@ -102,11 +102,27 @@ def first_at_or_after(df: DataFrame, by: Sequence[str], time: str, tie: str, buc
     return _carried(df, by, [F.col(time).desc(), F.col(tie).desc()], bucket, True, value, out, F.min)
 
 
-def least_before(df: DataFrame, by: Sequence[str], time: str, tie: str, bucket: str, value: str, out: str) -> DataFrame:
-    """``out`` = least non-null ``value`` among rows of the group at or before this row in order of (``time``, ``tie``)."""
-    return _carried(df, by, [F.col(time).asc(), F.col(tie).asc()], bucket, False, value, out, F.min)
-
-
 def last_at_or_before(df: DataFrame, by: Sequence[str], time: str, bucket: str, value: str, out: str) -> DataFrame:
     """``out`` = greatest non-null ``value`` among rows of the group at or before this row (``value`` rises with ``time``)."""
     return _carried(df, by, [F.col(time).asc()], bucket, False, value, out, F.max)
+
+
+def last_before(asked: DataFrame, there: DataFrame, by: str, order: str, bucket, value: str, out: str) -> DataFrame:
+    """``asked`` with ``out``: ``value`` of the last row of ``there`` in the same group that is before it in ``order`` (null if none).
+
+    Both have a group ``by`` (a struct) and ``order``; ``bucket(order)`` is monotone.  One pass over
+    both together, spread by (group, bucket): linear in their rows, however many share a group.
+    """
+    row, none = F.struct(*asked.columns), F.lit(None)
+    kind = there.select(value).schema[value].dataType
+    a = asked.select(by, F.col(order).alias("_o"), row.alias("_row"), none.cast(kind).alias("_v"))
+    t = there.select(by, F.col(order).alias("_o"), none.cast(a.schema["_row"].dataType).alias("_row"), F.col(value).alias("_v"))
+    both = a.unionByName(t).withColumn("_b", bucket(F.col("_o"))).repartition(by, "_b")
+    # Of equal order the asked row comes first: only what is before it counts.
+    w = Window.partitionBy(by, "_b").orderBy("_o", F.col("_row").isNull()).rowsBetween(_U, _C)
+    local = both.select(by, "_b", "_o", "_row", "_v", F.last("_v", ignorenulls=True).over(w).alias("_near"))
+    ends = local.groupBy(by, "_b").agg(F.max_by("_v", F.when(F.col("_row").isNull(), F.col("_o"))).alias("_e"))
+    carry = ends.select(by, "_b", F.last("_e", ignorenulls=True).over(
+        Window.partitionBy(by).orderBy("_b").rowsBetween(_U, -1)).alias("_carry"))
+    found = local.where(F.col("_row").isNotNull()).join(carry, [by, "_b"])
+    return found.select("_row.*", F.coalesce("_near", "_carry").alias(out))

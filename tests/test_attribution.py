@@ -1,9 +1,12 @@
 """Attribution rules: late goals, re-visited URLs, ties, cycles, consumption, expiry, and many walk rows."""
 
 import datetime as dt
+import random
+import time
 
 from pyspark.sql import functions as F
 
+from eventide.operators import attribution
 from eventide.operators.attribution import attribute, dedup_impressions, latest_visits, referer_walk
 
 VISIT = "user string, url string, ts timestamp_ntz, referer string, is_goal boolean, arrival_ts timestamp_ntz, seq long, wm_ts timestamp_ntz"
@@ -97,3 +100,86 @@ def test_more_than_a_million_walk_rows(spark):
                     F.timestamp_seconds(F.lit(1_600_000_000)).cast("timestamp_ntz").alias("wm_ts"))
     w = referer_walk(v, i)
     assert w.count() == 6 * n and w.where("hit").count() == n
+
+
+def _stamp(seconds):
+    return F.timestamp_seconds(F.lit(1_700_000_000) + seconds).cast("timestamp_ntz")
+
+
+def test_many_goals_and_versions_on_one_url(spark):
+    """100,000 goals that follow as many visits of one page: each sees the visit before it, in time linear in both."""
+    n = 100_000
+    base = spark.range(n, numPartitions=8).select(F.lit("u").alias("user"), F.col("id").alias("k"))
+    old = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
+
+    def rows(url, at, referer, goal, seq):
+        t = _stamp(at)
+        return base.select("user", url.alias("url"), t.alias("ts"), referer.alias("referer"), F.lit(goal).alias("is_goal"), t.alias(
+            "arrival_ts"), seq.alias("seq"), F.timestamp_seconds(F.lit(1_700_000_000) + at - 1).cast("timestamp_ntz").alias("wm_ts"))
+    k = F.col("k")
+    v = rows(F.lit("page"), k * 2, F.lit("s"), False, k * 2).unionByName(
+        rows(F.concat(F.lit("g"), k), k * 2 + 1, F.lit("page"), True, k * 2 + 1))
+    i = spark.range(1).select(F.lit("u").alias("user"), F.lit(7).cast("long").alias("id"), F.lit("s").alias("source_url"), F.lit("page").alias(
+        "target_url"), old.alias("ts"), old.alias("arrival_ts"), F.lit(-1).cast("long").alias("seq"), old.alias("wm_ts"))
+    began = time.monotonic()
+    got = attribute(v, i).select("goal_ts", F.col("trail")[0]["ts"].alias("seen"), F.size("trail").alias("n"))
+    # A goal at 2k + 1 sees state that arrived under a watermark below it: the visit of second 2k + 1 or before.
+    assert got.where((F.col("n") == 1) & (F.col("seen") == F.col("goal_ts") - F.expr("INTERVAL 1 SECOND"))).count() == n
+    assert time.monotonic() - began < 90
+
+
+def test_deep_chain_takes_few_rounds(spark, monkeypatch):
+    """A chain of 1,000 pages, and one of 900 with an impression in its middle: jumps of doubling length."""
+    rounds = []
+    step = attribution._step
+    monkeypatch.setattr(attribution, "_step", lambda *a: (rounds.append(1), step(*a))[1])
+    stamp, old = _stamp(F.lit(0)), F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
+    users = spark.createDataFrame([("deep", 1000), ("mid", 900), (None, 300)], "user string, n long")
+    chain = users.select("user", "n", F.explode(F.sequence(F.lit(0), "n")).alias("j")).select(
+        "user", F.concat(F.lit("p"), "j").alias("url"), stamp.alias("ts"), F.when(F.col("j") < F.col("n"), F.concat(
+            F.lit("p"), F.col("j") + 1)).otherwise("s").alias("referer"), (F.col("j") == 0).alias("is_goal"), stamp.alias("arrival_ts"),
+        F.col("j").cast("long").alias("seq"), old.alias("wm_ts"))
+    i = spark.createDataFrame([("deep", 1, "s", "p1000"), ("mid", 2, "p451", "p450"), (None, 3, "s", "p300")],
+                              "user string, id long, source_url string, target_url string").select(
+        "*", stamp.alias("ts"), stamp.alias("arrival_ts"), F.lit(0).cast("long").alias("seq"), old.alias("wm_ts"))
+    got = {r.user: (r.imp_id, [x.url for x in r.trail]) for r in attribute(chain, i).collect()}
+    for user, imp, n in (("deep", 1, 1000), ("mid", 2, 450), (None, 3, 300)):
+        assert got[user] == (imp, [f"p{j}" for j in range(n, 0, -1)])
+    assert len(rounds) <= 12
+
+
+def _random_visits(spark, seed, n=400):
+    """Few pages visited over and over, some out of order: loops, replaced versions, late goals, no user on a third."""
+    rng = random.Random(seed)
+    vs, ims = [], []
+    for k in range(n):
+        at, user = k * 30 + rng.randrange(20), rng.choice(["a", "b", None])
+        late = at + int(3000 * rng.random() ** 4)
+        page = f"p{rng.randrange(12)}"
+        if rng.random() < .05:
+            ims.append((user, k, f"p{rng.randrange(12)}", page, at, late))
+        else:
+            vs.append((user, page if rng.random() < .8 else f"g{k}", at, rng.choice([f"p{rng.randrange(12)}", None]) if rng.random() < .95 else None,
+                       late))
+    when = lambda c: _stamp(F.col(c))
+    wm = F.timestamp_seconds(F.lit(1_700_000_000) + F.floor(F.col("late") / 300) * 300 - 300).cast("timestamp_ntz").alias("wm_ts")
+    v = spark.createDataFrame(vs, "user string, url string, at long, referer string, late long").select(
+        "user", "url", when("at").alias("ts"), "referer", F.col("url").startswith("g").alias("is_goal"), when("late").alias("arrival_ts"),
+        F.col("at").alias("seq"), wm)
+    i = spark.createDataFrame(ims, "user string, id long, source_url string, target_url string, at long, late long").select(
+        "user", "id", "source_url", "target_url", when("at").alias("ts"), when("late").alias("arrival_ts"), F.col("at").alias("seq"), wm)
+    return v, i
+
+
+def test_jumps_go_where_steps_go(spark, monkeypatch):
+    v, i = _random_visits(spark, 5)
+    for how in ({}, {"consume_impression": True}, {"state_ttl": "40 minutes"}):
+        out = []
+        for first in (10**6, 0):
+            monkeypatch.setattr(attribution, "STEPS_FIRST", first)
+            out.append(sorted(map(repr, attribute(v, i, **how).collect())))
+        assert out[0] == out[1]
+    monkeypatch.setattr(attribution, "STEPS_FIRST", 10**6)
+    plain = sorted(map(repr, referer_walk(v, i).collect()))
+    monkeypatch.setattr(attribution, "STEPS_FIRST", 0)
+    assert sorted(map(repr, referer_walk(v, i).collect())) == plain and any("user=None" in r for r in plain)
