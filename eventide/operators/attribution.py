@@ -13,13 +13,13 @@ Either way that is a cutoff in the order of ``(wm_ts, arrival_ts, seq)``.  Of a
 last one before the cutoff counts, of equal (source, target) impressions the first arrival.
 
 The walk is a loop over a frontier with one row per open goal.  A step is one pass over the
-frontier and the visits of the users still in it (``plans.scan.last_before``), so goals on one
+frontier and the visits of the users in it (``plans.scan.last_before``), so goals on one
 URL cost no more than others.  After ``STEPS_FIRST`` steps the walk jumps: a visit's parent is the
 same for a range of cutoffs, and tables of such ranges, composed by doubling, take a goal over
 any number of visits in a few joins; where a goal's cutoff is outside a range, it goes on by a
 plain step.  Steps stay as rows, so neither the number of rows nor the depth is limited.  A goal
 leaves the frontier at a visible impression, at an unknown referer, or when its walk repeats a
-URL, found with constant memory by comparing with a URL remembered at every power of two.
+URL, which is looked for in every round that is a power of two.
 
 Rows without a user are the visits of one user, the null one; a null URL or referer matches nothing.
 """
@@ -38,7 +38,7 @@ from eventide.session import materialize, materialize_counted
 _B = "1 day"
 GOAL = ["user", "goal_url", "goal_ts"]
 #: Plain steps before jump tables are worth their making.
-STEPS_FIRST = 6
+STEPS_FIRST = 16
 
 
 def _bucket(c: str) -> Column:
@@ -100,7 +100,7 @@ def _hit() -> Column:
 
 
 _ROW = ["gid", *GOAL, "g_wm", "g_arrival", "g_seq", "cutoff", "oldest"]
-_STEP = [*_ROW, "depth", "cur", "imp", "vid", "hit", "again", "mark"]
+_STEP = [*_ROW, "depth", "cur", "imp", "vid", "hit"]
 
 
 def _by(user: str, url: Column | str) -> Column:
@@ -118,22 +118,30 @@ def _versions(visits: DataFrame, imps: DataFrame) -> DataFrame:
 
 
 def _open(steps: DataFrame, stop_at_hit: bool) -> DataFrame:
-    return steps.where(~F.col("again") & ~(F.col("hit") & F.lit(stop_at_hit)) & F.col("cur.referer").isNotNull())
+    return steps.where(~(F.col("hit") & F.lit(stop_at_hit)) & F.col("cur.referer").isNotNull())
 
 
 def _step(going: DataFrame, versions: DataFrame) -> DataFrame:
     """One plain step of every open goal: the visit that its cutoff shows for the referer."""
-    users = going.select(F.struct("user").alias("_u")).distinct()
-    there = versions.withColumn("_u", F.struct("user")).join(users, "_u", "left_semi").select(
-        "by", "order", F.struct("vid", "cur", "imp").alias("_found"))
-    asked = going.select(*_ROW, "depth", "mark", _by("user", F.col("cur.referer")).alias("by"), F.col("cutoff").alias("order"))
+    there = versions.select("by", "order", F.struct("vid", "cur", "imp").alias("_found"))
+    asked = going.select(*_ROW, "depth", _by("user", F.col("cur.referer")).alias("by"), F.col("cutoff").alias("order"))
     found = last_before(asked, there, "by", "order", lambda o: F.floor(to_us(o["wm"]) / F.lit(dur_us(_B))), "_found", "_found")
-    found = found.where("_found IS NOT NULL").select(*_ROW, (F.col("depth") + 1).alias("depth"), "mark", "_found.*")
-    url, deep = F.col("cur.url"), F.col("depth")
-    found = found.where((to_us("cur.ts") >= F.col("oldest")) & (url != F.col("goal_url")))
-    power = deep.bitwiseAND(deep - 1) == 0
-    return found.withColumn("hit", _hit()).withColumn("again", url == F.col("mark")).withColumn(
-        "mark", F.when(power, url).otherwise(F.col("mark"))).select(*_STEP)
+    found = found.where("_found IS NOT NULL").select(*_ROW, (F.col("depth") + 1).alias("depth"), "_found.*")
+    found = found.where((to_us("cur.ts") >= F.col("oldest")) & (F.col("cur.url") != F.col("goal_url")))
+    return found.withColumn("hit", _hit()).select(*_STEP)
+
+
+def _looped(levels: list[DataFrame], going: DataFrame) -> DataFrame:
+    """``gid`` of the open goals whose walk has come to a URL twice."""
+    walked = reduce(DataFrame.unionByName, [x.select("gid", F.col("cur.url").alias("url")) for x in levels])
+    return walked.join(going.select("gid"), "gid", "left_semi").groupBy("gid").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("url").alias("d")).where("n > d").select("gid")
+
+
+def _of_users(versions: DataFrame, going: DataFrame) -> DataFrame:
+    """The versions of the users that still have an open goal."""
+    users = going.select(F.struct("user").alias("_u")).distinct()
+    return materialize(versions.withColumn("_u", F.struct("user")).join(users, "_u", "left_semi").drop("_u"))
 
 
 class Jumps:
@@ -145,8 +153,7 @@ class Jumps:
     (unless walks pass impressions), and so are those that lead into a loop.
     """
 
-    def __init__(self, versions: DataFrame, users: DataFrame, stop_at_hit: bool):
-        mine = materialize(versions.withColumn("_u", F.struct("user")).join(users, "_u", "left_semi").drop("_u"))
+    def __init__(self, mine: DataFrame, stop_at_hit: bool):
         there = mine if not stop_at_hit else mine.withColumn("_end", F.col("imp").isNotNull())
         end = F.col("_end") if stop_at_hit else F.lit(False)
         there = there.select("by", "order", F.struct(F.col("vid").alias("to"), F.col("order").alias("since"), to_us("cur.ts").alias(
@@ -178,14 +185,13 @@ class Jumps:
             good = (F.col("since") < F.col("cutoff")) & (F.col("cutoff") <= F.col("until")) & (F.col("_oldest") >= F.col("oldest"))
             at = materialize(at.unionByName(at.join(t, "vid").where(good).select(
                 "gid", F.col("to").alias("vid"), (F.col("depth") + F.lit(2 ** k)).alias("depth"), "cutoff", "oldest")))
-        start = going.select(*_ROW, F.col("depth").alias("_from"), "mark")
+        start = going.select(*_ROW, F.col("depth").alias("_from"))
         steps = at.select("gid", "vid", "depth").join(start, "gid").where(F.col("depth") > F.col("_from")).join(self.cur, "vid")
         url = F.col("cur.url")
         stop = steps.groupBy("gid").agg(F.max("depth").alias("_last"), F.min(F.when(url == F.col("goal_url"), F.col("depth"))).alias("_home"))
         steps = steps.join(stop, "gid").where(F.col("_home").isNull() | (F.col("depth") < F.col("_home")))
         last = F.col("depth") == F.col("_last")
-        return materialize(steps.withColumn("hit", _hit()).withColumn("again", last & (url == F.col("mark"))).withColumn(
-            "mark", F.when(last, url).otherwise(F.col("mark"))).select(*_STEP, last.alias("is_last")))
+        return materialize(steps.withColumn("hit", _hit()).select(*_STEP, last.alias("is_last")))
 
 
 def walk_steps(visits: DataFrame, impressions: DataFrame, state_ttl: str | None = None, stop_at_hit: bool = True) -> DataFrame:
@@ -200,14 +206,19 @@ def walk_steps(visits: DataFrame, impressions: DataFrame, state_ttl: str | None
     goals = goals.select(
         *_ROW, F.lit(0).cast("long").alias("depth"), F.struct(F.col("goal_url").alias("url"), F.col("goal_ts").alias("ts"), F.col(
             "goal_referer").alias("referer"), F.lit(True).alias("is_goal")).alias("cur"), "imp", F.lit(None).cast("long").alias("vid"))
-    goals = goals.withColumn("hit", _hit()).withColumn("again", F.lit(False)).withColumn("mark", F.col("goal_url")).select(*_STEP)
+    goals = goals.withColumn("hit", _hit()).select(*_STEP)
     level, n = materialize_counted(goals)
-    levels, jumps = [level], None
+    levels, jumps, round_, loops = [level], None, 0, False
     while n:
-        going = _open(level, stop_at_hit)
-        if len(levels) > STEPS_FIRST:
+        going, round_ = _open(level, stop_at_hit), round_ + 1
+        if round_ > 1 and not round_ & (round_ - 1):
+            again, many = materialize_counted(_looped(levels, going))
+            if many:
+                loops, going = True, materialize(going.join(again, "gid", "left_anti"))
+            versions = _of_users(versions, going)
+        if round_ > STEPS_FIRST:
             if jumps is None:
-                jumps = Jumps(versions, going.select(F.struct("user").alias("_u")).distinct(), stop_at_hit)
+                jumps = Jumps(_of_users(versions, going), stop_at_hit)
             jumped = jumps.go(going)
             levels.append(jumped.drop("is_last"))
             stay = going.join(jumped.select("gid").distinct(), "gid", "left_anti")
@@ -215,7 +226,7 @@ def walk_steps(visits: DataFrame, impressions: DataFrame, state_ttl: str | None
         level, n = materialize_counted(_step(going, versions))
         levels.append(level)
     steps = reduce(DataFrame.unionByName, levels)
-    if not steps.where("again").isEmpty():
+    if loops:
         first = Window.partitionBy("gid", "cur.url").orderBy("depth")
         steps = steps.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
     return steps

@@ -145,7 +145,7 @@ def test_deep_chain_takes_few_rounds(spark, monkeypatch):
     got = {r.user: (r.imp_id, [x.url for x in r.trail]) for r in attribute(chain, i).collect()}
     for user, imp, n in (("deep", 1, 1000), ("mid", 2, 450), (None, 3, 300)):
         assert got[user] == (imp, [f"p{j}" for j in range(n, 0, -1)])
-    assert len(rounds) <= 12
+    assert len(rounds) <= attribution.STEPS_FIRST + 6
 
 
 def _random_visits(spark, seed, n=400):
