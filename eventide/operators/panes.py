@@ -90,8 +90,9 @@ def _with_delay_starts(rows: DataFrame, delays: dict[bool, int], bucket: str) ->
         jump, n = materialize_counted(jump.join(onward, ["_g", "_to"]).select("_g", "_a", F.col("_then").alias("_to")))
     starts = nodes.groupBy("_g").agg(F.min("_a").alias("_a"))
     for jump in reversed(tables):
-        # Every start found so far leads to a new one 2^k panes on.
-        starts = materialize(starts.unionByName(starts.join(jump, ["_g", "_a"]).select("_g", F.col("_to").alias("_a"))))
+        # Every start found so far leads to a new one 2^k panes on; one plan, each table read once.
+        both = F.array_compact(F.array("_a", "_to"))
+        starts = starts.join(jump, ["_g", "_a"], "left").select("_g", F.explode(both).alias("_a"))
     marked = nodes.join(starts.withColumn("_s", F.col("_a")), ["_g", "_a"], "left").withColumn(
         "_b", F.floor(F.col("_a") / span))
     filled = last_at_or_before(marked, ["_g"], "_a", "_b", "_s", "_from")

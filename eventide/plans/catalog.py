@@ -23,6 +23,7 @@ from eventide.operators.aggregate import fixed_window_sum, sum_per_key
 from eventide.operators.attribution import (attribute, attribution_records, dedup_impressions, latest_visits,
                                               referer_walk)
 from eventide.operators.panes import pane_ledger
+from eventide.operators.session_panes import session_panes
 from eventide.operators.windows import session_sum, validity_windows
 from eventide.plans.scan import with_neighbors
 from eventide.plans.spec import PaneSpec, Trigger
@@ -269,10 +270,22 @@ SESSION_PANES = dict(gap=SESSION_GAP, early_delay="10 minutes", lateness="3 hour
 
 
 def q_session_panes(spark, sf):
-    from eventide.operators.session_panes import session_panes
     return session_panes(event_log(spark, sf), watermark=EVENT_WATERMARK, **SESSION_PANES)
 
 
+def _log_with_null_keys(spark, sf):
+    """The arrival log; every third event has no key."""
+    return event_log(spark, sf).withColumn("key", F.when(F.col("seq") % 3 != 0, F.col("key")))
+
+
+def q_null_key_panes(spark, sf):
+    return pane_ledger(_log_with_null_keys(spark, sf), PANE_SPECS["accumulating_panes"], EVENT_WATERMARK).select(*PANE_COLUMNS)
+
+
+def q_null_key_session_panes(spark, sf):
+    return session_panes(_log_with_null_keys(spark, sf), watermark=EVENT_WATERMARK, **SESSION_PANES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
         "fixed_window_sum": q_fixed_window_sum,
@@ -297,6 +310,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "attribution_once": q_attribution_once,
         "format_attribution": q_format_attribution,
         "session_panes": q_session_panes,
+        "null_key_panes": q_null_key_panes,
+        "null_key_session_panes": q_null_key_session_panes,
     }
     for name in PANE_SPECS:
         q[name] = _pane_query(name)

@@ -23,8 +23,6 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # Recursive CTEs walk referer chains; each level is one join of the frontier.
-    "spark.sql.cteRecursionLevelLimit": "10000",
 }
 
 

@@ -33,7 +33,9 @@ class ValidityProcessor(StatefulProcessor):
         self.fired = handle.getValueState("fired", _TIME)
 
     def _emit(self, key: tuple, wm_ms: int) -> list[tuple]:
-        times = sorted(k[0] for k in self.sums.keys())
+        times = sorted(k[0] for k in self.sums.keys()) if self.sums.exists() else []
+        if not times:
+            return []
         out = []
         for x, after in zip(times, [*times[1:], None], strict=True):
             if (after is None and wm_ms < COMPLETE_MS) or (after is not None and after > wm_ms * 1000):

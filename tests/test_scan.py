@@ -41,3 +41,64 @@ def test_neighbors(spark):
     got = got.sort_values(["k", "t", "id"]).reset_index(drop=True)
     assert got["p"].fillna(-1).astype(int).tolist() == pdf.groupby("k")["id"].shift(1).fillna(-1).astype(int).tolist()
     assert got["n"].fillna(-1).astype(int).tolist() == pdf.groupby("k")["id"].shift(-1).fillna(-1).astype(int).tolist()
+
+
+def test_groups_without_a_key_keep_their_rows(spark):
+    """The null group is a group like any other in every scan."""
+    from eventide.plans.scan import first_at_or_after, last_at_or_before, last_before, with_neighbors
+    _, named = _frame(spark, n=600, seed=3)
+    named = named.withColumn("v", F.when(F.col("id") % 3 == 0, F.col("t")))
+    bare = named.withColumn("k", F.when(F.col("k") != "hot", F.col("k")))
+
+    def results(df):
+        g = df.withColumn("g", F.struct("k")).withColumn("o", F.struct("t", "id"))
+        return [running_sums(df, ["k"], ["t", "id"], "b", {"rs": F.col("id")}).select("id", "rs"),
+                with_neighbors(df, ["k"], ["t", "id"], "b", "id", "p", "n").select("id", "p", "n"),
+                first_at_or_after(df, ["k"], "t", "id", "b", "v", "f").select("id", "f"),
+                last_at_or_before(df, ["k"], "t", "b", "v", "l").groupBy("t").agg(F.max("l")),
+                last_before(g.select("id", "g", "o"), g.select("g", "o", F.struct("id").alias("x")), "g", "o", lambda o: F.floor(
+                    o["t"] / 700), "x", "w").select("id", "w.id")]
+    for a, b in zip(results(named), results(bare), strict=True):
+        rows = sorted(map(tuple, a.collect()), key=repr)
+        assert rows == sorted(map(tuple, b.collect()), key=repr) and rows
+
+
+def test_last_before(spark):
+    from eventide.plans.scan import last_before
+    pdf, df = _frame(spark, seed=5)
+    g = df.withColumn("g", F.struct("k")).withColumn("o", F.struct("t", "id"))
+    asked, there = g.where("id % 2 = 0").select("id", "g", "o"), g.where("id % 3 = 0").select("g", "o", F.struct("id").alias("x"))
+    got = {r[0]: r[1] for r in last_before(asked, there, "g", "o", lambda o: F.floor(o["t"] / 700), "x", "w").select("id", "w.id").collect()}
+    want = {}
+    for _, part in pdf.groupby("k"):
+        last = None
+        for i in part["id"]:
+            if i % 2 == 0:
+                want[i] = last
+            if i % 3 == 0:
+                last = i
+    assert got == want
+
+
+def test_nearest_beyond(spark):
+    """The tree of block maxima against a loop, with blocks of four: several levels, both directions, no answer."""
+    from eventide.plans import nearest
+    rng = np.random.default_rng(2)
+    old, nearest.FAN = nearest.FAN, 4
+    try:
+        rows = [(k, i, int(rng.integers(0, 1000))) for k, n in (("a", 300), (None, 90), ("b", 1)) for i in range(n)]
+        df = spark.createDataFrame(rows, "k string, i long, v long").select(F.struct("k").alias("g"), "i", F.struct("v").alias("m"), "v")
+        ask = df.select("g", F.col("i").alias("n"), (F.col("v") + F.col("i") % 500).alias("over"))
+        tree = nearest.Maxima(df, "g", "i", "m")
+        values = {(k, i): v for k, i, v in rows}
+        for back in (True, False):
+            got = tree.nearest(ask, "n", F.struct(F.col("over").alias("v")), back, "hit").collect()
+            assert len(got) == len(rows)
+            for r in got:
+                at, over = r.n, values[r.g.k, r.n] + r.n % 500
+                while (r.g.k, at) in values and values[r.g.k, at] <= over:
+                    at += -1 if back else 1
+                want = at if (r.g.k, at) in values else None
+                assert r.hit.number == want and (want is None or r.hit.value.v == values[r.g.k, want])
+    finally:
+        nearest.FAN = old
