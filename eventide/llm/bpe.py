@@ -27,6 +27,7 @@ import re
 from collections.abc import Iterator
 from itertools import chain
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -36,8 +37,7 @@ from eventide.llm.warm import warm
 
 #: Units in one half of the cache, about 200 bytes each; half as many pieces.
 UNITS_KEPT = 1 << 19
-HEAD_BYTES, HEADS_KEPT = 6, 1 << 16
-PAIRS_KEPT = 1 << 18
+PAIRS_KEPT = 1 << 19
 ROWS_AT_ONCE = 64
 #: A space before white space or the end: it may belong to a match that began before it.
 NOT_BETWEEN_UNITS = re.compile(r" (?:\s|\Z)")
@@ -71,28 +71,64 @@ class Vocabulary:
         self.longest = max(map(len, ranks))
         #: Every ending of a token: its id if it is a token itself, else -1.
         self.tails = {t[i:]: ranks.get(t[i:], -1) for t in ranks for i in range(len(t))}
-        self._beside: dict[tuple[int, int], bool] = {}
-        self.heads = Recent(lambda data: tuple(self.table(data)), HEADS_KEPT)
-
-    def merged(self, data: bytes) -> list[int]:
-        """The definition: join the neighbours of lowest rank, leftmost first, while any pair has one."""
+        self._beside: dict[int, bool] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
+        #: All tokens that end at each byte of a string, found in one pass over it.
+        self.matcher = ahocorasick.Automaton()
+        for t, i in ranks.items():
+            self.matcher.add_word(t.decode("latin-1"), (i, len(t)))
+        self.matcher.make_automaton()
+
+    def merged(self, data: bytes, below: int | None = None) -> list[int]:
+        """The definition: join the neighbours of lowest rank, leftmost first, while any pair has one (less than ``below``)."""
         parts = [data[i:i + 1] for i in range(len(data))]
+        none = len(self.ranks) + len(data) if below is None else below
         while len(parts) > 1:
-            rank, i = min(((self.ranks.get(a + b, len(self.ranks) + len(data)), i)
-                           for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))))
-            if parts[i] + parts[i + 1] not in self.ranks:
+            rank, i = min(((self.ranks.get(a + b, none), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))))
+            if rank >= none or parts[i] + parts[i + 1] not in self.ranks:
                 break
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return [self.ranks[p] for p in parts]
 
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge gives ``token``; None for a byte."""
+        found = self._halves.get(token, ())
+        if found == ():
+            parts = self.merged(self.token[token], token)
+            found = self._halves[token] = tuple(parts) if len(parts) == 2 else None
+        return found
+
+    def _stays(self, left: int, right: int) -> bool:
+        """Whether no merge ever crosses the border of ``left`` and ``right``, going back through the merges that made them.
+
+        While the neighbours at the border are (a, b), a merge of the two crosses it if it comes
+        before the merge that made the next pair there.  Of equal ranks the leftmost goes first,
+        which is the one across the border when that next merge is to its right.
+        """
+        a, b, before = left, right, len(self.ranks) + 1
+        while True:
+            if self.ranks.get(self.token[a] + self.token[b], before) < before:
+                return False
+            back = (a, b) if a > b else (b, a)
+            for later in back:
+                parts = self.halves(later)
+                if parts is not None:
+                    break
+            else:
+                return True
+            if later == a and (a > b or self.halves(b) is None):
+                a, before = parts[1], a
+            else:
+                b, before = parts[0], b + 1
+
     def beside(self, left: int, right: int) -> bool:
         """Whether ``left`` directly before ``right`` stays so under the merges."""
-        key = (left, right)
+        key = left << 24 | right
         found = self._beside.get(key)
         if found is None:
             if len(self._beside) >= PAIRS_KEPT:
                 self._beside.clear()
-            found = self._beside[key] = self.merged(self.token[left] + self.token[right]) == [left, right]
+            found = self._beside[key] = self._stays(left, right)
         return found
 
     def last_token(self, data: bytes, end: int, last: list[int]) -> int:
@@ -111,11 +147,30 @@ class Vocabulary:
 
     def table(self, data: bytes, last: list[int] | None = None) -> list[int]:
         """Last tokens of all prefixes; ``last`` holds those of a shorter prefix, if known."""
-        last = list(last or ())
+        if not last:
+            return self._whole_table(data)
+        last = list(last)
         for end in range(len(last) + 1, len(data) + 1):
             last.append(self.last_token(data, end, last))
         return last
 
+    def _whole_table(self, data: bytes) -> list[int]:
+        """``table`` from the start, with the candidates of every prefix found in one pass, the longest first."""
+        last: list[int] = []
+        known, done = self._beside.get, -1
+        for end, (token, n) in self.matcher.iter(data.decode("latin-1")):
+            if end != done:
+                if n <= end:
+                    left = last[end - n]
+                    stays = known(left << 24 | token)
+                    if not (self.beside(left, token) if stays is None else stays):
+                        continue
+                last.append(token)
+                done = end
+        if len(last) < len(data):
+            raise ValueError(f"the vocabulary has no token for byte {data[len(last)]}")
+        return last
+
     def read_back(self, last: list[int]) -> list[int]:
         """The encoding, from its end: each last token leads to the prefix before it."""
         ids, end = [], len(last)
@@ -127,10 +182,7 @@ class Vocabulary:
     def encode(self, data: bytes) -> list[int]:
         if data in self.ranks:
             return [self.ranks[data]]
-        if len(data) <= HEAD_BYTES:
-            return self.read_back(self.table(data))
-        # A table of the first bytes serves every string that begins with them: the rest is an append.
-        return self.read_back(self.table(data, self.heads[data[:HEAD_BYTES]]))
+        return self.read_back(self.table(data))
 
     def edit(self, data: bytes, last: list[int], start: int, end: int, new: bytes) -> tuple[bytes, list[int]]:
         """Replace ``data[start:end]`` by ``new``: the new bytes and their table, recomputed near the edit only."""
@@ -156,6 +208,8 @@ class TextEncoder:
         self.pieces = Recent(lambda piece: tuple(vocabulary.encode(piece.encode())), units_kept // 2)
         #: Ids of a unit with its leading space.
         self.spaced = Recent(lambda unit: tuple(self.matches(" " + unit)), units_kept)
+        #: What such a unit adds to a text's digests.
+        self.told_of = Recent(lambda unit: self._told(self.matches(" " + unit)), units_kept)
 
     def matches(self, text: str) -> Iterator[int]:
         return chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(text)))
@@ -166,6 +220,21 @@ class TextEncoder:
         units = text.split(" ")
         return list(chain(self.matches(units[0]), chain.from_iterable(map(self.spaced.__getitem__, units[1:]))))
 
+    def told(self, text: str) -> tuple[int, str, bytes]:
+        """The number of ids, the ids in decimal joined by spaces, and the bytes they decode to: joins of the units' own."""
+        if NOT_BETWEEN_UNITS.search(text):
+            return self._told(self.matches(text))
+        units = text.split(" ")
+        first = self._told(self.matches(units[0]))
+        if len(units) == 1:
+            return first
+        counts, names, data = zip(*map(self.told_of.__getitem__, units[1:]), strict=True)
+        return first[0] + sum(counts), " ".join((first[1], *names) if first[0] else names), first[2] + b"".join(data)
+
+    def _told(self, matches: Iterator[int]) -> tuple[int, str, bytes]:
+        ids = list(matches)
+        return len(ids), self.decimal(ids), self.decode(ids)
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -210,10 +279,9 @@ def encoding_digests(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str
             out: list[list] = [[], [], [], []]
             for ids, texts in rows_of(batch):
                 for i, t in zip(ids, texts, strict=True):
-                    tokens = encoder.encode(t or "")
-                    for column, value in zip(out, (
-                            i, len(tokens), hashlib.sha256(encoder.decimal(tokens).encode()).hexdigest(),
-                            hashlib.sha256(encoder.decode(tokens)).hexdigest()), strict=True):
+                    n, names, data = encoder.told(t or "")
+                    for column, value in zip(out, (i, n, hashlib.sha256(names.encode()).hexdigest(), hashlib.sha256(
+                            data).hexdigest()), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()),

@@ -366,3 +366,22 @@ def test_packing(vocabulary):
         assert (f.ids(a, b) == ids[a:b]).all()
     assert (f.document(2) == ids[5:9000]).all() and len(f.document(0)) == 0
     assert len(data) - f.payload == -(-4096 * bits // 8) * 2 + -(-(10007 - 8192) * bits // 8)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"])
+def test_neighbours_stay_as_merging_says(name):
+    """Going back through the merges at a border against merging the bytes; and one-pass tables against byte by byte ones."""
+    words = bpe.text_encoder(public_tokenizers.path(name), public_tokenizers.PATTERN).vocabulary
+    rng, ids = random.Random(1), sorted(words.token)
+    short = [i for i in ids if len(words.token[i]) < 4]
+    for k in range(6000):
+        a, b = (rng.choice(ids if k % 2 else short) for _ in "ab")
+        data = words.token[rng.choice(ids)]
+        cut = rng.randrange(len(data))
+        if k % 3 == 0 and {data[:cut], data[cut:]} <= words.ranks.keys():
+            a, b = words.ranks[data[:cut]], words.ranks[data[cut:]]
+        b = a if k % 7 == 0 else b
+        both = words.token[a] + words.token[b]
+        assert words._stays(a, b) == (words.merged(both) == [a, b])
+        if k % 20 == 0:
+            assert words.table(both) == words.table(both, words.table(both[:1]))
