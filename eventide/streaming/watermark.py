@@ -4,7 +4,7 @@ Spark's own watermark is the greatest event time seen less a delay.  Here a row
 the source's watermark is, in column ``wm_ts``: data rows carry the one in force, a row
 without an event time only moves it.  The column is given to Spark one second ahead of a delay of
 one second, so the watermark becomes exactly the greatest ``wm_ts`` and no row is ever
-behind it; the column goes no further (its last value, the end of time, is beyond pandas). What is late is for the operator to judge, by its own windows.
+behind it.  What is late is for the operator to judge, by its own windows.
 
 Rows without an event time (or other payload) form a group of their own, which the operators
 pass over.  One such row moves the watermark for all keys.  A row with a payload but without a
@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 
 from eventide.functions.timefmt import dur_us
 
-#: 9999-01-01 in milliseconds: a watermark at or beyond means that the input is complete.
-COMPLETE_MS = 253_370_764_800_000
+#: 2260-01-01 in milliseconds: a watermark at or beyond means that the input is complete.
+COMPLETE_MS = 9_151_488_000_000
 
 
 def asserted(stream: DataFrame, wm: str = "wm_ts") -> DataFrame:
-    return stream.withColumn("_wm", F.col(wm).cast("timestamp") + F.expr("INTERVAL 1 SECOND")).withWatermark(
-        "_wm", "1 second")
+    # Capped an hour after completion, so that times at the watermark stay within what pandas can hold.
+    last = F.timestamp_millis(F.lit(COMPLETE_MS + 3_600_000))
+    capped = F.least(F.col(wm).cast("timestamp"), last)
+    return stream.withColumn("_wm", capped + F.expr("INTERVAL 1 SECOND")).withWatermark("_wm", "1 second")
 
 
 #: How far behind the watermark a row may come and still reach the operators, which judge lateness themselves.

@@ -1,5 +1,7 @@
 """Live triggers, merging sessions, late rows of native sums, the text sink, rows without a key."""
 
+import datetime as dt
+import random
 import time
 import uuid
 from collections import Counter
@@ -11,6 +13,7 @@ import fixtures
 from goldens import GOLDEN
 from eventide.functions.timefmt import format_pane
 from eventide.operators.panes import pane_ledger
+from eventide.operators.windows import validity_windows
 from eventide.plans.spec import PaneSpec, StepWatermark, Trigger
 from eventide.sources.text import scan_text, stream_text
 from eventide.streaming import (stream_attribution, stream_ledger, stream_session_panes, stream_session_sums_and_late,
@@ -266,3 +269,36 @@ def test_live_attribution_forgets_what_has_expired(spark, tmp_path, few):
         assert got == [("g1", 1, ["12:00:10"]), ("g2", 2, ["12:08:00"])]
     finally:
         q.stop()
+
+
+def test_live_validity_windows_over_buckets(spark, tmp_path, few):
+    """Times of a key lie in many buckets, some empty, some late: windows equal those of the rows that were kept."""
+    rng = random.Random(4)
+    rows, wm = [], 0
+    for batch in range(12):
+        at = batch * 600
+        for _ in range(25):
+            t = max(0, at + rng.randrange(-2400, 500)) if batch not in (5, 6) else at + 599
+            rows.append((batch, rng.choice(["hot", "hot", None]), rng.randrange(1, 9), t, max(wm, 0)))
+        wm = at - 300
+    (tmp_path / "in").mkdir()
+    schema = "seq long, key string, score long, event_ts timestamp_ntz, wm_ts timestamp_ntz"
+    stamp = lambda s: fixtures.at("12:00:00") + dt.timedelta(seconds=s)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = stream_validity_windows(stream, bucket="4 minutes").writeStream.format("memory").queryName("over_buckets").option(
+        "checkpointLocation", str(tmp_path / "ck")).start()
+    try:
+        for batch in range(13):
+            made = [(k, r[1], r[2], stamp(r[3]), stamp(r[4])) for k, r in enumerate(rows) if r[0] == batch] or [
+                (999, None, None, None, fixtures.INFINITY)]
+            spark.createDataFrame(made, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q.processAllAvailable()
+        got = spark.sql("SELECT * FROM over_buckets").collect()
+    finally:
+        q.stop()
+    dropped = Counter((r.key, r.w_start, r.value) for r in got if r.kind == "dropped")
+    kept = Counter((r[1], stamp(r[3]), r[2]) for r in rows) - dropped
+    log = spark.createDataFrame([(k, t, v) for (k, t, v), n in kept.items() for _ in range(n)], "key string, event_ts timestamp_ntz, score long")
+    want = Counter((r.key, r.w_start, r.w_end, r.value) for r in validity_windows(log).collect())
+    assert Counter((r.key, r.w_start, r.w_end, r.value) for r in got if r.kind == "pane") == want
+    assert sum(dropped.values()) > 0 and sum(kept.values()) + sum(dropped.values()) == len(rows)
