@@ -173,7 +173,7 @@ def _random_visits(spark, seed, n=400):
 
 def test_jumps_go_where_steps_go(spark, monkeypatch):
     v, i = _random_visits(spark, 5)
-    for how in ({}, {"consume_impression": True}, {"state_ttl": "40 minutes"}):
+    for how in ({}, {"consume_impression": True, "state_ttl": "40 minutes"}):
         out = []
         for first in (10**6, 0):
             monkeypatch.setattr(attribution, "STEPS_FIRST", first)
@@ -183,3 +183,11 @@ def test_jumps_go_where_steps_go(spark, monkeypatch):
     plain = sorted(map(repr, referer_walk(v, i).collect()))
     monkeypatch.setattr(attribution, "STEPS_FIRST", 0)
     assert sorted(map(repr, referer_walk(v, i).collect())) == plain and any("user=None" in r for r in plain)
+
+
+def test_no_visits_and_no_goals(spark):
+    v, i = visits(spark, ("a", "00:10", "s", False, "00:11", 1, "00:00")), imps(spark, (1, "s", "a", "00:05", "00:06", 0, "00:00"))
+    for some in (v, v.where("false")):
+        for consume in (False, True):
+            assert attribute(some, i, consume_impression=consume).count() == 0
+    assert referer_walk(v, i).count() == 0 and attribute(v.where("false"), i.where("false")).count() == 0

@@ -69,9 +69,15 @@ def _both(log, watermark=EVENT_WATERMARK, **how):
 
 def test_equal_to_the_machine_on_events(spark):
     log = arrival_log_from_events(load(spark, SF, "events"))
-    for mode in ("accumulating", "discarding"):
-        plan, machine = _both(log, mode=mode, **SESSION_PANES)
-        assert plan == machine and {r[5] for r in plan} == {"EARLY", "ON_TIME", "LATE"}
+    plan, machine = _both(log, **SESSION_PANES)
+    assert plan == machine and {r[5] for r in plan} == {"EARLY", "ON_TIME", "LATE"}
+
+
+def test_no_rows_no_panes(spark):
+    log = arrival_log_from_events(load(spark, SF, "events"))
+    for rows in (log.where("false"), log.withColumn("wm_ts", F.lit("2100-01-01 00:00:00").cast("timestamp_ntz"))):
+        panes, dropped = session_panes(rows, watermark=EVENT_WATERMARK, with_dropped=True, **SESSION_PANES)
+        assert panes.count() == 0 and dropped.count() == rows.count()
 
 
 def _random_log(spark, seed, n, span, lag, keys=("a", "b", None)):
