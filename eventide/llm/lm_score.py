@@ -2,33 +2,41 @@
 
 Tokens are words, ASCII-lower-cased, and one end for each text.  A word is spelled by its
 bytes and a space, an end by one line feed; each byte by its bits from the highest.  A bit
-is predicted from hashed contexts: the last one to four bytes (a start mark before the word), and the whole prefix of the word.  Each predictor is a pair of corpus counts;
-their log-odds are combined by weights that gates select (the bit, the depth in the word,
-and how often each context was seen), learned online by gradient steps; an adaptive map
-refines the mixed probability by the frequencies seen at it.  While learning, an
-occurrence's own count is taken out of its predictors, as if the model met it next.
-
-Contexts stay inside a word, so a word's probability does not depend on its neighbours and
-each distinct word is scored once, however often it occurs.
+is predicted from hashed contexts, the last one to four bytes of the text so far, across
+the space before the word (a start mark before the text), and from an exact one: in the first
+``HEAD`` symbols of a word the whole previous word with the word's prefix, further on the whole
+prefix of the word.  Each predictor is a pair of corpus counts; their log-odds are combined by
+weights that gates select (the bit, the depth in the word, and how often each context was
+seen), learned online by gradient steps; an adaptive map refines the mixed probability by the
+frequencies seen at it.  While learning, an occurrence's own count is taken out of its
+predictors, as if the model met it next.
+
+What follows the head of a word depends on the word alone, and its head on the previous word, so each
+distinct word and each distinct (previous word, head) is scored once, however often it occurs;
+a text's score is the sum over its words in order.
 
 How it runs:
 1. One pass over the texts, in chunks of bounded size, writes each chunk's dictionary
-   (word, training count) and each document as a bag of dictionary numbers.
+   (word, training count), its (previous word, head) pairs and each document as its words'
+   dictionary numbers in order.
 2. Dictionaries are shuffled by the first four bytes of the word and merged into packed
-   rows of whole prefix groups, so counts of longer prefixes are at hand in one row.
-3. Passes over the packed rows count short contexts (summed in Spark into a table of fixed
-   size), learn weights (summed per parameter), and score every distinct word.
-4. Scores return to their chunks and are summed over each document's bag.
-Words are counted per chunk before any shuffle, so frequent words cost a row per chunk.
+   rows of whole prefix groups, so counts of longer prefixes are at hand in one row.  Pairs
+   are shuffled by the previous word into parts, whose number grows with the texts, and merged.
+3. Passes over both count short contexts (summed in Spark into a table of fixed size), learn
+   weights (summed per parameter), and score every distinct word and pair.
+4. Scores return to their chunks and are summed over each document.
+Words and pairs are counted per chunk before any shuffle, so frequent ones cost a row per chunk.
 
 Defined cases: a null or empty text is its end alone; without training texts every count
 is 0; words of any length (past ``DEEPEST`` bytes only the short contexts predict); rows
 that share a doc_id are scored apart; a null doc_id counts as the empty string for the
-split; an empty table gives an empty result; columns other than id and text are ignored.
+split; an empty table gives an empty result; columns other than id and text are ignored;
+bits_per_byte is null for a text without bytes.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -52,11 +60,20 @@ DEPTHS, SEEN, STEPS = 6, 10, 24
 START, SPACE, END = 1, 32, b"\n"
 RATE, BATCH = 0.02, 1 << 14
 
-CHUNKS = "chunk string, kind int, number int, word binary, train long, doc_id long, held boolean, size long, bag binary"
-PACKED = "words binary, lengths binary, counts binary, chunks string, chunk_of binary, number_of binary, word_of binary"
-FOUND = "chunk string, number int, count long, score double"
+#: Symbols at the start of a word that are predicted with the word before it; at most four (a head is four bytes).
+HEAD = 4
+BLOB_BYTES = 2 << 20
+#: Text in one part of the (previous word, head) pairs, and pairs merged at once.
+PART_BYTES, MERGE_PAIRS = 16 << 20, 1 << 20
+
+CHUNKS = ("chunk long, kind int, number int, word binary, train long, doc_id long, held boolean, size long, bytes long, "
+          "data binary")
+WORDS, HEADS, PAIRS, DOCS = range(4)
+PACKED = "words binary, lengths binary, counts binary, chunks binary, chunk_of binary, number_of binary, word_of binary"
+MERGED = "part int, before binary, endings binary, owners binary, heads binary, counts binary"
+FOUND = "chunk long, kind int, number int, count long, score double, data binary"
 SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
-          "score double")
+          "score double, bits_per_byte double")
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -83,56 +100,123 @@ def unpack_bag(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return planes[0] | planes[1] << 8 | planes[2] << 16, planes[3]
 
 
+def pack_order(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**24 in order, as three byte planes."""
+    return np.stack([numbers & 255, numbers >> 8 & 255, numbers >> 16]).astype(np.uint8).tobytes()
+
+
+def unpack_order(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(3, -1).astype(np.int64)
+    return planes[0] | planes[1] << 8 | planes[2] << 16
+
+
 # ---------------------------------------------------------------- 1. chunks
-def write_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents (doc_id, text) to chunk rows: kind 0 dictionary, kind 1 documents."""
-    schema = pa.schema([("chunk", pa.string()), ("kind", pa.int32()), ("number", pa.int32()), ("word", pa.binary()),
-                        ("train", pa.int64()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("size", pa.int64()),
-                        ("bag", pa.binary())])
+def head_of(word: bytes) -> int:
+    """The first symbols of a word and its space, or an end, as a four-byte number; no word holds a space or line feed."""
+    return int.from_bytes((word if word == END else word + b" ")[:HEAD].ljust(4, b"\0"), "big")
+
+
+def digest(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
+def pairs_of(orders: list[np.ndarray], head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (previous word's number, head) of texts, ascending, and the pair of each word and end in order.
+
+    No other word comes before a text's first, so the end's number 0 stands for that.
+    """
+    cur = np.concatenate(orders).astype(np.int64)
+    prev = np.concatenate([[0], cur[:-1]])
+    return np.unique(prev << 32 | head[cur], return_inverse=True)
+
+
+def write_chunks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Documents (doc_id, text) to chunk rows: dictionary, one row of the words' heads and parts, pairs by part, documents."""
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
+    schema = pa.schema([(c.split()[0], types[c.split()[1]]) for c in CHUNKS.split(", ")])
 
     def rows(kind: int, n: int, **columns) -> pa.RecordBatch:
-        columns |= {"chunk": pa.array([name]).take(pa.array(np.zeros(n, np.int32))),
-                    "kind": pa.array(np.full(n, kind, np.int32))}
+        columns |= {"chunk": pa.array(np.full(n, name)), "kind": pa.array(np.full(n, kind, np.int32))}
         return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
 
     def close() -> Iterator[pa.RecordBatch]:
         words = list(index)
-        yield rows(0, len(words), number=pa.array(np.arange(len(words), dtype=np.int32)),
-                   word=pa.array(words, pa.binary()), train=pa.array(train[:len(words)]))
+        train = np.zeros(len(words), np.int64)
+        for order, skip in zip(orders, skips, strict=True):
+            if not skip:
+                np.add.at(train, order, 1)
+        yield rows(WORDS, len(words), number=pa.array(np.arange(len(words), dtype=np.int32)),
+                   word=pa.array(words, pa.binary()), train=pa.array(train))
+        head = np.fromiter(map(head_of, words), np.int64, len(words))
+        before = np.fromiter(map(digest, words), np.uint64, len(words))
+        ending = np.fromiter((int.from_bytes(w[-ORDERS + 1:], "big") for w in words), np.uint32, len(words))
+        part = (before % np.uint64(parts)).astype(np.int32)
+        yield rows(HEADS, 1, data=pa.array([head.astype(np.uint32).tobytes() + part.tobytes()]))
+        keys, pair = pairs_of(orders, head)
+        learned = np.repeat(~np.array(skips), [len(o) for o in orders])
+        counts = np.bincount(pair[learned], minlength=len(keys))
+        del pair, learned
+        number = keys >> 32
+        by_part = np.argsort(part[number], kind="stable")
+        ends = np.searchsorted(part[number][by_part], np.arange(parts + 1))
+        blobs: dict[int, bytes] = {}
+        for p in np.flatnonzero(np.diff(ends)):
+            some = by_part[ends[p]:ends[p + 1]]
+            owner, size = np.unique(number[some], return_counts=True)
+            blobs[p] = pack_pairs(before[owner], ending[owner], size, keys[some] & 0xFFFFFFFF, counts[some])
+            if ends[p + 1] == ends[-1] or sum(map(len, blobs.values())) >= BLOB_BYTES:
+                yield rows(PAIRS, len(blobs), number=pa.array(blobs.keys(), pa.int32()), data=pa.array(blobs.values(), pa.binary()))
+                blobs = {}
 
     let_go()
-    name, index, train, held_bytes = uuid.uuid4().hex, {END: 0}, np.zeros(1 << 16, np.int64), 0
-    any_rows = False
+    name, index, orders, skips, held_bytes = new_chunk(), {END: 0}, [], [], 0
     for batch in batches:
         for ids, texts in rows_of(batch):
-            any_rows = True
-            bags, out = [], [held_out(i) for i in ids]
-            for text, skip in zip(texts, out, strict=True):
-                found = tokens(text)
-                for word in set(found).difference(index):
+            found = [tokens(text) for text in texts]
+            for words in found:
+                for word in set(words).difference(index):
                     index[word] = len(index)
-                numbers = np.fromiter(map(index.__getitem__, found), np.int64, len(found))
-                bags.append(pack_bag(np.append(numbers, 0)))
-                if len(index) > len(train):
-                    train = np.concatenate([train, np.zeros(max(len(train), len(index)), np.int64)])
-                if not skip:
-                    np.add.at(train, numbers, 1)
-                    train[0] += 1
-                held_bytes += len(text or "")
-            sizes = [int(unpack_bag(b)[1].sum()) for b in bags]
-            yield rows(1, len(ids), doc_id=pa.array(ids, pa.int64()), held=pa.array(out, pa.bool_()),
-                       size=pa.array(sizes, pa.int64()), bag=pa.array(bags, pa.binary()))
+            here = [np.fromiter(map(index.__getitem__, [*words, END]), np.int32, len(words) + 1) for words in found]
+            out = [held_out(i) for i in ids]
+            orders += here
+            skips += out
+            sizes = [len((text or "").encode()) for text in texts]
+            held_bytes += sum(sizes)
+            yield rows(DOCS, len(ids), doc_id=pa.array(ids, pa.int64()), held=pa.array(out, pa.bool_()),
+                       size=pa.array([len(o) for o in here], pa.int64()), bytes=pa.array(sizes, pa.int64()),
+                       data=pa.array(map(pack_order, here), pa.binary()))
             if held_bytes >= CHUNK_BYTES:
                 yield from close()
-                name, index, train, held_bytes = uuid.uuid4().hex, {END: 0}, np.zeros(1 << 16, np.int64), 0
-                any_rows = False
-    if any_rows:
+                name, index, orders, skips, held_bytes = new_chunk(), {END: 0}, [], [], 0
+    if orders:
         yield from close()
 
 
+def new_chunk() -> int:
+    return uuid.uuid4().int >> 65
+
+
+def pack_pairs(before, ending, size, heads, counts) -> bytes:
+    """Of each previous word its digest, last bytes and number of pairs; of each pair head and training count."""
+    return b"".join([np.array([len(before), len(heads)], np.int64).tobytes(), before.astype(np.uint64).tobytes(),
+                     heads.astype(np.uint32).tobytes(), counts.astype(np.int32).tobytes(), ending.astype(
+                         np.uint32).tobytes(), size.astype(np.int32).tobytes()])
+
+
+def unpack_pairs(data: bytes):
+    """``(before, ending)`` of each previous word, ``(owner, head, count)`` of each pair."""
+    n, m = np.frombuffer(data, np.int64, 2)
+    at, out = 16, []
+    for kind, length in ((np.uint64, n), (np.uint32, m), (np.int32, m), (np.uint32, n), (np.int32, n)):
+        out.append(np.frombuffer(data, kind, length, at))
+        at += length * out[-1].itemsize
+    before, heads, counts, ending, size = out
+    return before, ending, np.repeat(np.arange(n), size), heads, counts.astype(np.int64)
+
+
 # ---------------------------------------------------------------- 2. packed rows
 def pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Dictionary rows (group, word, train, chunk, number), sorted by group and word, to packed rows of whole groups."""
+    """Dictionary rows (group, word, train, chunk, number), sorted by word, to packed rows of whole groups."""
     held: list[pa.RecordBatch] = []
     size, last = 0, None
 
@@ -144,9 +228,9 @@ def pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_of = np.cumsum(new) - 1
         distinct = [words[i] for i in np.flatnonzero(new)]
         counts = np.bincount(word_of, t.column("train").to_numpy()).astype(np.int64)
-        chunks, chunk_of = np.unique(t.column("chunk").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+        chunks, chunk_of = np.unique(t.column("chunk").to_numpy(), return_inverse=True)
         row = [b"".join(distinct), np.fromiter(map(len, distinct), np.int32, len(distinct)).tobytes(),
-               counts.tobytes(), ",".join(chunks), chunk_of.astype(np.int32).tobytes(),
+               counts.tobytes(), chunks.tobytes(), chunk_of.astype(np.int32).tobytes(),
                t.column("number").to_numpy().astype(np.int32).tobytes(), word_of.astype(np.int32).tobytes()]
         return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], [c.split()[0] for c in PACKED.split(", ")])
 
@@ -173,11 +257,15 @@ def pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Pack:
+    """A packed row; its events are the symbols after the heads of its words."""
+
+    since, until = HEAD, DEEPEST
+
     def __init__(self, row: dict):
         self.lengths = np.frombuffer(row["lengths"], np.int32).astype(np.int64)
-        self.text = np.frombuffer(row["words"], np.uint8).astype(np.int64)
+        self.text = np.frombuffer(row["words"], np.uint8)
         self.counts = np.frombuffer(row["counts"], np.int64)
-        self.chunks = row["chunks"].split(",")
+        self.chunks = np.frombuffer(row["chunks"], np.int64)
         self.chunk_of, self.number_of, self.word_of = (
             np.frombuffer(row[k], np.int32) for k in ("chunk_of", "number_of", "word_of"))
         self.at = np.cumsum(self.lengths) - self.lengths
@@ -186,10 +274,88 @@ class Pack:
         self.symbols = self.lengths + ~is_end
 
     def symbol(self, words: np.ndarray, depth) -> np.ndarray:
-        """The symbol at ``depth`` of each word; the start mark before it."""
-        inside = (depth >= 0) & (depth < self.lengths[words])
-        found = self.text[np.where(inside, self.at[words] + depth, 0)]
-        return np.where(inside, found, np.where(depth < 0, START, SPACE))
+        """The symbol at ``depth`` of each word."""
+        inside = depth < self.lengths[words]
+        return np.where(inside, self.text[np.where(inside, self.at[words] + depth, 0)], SPACE).astype(np.int64)
+
+    def start(self, words: np.ndarray) -> np.ndarray:
+        """A number for each head."""
+        head = np.zeros(len(words), np.int64)
+        for depth in range(HEAD):
+            head = head << 8 | self.symbol(words, depth)
+        return np.unique(head, return_inverse=True)[1]
+
+
+class Pairs:
+    """A merged part of (previous word, head) pairs, ascending; its events are the symbols of the heads."""
+
+    since, until = 0, HEAD
+
+    def __init__(self, row: dict):
+        self.before = np.frombuffer(row["before"], np.uint64)
+        self.ending = np.frombuffer(row["endings"], np.uint32).astype(np.int64)
+        self.owner = np.frombuffer(row["owners"], np.int32).astype(np.int64)
+        self.head = np.frombuffer(row["heads"], np.uint32).astype(np.int64)
+        self.counts = np.frombuffer(row["counts"], np.int64)
+        # A head ends at its space or line feed, the only one in it.
+        self.symbols = np.full(len(self.head), HEAD)
+        for depth in reversed(range(HEAD)):
+            last = np.isin(self.head >> (24 - 8 * depth) & 255, (SPACE, END[0]))
+            self.symbols[last] = depth + 1
+
+    def symbol(self, pairs: np.ndarray, depth) -> np.ndarray:
+        """The symbol at ``depth`` of each head; before it a space and the end of the previous word, or the start mark."""
+        if depth >= 0:
+            return self.head[pairs] >> (24 - 8 * depth) & 255
+        ending = self.ending[self.owner[pairs]]
+        mark = ending == END[0]
+        return np.where(mark, START if depth == -1 else 0, SPACE if depth == -1 else ending >> 8 * (-2 - depth) & 255)
+
+    def start(self, pairs: np.ndarray) -> np.ndarray:
+        return self.owner[pairs]
+
+
+def merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pair rows (number, data), sorted by part, to rows of each part's distinct pairs and their training counts, the pairs of a word in one."""
+    held: list[tuple] = []
+    part, size = None, 0
+
+    def merge() -> None:
+        nonlocal size
+        befores, endings, owners, heads, counts = zip(*held, strict=True)
+        before, first, where = np.unique(np.concatenate(befores), return_index=True, return_inverse=True)
+        at = np.cumsum([0, *map(len, befores[:-1])])
+        owner = where[np.concatenate([o + a for o, a in zip(owners, at, strict=True)])]
+        keys, pair = np.unique(owner << 32 | np.concatenate(heads).astype(np.int64), return_inverse=True)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, pair, np.concatenate(counts))
+        held[:] = [(before, np.concatenate(endings)[first], keys >> 32, (keys & 0xFFFFFFFF).astype(np.uint32), total)]
+        size = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        merge()
+        before, ending, owner, heads, counts = held.pop()
+        starts = np.searchsorted(owner, np.arange(len(before) + 1))
+        a = 0
+        while a < len(before):
+            b = max(a + 1, int(np.searchsorted(starts, starts[a] + PACK_WORDS, side="right")) - 1)
+            some = slice(starts[a], starts[b])
+            row = [before[a:b], ending[a:b], (owner[some] - a).astype(np.int32), heads[some], counts[some]]
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *[pa.array([x.tobytes()]) for x in row]],
+                                             [c.split()[0] for c in MERGED.split(", ")])
+            a = b
+
+    for batch in batches:
+        for number, data in zip(batch.column("number").to_pylist(), batch.column("data"), strict=True):
+            if held and number != part:
+                yield from flush()
+            part = number
+            held.append(unpack_pairs(data.as_py()))
+            size += len(held[-1][3])
+            if size >= MERGE_PAIRS:
+                merge()
+    if held:
+        yield from flush()
 
 
 class Events:
@@ -198,13 +364,14 @@ class Events:
     def __init__(self, symbol, before, depth, count, zeros, ones):
         self.symbol, self.before, self.depth, self.count, self.zeros, self.ones = (
             symbol, before, depth, count, zeros, ones)
+        self.contexts = [context(before, order) for order in range(1, ORDERS + 1)]
 
 
-def events_of(pack: Pack) -> Iterator[tuple[Events, np.ndarray, np.ndarray]]:
-    """(events, words, event of each word): each distinct prefix and next byte is one event, level by level."""
-    words = np.arange(len(pack.lengths))
-    prefix = np.zeros(len(words), np.int64)
-    for depth in range(DEEPEST):
+def events_of(pack: Pack | Pairs) -> Iterator[tuple[Events, np.ndarray, np.ndarray]]:
+    """(events, words or pairs, event of each): each distinct prefix and next byte is one event, level by level."""
+    words = np.flatnonzero(pack.symbols > pack.since)
+    prefix = pack.start(words)
+    for depth in range(pack.since, pack.until):
         live = pack.symbols[words] > depth
         words, prefix = words[live], prefix[live]
         if not len(words):
@@ -213,20 +380,21 @@ def events_of(pack: Pack) -> Iterator[tuple[Events, np.ndarray, np.ndarray]]:
                                         return_inverse=True)
         symbol, origin = pairs & 255, words[first]
         count = np.bincount(where, pack.counts[words], len(pairs))
-        zeros, ones = np.zeros((len(pairs), 8), np.float32), np.zeros((len(pairs), 8), np.float32)
-        if depth >= GROUP_BYTES:
-            for bit in range(8):
-                # Pairs come sorted by prefix and symbol, so those of one node are neighbours.
-                node = pairs >> (8 - bit)
-                begin = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-                size = np.diff(np.r_[begin, len(pairs)])
-                is_one = pairs >> (7 - bit) & 1
-                total = np.add.reduceat(count, begin)
-                one = np.add.reduceat(count * is_one, begin)
-                ones[:, bit], zeros[:, bit] = np.repeat(one, size), np.repeat(total - one, size)
+        zeros, ones = np.zeros((8, len(pairs)), np.float32), np.zeros((8, len(pairs)), np.float32)
+        for bit in range(8):
+            # Pairs come sorted by prefix and symbol, so those of one node are neighbours.
+            node = pairs >> (8 - bit)
+            begin = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+            size = np.diff(np.r_[begin, len(pairs)])
+            is_one = pairs >> (7 - bit) & 1
+            total = np.add.reduceat(count, begin)
+            one = np.add.reduceat(count * is_one, begin)
+            ones[bit], zeros[bit] = np.repeat(one, size), np.repeat(total - one, size)
         before = [pack.symbol(origin, depth - k) for k in range(1, ORDERS + 1)]
-        yield Events(symbol, before, np.full(len(pairs), depth), count, zeros, ones), words, where
+        yield Events(symbol, before, np.full(len(pairs), depth), count, zeros.T, ones.T), words, where
         prefix = where
+    if pack.until < DEEPEST:
+        return
     # Deeper bytes: short contexts only, all positions of all long words in bounded pieces.
     rest = pack.symbols[words] - DEEPEST
     words, rest = words[rest > 0], rest[rest > 0]
@@ -256,15 +424,15 @@ def slots(value: np.ndarray, symbol: np.ndarray, bit: int) -> np.ndarray:
     return ((value << np.uint64(8) | node) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def count_contexts(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[pa.RecordBatch]:
     """Packed rows to (context, symbol, n): training counts of short contexts and the byte after them."""
     for batch in batches:
         for row in batch.to_pylist():
             keys, sums = [], []
-            for e, _, _ in events_of(Pack(row)):
+            for e, _, _ in events_of(kind(row)):
                 seen = e.count > 0
-                for order in range(1, ORDERS + 1):
-                    value = context([b[seen] for b in e.before], order) << np.uint64(8)
+                for value in e.contexts:
+                    value = value[seen] << np.uint64(8)
                     key, where = np.unique(value | e.symbol[seen].astype(np.uint64), return_inverse=True)
                     keys.append(key)
                     sums.append(np.bincount(where, e.count[seen], len(key)))
@@ -302,10 +470,10 @@ class Mixer:
     def inputs(self, e: Events, bit: int, own: np.ndarray | None):
         """Log-odds and seen-classes of each predictor; ``own`` is taken out of the counts of the bit that came."""
         is_one = e.symbol >> (7 - bit) & 1
-        odds, seen = np.empty((ORDERS + 1, len(is_one))), np.empty((ORDERS + 1, len(is_one)), np.int64)
+        odds, seen = np.empty((ORDERS + 1, len(is_one)), np.float32), np.empty((ORDERS + 1, len(is_one)), np.int64)
         for k in range(ORDERS + 1):
             if k < ORDERS:
-                at = (k << SLOT_BITS) + slots(context(e.before, k + 1), e.symbol, bit)
+                at = (k << SLOT_BITS) + slots(e.contexts[k], e.symbol, bit)
                 zeros, ones = self.table[0, at], self.table[1, at]
             else:
                 zeros, ones = e.zeros[:, bit], e.ones[:, bit]
@@ -360,18 +528,36 @@ class Mixer:
         return total
 
 
-def word_scores(pack: Pack, mixer: Mixer) -> np.ndarray:
-    scores = np.zeros(len(pack.lengths))
+def event_scores(pack: Pack | Pairs, mixer: Mixer) -> np.ndarray:
+    """log10 of each word's probability after its head, or of each head's after the previous word."""
+    scores = np.zeros(len(pack.symbols))
     for e, words, where in events_of(pack):
         np.add.at(scores, words, mixer.costs(e)[where])
     return scores
 
 
-def fit_model(packed: DataFrame) -> dict[str, np.ndarray]:
+def word_scores(chunk_orders: list[np.ndarray], head: np.ndarray, part: np.ndarray, tails: np.ndarray,
+                heads: dict[int, bytes]) -> np.ndarray:
+    """log10 of each word's and end's probability in texts in order: its head after the word before it, then the rest.
+
+    ``tails`` by dictionary number; ``heads`` by part, in ascending order of the pairs.
+    """
+    keys, pair = pairs_of(chunk_orders, head)
+    by_part = np.argsort(part[keys >> 32], kind="stable")
+    after = np.empty(len(keys), np.float32)
+    after[by_part] = np.concatenate([np.frombuffer(heads[p], np.float32) for p in sorted(heads)])
+    return tails[np.concatenate(chunk_orders)] + after[pair]
+
+
+def fit_model(packed: DataFrame, merged: DataFrame) -> dict[str, np.ndarray]:
     """The short contexts' table, the weights and the refining map, all of fixed size."""
     spark = packed.sparkSession
-    grams = packed.select("words", "lengths", "counts", "chunks", "chunk_of", "number_of", "word_of").mapInArrow(
-        count_contexts, "context long, symbol int, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+
+    def of_both(run, schema: str) -> DataFrame:
+        return packed.mapInArrow(lambda batches: run(batches, Pack), schema).unionByName(
+            merged.mapInArrow(lambda batches: run(batches, Pairs), schema))
+
+    grams = of_both(count_contexts, "context long, symbol int, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
     slot = grams.mapInArrow(slot_counts, "slot long, zeros long, ones long").groupBy("slot").agg(
         F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
     # At most ORDERS * 2**SLOT_BITS rows, whatever the corpus.
@@ -381,85 +567,136 @@ def fit_model(packed: DataFrame) -> dict[str, np.ndarray]:
     table[0, at], table[1, at] = got.column("zeros").to_numpy(), got.column("ones").to_numpy()
     sent = spark.sparkContext.broadcast(table)
 
-    def run(batches):
-        mixer, shown, mass = Mixer(sent.value), np.zeros((2, 8 * DEPTHS * STEPS)), 0.0
+    def run(batches, kind):
+        mixer, shown = Mixer(sent.value), np.zeros((2, 8 * DEPTHS * STEPS))
         for batch in batches:
             for row in batch.to_pylist():
-                pack = Pack(row)
-                mass += float(pack.counts.sum())
+                pack = kind(row)
                 for e, _, _ in events_of(pack):
                     mixer.learn(e, shown)
-        if mass:
-            flat = np.concatenate([mixer.weights.reshape(-1) * mass, shown.reshape(-1), [mass]])
+        mass = shown[0].reshape(-1, STEPS).sum(1)
+        if mass.any():
+            flat = np.concatenate([(mixer.weights * mass[:, None, None]).reshape(-1), shown.reshape(-1)])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["at", "value"])
 
-    sums = packed.mapInArrow(run, "at long, value double").groupBy("at").agg(F.sum("value").alias("value"))
+    sums = of_both(run, "at long, value double").groupBy("at").agg(F.sum("value").alias("value"))
     learned = {r["at"]: r["value"] for r in sums.collect()}
-    n = 8 * DEPTHS * (ORDERS + 1) * SEEN
     shape = (8 * DEPTHS, ORDERS + 1, SEEN)
     if not learned:
         return {"table": table, "weights": np.full(shape, 0.35), "refined": None}
     flat = np.array([learned[i] for i in range(len(learned))])
-    shown = flat[n:-1].reshape(2, -1)
+    n = int(np.prod(shape))
+    shown = flat[n:].reshape(2, -1)
+    # A task's weights count by what it has seen at the gate.
+    mass = shown[0].reshape(-1, STEPS).sum(1)[:, None, None]
+    weights = np.where(mass > 0, flat[:n].reshape(shape) / np.maximum(mass, 1), 0.35)
     middle = 1 / (1 + np.exp(-(np.tile(np.arange(STEPS), 8 * DEPTHS) - STEPS / 2 + 0.5)))
     # Rounded, since sums arrive in any order.
-    return {"table": table, "weights": np.round(flat[:n] / flat[-1], 9).reshape(shape),
-            "refined": np.round((shown[1] + 8 * middle) / (shown[0] + 8), 9)}
+    return {"table": table, "weights": np.round(weights, 9), "refined": np.round((shown[1] + 8 * middle) / (shown[0] + 8), 9)}
 
 
 # ---------------------------------------------------------------- 4. documents
+def score_pairs(batches: Iterator[pa.RecordBatch], mixer: Mixer) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (part, chunk): a part's merged pairs, then its pairs of each chunk, to the latter's scores."""
+    part, merged, known = None, [], None
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["part"] != part:
+                part, merged, known = row["part"], [], None
+            if row["chunk"] is None:
+                pairs = Pairs(row)
+                merged.append((pairs.before, pairs.owner, pairs.head, event_scores(pairs, mixer)))
+                continue
+            if known is None:
+                befores, owners, heads, scores = zip(*sorted(merged, key=lambda m: m[0][0]), strict=True)
+                at = np.cumsum([0, *map(len, befores[:-1])])
+                known = (np.concatenate(befores), np.concatenate([(o + a) << 32 | h for o, a, h in zip(owners, at, heads, strict=True)]),
+                         np.concatenate(scores).astype(np.float32))
+                merged = []
+            before, _, owner, head, _ = unpack_pairs(row["data"])
+            key = np.searchsorted(known[0], before)[owner] << 32 | head.astype(np.int64)
+            found = known[2][np.searchsorted(known[1], key)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["chunk"]]), pa.array([PAIRS], pa.int32()), pa.array([part], pa.int32()), pa.array([None], pa.int64()),
+                 pa.array([None], pa.float64()), pa.array([found.tobytes()])], [c.split()[0] for c in FOUND.split(", ")])
+
+
 def sum_documents(batches: Iterator[pa.RecordBatch], n_train: int, n_words: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (chunk, kind): a chunk's word scores, then its documents."""
-    chunk, held, arrays = None, [], None
+    """Rows sorted by (chunk, kind): a chunk's word scores, heads, pair scores, then its documents."""
+    chunk, held, info, heads, docs = None, [], None, {}, []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        if not docs:
+            return
+        number, count, tail = (np.concatenate(c) for c in zip(*held, strict=True))
+        base, known, tails = np.zeros((3, len(number)))
+        base[number] = np.log10((count + 0.5) / (n_train + 0.5 * (n_words + 1)))
+        known[number], tails[number] = count > 0, tail
+        head, part = np.frombuffer(info, np.uint32, len(number)).astype(np.int64), np.frombuffer(info, np.int32, offset=4 * len(number))
+        orders = [unpack_order(x).astype(np.int32) for d in docs for x in d.column("data").to_pylist()]
+        scores = word_scores(orders, head, part, tails, heads)
+        words, at = np.concatenate(orders), np.cumsum([0, *map(len, orders[:-1])])
+        sums = [np.add.reduceat(x, at) for x in (base[words], known[words], scores)]
+        a = 0
+        for d in docs:
+            b = a + d.num_rows
+            size = d.column("bytes").to_numpy()
+            bits = np.divide(-sums[2][a:b] * np.log2(10), size, out=np.full(b - a, np.nan), where=size > 0)
+            yield pa.RecordBatch.from_arrays(
+                [d.column("doc_id"), d.column("held"), d.column("size"), pa.array(sums[1][a:b].round().astype(np.int64)),
+                 pa.array(np.full(b - a, n_train, np.int64)), pa.array(sums[0][a:b]), pa.array(sums[2][a:b]),
+                 pa.array(bits, mask=size == 0)], [c.split()[0] for c in SCORED.split(", ")])
+            a = b
+
     for batch in batches:
-        names, kinds = batch.column("chunk").to_pylist(), batch.column("kind").to_pylist()
-        cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1] or kinds[i] != kinds[i - 1]), len(names)]
+        names, kinds = batch.column("chunk").to_numpy(), batch.column("kind").to_numpy()
+        cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]) | (kinds[1:] != kinds[:-1])) + 1), len(names)]
         for a, b in zip(cuts, cuts[1:], strict=False):
             if a == b:
                 continue
             part = batch.slice(a, b - a)
             if names[a] != chunk:
-                chunk, held, arrays = names[a], [], None
-            if kinds[a] == 0:
+                yield from close()
+                chunk, held, info, heads, docs = names[a], [], None, {}, []
+            if kinds[a] == WORDS:
                 held.append([part.column(c).to_numpy() for c in ("number", "count", "score")])
-                continue
-            if arrays is None:
-                number, count, score = (np.concatenate(c) for c in zip(*held, strict=True))
-                arrays = np.zeros((3, len(number)))
-                arrays[0, number] = np.log10((count + 0.5) / (n_train + 0.5 * (n_words + 1)))
-                arrays[1, number], arrays[2, number] = score, count > 0
-                held = []
-            sums = []
-            for bag in part.column("bag").to_pylist():
-                number, times = unpack_bag(bag)
-                sums.append(arrays[:, number] @ times)
-            base, score, known = np.array(sums).T
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("held"), part.column("size"), pa.array(known.round().astype(np.int64)),
-                 pa.array(np.full(b - a, n_train, np.int64)), pa.array(base), pa.array(score)],
-                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            elif kinds[a] == HEADS:
+                info = part.column("data")[0].as_py()
+            elif kinds[a] == PAIRS:
+                heads.update(zip(part.column("number").to_pylist(), part.column("data").to_pylist(), strict=True))
+            else:
+                docs.append(part)
+    yield from close()
 
 
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every whole text."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every whole text."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    chunks = materialize(own.mapInArrow(write_chunks, CHUNKS))
-    words = chunks.where("kind = 0").select(F.substring("word", 1, GROUP_BYTES).alias("group"), "word", "train", "chunk",
-                                            "number")
-    packed = materialize(words.repartition("group").sortWithinPartitions("group", "word").mapInArrow(pack_words, PACKED))
-    model = fit_model(packed)
+    parts = max(8, (own.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES)
+    chunks = materialize(own.mapInArrow(lambda batches: write_chunks(batches, parts), CHUNKS))
+    words = chunks.where(F.col("kind") == WORDS).select(F.substring("word", 1, GROUP_BYTES).alias("group"), "word", "train",
+                                                        "chunk", "number")
+    # A group is the start of its words, so words in order keep groups together.
+    packed = materialize(words.repartition("group").sortWithinPartitions("word").mapInArrow(pack_words, PACKED))
+    pairs = chunks.where(F.col("kind") == PAIRS).select(F.col("number").alias("part"), "chunk", "data")
+    merged = materialize(pairs.select(F.col("part").alias("number"), "data").repartition("number").sortWithinPartitions(
+        "number").mapInArrow(merge_pairs, MERGED))
+    model = fit_model(packed, merged)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
-        mixer = Mixer(sent.value["table"], sent.value["weights"], sent.value["refined"])
+    def mixer() -> Mixer:
+        return Mixer(sent.value["table"], sent.value["weights"], sent.value["refined"])
+
+    def score_words(batches):
+        own = mixer()
         for batch in batches:
             for row in batch.to_pylist():
                 pack = Pack(row)
-                scores = word_scores(pack, mixer)
-                names = pa.array(pack.chunks)
+                scores, n = event_scores(pack, own), len(pack.word_of)
                 yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(pack.chunk_of)), pa.array(pack.number_of), pa.array(pack.counts[pack.word_of]),
-                     pa.array(scores[pack.word_of])], ["chunk", "number", "count", "score"])
+                    [pa.array(pack.chunks[pack.chunk_of]), pa.array(np.full(n, WORDS, np.int32)), pa.array(pack.number_of),
+                     pa.array(pack.counts[pack.word_of]), pa.array(scores[pack.word_of]), pa.nulls(n, pa.binary())],
+                    [c.split()[0] for c in FOUND.split(", ")])
 
     def totals(batches):
         for batch in batches:
@@ -469,12 +706,9 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     total = packed.select("counts").mapInArrow(totals, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
     n_train, n_words = total[0] or 0, total[1] or 0
-    found = packed.mapInArrow(run, FOUND).select(
-        "chunk", F.lit(0).alias("kind"), "number", "count", "score", F.lit(None).cast("long").alias("doc_id"),
-        F.lit(None).cast("boolean").alias("held"), F.lit(None).cast("long").alias("size"),
-        F.lit(None).cast("binary").alias("bag"))
-    bags = chunks.where("kind = 1").select(
-        "chunk", "kind", F.lit(None).cast("int").alias("number"), F.lit(None).cast("long").alias("count"),
-        F.lit(None).cast("double").alias("score"), "doc_id", "held", "size", "bag")
-    met = found.unionByName(bags).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    asked = merged.withColumn("chunk", F.lit(None).cast("long")).withColumn("data", F.lit(None).cast("binary")).unionByName(
+        pairs, allowMissingColumns=True).repartition("part").sortWithinPartitions("part", "chunk")
+    found = packed.mapInArrow(score_words, FOUND).unionByName(asked.mapInArrow(lambda batches: score_pairs(batches, mixer()), FOUND))
+    rest = chunks.where(F.col("kind").isin(HEADS, DOCS)).select("chunk", "kind", "data", "doc_id", "held", "size", "bytes")
+    met = found.unionByName(rest, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "kind")
     return met.mapInArrow(lambda batches: sum_documents(batches, n_train, n_words), SCORED)

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -339,6 +340,44 @@ def test_lm_is_a_distribution():
     assert abs((10 ** mixer.costs(e)).sum() - 1) < 1e-9
 
 
+def test_lm_reads_texts_in_order(spark):
+    """The word before changes a word's score; bits a byte."""
+    pair = ["alpha beta", "gamma delta"]
+    rows = [(i, " ".join(pair[(i + k) % 2] for k in range(6))) for i in range(200) if brute.crc(i) != 1]
+    out = [i for i in range(400) if brute.crc(i) == 1][:4]
+    rows += list(zip(out, ["alpha beta gamma delta", "alpha delta gamma beta", "delta gamma beta alpha", ""], strict=True))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lm_score.score_documents(df).collect()}
+    good, crossed, back, empty = (got[i] for i in out)
+    assert len({good.base_score, crossed.base_score, back.base_score}) == 1
+    assert good.score > crossed.score + 1 and good.score > back.score + 1 and good.score > good.base_score
+    assert abs(good.bits_per_byte + good.score / np.log10(2) / len("alpha beta gamma delta")) < 1e-9
+    assert empty.bits_per_byte is None and empty.n_tokens == 1
+
+
+def test_pairs_merge():
+    """Merged pieces of a part hold each (previous word, head) once, with all its counts."""
+    rng, every = np.random.default_rng(3), {}
+    batches = []
+    for k in range(6):
+        before = np.unique(rng.integers(1, 50, 20).astype(np.uint64))
+        size = rng.integers(1, 4, len(before))
+        heads = np.concatenate([np.sort(rng.choice(9, n, replace=False)) for n in size]) + (ord(" ") << 24)
+        counts = rng.integers(0, 5, len(heads))
+        for b, h, c in zip(np.repeat(before, size), heads, counts, strict=True):
+            every[k // 3, int(b), int(h)] = every.get((k // 3, int(b), int(h)), 0) + int(c)
+        batches.append(pa.RecordBatch.from_pydict({"number": [k // 3], "data": [lm_score.pack_pairs(
+            before, before.astype(np.uint32), size, heads, counts)]}))
+    found = {}
+    for batch in lm_score.merge_pairs(iter(batches)):
+        for row in batch.to_pylist():
+            p = lm_score.Pairs(row)
+            for o, h, c in zip(p.owner, p.head, p.counts, strict=True):
+                assert (key := (row["part"], int(p.before[o]), int(h))) not in found and p.ending[o] == p.before[o]
+                found[key] = int(c)
+    assert found == every
+
+
 def test_bags():
     numbers = np.array([5] * 700 + [1 << 20, 7, 7, 0])
     found, times = lm_score.unpack_bag(lm_score.pack_bag(numbers))
