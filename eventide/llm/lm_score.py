@@ -36,13 +36,14 @@ bits_per_byte is null for a text without bytes.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,7 +72,7 @@ CHUNKS = ("chunk long, kind int, number int, word binary, train long, doc_id lon
 WORDS, HEADS, PAIRS, DOCS = range(4)
 PACKED = "words binary, lengths binary, counts binary, chunks binary, chunk_of binary, number_of binary, word_of binary"
 MERGED = "part int, before binary, endings binary, owners binary, heads binary, counts binary"
-FOUND = "chunk long, kind int, number int, count long, score double, data binary"
+FOUND = "chunk long, kind int, number int, data binary"
 SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
           "score double, bits_per_byte double")
 
@@ -111,13 +112,21 @@ def unpack_order(data: bytes) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- 1. chunks
-def head_of(word: bytes) -> int:
-    """The first symbols of a word and its space, or an end, as a four-byte number; no word holds a space or line feed."""
-    return int.from_bytes((word if word == END else word + b" ")[:HEAD].ljust(4, b"\0"), "big")
+def edges_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each word, an end first, its head and its last bytes, as numbers.
 
-
-def digest(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    The head is the first symbols of the word and its space, or the end; no word holds a space or line feed.
+    """
+    text = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.int64)
+    length = np.fromiter(map(len, words), np.int64, len(words))
+    at = np.cumsum(length + 1) - length - 1
+    head, ending = np.zeros((2, len(words)), np.int64)
+    for k in range(HEAD):
+        head = head << 8 | np.where(k <= length, text[np.where(k <= length, at + k, 0)], 0)
+    head[0] = END[0] << 24
+    for k in range(ORDERS - 1, 0, -1):
+        ending = ending << 8 | np.where(k <= length, text[np.where(k <= length, at + length - k, 0)], 0)
+    return head, ending
 
 
 def pairs_of(orders: list[np.ndarray], head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,19 +150,15 @@ def write_chunks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
 
     def close() -> Iterator[pa.RecordBatch]:
         words = list(index)
-        train = np.zeros(len(words), np.int64)
-        for order, skip in zip(orders, skips, strict=True):
-            if not skip:
-                np.add.at(train, order, 1)
+        learned = np.repeat(~np.array(skips), [len(o) for o in orders])
+        train = np.bincount(np.concatenate(orders)[learned], minlength=len(words))
         yield rows(WORDS, len(words), number=pa.array(np.arange(len(words), dtype=np.int32)),
                    word=pa.array(words, pa.binary()), train=pa.array(train))
-        head = np.fromiter(map(head_of, words), np.int64, len(words))
-        before = np.fromiter(map(digest, words), np.uint64, len(words))
-        ending = np.fromiter((int.from_bytes(w[-ORDERS + 1:], "big") for w in words), np.uint32, len(words))
+        head, ending = edges_of(words)
+        before = np.frombuffer(b"".join(blake2b(w, digest_size=8).digest() for w in words), np.uint64)
         part = (before % np.uint64(parts)).astype(np.int32)
         yield rows(HEADS, 1, data=pa.array([head.astype(np.uint32).tobytes() + part.tobytes()]))
         keys, pair = pairs_of(orders, head)
-        learned = np.repeat(~np.array(skips), [len(o) for o in orders])
         counts = np.bincount(pair[learned], minlength=len(keys))
         del pair, learned
         number = keys >> 32
@@ -198,25 +203,36 @@ def new_chunk() -> int:
 
 def pack_pairs(before, ending, size, heads, counts) -> bytes:
     """Of each previous word its digest, last bytes and number of pairs; of each pair head and training count."""
-    return b"".join([np.array([len(before), len(heads)], np.int64).tobytes(), before.astype(np.uint64).tobytes(),
-                     heads.astype(np.uint32).tobytes(), counts.astype(np.int32).tobytes(), ending.astype(
-                         np.uint32).tobytes(), size.astype(np.int32).tobytes()])
+    return squeeze([before.astype(np.uint64), ending.astype(np.uint32), size.astype(np.int32), heads.astype(np.uint32),
+                    counts.astype(np.int32)])
 
 
 def unpack_pairs(data: bytes):
     """``(before, ending)`` of each previous word, ``(owner, head, count)`` of each pair."""
-    n, m = np.frombuffer(data, np.int64, 2)
-    at, out = 16, []
-    for kind, length in ((np.uint64, n), (np.uint32, m), (np.int32, m), (np.uint32, n), (np.int32, n)):
-        out.append(np.frombuffer(data, kind, length, at))
-        at += length * out[-1].itemsize
-    before, heads, counts, ending, size = out
-    return before, ending, np.repeat(np.arange(n), size), heads, counts.astype(np.int64)
+    before, ending, size, heads, counts = unsqueeze(data, (np.uint64, np.uint32, np.int32, np.uint32, np.int32))
+    return before, ending, np.repeat(np.arange(len(before)), size), heads, counts.astype(np.int64)
+
+
+def squeeze(arrays: list[np.ndarray]) -> bytes:
+    """Arrays as their lengths and, byte by byte of the values, compressed planes."""
+    planes = b"".join(x.view(np.uint8).reshape(len(x), -1).T.tobytes() for x in arrays)
+    return np.array([len(planes), *map(len, arrays)], np.int64).tobytes() + pa.Codec("zstd", 1).compress(planes, asbytes=True)
+
+
+def unsqueeze(data: bytes, kinds: tuple) -> list[np.ndarray]:
+    total, *lengths = np.frombuffer(data, np.int64, len(kinds) + 1).tolist()
+    planes = np.frombuffer(pa.Codec("zstd", 1).decompress(data[8 * len(kinds) + 8:], total, asbytes=True), np.uint8)
+    at, out = 0, []
+    for kind, n in zip(kinds, lengths, strict=True):
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(planes[at:at + n * width].reshape(width, n).T).reshape(-1).view(kind))
+        at += n * width
+    return out
 
 
 # ---------------------------------------------------------------- 2. packed rows
 def pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Dictionary rows (group, word, train, chunk, number), sorted by word, to packed rows of whole groups."""
+    """Dictionary rows (word, train, chunk, number), sorted by word, to packed rows of whole groups."""
     held: list[pa.RecordBatch] = []
     size, last = 0, None
 
@@ -235,7 +251,7 @@ def pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], [c.split()[0] for c in PACKED.split(", ")])
 
     for batch in batches:
-        groups = batch.column("group").to_pylist()
+        groups = pc.binary_slice(batch.column("word"), 0, GROUP_BYTES).to_pylist()
         starts = [i for i in range(len(groups)) if groups[i] != (groups[i - 1] if i else last)]
         last = groups[-1] if groups else last
         if not groups:
@@ -463,7 +479,8 @@ class Mixer:
     """Weights by (gate, predictor, seen), and the refining map by (gate, step)."""
 
     def __init__(self, table: np.ndarray, weights: np.ndarray | None = None, refined: np.ndarray | None = None):
-        self.table = table
+        #: Zeros and ones of a slot side by side.
+        self.table = table.T
         self.weights = np.full((8 * DEPTHS, ORDERS + 1, SEEN), 0.35, np.float64) if weights is None else weights
         self.refined = refined
 
@@ -471,23 +488,27 @@ class Mixer:
         """Log-odds and seen-classes of each predictor; ``own`` is taken out of the counts of the bit that came."""
         is_one = e.symbol >> (7 - bit) & 1
         odds, seen = np.empty((ORDERS + 1, len(is_one)), np.float32), np.empty((ORDERS + 1, len(is_one)), np.int64)
+        if own is not None:
+            one = is_one.astype(np.float32) * own
+            zero = own - one
         for k in range(ORDERS + 1):
             if k < ORDERS:
                 at = (k << SLOT_BITS) + slots(e.contexts[k], e.symbol, bit)
-                zeros, ones = self.table[0, at], self.table[1, at]
+                zeros, ones = np.take(self.table, at, axis=0).T
             else:
                 zeros, ones = e.zeros[:, bit], e.ones[:, bit]
             if own is not None:
-                zeros, ones = np.maximum(zeros - own * (1 - is_one), 0), np.maximum(ones - own * is_one, 0)
-            odds[k] = np.log((ones + 0.05) / (zeros + 0.05))
-            seen[k] = np.minimum(np.log2(zeros + ones + 1), SEEN - 1).astype(np.int64)
+                zeros, ones = np.maximum(zeros - zero, 0), np.maximum(ones - one, 0)
+            least = np.float32(0.05)
+            odds[k] = np.log((ones + least) / (zeros + least))
+            seen[k] = np.minimum(np.log2(zeros + ones + np.float32(1)), SEEN - 1)
         gate = bit * DEPTHS + np.minimum(e.depth, DEPTHS - 1)
         return gate, odds, seen, is_one
 
     def mixed(self, gate, odds, seen, part=slice(None)) -> np.ndarray:
         total = np.zeros(len(gate[part]))
         for k in range(ORDERS + 1):
-            total += self.weights[gate[part], k, seen[k][part]] * odds[k][part]
+            total += self.weights.reshape(-1)[(gate[part] * (ORDERS + 1) + k) * SEEN + seen[k][part]] * odds[k][part]
         return np.clip(total, -12, 12)
 
     def learn(self, e: Events, shown: np.ndarray) -> None:
@@ -504,10 +525,11 @@ class Mixer:
                 mixed = self.mixed(gate, odds, seen, part)
                 p = 1 / (1 + np.exp(-mixed))
                 wrong = (is_one[part] - p) * many
+                spread = many * p * (1 - p)
                 for k in range(ORDERS + 1):
                     at = gate[part] * SEEN + seen[k][part]
                     push = np.bincount(at, wrong * odds[k][part], 8 * DEPTHS * SEEN)
-                    mass = np.bincount(at, many * odds[k][part] ** 2 * p * (1 - p), 8 * DEPTHS * SEEN) + 4.0
+                    mass = np.bincount(at, spread * odds[k][part] ** 2, 8 * DEPTHS * SEEN) + 4.0
                     self.weights[:, k] += np.clip(RATE * 5 * push / mass, -0.1, 0.1).reshape(8 * DEPTHS, SEEN)
                 at = gate[part] * STEPS + np.clip(mixed + STEPS / 2, 0, STEPS - 1).astype(np.int64)
                 shown[0] += np.bincount(at, many, shown.shape[1])
@@ -532,7 +554,7 @@ def event_scores(pack: Pack | Pairs, mixer: Mixer) -> np.ndarray:
     """log10 of each word's probability after its head, or of each head's after the previous word."""
     scores = np.zeros(len(pack.symbols))
     for e, words, where in events_of(pack):
-        np.add.at(scores, words, mixer.costs(e)[where])
+        scores += np.bincount(words, mixer.costs(e)[where], len(scores))
     return scores
 
 
@@ -562,7 +584,7 @@ def fit_model(packed: DataFrame, merged: DataFrame) -> dict[str, np.ndarray]:
         F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
     # At most ORDERS * 2**SLOT_BITS rows, whatever the corpus.
     got = slot.toArrow()
-    table = np.zeros((2, ORDERS << SLOT_BITS), np.float32)
+    table = np.zeros((ORDERS << SLOT_BITS, 2), np.float32).T
     at = got.column("slot").to_numpy()
     table[0, at], table[1, at] = got.column("zeros").to_numpy(), got.column("ones").to_numpy()
     sent = spark.sparkContext.broadcast(table)
@@ -617,8 +639,7 @@ def score_pairs(batches: Iterator[pa.RecordBatch], mixer: Mixer) -> Iterator[pa.
             key = np.searchsorted(known[0], before)[owner] << 32 | head.astype(np.int64)
             found = known[2][np.searchsorted(known[1], key)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row["chunk"]]), pa.array([PAIRS], pa.int32()), pa.array([part], pa.int32()), pa.array([None], pa.int64()),
-                 pa.array([None], pa.float64()), pa.array([found.tobytes()])], [c.split()[0] for c in FOUND.split(", ")])
+                [pa.array([row["chunk"]]), pa.array([PAIRS], pa.int32()), pa.array([part], pa.int32()), pa.array([found.tobytes()])], [c.split()[0] for c in FOUND.split(", ")])
 
 
 def sum_documents(batches: Iterator[pa.RecordBatch], n_train: int, n_words: int) -> Iterator[pa.RecordBatch]:
@@ -659,7 +680,7 @@ def sum_documents(batches: Iterator[pa.RecordBatch], n_train: int, n_words: int)
                 yield from close()
                 chunk, held, info, heads, docs = names[a], [], None, {}, []
             if kinds[a] == WORDS:
-                held.append([part.column(c).to_numpy() for c in ("number", "count", "score")])
+                held += [unsqueeze(x, (np.int32, np.int64, np.float32)) for x in part.column("data").to_pylist()]
             elif kinds[a] == HEADS:
                 info = part.column("data")[0].as_py()
             elif kinds[a] == PAIRS:
@@ -674,10 +695,9 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     parts = max(8, (own.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES)
     chunks = materialize(own.mapInArrow(lambda batches: write_chunks(batches, parts), CHUNKS))
-    words = chunks.where(F.col("kind") == WORDS).select(F.substring("word", 1, GROUP_BYTES).alias("group"), "word", "train",
-                                                        "chunk", "number")
+    words = chunks.where(F.col("kind") == WORDS).select("word", "train", "chunk", "number")
     # A group is the start of its words, so words in order keep groups together.
-    packed = materialize(words.repartition("group").sortWithinPartitions("word").mapInArrow(pack_words, PACKED))
+    packed = materialize(words.repartition(F.substring("word", 1, GROUP_BYTES)).sortWithinPartitions("word").mapInArrow(pack_words, PACKED))
     pairs = chunks.where(F.col("kind") == PAIRS).select(F.col("number").alias("part"), "chunk", "data")
     merged = materialize(pairs.select(F.col("part").alias("number"), "data").repartition("number").sortWithinPartitions(
         "number").mapInArrow(merge_pairs, MERGED))
@@ -692,10 +712,13 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         for batch in batches:
             for row in batch.to_pylist():
                 pack = Pack(row)
-                scores, n = event_scores(pack, own), len(pack.word_of)
+                scores, n = event_scores(pack, own), len(pack.chunks)
+                order = np.argsort(pack.chunk_of, kind="stable")
+                ends = np.searchsorted(pack.chunk_of[order], np.arange(n + 1))
+                data = [squeeze([pack.number_of[some], pack.counts[pack.word_of[some]], scores[pack.word_of[some]].astype(np.float32)])
+                        for some in (order[a:b] for a, b in zip(ends, ends[1:], strict=False))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(pack.chunks[pack.chunk_of]), pa.array(np.full(n, WORDS, np.int32)), pa.array(pack.number_of),
-                     pa.array(pack.counts[pack.word_of]), pa.array(scores[pack.word_of]), pa.nulls(n, pa.binary())],
+                    [pa.array(pack.chunks), pa.array(np.full(n, WORDS, np.int32)), pa.nulls(n, pa.int32()), pa.array(data, pa.binary())],
                     [c.split()[0] for c in FOUND.split(", ")])
 
     def totals(batches):
