@@ -64,6 +64,8 @@ RATE, BATCH = 0.02, 1 << 14
 #: Symbols at the start of a word that are predicted with the word before it; at most four (a head is four bytes).
 HEAD = 4
 BLOB_BYTES = 2 << 20
+#: Rows of the contexts' table on its way to the driver.
+RANGES = 64
 #: Text in one part of the (previous word, head) pairs, and pairs merged at once.
 PART_BYTES, MERGE_PAIRS = 16 << 20, 1 << 20
 
@@ -441,38 +443,37 @@ def slots(value: np.ndarray, symbol: np.ndarray, bit: int) -> np.ndarray:
 
 
 def count_contexts(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[pa.RecordBatch]:
-    """Packed rows to (context, symbol, n): training counts of short contexts and the byte after them."""
+    """Packed rows to (range, data): training counts of zeros and ones at the slots of short contexts, a task's in all."""
+    table = np.zeros((ORDERS << SLOT_BITS) * 2, np.int64)
     for batch in batches:
         for row in batch.to_pylist():
-            keys, sums = [], []
             for e, _, _ in events_of(kind(row)):
                 seen = e.count > 0
-                for value in e.contexts:
-                    value = value[seen] << np.uint64(8)
-                    key, where = np.unique(value | e.symbol[seen].astype(np.uint64), return_inverse=True)
-                    keys.append(key)
-                    sums.append(np.bincount(where, e.count[seen], len(key)))
-            if keys:
-                key, where = np.unique(np.concatenate(keys), return_inverse=True)
-                total = np.bincount(where, np.concatenate(sums), len(key)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array((key >> np.uint64(8)).astype(np.int64)), pa.array(
-                    (key & np.uint64(255)).astype(np.int32)), pa.array(total)], ["context", "symbol", "n"])
-
-
-def slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(context, symbol, n) to (slot, zeros, ones) at the eight bits of the symbol."""
+                symbol, count = e.symbol[seen], e.count[seen].astype(np.int64)
+                for k in range(ORDERS):
+                    value = e.contexts[k][seen]
+                    for bit in range(8):
+                        np.add.at(table, ((k << SLOT_BITS) + slots(value, symbol, bit)) * 2 + (symbol >> (7 - bit) & 1), count)
+    if table.any():
+        yield table_rows(table)
+
+
+def table_rows(table: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.arange(RANGES, dtype=np.int32)), pa.array(
+        [squeeze([x]) for x in table.reshape(RANGES, -1)], pa.binary())], ["range", "data"])
+
+
+def add_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(range, data), sorted by range, to the sum of each range."""
+    at, total = None, None
     for batch in batches:
-        value = batch.column("context").to_numpy().astype(np.uint64)
-        symbol, n = batch.column("symbol").to_numpy().astype(np.int64), batch.column("n").to_numpy()
-        # Contexts carry their order in front, so one table serves all orders apart by offset.
-        order = sum((value >> np.uint64(8 * k) > 0).astype(np.int64) for k in range(1, ORDERS + 1))
-        at = np.concatenate([(order - 1 << SLOT_BITS) + slots(value, symbol, bit) for bit in range(8)])
-        bits = np.concatenate([symbol >> (7 - bit) & 1 for bit in range(8)])
-        key, where = np.unique(at, return_inverse=True)
-        many = np.tile(n, 8)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key), pa.array(np.bincount(where, many * (1 - bits), len(key)).astype(np.int64)),
-             pa.array(np.bincount(where, many * bits, len(key)).astype(np.int64))], ["slot", "zeros", "ones"])
+        for number, data in zip(batch.column("range").to_pylist(), batch.column("data"), strict=True):
+            values, = unsqueeze(data.as_py(), (np.int64,))
+            if number != at and at is not None:
+                yield pa.RecordBatch.from_pydict({"range": pa.array([at], pa.int32()), "data": [squeeze([total])]})
+            at, total = number, values if number != at else total + values
+    if at is not None:
+        yield pa.RecordBatch.from_pydict({"range": pa.array([at], pa.int32()), "data": [squeeze([total])]})
 
 
 class Mixer:
@@ -579,14 +580,13 @@ def fit_model(packed: DataFrame, merged: DataFrame) -> dict[str, np.ndarray]:
         return packed.mapInArrow(lambda batches: run(batches, Pack), schema).unionByName(
             merged.mapInArrow(lambda batches: run(batches, Pairs), schema))
 
-    grams = of_both(count_contexts, "context long, symbol int, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
-    slot = grams.mapInArrow(slot_counts, "slot long, zeros long, ones long").groupBy("slot").agg(
-        F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-    # At most ORDERS * 2**SLOT_BITS rows, whatever the corpus.
-    got = slot.toArrow()
-    table = np.zeros((ORDERS << SLOT_BITS, 2), np.float32).T
-    at = got.column("slot").to_numpy()
-    table[0, at], table[1, at] = got.column("zeros").to_numpy(), got.column("ones").to_numpy()
+    slot = of_both(count_contexts, "range int, data binary").repartition("range").sortWithinPartitions("range").mapInArrow(
+        add_ranges, "range int, data binary")
+    # RANGES rows, of ORDERS * 2**SLOT_BITS slots in all, whatever the corpus.
+    flat = np.zeros((RANGES, (ORDERS << SLOT_BITS) * 2 // RANGES), np.float32)
+    for r in slot.toLocalIterator():
+        flat[r["range"]] = unsqueeze(r["data"], (np.int64,))[0]
+    table = flat.reshape(-1, 2).T
     sent = spark.sparkContext.broadcast(table)
 
     def run(batches, kind):
@@ -694,13 +694,13 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every whole text."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     parts = max(8, (own.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES)
-    chunks = materialize(own.mapInArrow(lambda batches: write_chunks(batches, parts), CHUNKS))
+    chunks = materialize(own.mapInArrow(lambda batches: write_chunks(batches, parts), CHUNKS), compression="zstd")
     words = chunks.where(F.col("kind") == WORDS).select("word", "train", "chunk", "number")
     # A group is the start of its words, so words in order keep groups together.
-    packed = materialize(words.repartition(F.substring("word", 1, GROUP_BYTES)).sortWithinPartitions("word").mapInArrow(pack_words, PACKED))
+    packed = materialize(words.repartition(F.substring("word", 1, GROUP_BYTES)).sortWithinPartitions("word").mapInArrow(pack_words, PACKED), compression="zstd")
     pairs = chunks.where(F.col("kind") == PAIRS).select(F.col("number").alias("part"), "chunk", "data")
     merged = materialize(pairs.select(F.col("part").alias("number"), "data").repartition("number").sortWithinPartitions(
-        "number").mapInArrow(merge_pairs, MERGED))
+        "number").mapInArrow(merge_pairs, MERGED), compression="zstd")
     model = fit_model(packed, merged)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

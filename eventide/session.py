@@ -111,14 +111,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return sc._eventide_scratch
 
 
-def materialize(df):
-    """Write ``df`` once as Parquet in the shared scratch folder and read it back.
+def materialize(df, **options: str):
+    """Write ``df`` once as Parquet (with the writer's ``options``) in the shared scratch folder and read it back.
 
     The plan is computed a single time, the lineage ends at the written files, and
     executors that are lost later cost nothing but a re-read.
     """
     path = f"{scratch_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
