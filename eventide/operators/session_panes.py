@@ -23,13 +23,16 @@ times) of a key:
 
 Only the early deadlines depend on one another in sequence.  They are settled per stretch of
 processing time (``_settled``), all stretches at once, from the deadlines that the stretch
-before leaves open; stretches whose start turned out different are settled again.
+before leaves open, as far as they can be foretold; stretches whose start turned out different
+are settled again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,20 +93,18 @@ def _positions(rows: DataFrame, gap: int, lateness: int, bucket: int) -> DataFra
 
 def _with_bounds(rows: DataFrame, positions: DataFrame, gap: int) -> DataFrame:
     """``rows`` with ``epoch``, the window ``[s, e)`` that holds each right after its arrival, and ``dies``, when that gives way."""
-    rows = materialize(rows.withColumn("_k", F.struct("key")).join(positions.select("_k", "t", "epoch", "number"), ["_k", "t"]))
+    rows = materialize(rows.withColumn("_k", F.struct("key")).join(positions.select("_k", "t", "epoch", "number"), ["_k", "t"]).drop("key"))
 
     def closing(side: str) -> Column:
         return F.struct(*[F.col(f"{side}.{c}") for c in ("a", "seq", "w")], "t").alias(side)
 
     table = positions.select("_k", "number", closing("left"), closing("right"))
-    # Arrivals are unique, so the fields after the first two never decide.
-    beyond = F.struct("a", "seq", F.lit(NEVER).cast("long").alias("w"), F.lit(NEVER).cast("long").alias("t"))
-    asked = rows.select("_k", "seq", "a", "number")
-    asked = Maxima(table, "_k", "number", "left").nearest(asked, "number", beyond, True, "_l")
-    asked = Maxima(table, "_k", "number", "right").nearest(asked, "number", beyond, False, "_r")
+    beyond = F.struct("a", "seq")
+    rows = Maxima(table, "_k", "number", "left").nearest(rows, "number", beyond, True, "_l")
+    rows = Maxima(table, "_k", "number", "right").nearest(rows, "number", beyond, False, "_r")
     dies = F.least(*[F.struct(*[F.col(f"{c}.value.{x}").alias(x) for x in ("a", "seq", "w")]) for c in ("_l", "_r")])
-    found = asked.select("_k", "seq", F.col("_l.value.t").alias("s"), (F.col("_r.value.t") + gap).alias("e"), dies.alias("dies"))
-    return rows.join(found, ["_k", "seq"]).drop("_k", "number")
+    return rows.select("_k.key", "score", "t", "a", "seq", "w", "epoch", F.col("_l.value.t").alias("s"), (F.col("_r.value.t") + gap).alias(
+        "e"), dies.alias("dies"))
 
 
 def _windows(rows: DataFrame, bucket: int) -> DataFrame:
@@ -126,25 +127,37 @@ _ENTRY = "struct<s:bigint,e:bigint,on:bigint,due:bigint,id:bigint>"
 _EARLY, _ON_TIME, _OPEN = 0, 1, 2
 
 
-def _settle_stretch(entries: list[list], rows, delay: int, until: int):
+#: Rows that come in shorter runs are taken one by one.
+SHORT = 64
+
+
+class _Stretch:
     """The deadline rule over one stretch of arrivals of an epoch, in order.
 
-    ``entries``: pending panes ``[s, e, on, due, id]`` at its start.  Yields ``(member, fate, due, id, on)``
-    for the pane of every row and of every entry given: fired EARLY at ``due``, left to ON_TIME,
-    or still open at the end; then ``(None, entries)`` left open.  Memory: the pending rows.
+    ``entries``: pending panes ``[s, e, on, due, id]`` at its start.  ``fates`` collects, for the panes
+    of its rows and of the entries given, ``(is_row, members, fate, due, id, on)``: fired EARLY at
+    ``due``, left to ON_TIME, or still open at the end.  Memory: the pending rows.
     """
-    pending = [(e, [("entry", e[4])]) for e in entries]
 
-    def leave(entry, members, fate):
-        return [(m, fate, entry[3], entry[4], entry[2]) for m in members]
+    def __init__(self, entries: list[list], delay: int, begin: int, until: int, followed: bool):
+        self.pending = [(e, [[e[4]], [], []]) for e in entries]
+        self.delay, self.until, self.fates = delay, until, []
+        self.ahead = _Ahead(begin + delay, delay) if followed else None
 
-    for a, seq, w, s, e, on in rows:
+    def leave(self, entry: list, members: list, fate: int) -> None:
+        given, rows, runs = members
+        if given:
+            self.fates.append((False, [np.array(given, np.int64)], fate, entry[3], entry[4], entry[2]))
+        if rows or runs:
+            self.fates.append((True, [*runs, np.array(rows, np.int64)], fate, entry[3], entry[4], entry[2]))
+
+    def step(self, a: int, seq: int, w: int, s: int, e: int, on: int) -> None:
         hit, kept = [], []
-        for entry, members in pending:
+        for entry, members in self.pending:
             if entry[3] <= a and entry[3] <= entry[2]:
-                yield from leave(entry, members, _EARLY)
+                self.leave(entry, members, _EARLY)
             elif w >= entry[1]:
-                yield from leave(entry, members, _ON_TIME)
+                self.leave(entry, members, _ON_TIME)
             elif s <= entry[0] < e:
                 hit.append((entry, members))
             else:
@@ -153,72 +166,213 @@ def _settle_stretch(entries: list[list], rows, delay: int, until: int):
             entry, members = min(hit, key=lambda h: (h[0][3], h[0][4]))
             for other, more in hit:
                 if other is not entry:
-                    members.extend(more)
+                    for mine, theirs in zip(members, more, strict=True):
+                        mine.extend(theirs)
             entry = [s, e, on, entry[3], entry[4]]
         else:
-            entry, members = [s, e, on, a + delay, seq], []
-        members.append(("row", seq))
-        pending = [*kept, (entry, members)]
-    left = []
-    for entry, members in pending:
-        if entry[3] <= min(entry[2], until):
-            yield from leave(entry, members, _EARLY)
-        elif entry[2] < min(entry[3], until):
-            yield from leave(entry, members, _ON_TIME)
-        else:
-            yield from leave(entry, members, _OPEN)
-            left.append(entry)
-    yield None, sorted(left)
+            entry, members = [s, e, on, a + self.delay, seq], [[], [], []]
+        members[1].append(seq)
+        self.pending = [*kept, (entry, members)]
+
+    def feed(self, a, seq, w, s, e, on) -> None:
+        """The next rows, as arrays."""
+        n = len(a)
+        if self.ahead is not None:
+            self.ahead.feed(a, seq)
+        if n < SHORT:
+            for row in zip(*[c.tolist() for c in (a, seq, w, s, e, on)], strict=True):
+                self.step(*row)
+            return
+        # Rows that go to the window of the row before, its end not reached: one pane is pending, until it is due.
+        plain = (s[1:] <= s[:-1]) & (s[:-1] < e[1:]) & (w[1:] < e[:-1])
+        stops = np.append(np.flatnonzero(~plain) + 1, n)
+        i = 0
+        while i < n:
+            if len(self.pending) == 1:
+                x = self.pending[0][0]
+                if s[i] <= x[0] < e[i] and w[i] < x[1]:
+                    i = self.run(i, int(stops[np.searchsorted(stops, i, "right")]), a, seq, w, s, e, on)
+                    continue
+            self.step(*[int(c[i]) for c in (a, seq, w, s, e, on)])
+            i += 1
+
+    def run(self, i: int, stop: int, a, seq, w, s, e, on) -> int:
+        """Rows ``i`` to ``stop`` of one window's arrivals, a pane at a time; returns the row after the last taken."""
+        (entry, members), begin = self.pending[0], i
+        while True:
+            j = i + int(np.searchsorted(a[i:stop], entry[3]))
+            if j > begin:
+                members[2].append(seq[begin:j])
+                entry = [int(s[j - 1]), int(e[j - 1]), int(on[j - 1]), entry[3], entry[4]]
+            if j == stop or entry[3] > entry[2]:
+                self.pending = [(entry, members)]
+                if j == stop:
+                    return stop
+                self.step(*[int(c[j]) for c in (a, seq, w, s, e, on)])
+                return j + 1
+            self.leave(entry, members, _EARLY)
+            entry, members = [int(s[j]), int(e[j]), int(on[j]), int(a[j]) + self.delay, int(seq[j])], [[], [], []]
+            begin, i = j, j + 1
+
+    def end(self) -> list[list]:
+        """The entries left open."""
+        left = []
+        for entry, members in self.pending:
+            fate = _fate_at_end(entry, self.until)
+            self.leave(entry, members, fate)
+            if fate == _OPEN:
+                left.append(entry)
+        return sorted(left)
+
+
+def _fate_at_end(entry: list, until: int) -> int:
+    return _EARLY if entry[3] <= min(entry[2], until) else _ON_TIME if entry[2] < min(entry[3], until) else _OPEN
+
+
+class _Ahead:
+    """The last pane of a stretch by the deadline of the one pending at its start, as if all its rows went to one window.
+
+    ``upto, due, id``: a pane due at ``upto`` or before, later than the ``upto`` before, ends in the pane
+    ``(due, id)``.  Chains of panes that meet are one.  Memory: the chains, at most the rows within
+    a delay.
+    """
+
+    def __init__(self, limit: int, delay: int):
+        self.limit, self.delay, self.closed = limit, delay, False
+        self.upto = self.due = self.id = np.empty(0, np.int64)
+
+    def feed(self, a: np.ndarray, seq: np.ndarray) -> None:
+        if not self.closed:
+            n = int(np.searchsorted(a, self.limit, "right")) + 1
+            self.closed = n <= len(a)
+            first = np.flatnonzero(np.diff(a[:n], prepend=self.upto[-1] if len(self.upto) else a[0] - 1))
+            self.upto, self.due, self.id = (np.concatenate(x) for x in (
+                (self.upto, a[first]), (self.due, a[first] + self.delay), (self.id, seq[first])))
+        going = np.flatnonzero(self.due <= a[-1])
+        while len(going):
+            at = np.searchsorted(a, self.due[going])
+            self.due[going], self.id[going] = a[at] + self.delay, seq[at]
+            going = going[self.due[going] <= a[-1]]
+        last = np.append(self.id[1:] != self.id[:-1], True)
+        self.upto, self.due, self.id = self.upto[last], self.due[last], self.id[last]
+
+
+_AHEAD = "struct<upto:array<bigint>,due:array<bigint>,id:array<bigint>,s:bigint,e:bigint,on:bigint>"
+_FATES = ("key string, epoch long, stretch long, kind string, member long, fate int, due long, id long, on long, "
+          f"used array<{_ENTRY}>, left array<{_ENTRY}>, ahead {_AHEAD}")
+_FIELDS = ("s", "e", "on", "due", "id")
+
+
+def _entries(given: list[dict]) -> list[list]:
+    return [[x[c] for c in _FIELDS] for x in given]
 
 
 def _run_stretches(ordered: DataFrame, delay: int, width: int) -> DataFrame:
-    """Per stretch: its members' panes (``left`` null) and one row with the entries it leaves (``left``).
+    """Per stretch: its members' panes (``left`` null) and one row with the entries it was given (``used``) and leaves
+    (``left``), and with what it would leave for others (``ahead``).
 
     ``ordered`` holds (key, epoch, stretch, a, seq, w, s, e, on, given) in order of arrival, a
-    stretch's entries in a row of their own before its first.
+    stretch's entries in a row of their own before its first, whose ``w`` is the next stretch of the epoch, if any.
+    """
+    entry = pa.list_(pa.struct([(n, pa.int64()) for n in _FIELDS]))
+    ahead = pa.struct([(n, pa.list_(pa.int64())) for n in ("upto", "due", "id")] + [(n, pa.int64()) for n in ("s", "e", "on")])
+    types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), entry, entry, ahead]
+    names = ["key", "epoch", "stretch", "kind", "member", "fate", "due", "id", "on", "used", "left", "ahead"]
+
+    def members_of(fates: list[tuple]) -> pa.RecordBatch:
+        """``fates``: (stretch, those of ``_Stretch``)."""
+        sizes = [sum(map(len, f[2])) for f in fates]
+        spread = pa.array(np.repeat(np.arange(len(fates)), sizes))
+        heads = [[f[0][k] for f in fates] for k in range(3)] + [["row" if f[1] else "entry" for f in fates]]
+        columns = [pa.array(c, t).take(spread) for c, t in zip(heads, types, strict=False)]
+        columns.append(pa.array(np.concatenate([x for f in fates for x in f[2]])))
+        columns += [pa.array([f[k] for f in fates], types[k + 2]).take(spread) for k in range(3, 7)]
+        return pa.RecordBatch.from_arrays([*columns, *[pa.nulls(len(spread), t) for t in types[9:]]], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stretch, head, used, last, fates, ends, n = None, None, [], None, [], [], 0
+
+        def finish() -> None:
+            left, (s, e, on), far = stretch.end(), last, stretch.ahead
+            ends.append((*head, "left", None, None, None, None, None, *[[dict(zip(_FIELDS, x, strict=True)) for x in es] for es in (
+                used, left)], None if far is None else {"upto": far.upto, "due": far.due, "id": far.id, "s": s, "e": e, "on": on}))
+
+        def collect() -> None:
+            nonlocal n
+            fates.extend((head, *f) for f in stretch.fates)
+            n += sum(len(x) for f in stretch.fates for x in f[1])
+            stretch.fates = []
+
+        for batch in batches:
+            numbers = [batch.column(k).fill_null(0).to_numpy(zero_copy_only=False) for k in range(3, 9)]
+            begins = np.flatnonzero(batch.column(9).is_valid().to_numpy(zero_copy_only=False)).tolist()
+            for begin, end in zip([-1, *begins], [*begins, len(batch)], strict=True):
+                if begin >= 0:
+                    if stretch is not None:
+                        finish()
+                        collect()
+                    key, epoch, at, _, _, then, *_, given = (c[0].as_py() for c in batch.slice(begin, 1).columns)
+                    head, used = (key, epoch, at), _entries(given)
+                    stretch = _Stretch(used, delay, at * width, (at + 1) * width, then is not None)
+                if end > begin + 1:
+                    stretch.feed(*[c[begin + 1:end] for c in numbers])
+                    last = tuple(int(c[end - 1]) for c in numbers[3:])
+                    collect()
+                if n >= 8192:
+                    yield members_of(fates)
+                    fates, n = [], 0
+        if stretch is not None:
+            finish()
+            collect()
+        if fates:
+            yield members_of(fates)
+        for k in range(0, len(ends), 1024):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*ends[k:k + 1024], strict=True), types, strict=True)], names)
+
+    return ordered.mapInArrow(run, _FATES)
+
+
+def _followed(state: DataFrame, width: int) -> DataFrame:
+    """(_g, stretch, given, changed): the entries that each stretch should be given, from the first of its epoch on.
+
+    ``state``: per stretch ``used, left, ahead``.  What a stretch left counts if it was given the right
+    entries; else its ``ahead`` foretells it, and the next round shows whether that holds.
     """
-    schema = f"key string, epoch long, stretch long, kind string, member long, fate int, due long, id long, on long, left array<{_ENTRY}>"
-    entry = pa.struct([(n, pa.int64()) for n in ("s", "e", "on", "due", "id")])
-    types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(entry)]
-    names = ["key", "epoch", "stretch", "kind", "member", "fate", "due", "id", "on", "left"]
+    entry = pa.list_(pa.struct([(n, pa.int64()) for n in _FIELDS]))
+    types = [pa.string(), pa.int64(), pa.int64(), entry, pa.bool_()]
+    names = ["key", "epoch", "stretch", "given", "changed"]
+
+    def foretold(given: list[list], ahead: dict, until: int) -> list[list]:
+        due, pane = min((x[3], x[4]) for x in given) if given else (-NEVER, None)
+        k = int(np.searchsorted(ahead["upto"], due))
+        if k < len(ahead["upto"]):
+            due, pane = ahead["due"][k], ahead["id"][k]
+        left = [ahead["s"], ahead["e"], ahead["on"], due, pane]
+        return [left] if _fate_at_end(left, until) == _OPEN else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows_in() -> Iterator[tuple]:
-            for batch in batches:
-                yield from zip(*[c.to_pylist() for c in batch.columns], strict=True)
-
-        out: list[tuple] = []
-        source = rows_in()
-        row = next(source, None)
-        while row is not None:
-            head, entries = row[:3], []
-            if row[9] is not None:
-                entries = [[x["s"], x["e"], x["on"], x["due"], x["id"]] for x in row[9]]
-                row = next(source, None)
-
-            def members():
-                nonlocal row
-                while row is not None and row[:3] == head:
-                    yield row[3:9]
-                    row = next(source, None)
-
-            for got in _settle_stretch(entries, members(), delay, (head[2] + 1) * width):
-                if got[0] is None:
-                    out.append((*head, "left", None, None, None, None, None, [dict(zip(("s", "e", "on", "due", "id"), x, strict=True)) for x in got[1]]))
-                else:
-                    (kind, member), fate, due, pane, on = got
-                    out.append((*head, kind, member, fate, due, pane, on, None))
-                if len(out) >= 8192:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
-                    out = []
-        if out:
+        epoch, given = None, []
+        for batch in batches:
+            out = []
+            for key, number, stretch, used, left, ahead in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if (key, number) != epoch:
+                    epoch, given = (key, number), []
+                used = _entries(used)
+                out.append((key, number, stretch, [dict(zip(_FIELDS, x, strict=True)) for x in given], given != used))
+                if given == used:
+                    given = _entries(left)
+                elif ahead is not None:
+                    given = foretold(given, ahead, (stretch + 1) * width)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
-    return ordered.mapInArrow(run, schema)
+    ordered = state.select("_g.key", "_g.epoch", "stretch", "used", "left", "ahead").repartition("key", "epoch").sortWithinPartitions(
+        "key", "epoch", "stretch")
+    return ordered.mapInArrow(run, f"key string, epoch long, stretch long, given array<{_ENTRY}>, changed boolean").select(
+        F.struct("key", "epoch").alias("_g"), "stretch", "given", "changed")
 
 
 #: Rounds at one width before stretches are made ``WIDER`` times as long.
-ROUNDS, WIDER = 4, 16
+ROUNDS, WIDER = 8, 16
 
 
 def _settled(rows: DataFrame, delay: int, width: int) -> DataFrame:
@@ -226,53 +380,49 @@ def _settled(rows: DataFrame, delay: int, width: int) -> DataFrame:
 
     Stretches of ``width`` microseconds are settled all at once.  A stretch begins with the
     entries that the one before leaves, at first none; those whose entries changed are settled
-    again until nothing changes, which makes the result that of one pass in order.  Deadlines
-    soon stop depending on how a stretch began, so a few rounds do; if not, stretches become
-    longer, at last a whole epoch, which has no open start.
+    again until nothing changes, which makes the result that of one pass in order.  Where rows
+    are few, deadlines soon stop depending on how a stretch began; where they are many, there is
+    mostly one window, and what stretches leave is foretold (``_followed``).  So a few rounds do;
+    if not, stretches become longer, at last a whole epoch, which has no open start.
     """
-    given = None
+    given, none = None, F.expr(f"CAST(array() AS array<{_ENTRY}>)")
     first, last = rows.agg(F.min("a"), F.max("a")).first()
     while True:
         parted = materialize(rows.withColumn("_g", F.struct("key", "epoch")).withColumn("stretch", F.floor(F.col("a") / width).cast("long")))
         seen = parted.select("_g", "stretch").distinct()
         follows = materialize(seen.withColumn("then", F.lead("stretch").over(Window.partitionBy("_g").orderBy("stretch"))))
         cells = ["_g", "stretch"]
-        start = follows.select(*cells)
-        start = start.withColumn("given", F.expr(f"CAST(array() AS array<{_ENTRY}>)")) if given is None else start.join(
-            given, cells, "left").select(*cells, F.coalesce("given", F.expr(f"CAST(array() AS array<{_ENTRY}>)")).alias("given"))
-        start = materialize(start)
-        ask, done, rounds = start, None, 0
+        ask = follows.withColumn("given", none) if given is None else follows.join(given, cells, "left").select(
+            *follows.columns, F.coalesce("given", none).alias("given"))
+        done, state, rounds = [], None, 0
         while True:
-            data = parted.join(ask.select(*cells), cells).select(
-                "_g.key", "_g.epoch", "stretch", "a", "seq", "w", "s", "e", "on", F.lit(None).cast(f"array<{_ENTRY}>").alias("given"))
-            heads = ask.select("_g.key", "_g.epoch", "stretch", F.lit(-NEVER).cast("long").alias("a"), *[F.lit(None).cast("long").alias(
-                c) for c in ("seq", "w", "s", "e", "on")], "given")
+            data = parted if not rounds else parted.join(ask.select(*cells), cells)
+            data = data.select("_g.key", "_g.epoch", "stretch", "a", "seq", "w", "s", "e", "on", F.lit(None).cast(f"array<{_ENTRY}>").alias("given"))
+            heads = ask.select("_g.key", "_g.epoch", "stretch", F.lit(-NEVER).cast("long").alias("a"), F.lit(None).cast("long").alias(
+                "seq"), F.col("then").alias("w"), *[F.lit(None).cast("long").alias(c) for c in ("s", "e", "on")], "given")
             ordered = data.unionByName(heads).repartition("key", "epoch", "stretch").sortWithinPartitions(
                 "key", "epoch", "stretch", "a", "seq")
-            fresh = _run_stretches(ordered, delay, width).withColumn("_g", F.struct("key", "epoch"))
-            done = materialize(fresh if done is None else fresh.unionByName(done.join(ask.select(*cells), cells, "left_anti")))
-            leaves = done.where("kind = 'left'").join(follows, cells).where("then IS NOT NULL").select(
-                "_g", F.col("then").alias("stretch"), F.col("left").alias("given"))
-            new = start.select(*cells).join(leaves, cells, "left").select(*cells, F.coalesce("given", F.expr(
-                f"CAST(array() AS array<{_ENTRY}>)")).alias("given"))
-            new = materialize(new)
-            ask = materialize(new.join(start.withColumnRenamed("given", "_was"), cells).where("given <> _was").select(*cells, "given"))
+            fresh = materialize(_run_stretches(ordered, delay, width).withColumn("_g", F.struct("key", "epoch")))
+            ends = fresh.where("kind = 'left'").select(*cells, "used", "left", "ahead")
+            state = materialize(ends if state is None else ends.unionByName(state.join(ask.select(*cells), cells, "left_anti")))
+            done = [*[d.join(ask.select(*cells), cells, "left_anti") for d in done], fresh.where("kind <> 'left'").drop("used", "left", "ahead")]
+            starts = materialize(_followed(state, width))
+            ask = materialize(starts.where("changed").join(follows, cells).select(*cells, "then", "given"))
             rounds += 1
             if ask.isEmpty():
-                return _panes_of(done, follows)
-            start = new
+                return _panes_of(reduce(DataFrame.unionByName, done), follows)
             if rounds == ROUNDS and first // width != last // width:
                 break
         # The entries at the starts of the longer stretches, as far as they are known.
         wider = F.floor(F.col("stretch") / WIDER).cast("long")
-        given = materialize(new.withColumn("_wide", wider).withColumn("_n", F.row_number().over(
+        given = materialize(starts.withColumn("_wide", wider).withColumn("_n", F.row_number().over(
             Window.partitionBy("_g", "_wide").orderBy("stretch"))).where("_n = 1").select("_g", F.col("_wide").alias("stretch"), "given"))
         width *= WIDER
 
 
 def _panes_of(done: DataFrame, follows: DataFrame) -> DataFrame:
     """The rows' panes, those left open followed into the stretches after theirs."""
-    links = done.where("kind <> 'left'").join(follows, ["_g", "stretch"])
+    links = done.join(follows, ["_g", "stretch"])
     final = F.when(F.col("fate") != _OPEN, F.col("fate")).when(F.col("then").isNull(), F.when(
         F.col("due") <= F.col("on"), _EARLY).otherwise(_ON_TIME))
     links = links.withColumn("fate", F.coalesce(final, F.lit(_OPEN)))

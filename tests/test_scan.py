@@ -102,3 +102,19 @@ def test_nearest_beyond(spark):
                 assert r.hit.number == want and (want is None or r.hit.value.v == values[r.g.k, want])
     finally:
         nearest.FAN = old
+
+
+def test_nearest_of_a_block_that_many_ask(spark, monkeypatch):
+    """A block's questions are dealt to several tasks; the answers, equal rows included, are those of a loop."""
+    from eventide.plans import nearest
+    monkeypatch.setattr(nearest, "FAN", 4)
+    monkeypatch.setattr(nearest, "ASKED", 8)
+    table = spark.range(1, 41).select(F.struct(F.lit(None).cast("string").alias("k")).alias("g"), (F.col("id") - 1).alias("i"), F.struct(
+        (100 - F.col("id")).alias("v"), F.col("id").alias("w")).alias("m"))
+    ask = spark.range(300).select(F.struct(F.lit(None).cast("string").alias("k")).alias("g"), F.lit(39).alias("n"), (
+        F.col("id") % 50 + 50).alias("over"))
+    got = nearest.Maxima(table, "g", "i", "m").nearest(ask, "n", F.struct(F.col("over").alias("v")), True, "hit").collect()
+    assert len(got) == 300
+    for r in got:
+        want = max((i for i in range(40) if 99 - i > r.over), default=None)
+        assert r.hit.number == want and (r.hit.value is None) == (want is None) and (want is None or r.hit.value.w == want + 1)

@@ -144,3 +144,12 @@ def test_one_key_spreads_over_tasks(spark):
     finally:
         sessions._run_stretches = old
     assert seen[0] >= 4
+
+
+def test_dense_session_settles_in_few_rounds(spark, monkeypatch):
+    """Deadlines that never forget how a stretch began: what stretches leave is foretold, not passed on one stretch a round."""
+    log = _random_log(spark, 9, 6000, 160_000, 600, keys=("a",))
+    rounds, old = [], sessions._run_stretches
+    monkeypatch.setattr(sessions, "_run_stretches", lambda ordered, *a: (rounds.append(1), old(ordered, *a))[1])
+    plan, machine = _both(log, watermark=FAST, gap="20 minutes", early_delay="14 minutes", lateness="1 hour")
+    assert plan == machine and len(rounds) <= 3
