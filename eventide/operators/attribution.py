@@ -39,6 +39,8 @@ _B = "1 day"
 GOAL = ["user", "goal_url", "goal_ts"]
 #: Plain steps before jump tables are worth their making.
 STEPS_FIRST = 16
+#: Goals and visits of a user up to which a user's URL is left to one task.
+SMALL = 100_000
 
 
 def _bucket(c: str) -> Column:
@@ -121,11 +123,17 @@ def _open(steps: DataFrame, stop_at_hit: bool) -> DataFrame:
     return steps.where(~(F.col("hit") & F.lit(stop_at_hit)) & F.col("cur.referer").isNotNull())
 
 
-def _step(going: DataFrame, versions: DataFrame) -> DataFrame:
+def _days(versions: DataFrame, goals: DataFrame):
+    """The bucket of an order for ``last_before``: its day, or none if no user has more than ``SMALL`` rows."""
+    rows = versions.select("user").unionByName(goals.select("user")).groupBy("user").count().agg(F.max("count")).first()[0] or 0
+    return None if rows <= SMALL else lambda order: F.floor(to_us(order["wm"]) / F.lit(dur_us(_B)))
+
+
+def _step(going: DataFrame, versions: DataFrame, bucket) -> DataFrame:
     """One plain step of every open goal: the visit that its cutoff shows for the referer."""
     there = versions.select("by", "order", F.struct("vid", "cur", "imp").alias("_found"))
     asked = going.select(*_ROW, "depth", _by("user", F.col("cur.referer")).alias("by"), F.col("cutoff").alias("order"))
-    found = last_before(asked, there, "by", "order", lambda o: F.floor(to_us(o["wm"]) / F.lit(dur_us(_B))), "_found", "_found")
+    found = last_before(asked, there, "by", "order", bucket, "_found", "_found")
     found = found.where("_found IS NOT NULL").select(*_ROW, (F.col("depth") + 1).alias("depth"), "_found.*")
     found = found.where((to_us("cur.ts") >= F.col("oldest")) & (F.col("cur.url") != F.col("goal_url")))
     return found.withColumn("hit", _hit()).select(*_STEP)
@@ -153,14 +161,14 @@ class Jumps:
     (unless walks pass impressions), and so are those that lead into a loop.
     """
 
-    def __init__(self, mine: DataFrame, stop_at_hit: bool):
+    def __init__(self, mine: DataFrame, stop_at_hit: bool, bucket):
         there = mine if not stop_at_hit else mine.withColumn("_end", F.col("imp").isNotNull())
         end = F.col("_end") if stop_at_hit else F.lit(False)
         there = there.select("by", "order", F.struct(F.col("vid").alias("to"), F.col("order").alias("since"), to_us("cur.ts").alias(
             "ts"), end.alias("end")).alias("_p"))
         asked = mine.where(F.col("cur.referer").isNotNull()).select(
             "vid", _by("user", F.col("cur.referer")).alias("by"), F.col("order").alias("_own"), F.col("until").alias("order"))
-        first = last_before(asked, there, "by", "order", lambda o: F.floor(to_us(o["wm"]) / F.lit(dur_us(_B))), "_p", "_p")
+        first = last_before(asked, there, "by", "order", bucket, "_p", "_p")
         table, n = materialize_counted(first.where("_p IS NOT NULL AND NOT _p.end").select(
             "vid", "_p.to", F.greatest("_own", "_p.since").alias("since"), F.col("order").alias("until"), F.col("_p.ts").alias("oldest")))
         self.tables, most = [], mine.groupBy("user").agg(F.countDistinct("by").alias("n")).agg(F.max("n")).first()[0] or 0
@@ -208,6 +216,7 @@ def walk_steps(visits: DataFrame, impressions: DataFrame, state_ttl: str | None
             "goal_referer").alias("referer"), F.lit(True).alias("is_goal")).alias("cur"), "imp", F.lit(None).cast("long").alias("vid"))
     goals = goals.withColumn("hit", _hit()).select(*_STEP)
     level, n = materialize_counted(goals)
+    bucket = _days(versions, level)
     levels, jumps, round_, loops = [level], None, 0, False
     while n:
         going, round_ = _open(level, stop_at_hit), round_ + 1
@@ -218,12 +227,12 @@ def walk_steps(visits: DataFrame, impressions: DataFrame, state_ttl: str | None
             versions = _of_users(versions, going)
         if round_ > STEPS_FIRST:
             if jumps is None:
-                jumps = Jumps(_of_users(versions, going), stop_at_hit)
+                jumps = Jumps(_of_users(versions, going), stop_at_hit, bucket)
             jumped = jumps.go(going)
             levels.append(jumped.drop("is_last"))
             stay = going.join(jumped.select("gid").distinct(), "gid", "left_anti")
             going = stay.select(*_STEP).unionByName(_open(jumped.where("is_last"), stop_at_hit).select(*_STEP))
-        level, n = materialize_counted(_step(going, versions))
+        level, n = materialize_counted(_step(going, versions, bucket))
         levels.append(level)
     steps = reduce(DataFrame.unionByName, levels)
     if loops:

@@ -112,13 +112,19 @@ def last_before(asked: DataFrame, there: DataFrame, by: str, order: str, bucket,
 
     Both have a group ``by`` (a struct) and ``order``; ``bucket(order)`` is monotone.  One pass over
     both together, spread by (group, bucket): linear in their rows, however many share a group.
+    Without a ``bucket`` a group is one task's, and nothing is carried: for groups known to be small.
     """
     row, none = F.struct(*asked.columns), F.lit(None)
     kind = there.select(value).schema[value].dataType
     a = asked.select(by, F.col(order).alias("_o"), row.alias("_row"), none.cast(kind).alias("_v"))
     t = there.select(by, F.col(order).alias("_o"), none.cast(a.schema["_row"].dataType).alias("_row"), F.col(value).alias("_v"))
-    both = a.unionByName(t).withColumn("_b", bucket(F.col("_o"))).repartition(by, "_b")
+    both = a.unionByName(t)
     # Of equal order the asked row comes first: only what is before it counts.
+    if bucket is None:
+        w = Window.partitionBy(by).orderBy("_o", F.col("_row").isNull()).rowsBetween(_U, _C)
+        near = both.select("_row", F.last("_v", ignorenulls=True).over(w).alias("_near"))
+        return near.where(F.col("_row").isNotNull()).select("_row.*", F.col("_near").alias(out))
+    both = both.withColumn("_b", bucket(F.col("_o"))).repartition(by, "_b")
     w = Window.partitionBy(by, "_b").orderBy("_o", F.col("_row").isNull()).rowsBetween(_U, _C)
     local = both.select(by, "_b", "_o", "_row", "_v", F.last("_v", ignorenulls=True).over(w).alias("_near"))
     ends = local.groupBy(by, "_b").agg(F.max_by("_v", F.when(F.col("_row").isNull(), F.col("_o"))).alias("_e"))

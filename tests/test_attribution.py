@@ -191,3 +191,23 @@ def test_no_visits_and_no_goals(spark):
         for consume in (False, True):
             assert attribute(some, i, consume_impression=consume).count() == 0
     assert referer_walk(v, i).count() == 0 and attribute(v.where("false"), i.where("false")).count() == 0
+
+
+def test_days_only_for_users_with_many_rows(spark, monkeypatch):
+    """Users with few rows take a step in one scan, others by days with the last visit carried over: the same walks."""
+    rng, plain = random.Random(11), lambda df: sorted(map(repr, df.collect()))
+    at = lambda day, minute: dt.datetime(2024, 1, 1 + day, minute // 60, minute % 60)
+    rows, found = [], []
+    for seq in range(400):
+        day, minute, user = rng.randrange(9), rng.randrange(1300), rng.choice(["u", "v", None])
+        rows.append((user, rng.choice("abcdg"), at(day, minute), rng.choice(["a", "b", "c", "d", "s", None]), rng.random() < 0.2,
+                     at(day, minute + rng.randrange(90)), seq, at(day, max(0, minute - 60))))
+    v = spark.createDataFrame(rows, VISIT)
+    i = spark.createDataFrame([("u", n, "s", x, at(n, 5), at(n, 9), 1000 + n, at(n, 0)) for n, x in enumerate("abcd")], IMP)
+    old = attribution.last_before
+    monkeypatch.setattr(attribution, "last_before", lambda *a: (found.append(a[4] is None), old(*a))[1])
+    small = plain(attribute(v, i, consume_impression=True))
+    assert small and all(found)
+    found.clear()
+    monkeypatch.setattr(attribution, "SMALL", 0)
+    assert plain(attribute(v, i, consume_impression=True)) == small and not any(found)
