@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.textops import OTHER_SPACES, whole, words
+from eventide.llm.textops import OTHER_SPACES, let, whole, words
 from eventide.session import materialize
 
 MIN_WORDS = 5
@@ -114,11 +114,12 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     keys = firsts.select("line", "first", F.explode(F.array("line.a", "line.b", "third")).alias("key"))
     shared = keys.groupBy("key").agg(F.count("line").alias("k")).where("k > 1").select("key")
     near = keys.join(shared, "key").select("line", "first").distinct()
-    # Their words, from the documents they occur in first.
-    place = near.select("line", "first", F.col("first.doc_id").alias("_d"), F.col("first.no").alias("_n"))
+    # Their words, from the documents they occur in first; each is cut into lines once.
+    place = near.groupBy(F.col("first.doc_id").alias("_d")).agg(F.collect_list(F.struct("line", "first")).alias("_lines"))
     body = docs.select(F.col(doc_id).alias("_doc"), whole(text).alias("_text"))
-    held = place.join(body, F.col("_d").eqNullSafe(F.col("_doc"))).select(
-        "line", "first", words(F.get(F.split("_text", "\n", -1), F.col("_n"))).alias("words"))
+    held = place.join(body, F.col("_d").eqNullSafe(F.col("_doc"))).select(F.explode(let(F.split("_text", "\n", -1), lambda cut: F.transform(
+        "_lines", lambda x: F.struct(x["line"].alias("line"), x["first"].alias("first"), F.get(cut, x["first"]["no"]).alias("text"))))).alias("x"))
+    held = held.select("x.line", "x.first", words(F.col("x.text")).alias("words"))
     held = materialize(held.where(identity("words") == F.col("line")).dropDuplicates(["line"]))
     gone = near_lines(held).withColumn("near", F.lit(True))
     # Only lines that occur again or have an earlier neighbour can go; on its own, this join's hot lines can be split.

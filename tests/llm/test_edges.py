@@ -2,6 +2,7 @@
 
 import io
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -424,3 +425,13 @@ def test_neighbours_stay_as_merging_says(name):
         assert words._stays(a, b) == (words.merged(both) == [a, b])
         if k % 20 == 0:
             assert words.table(both) == words.table(both, words.table(both[:1]))
+
+
+def test_line_dedup_cuts_a_text_once(spark):
+    """A long text of which every line has a near one: its lines' words are found together, not by cutting the text for each."""
+    lines = [f"line {k} of a long text with {k} words" for k in range(25_000)]
+    df = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(x + " more" for x in lines))], "doc_id long, text string")
+    begin = time.time()
+    gone = line_dedup.removed_lines(df).groupBy("doc_id").count().collect()
+    assert [tuple(r) for r in gone] == [(2, 25_000)]
+    assert time.time() - begin < 60
