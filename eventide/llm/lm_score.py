@@ -47,9 +47,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.bpe import rows_of
+from eventide.llm.bpe import ROWS_AT_ONCE
 from eventide.llm.warm import let_go
-from eventide.session import materialize
+from eventide.session import materialize_alone
 
 CHUNK_BYTES = 16 << 20
 PACK_WORDS = 1 << 16
@@ -79,9 +79,22 @@ SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
           "score double, bits_per_byte double")
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """Words, split at exactly the six separators; bytes.lower changes A-Z alone."""
-    return (text or "").encode().lower().split()
+#: Bytes as tokens have them: A-Z in lower case, each of the six separators a space.
+PLAIN = np.frombuffer(bytes(range(256)).lower().translate(bytes.maketrans(b"\t\n\x0b\x0c\r", b" " * 5)), np.uint8)
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words and the end of each text: their bytes, where each begins, and the texts' sizes in bytes."""
+    texts = pc.fill_null(texts, "").cast(pa.string())
+    at = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset)
+    data = texts.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data else np.zeros(0, np.uint8)
+    # A line feed stands for an end alone, since those of the text are spaces by now.
+    plain = np.insert(PLAIN[data], at[1:] - at[0], END[0])
+    inside, is_end = plain != SPACE, plain == END[0]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1] | is_end[1:] | is_end[:-1]
+    return plain[inside], np.flatnonzero(begins[inside]).astype(np.int32), np.diff(at)
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -103,44 +116,50 @@ def unpack_bag(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return planes[0] | planes[1] << 8 | planes[2] << 16, planes[3]
 
 
-def pack_order(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**24 in order, as three byte planes."""
-    return np.stack([numbers & 255, numbers >> 8 & 255, numbers >> 16]).astype(np.uint8).tobytes()
-
-
 def unpack_order(data: bytes) -> np.ndarray:
+    """Numbers below 2**24 in order, from three byte planes."""
     planes = np.frombuffer(data, np.uint8).reshape(3, -1).astype(np.int64)
     return planes[0] | planes[1] << 8 | planes[2] << 16
 
 
 # ---------------------------------------------------------------- 1. chunks
-def edges_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def edges_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Of each word, an end first, its head and its last bytes, as numbers.
 
     The head is the first symbols of the word and its space, or the end; no word holds a space or line feed.
     """
-    text = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.int64)
-    length = np.fromiter(map(len, words), np.int64, len(words))
-    at = np.cumsum(length + 1) - length - 1
+    text, at, length = bytes_of(words)
+    last = len(text) - 1
     head, ending = np.zeros((2, len(words)), np.int64)
     for k in range(HEAD):
-        head = head << 8 | np.where(k <= length, text[np.where(k <= length, at + k, 0)], 0)
+        head = head << 8 | np.where(k < length, text[np.minimum(at + k, last)], np.where(k == length, SPACE, 0))
     head[0] = END[0] << 24
     for k in range(ORDERS - 1, 0, -1):
         ending = ending << 8 | np.where(k <= length, text[np.where(k <= length, at + length - k, 0)], 0)
     return head, ending
 
 
-def pairs_of(orders: list[np.ndarray], head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of binary values, where each begins in them and its length."""
+    at = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, 4 * words.offset).astype(np.int64)
+    return np.frombuffer(words.buffers()[2], np.uint8)[at[0]:at[-1]], at[:-1] - at[0], np.diff(at)
+
+
+def pairs_of(order: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (previous word's number, head) of texts, ascending, and the pair of each word and end in order.
 
     No other word comes before a text's first, so the end's number 0 stands for that.
     """
-    cur = np.concatenate(orders).astype(np.int64)
+    cur = order.astype(np.int64)
     prev = np.concatenate([[0], cur[:-1]])
     return np.unique(prev << 32 | head[cur], return_inverse=True)
 
 
+def in_order(part: np.ndarray) -> np.ndarray:
+    """The places of parts in stable order; numbers of two bytes at most are sorted by their digits."""
+    return np.argsort(part.astype(np.min_scalar_type(part.max())), kind="stable")
+
+
 def write_chunks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """Documents (doc_id, text) to chunk rows: dictionary, one row of the words' heads and parts, pairs by part, documents."""
     types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
@@ -151,20 +170,34 @@ def write_chunks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
         return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
 
     def close() -> Iterator[pa.RecordBatch]:
-        words = list(index)
-        learned = np.repeat(~np.array(skips), [len(o) for o in orders])
-        train = np.bincount(np.concatenate(orders)[learned], minlength=len(words))
-        yield rows(WORDS, len(words), number=pa.array(np.arange(len(words), dtype=np.int32)),
-                   word=pa.array(words, pa.binary()), train=pa.array(train))
+        # An end comes first, so its number is 0.
+        text = np.concatenate([np.frombuffer(END, np.uint8), *(t for t, _ in held)])
+        ends = np.cumsum([1, *(len(t) for t, _ in held)])
+        begins = np.concatenate([[0], *(at + a for (_, at), a in zip(held, ends, strict=False)), [len(text)]]).astype(np.int32)
+        held.clear()
+        met = pa.Array.from_buffers(pa.binary(), len(begins) - 1, [None, pa.py_buffer(begins), pa.py_buffer(text)]).dictionary_encode()
+        words, order = met.dictionary, met.indices.to_numpy()[1:]
+        del text, begins, met
+        stops = np.flatnonzero(order == 0) + 1
+        size = np.diff(stops, prepend=0)
+        out = [held_out(i) for i in ids]
+        planes = [(order >> k & 255).astype(np.uint8) for k in (0, 8, 16)]
+        data = [b"".join(x[b - n:b].tobytes() for x in planes) for b, n in zip(stops.tolist(), size.tolist(), strict=True)]
+        yield rows(DOCS, len(ids), doc_id=pa.array(ids, pa.int64()), held=pa.array(out, pa.bool_()), size=pa.array(size),
+                   bytes=pa.array(np.concatenate(sizes).astype(np.int64)), data=pa.array(data, pa.binary()))
+        del planes, data
+        learned = np.repeat(~np.array(out), size)
+        train = np.bincount(order[learned], minlength=len(words))
+        yield rows(WORDS, len(words), number=pa.array(np.arange(len(words), dtype=np.int32)), word=words, train=pa.array(train))
         head, ending = edges_of(words)
-        before = np.frombuffer(b"".join(blake2b(w, digest_size=8).digest() for w in words), np.uint64)
+        before = np.frombuffer(b"".join([blake2b(w, digest_size=8).digest() for w in words.to_pylist()]), np.uint64)
         part = (before % np.uint64(parts)).astype(np.int32)
         yield rows(HEADS, 1, data=pa.array([head.astype(np.uint32).tobytes() + part.tobytes()]))
-        keys, pair = pairs_of(orders, head)
+        keys, pair = pairs_of(order, head)
         counts = np.bincount(pair[learned], minlength=len(keys))
         del pair, learned
         number = keys >> 32
-        by_part = np.argsort(part[number], kind="stable")
+        by_part = in_order(part[number])
         ends = np.searchsorted(part[number][by_part], np.arange(parts + 1))
         blobs: dict[int, bytes] = {}
         for p in np.flatnonzero(np.diff(ends)):
@@ -176,26 +209,20 @@ def write_chunks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
                 blobs = {}
 
     let_go()
-    name, index, orders, skips, held_bytes = new_chunk(), {END: 0}, [], [], 0
+    name, held, ids, sizes, held_bytes = new_chunk(), [], [], [], 0
     for batch in batches:
-        for ids, texts in rows_of(batch):
-            found = [tokens(text) for text in texts]
-            for words in found:
-                for word in set(words).difference(index):
-                    index[word] = len(index)
-            here = [np.fromiter(map(index.__getitem__, [*words, END]), np.int32, len(words) + 1) for words in found]
-            out = [held_out(i) for i in ids]
-            orders += here
-            skips += out
-            sizes = [len((text or "").encode()) for text in texts]
-            held_bytes += sum(sizes)
-            yield rows(DOCS, len(ids), doc_id=pa.array(ids, pa.int64()), held=pa.array(out, pa.bool_()),
-                       size=pa.array([len(o) for o in here], pa.int64()), bytes=pa.array(sizes, pa.int64()),
-                       data=pa.array(map(pack_order, here), pa.binary()))
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            some = batch.slice(at, ROWS_AT_ONCE)
+            text, begins, size = tokens(some.column(1))
+            held.append((text, begins))
+            ids += some.column(0).to_pylist()
+            sizes.append(size)
+            held_bytes += int(size.sum())
             if held_bytes >= CHUNK_BYTES:
                 yield from close()
-                name, index, orders, skips, held_bytes = new_chunk(), {END: 0}, [], [], 0
-    if orders:
+                pa.default_memory_pool().release_unused()
+                name, ids, sizes, held_bytes = new_chunk(), [], [], 0
+    if ids:
         yield from close()
 
 
@@ -233,43 +260,50 @@ def unsqueeze(data: bytes, kinds: tuple) -> list[np.ndarray]:
 
 
 # ---------------------------------------------------------------- 2. packed rows
+def changes(values: pa.Array) -> np.ndarray:
+    """Whether each value differs from the one before it; the first does."""
+    return np.concatenate([[True], pc.not_equal(values[1:], values[:-1]).to_numpy(zero_copy_only=False)])
+
+
 def pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Dictionary rows (word, train, chunk, number), sorted by word, to packed rows of whole groups."""
     held: list[pa.RecordBatch] = []
     size, last = 0, None
 
     def flush() -> pa.RecordBatch:
-        t = pa.Table.from_batches(held).combine_chunks()
+        t = pa.Table.from_batches(held)
         held.clear()
-        words = t.column("word").to_pylist()
-        new = np.fromiter((a != b for a, b in zip(words, [None, *words], strict=False)), bool, len(words))
+        words = pa.concat_arrays(t.column("word").chunks).cast(pa.binary())
+        new = changes(words)
         word_of = np.cumsum(new) - 1
-        distinct = [words[i] for i in np.flatnonzero(new)]
+        text, _, lengths = bytes_of(words.filter(pa.array(new)))
         counts = np.bincount(word_of, t.column("train").to_numpy()).astype(np.int64)
         chunks, chunk_of = np.unique(t.column("chunk").to_numpy(), return_inverse=True)
-        row = [b"".join(distinct), np.fromiter(map(len, distinct), np.int32, len(distinct)).tobytes(),
+        row = [text.tobytes(), lengths.astype(np.int32).tobytes(),
                counts.tobytes(), chunks.tobytes(), chunk_of.astype(np.int32).tobytes(),
                t.column("number").to_numpy().astype(np.int32).tobytes(), word_of.astype(np.int32).tobytes()]
         return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], [c.split()[0] for c in PACKED.split(", ")])
 
     for batch in batches:
-        groups = pc.binary_slice(batch.column("word"), 0, GROUP_BYTES).to_pylist()
-        starts = [i for i in range(len(groups)) if groups[i] != (groups[i - 1] if i else last)]
-        last = groups[-1] if groups else last
-        if not groups:
+        n = batch.num_rows
+        if not n:
             continue
+        groups = pc.binary_slice(batch.column("word"), 0, GROUP_BYTES)
+        new = changes(groups)
+        new[0] = groups[0].as_py() != last
+        starts, last = np.flatnonzero(new), groups[n - 1].as_py()
         # Only a group's start may end a packed row; its first part may lie in earlier batches.
         cuts = [0]
-        for i in starts:
-            if size + i - cuts[-1] >= PACK_WORDS:
-                if i > cuts[-1]:
-                    held.append(batch.slice(cuts[-1], i - cuts[-1]))
-                if held:
-                    yield flush()
-                size = 0
-                cuts.append(i)
+        while (k := int(np.searchsorted(starts, PACK_WORDS - size + cuts[-1]))) < len(starts):
+            i = int(starts[k])
+            if i > cuts[-1]:
+                held.append(batch.slice(cuts[-1], i - cuts[-1]))
+            if held:
+                yield flush()
+            size = 0
+            cuts.append(i)
         held.append(batch.slice(cuts[-1]))
-        size += len(groups) - cuts[-1]
+        size += n - cuts[-1]
     if held:
         yield flush()
 
@@ -301,7 +335,7 @@ class Pack:
         head = np.zeros(len(words), np.int64)
         for depth in range(HEAD):
             head = head << 8 | self.symbol(words, depth)
-        return np.unique(head, return_inverse=True)[1]
+        return runs(head)[2]
 
 
 class Pairs:
@@ -377,16 +411,29 @@ def merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Events:
-    """Bytes to predict: symbol, the three before it, depth, and the prefix's counts at each bit (8 columns)."""
+    """Bytes to predict: symbol, the ones before it, depth (all from ``DEPTHS`` on, or all the same), count, and the prefix's counts at each bit (8 columns)."""
+
+    def __init__(self, symbol, before, depth, count, zeros=None, ones=None):
+        self.symbol, self.count, self.zeros, self.ones = symbol, count, zeros, ones
+        self.level = min(int(depth[0]), DEPTHS - 1)
+        self.hashes = [(value << np.uint64(8)) * MULTIPLIER for value in contexts(before)]
 
-    def __init__(self, symbol, before, depth, count, zeros, ones):
-        self.symbol, self.before, self.depth, self.count, self.zeros, self.ones = (
-            symbol, before, depth, count, zeros, ones)
-        self.contexts = [context(before, order) for order in range(1, ORDERS + 1)]
 
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``np.unique`` with first places and numbers; values that are in order, as words and pairs lie, are not sorted again."""
+    if (values[1:] < values[:-1]).any():
+        return np.unique(values, return_index=True, return_inverse=True)
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    return values[first], first, np.cumsum(new) - 1
 
-def events_of(pack: Pack | Pairs) -> Iterator[tuple[Events, np.ndarray, np.ndarray]]:
-    """(events, words or pairs, event of each): each distinct prefix and next byte is one event, level by level."""
+
+def events_of(pack: Pack | Pairs, exact: bool = True) -> Iterator[tuple[Events, np.ndarray, np.ndarray]]:
+    """(events, words or pairs, event of each): each distinct prefix and next byte is one event, level by level.
+
+    Without ``exact`` the events lack the prefix's counts.
+    """
     words = np.flatnonzero(pack.symbols > pack.since)
     prefix = pack.start(words)
     for depth in range(pack.since, pack.until):
@@ -394,22 +441,22 @@ def events_of(pack: Pack | Pairs) -> Iterator[tuple[Events, np.ndarray, np.ndarr
         words, prefix = words[live], prefix[live]
         if not len(words):
             return
-        pairs, first, where = np.unique(prefix * 256 + pack.symbol(words, depth), return_index=True,
-                                        return_inverse=True)
+        pairs, first, where = runs(prefix * 256 + pack.symbol(words, depth))
         symbol, origin = pairs & 255, words[first]
         count = np.bincount(where, pack.counts[words], len(pairs))
-        zeros, ones = np.zeros((8, len(pairs)), np.float32), np.zeros((8, len(pairs)), np.float32)
-        for bit in range(8):
+        zeros = ones = None
+        if exact:
+            zeros, ones = np.empty((8, len(pairs)), np.float32), np.empty((8, len(pairs)), np.float32)
             # Pairs come sorted by prefix and symbol, so those of one node are neighbours.
-            node = pairs >> (8 - bit)
-            begin = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-            size = np.diff(np.r_[begin, len(pairs)])
-            is_one = pairs >> (7 - bit) & 1
-            total = np.add.reduceat(count, begin)
-            one = np.add.reduceat(count * is_one, begin)
-            ones[bit], zeros[bit] = np.repeat(one, size), np.repeat(total - one, size)
+            step, below, short = pairs[1:] ^ pairs[:-1], count, symbol.astype(np.uint8)
+            for bit in range(7, -1, -1):
+                begin = np.concatenate([[0], np.flatnonzero(step >= 1 << (8 - bit)) + 1])
+                total = np.repeat(np.add.reduceat(count, begin), np.diff(begin, append=len(pairs))) if len(begin) < len(pairs) else count
+                one = np.where((short >> (7 - bit) & 1).view(bool), below, total - below)
+                ones[bit], zeros[bit], below = one, total - one, total
+            zeros, ones = zeros.T, ones.T
         before = [pack.symbol(origin, depth - k) for k in range(1, ORDERS + 1)]
-        yield Events(symbol, before, np.full(len(pairs), depth), count, zeros.T, ones.T), words, where
+        yield Events(symbol, before, [depth], count, zeros, ones), words, where
         prefix = where
     if pack.until < DEEPEST:
         return
@@ -422,42 +469,66 @@ def events_of(pack: Pack | Pairs) -> Iterator[tuple[Events, np.ndarray, np.ndarr
         at = np.arange(a, min(a + BATCH, total))
         k = np.searchsorted(ends, at, side="right")
         owner, depth = words[k], DEEPEST + at - (ends - rest)[k]
-        none = np.zeros((len(at), 8), np.float32)
+        none = np.zeros((len(at), 8), np.float32) if exact else None
         before = [pack.symbol(owner, depth - j) for j in range(1, ORDERS + 1)]
         yield (Events(pack.symbol(owner, depth), before, depth, pack.counts[owner].astype(float), none, none), owner,
                np.arange(len(at)))
 
 
 # ---------------------------------------------------------------- 3. the model
-def context(before: list[np.ndarray], order: int) -> np.ndarray:
-    value = np.full(len(before[0]), order, np.uint64)
-    for b in before[:order]:
-        value = (value << np.uint64(8)) | b.astype(np.uint64)
-    return value
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+#: By bit and symbol, what the node that the bits before it lead to adds to a context's hash.
+NODES = np.array([[symbol >> (8 - bit) | 1 << bit for symbol in range(256)] for bit in range(8)], np.uint64) * MULTIPLIER
+#: The class of a number of occurrences, by the smaller of it and the last index.
+CLASSES = np.log2(np.arange(1 << (SEEN - 1)) + 1).astype(np.int8)
 
+#: Neighbours are summed in different lanes: most share a class, and a sum waits for the one before it.
+AT_ONCE = 8
+LANES = np.arange(BATCH) % AT_ONCE * SEEN
 
-def slots(value: np.ndarray, symbol: np.ndarray, bit: int) -> np.ndarray:
-    """The table slot of a context at the node that the bits before ``bit`` lead to."""
-    node = (symbol >> (8 - bit) | 1 << bit).astype(np.uint64)
-    return ((value << np.uint64(8) | node) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+def contexts(before: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """The last one to ``ORDERS`` symbols as numbers, the order above them."""
+    last = np.zeros(len(before[0]), np.uint64)
+    for order in range(1, ORDERS + 1):
+        for symbol in before[order - 1:order]:
+            last = last << np.uint64(8) | symbol.astype(np.uint64)
+        yield last | np.uint64(order << 8 * min(order, len(before)))
+
+
+def slots(hashes: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """The table slots of contexts at nodes."""
+    at = hashes + nodes
+    at >>= np.uint64(64 - SLOT_BITS)
+    return at.view(np.int64)
+
+
+def by_class(at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sums of values by class."""
+    return np.bincount(at, values, AT_ONCE * SEEN).reshape(AT_ONCE, SEEN).sum(0)
 
 
 def count_contexts(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[pa.RecordBatch]:
     """Packed rows to (range, data): training counts of zeros and ones at the slots of short contexts, a task's in all."""
-    table = np.zeros((ORDERS << SLOT_BITS) * 2, np.int64)
+    table = np.zeros((ORDERS, 2 << SLOT_BITS), np.int64)
     for batch in batches:
         for row in batch.to_pylist():
-            for e, _, _ in events_of(kind(row)):
-                seen = e.count > 0
-                symbol, count = e.symbol[seen], e.count[seen].astype(np.int64)
+            for e, _, _ in events_of(kind(row), exact=False):
+                seen = np.flatnonzero(e.count)
+                if not len(seen):
+                    continue
+                symbol, count, hashes = e.symbol[seen], e.count[seen].astype(np.int64), [h[seen] for h in e.hashes]
                 for k in range(ORDERS):
-                    value = e.contexts[k][seen]
-                    for bit in range(8):
-                        np.add.at(table, ((k << SLOT_BITS) + slots(value, symbol, bit)) * 2 + (symbol >> (7 - bit) & 1), count)
+                    add_slots(table[k], hashes[k], symbol, count)
     if table.any():
         yield table_rows(table)
 
 
+def add_slots(table: np.ndarray, hashes: np.ndarray, symbol: np.ndarray, count: np.ndarray) -> None:
+    for bit in range(8):
+        np.add.at(table, slots(hashes, NODES[bit][symbol]) * 2 + (symbol >> (7 - bit) & 1), count)
+
+
 def table_rows(table: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.arange(RANGES, dtype=np.int32)), pa.array(
         [squeeze([x]) for x in table.reshape(RANGES, -1)], pa.binary())], ["range", "data"])
@@ -476,79 +547,106 @@ def add_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"range": pa.array([at], pa.int32()), "data": [squeeze([total])]})
 
 
+def known(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds and classes of counts."""
+    least = np.float32(0.05)
+    most = np.float32(len(CLASSES) - 1)
+    return np.log((ones + least) / (zeros + least)), CLASSES[np.minimum(zeros + ones, most).astype(np.int32)]
+
+
 class Mixer:
     """Weights by (gate, predictor, seen), and the refining map by (gate, step)."""
 
     def __init__(self, table: np.ndarray, weights: np.ndarray | None = None, refined: np.ndarray | None = None):
-        #: Zeros and ones of a slot side by side.
-        self.table = table.T
+        self.table = table
         self.weights = np.full((8 * DEPTHS, ORDERS + 1, SEEN), 0.35, np.float64) if weights is None else weights
         self.refined = refined
-
-    def inputs(self, e: Events, bit: int, own: np.ndarray | None):
-        """Log-odds and seen-classes of each predictor; ``own`` is taken out of the counts of the bit that came."""
-        is_one = e.symbol >> (7 - bit) & 1
-        odds, seen = np.empty((ORDERS + 1, len(is_one)), np.float32), np.empty((ORDERS + 1, len(is_one)), np.int64)
-        if own is not None:
-            one = is_one.astype(np.float32) * own
-            zero = own - one
-        for k in range(ORDERS + 1):
-            if k < ORDERS:
-                at = (k << SLOT_BITS) + slots(e.contexts[k], e.symbol, bit)
-                zeros, ones = np.take(self.table, at, axis=0).T
-            else:
-                zeros, ones = e.zeros[:, bit], e.ones[:, bit]
-            if own is not None:
-                zeros, ones = np.maximum(zeros - zero, 0), np.maximum(ones - one, 0)
-            least = np.float32(0.05)
-            odds[k] = np.log((ones + least) / (zeros + least))
-            seen[k] = np.minimum(np.log2(zeros + ones + np.float32(1)), SEEN - 1)
-        gate = bit * DEPTHS + np.minimum(e.depth, DEPTHS - 1)
-        return gate, odds, seen, is_one
-
-    def mixed(self, gate, odds, seen, part=slice(None)) -> np.ndarray:
-        total = np.zeros(len(gate[part]))
-        for k in range(ORDERS + 1):
-            total += self.weights.reshape(-1)[(gate[part] * (ORDERS + 1) + k) * SEEN + seen[k][part]] * odds[k][part]
-        return np.clip(total, -12, 12)
+        #: Log-odds and classes of all slots, with an occurrence's own count taken out (by slot and bit that came) or not.
+        self.slots: dict[bool, tuple[np.ndarray, np.ndarray]] = {}
+
+    def of_slots(self, own: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By order; with ``own`` first the slots after a zero, then those after a one."""
+        if own not in self.slots:
+            zeros, ones = self.table
+            made = [known(np.maximum(zeros - np.float32(1 - bit), 0), np.maximum(ones - np.float32(bit), 0))
+                    for bit in range(2)] if own else [known(zeros, ones)]
+            self.slots[own] = [tuple(np.concatenate([x[k << SLOT_BITS:(k + 1) << SLOT_BITS] for x in each])
+                                     for each in zip(*made, strict=True)) for k in range(ORDERS)]
+        return self.slots[own]
+
+    def inputs(self, hashes: list[np.ndarray], symbol: np.ndarray, zeros: np.ndarray, ones: np.ndarray, bit: int, own: bool):
+        """The bit that came, log-odds and classes, by lane, of each predictor; ``own`` takes an occurrence out of its counts."""
+        is_one, nodes, lanes = symbol >> (7 - bit) & 1, NODES[bit][symbol], LANES[:len(symbol)]
+        after = is_one << SLOT_BITS
+        odds, seen = [], []
+        for h, (all_odds, all_seen) in zip(hashes, self.of_slots(own), strict=True):
+            at = slots(h, nodes)
+            if own:
+                at += after
+            odds.append(np.take(all_odds, at, mode="wrap"))
+            seen.append(np.take(all_seen, at, mode="wrap") + lanes)
+        if own:
+            one = is_one.astype(np.float32)
+            zeros, ones = np.maximum(zeros - (1 - one), 0), np.maximum(ones - one, 0)
+        last = known(zeros, ones)
+        return is_one, [*odds, last[0]], [*seen, last[1] + lanes]
+
+    def mixed(self, gate: int, odds: list[np.ndarray], seen: list[np.ndarray]) -> np.ndarray:
+        total = np.zeros(len(odds[0]))
+        for weights, o, at in zip(self.weights[gate], odds, seen, strict=True):
+            each = np.take(np.tile(weights, AT_ONCE), at, mode="wrap")
+            each *= o
+            total += each
+        return np.clip(total, -12, 12, out=total)
 
     def learn(self, e: Events, shown: np.ndarray) -> None:
         """One online pass; ``shown`` sums (count, ones) by gate and step of the mixed log-odds."""
         some = np.flatnonzero(e.count > 0)
         if not len(some):
             return
-        e = Events(e.symbol[some], [b[some] for b in e.before], e.depth[some], e.count[some], e.zeros[some], e.ones[some])
+
+        def of_some(x: np.ndarray) -> np.ndarray:
+            return x if len(some) == len(e.count) else x[some]
+
+        symbol, count, hashes = of_some(e.symbol), of_some(e.count), [of_some(h) for h in e.hashes]
         for bit in range(8):
-            gate, odds, seen, is_one = self.inputs(e, bit, np.float32(1))
+            gate = bit * DEPTHS + e.level
+            zeros, ones = of_some(e.zeros[:, bit]), of_some(e.ones[:, bit])
+            steps = shown[:, gate * STEPS:(gate + 1) * STEPS]
             for a in range(0, len(some), BATCH):
                 part = slice(a, a + BATCH)
-                many = e.count[part]
-                mixed = self.mixed(gate, odds, seen, part)
+                is_one, odds, seen = self.inputs([h[part] for h in hashes], symbol[part], zeros[part], ones[part], bit, True)
+                many = count[part]
+                mixed = self.mixed(gate, odds, seen)
                 p = 1 / (1 + np.exp(-mixed))
-                wrong = (is_one[part] - p) * many
+                wrong = (is_one - p) * many
                 spread = many * p * (1 - p)
                 for k in range(ORDERS + 1):
-                    at = gate[part] * SEEN + seen[k][part]
-                    push = np.bincount(at, wrong * odds[k][part], 8 * DEPTHS * SEEN)
-                    mass = np.bincount(at, spread * odds[k][part] ** 2, 8 * DEPTHS * SEEN) + 4.0
-                    self.weights[:, k] += np.clip(RATE * 5 * push / mass, -0.1, 0.1).reshape(8 * DEPTHS, SEEN)
-                at = gate[part] * STEPS + np.clip(mixed + STEPS / 2, 0, STEPS - 1).astype(np.int64)
-                shown[0] += np.bincount(at, many, shown.shape[1])
-                shown[1] += np.bincount(at, many * is_one[part], shown.shape[1])
+                    push = by_class(seen[k], wrong * odds[k])
+                    mass = by_class(seen[k], spread * odds[k] ** 2) + 4.0
+                    self.weights[gate, k] += np.clip(RATE * 5 * push / mass, -0.1, 0.1)
+                at = np.clip(mixed + STEPS / 2, 0, STEPS - 1).astype(np.int64)
+                zero, one = np.bincount(at * 2 + is_one, many, 2 * STEPS).reshape(STEPS, 2).T
+                steps += zero + one, one
 
     def costs(self, e: Events) -> np.ndarray:
         """log10 of each event's probability."""
-        total = np.zeros(len(e.symbol))
-        for bit in range(8):
-            gate, odds, seen, is_one = self.inputs(e, bit, None)
-            mixed = self.mixed(gate, odds, seen)
-            p = 1 / (1 + np.exp(-mixed))
-            if self.refined is not None:
-                at = gate * STEPS + np.clip(mixed + STEPS / 2, 0, STEPS - 1).astype(np.int64)
-                p = (p + self.refined[at]) / 2
-            p = np.clip(p, 1e-6, 1 - 1e-6)
-            total += np.log10(np.where(is_one == 1, p, 1 - p))
-        return total
+        # A bit's probability is 1e-6 at least, so the product of eight is far from the smallest number.
+        total = np.ones(len(e.symbol))
+        for a in range(0, len(total), BATCH):
+            part = slice(a, a + BATCH)
+            hashes = [h[part] for h in e.hashes]
+            for bit in range(8):
+                gate = bit * DEPTHS + e.level
+                is_one, odds, seen = self.inputs(hashes, e.symbol[part], e.zeros[part, bit], e.ones[part, bit], bit, False)
+                mixed = self.mixed(gate, odds, seen)
+                p = 1 / (1 + np.exp(-mixed))
+                if self.refined is not None:
+                    at = np.clip(mixed + STEPS / 2, 0, STEPS - 1).astype(np.int64)
+                    p = (p + np.take(self.refined[gate * STEPS:(gate + 1) * STEPS], at)) / 2
+                p = np.clip(p, 1e-6, 1 - 1e-6)
+                total[part] *= np.where(is_one == 1, p, 1 - p)
+        return np.log10(total)
 
 
 def event_scores(pack: Pack | Pairs, mixer: Mixer) -> np.ndarray:
@@ -559,17 +657,17 @@ def event_scores(pack: Pack | Pairs, mixer: Mixer) -> np.ndarray:
     return scores
 
 
-def word_scores(chunk_orders: list[np.ndarray], head: np.ndarray, part: np.ndarray, tails: np.ndarray,
+def word_scores(order: np.ndarray, head: np.ndarray, part: np.ndarray, tails: np.ndarray,
                 heads: dict[int, bytes]) -> np.ndarray:
     """log10 of each word's and end's probability in texts in order: its head after the word before it, then the rest.
 
     ``tails`` by dictionary number; ``heads`` by part, in ascending order of the pairs.
     """
-    keys, pair = pairs_of(chunk_orders, head)
-    by_part = np.argsort(part[keys >> 32], kind="stable")
+    keys, pair = pairs_of(order, head)
+    by_part = in_order(part[keys >> 32])
     after = np.empty(len(keys), np.float32)
     after[by_part] = np.concatenate([np.frombuffer(heads[p], np.float32) for p in sorted(heads)])
-    return tails[np.concatenate(chunk_orders)] + after[pair]
+    return tails[order] + after[pair]
 
 
 def fit_model(packed: DataFrame, merged: DataFrame) -> dict[str, np.ndarray]:
@@ -655,8 +753,8 @@ def sum_documents(batches: Iterator[pa.RecordBatch], n_train: int, n_words: int)
         known[number], tails[number] = count > 0, tail
         head, part = np.frombuffer(info, np.uint32, len(number)).astype(np.int64), np.frombuffer(info, np.int32, offset=4 * len(number))
         orders = [unpack_order(x).astype(np.int32) for d in docs for x in d.column("data").to_pylist()]
-        scores = word_scores(orders, head, part, tails, heads)
         words, at = np.concatenate(orders), np.cumsum([0, *map(len, orders[:-1])])
+        scores = word_scores(words, head, part, tails, heads)
         sums = [np.add.reduceat(x, at) for x in (base[words], known[words], scores)]
         a = 0
         for d in docs:
@@ -694,12 +792,12 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every whole text."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     parts = max(8, (own.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES)
-    chunks = materialize(own.mapInArrow(lambda batches: write_chunks(batches, parts), CHUNKS), compression="zstd")
+    chunks = materialize_alone(own.mapInArrow(lambda batches: write_chunks(batches, parts), CHUNKS), compression="zstd")
     words = chunks.where(F.col("kind") == WORDS).select("word", "train", "chunk", "number")
     # A group is the start of its words, so words in order keep groups together.
-    packed = materialize(words.repartition(F.substring("word", 1, GROUP_BYTES)).sortWithinPartitions("word").mapInArrow(pack_words, PACKED), compression="zstd")
+    packed = materialize_alone(words.repartition(F.substring("word", 1, GROUP_BYTES)).sortWithinPartitions("word").mapInArrow(pack_words, PACKED), compression="zstd")
     pairs = chunks.where(F.col("kind") == PAIRS).select(F.col("number").alias("part"), "chunk", "data")
-    merged = materialize(pairs.select(F.col("part").alias("number"), "data").repartition("number").sortWithinPartitions(
+    merged = materialize_alone(pairs.select(F.col("part").alias("number"), "data").repartition("number").sortWithinPartitions(
         "number").mapInArrow(merge_pairs, MERGED), compression="zstd")
     model = fit_model(packed, merged)
     sent = docs.sparkSession.sparkContext.broadcast(model)

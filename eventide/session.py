@@ -122,6 +122,22 @@ def materialize(df, **options: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Spark removes a query's shuffle files when it ends, instead of when the driver next collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize_alone(df, **options: str):
+    """``materialize`` that leaves no shuffle files behind: the written table is all the disk that it keeps."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        # A frame is run as the setting was when it was made, so one is made now.
+        return materialize(df.select("*"), **options)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+
+
 def materialize_counted(df):
     """``materialize`` with the number of rows, counted while they are written."""
     from pyspark.sql import Observation
