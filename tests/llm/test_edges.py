@@ -1,7 +1,9 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns; and the operators' inner parts."""
 
 import io
+import os
 import random
+import tempfile
 import time
 
 import numpy as np
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 from eventide.llm import (bpe, chosen_path, line_dedup, lm_score, mixing, quality, token_files, toxicity, url_filter,
                           va_topk)
+from eventide.session import materialize, materialize_alone
 from tests.llm import brute
 
 RANKS, JSON = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
@@ -356,6 +359,33 @@ def test_lm_reads_texts_in_order(spark):
     assert empty.bits_per_byte is None and empty.n_tokens == 1
 
 
+def test_lm_tokens():
+    """Words and ends in bytes, of texts with nulls, other spaces and characters, also from the middle of a batch."""
+    texts = ["skipped", None, "", " \t", "Ab\nC\x1cD\u00a0E\u0130 f", "\x00 x\x0b\x0c\r\u2003Y", "z"]
+    text, begins, sizes = lm_score.tokens(pa.array(texts)[1:])
+    got = [bytes(x) for x in np.split(text, begins[1:])]
+    assert got == [w for t in texts[1:] for w in [*(t or "").encode().lower().split(), b"\n"]]
+    assert list(sizes) == [len((t or "").encode()) for t in texts[1:]]
+
+
+def test_shuffle_files_go(spark):
+    """What a table was shuffled through is gone soon after it is written."""
+    def shuffled() -> set[str]:
+        top = os.environ.get("SPARK_LOCAL_DIRS") or spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir())
+        return {f for d in os.listdir(top) if d.startswith("blockmgr-") for _, _, names in os.walk(os.path.join(top, d))
+                for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+    kept = shuffled()
+    df = spark.range(1000).withColumn("x", F.col("id") % 7).repartition("x").sortWithinPartitions("x")
+    assert materialize(df).count() == 1000 and shuffled() - kept
+    kept = shuffled()
+    out = materialize_alone(df)
+    ended = time.time() + 20
+    while shuffled() - kept and time.time() < ended:
+        time.sleep(0.1)
+    assert not shuffled() - kept and sorted(r.id for r in out.collect()) == list(range(1000))
+
+
 def test_pairs_merge():
     """Merged pieces of a part hold each (previous word, head) once, with all its counts."""
     rng, every = np.random.default_rng(3), {}
