@@ -682,7 +682,7 @@ def fit_model(packed: DataFrame, merged: DataFrame) -> dict[str, np.ndarray]:
         add_ranges, "range int, data binary")
     # RANGES rows, of ORDERS * 2**SLOT_BITS slots in all, whatever the corpus.
     flat = np.zeros((RANGES, (ORDERS << SLOT_BITS) * 2 // RANGES), np.float32)
-    for r in slot.toLocalIterator():
+    for r in materialize_alone(slot).toLocalIterator():
         flat[r["range"]] = unsqueeze(r["data"], (np.int64,))[0]
     table = flat.reshape(-1, 2).T
     sent = spark.sparkContext.broadcast(table)
@@ -716,22 +716,32 @@ def fit_model(packed: DataFrame, merged: DataFrame) -> dict[str, np.ndarray]:
 
 
 # ---------------------------------------------------------------- 4. documents
-def score_pairs(batches: Iterator[pa.RecordBatch], mixer: Mixer) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (part, chunk): a part's merged pairs, then its pairs of each chunk, to the latter's scores."""
+def score_merged(batches: Iterator[pa.RecordBatch], mixer: Mixer) -> Iterator[pa.RecordBatch]:
+    """Merged pairs to (part, data): each previous word's digest and number of pairs, each pair's head and score."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            pairs = Pairs(row)
+            size = np.bincount(pairs.owner, minlength=len(pairs.before)).astype(np.int32)
+            data = squeeze([pairs.before, size, pairs.head.astype(np.uint32), event_scores(pairs, mixer).astype(np.float32)])
+            yield pa.RecordBatch.from_arrays([pa.array([row["part"]], pa.int32()), pa.array([data])], ["part", "data"])
+
+
+def match_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (part, chunk): a part's scored pairs, then its pairs of each chunk, to the latter's scores."""
     part, merged, known = None, [], None
     for batch in batches:
         for row in batch.to_pylist():
             if row["part"] != part:
                 part, merged, known = row["part"], [], None
             if row["chunk"] is None:
-                pairs = Pairs(row)
-                merged.append((pairs.before, pairs.owner, pairs.head, event_scores(pairs, mixer)))
+                before, size, head, scores = unsqueeze(row["data"], (np.uint64, np.int32, np.uint32, np.float32))
+                merged.append((before, np.repeat(np.arange(len(before)), size), head.astype(np.int64), scores))
                 continue
             if known is None:
                 befores, owners, heads, scores = zip(*sorted(merged, key=lambda m: m[0][0]), strict=True)
                 at = np.cumsum([0, *map(len, befores[:-1])])
                 known = (np.concatenate(befores), np.concatenate([(o + a) << 32 | h for o, a, h in zip(owners, at, heads, strict=True)]),
-                         np.concatenate(scores).astype(np.float32))
+                         np.concatenate(scores))
                 merged = []
             before, _, owner, head, _ = unpack_pairs(row["data"])
             key = np.searchsorted(known[0], before)[owner] << 32 | head.astype(np.int64)
@@ -827,9 +837,9 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     total = packed.select("counts").mapInArrow(totals, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
     n_train, n_words = total[0] or 0, total[1] or 0
-    asked = merged.withColumn("chunk", F.lit(None).cast("long")).withColumn("data", F.lit(None).cast("binary")).unionByName(
-        pairs, allowMissingColumns=True).repartition("part").sortWithinPartitions("part", "chunk")
-    found = packed.mapInArrow(score_words, FOUND).unionByName(asked.mapInArrow(lambda batches: score_pairs(batches, mixer()), FOUND))
+    scored = merged.mapInArrow(lambda batches: score_merged(batches, mixer()), "part int, data binary")
+    asked = scored.withColumn("chunk", F.lit(None).cast("long")).unionByName(pairs).repartition("part").sortWithinPartitions("part", "chunk")
+    found = packed.mapInArrow(score_words, FOUND).unionByName(asked.mapInArrow(match_pairs, FOUND))
     rest = chunks.where(F.col("kind").isin(HEADS, DOCS)).select("chunk", "kind", "data", "doc_id", "held", "size", "bytes")
     met = found.unionByName(rest, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "kind")
     return met.mapInArrow(lambda batches: sum_documents(batches, n_train, n_words), SCORED)
